@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True

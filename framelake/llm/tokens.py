@@ -65,8 +65,8 @@ class Encoder:
     before are encoded. Other tokenizers encode whole texts. The table is emptied when full.
     """
 
-    SLOTS = 22
-    FULL = 2_200_000
+    SLOTS = 21
+    FULL = 1_200_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
