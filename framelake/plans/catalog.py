@@ -2,11 +2,455 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from framelake.functions import geometry as G
+from framelake.operators import boxes as B
+from framelake.operators import frames as R
+from framelake.operators import order as O
+from framelake.sources.adapters import table, view, with_views
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+KEY = ["sequence", "frame_index"]
+
+
+def query(oracle: str | None = None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = with_views(oracle)
+        return f
+
+    return put
+
+
+def r6(df: DataFrame, *columns: str) -> DataFrame:
+    """Doubles to six places after the last step."""
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annotation rows as text, every 17th damaged."""
+    ann = view(spark, sf_dir, "ann")
+    cols = ["frame_index", "target_id", "bbox_left", "bbox_top", "bbox_width", "bbox_height", "score", "category"]
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in cols], F.lit("0"), F.lit("0"))
+    bad = F.when(F.col("target_id") == 17, F.concat_ws(",", F.lit("x"), *[F.col(c).cast("string") for c in cols[1:]])).when(F.col("target_id") == 34, F.lit("1,2,3")).otherwise(line)
+    return ann.select("sequence", "line_no", bad.alias("line"))
+
+
+NORM = """select *, (x1 + x2) / 2 as xc, (y1 + y2) / 2 as yc, x2 - x1 as w, y2 - y1 as h,
+  case when category in (1, 2) then 0 when category in (4, 5, 6, 9) then 1 else 2 end as cls from (select *,
+  greatest(0.0::double, least(1.0::double, bbox_left / 1000.0::double)) as x1, greatest(0.0::double, least(1.0::double, (bbox_left + bbox_width) / 1000.0::double)) as x2,
+  greatest(0.0::double, least(1.0::double, bbox_top / 600.0::double)) as y1, greatest(0.0::double, least(1.0::double, (bbox_top + bbox_height) / 600.0::double)) as y2 from ann where {where})
+  where x2 > x1 and y2 > y1"""
+OK = "score <> 0 and category between 1 and 10"
+
+
+@query(f"select sequence, cast(frame_index as int) as frame_index, cls, round(xc, 6) as xc, round(yc, 6) as yc, round(w, 6) as w, round(h, 6) as h from ({NORM.format(where=OK + ' and target_id not in (17, 34)')})")
+def B1_parse_annotation(spark, sf_dir):
+    return r6(B.parse_annotations(text_lines(spark, sf_dir)).select("sequence", "frame_index", "cls", "xc", "yc", "w", "h"), "xc", "yc", "w", "h")
+
+
+@query(f"select sequence, frame_index, line_no, round(xc, 6) as xc, round(yc, 6) as yc, round(w, 6) as w, round(h, 6) as h from ({NORM.format(where='category between 1 and 10')})")
+def B2_clip_normalise(spark, sf_dir):
+    return r6(B.normalise(view(spark, sf_dir, "ann")).select(*KEY, "line_no", "xc", "yc", "w", "h"), "xc", "yc", "w", "h")
+
+
+@query("select category, case when category in (1, 2) then 0 when category in (4, 5, 6, 9) then 1 when category in (3, 7, 8, 10) then 2 end as cls, count(*) as n from ann group by all")
+def B3_category_merge(spark, sf_dir):
+    return view(spark, sf_dir, "ann").groupBy("category", G.merged_class(F.col("category")).alias("cls")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select distinct sequence, frame_index from ann where (frame_index - 1) % 20 = 0")
+def B4_frame_stride(spark, sf_dir):
+    return B.keep_stride(view(spark, sf_dir, "ann").select(*KEY), 20).distinct()
+
+
+@query("select distinct sequence, frame_index from ann where frame_index >= 40 and frame_index < 65")
+def B5_clip_window(spark, sf_dir):
+    return B.clip_window(view(spark, sf_dir, "ann").select(*KEY), 40, 25).distinct()
+
+
+@query("select distinct sequence || '_' || lpad(cast(frame_index as varchar), 7, '0') as name, 'images/train/' || sequence || '_' || lpad(cast(frame_index as varchar), 7, '0') || '.jpg' as image, 'labels/train/' || sequence || '_' || lpad(cast(frame_index as varchar), 7, '0') || '.txt' as label from ann")
+def B6_addresses(spark, sf_dir):
+    name = F.format_string("%s_%07d", "sequence", "frame_index")
+    return view(spark, sf_dir, "ann").select(name.alias("name"), F.concat(F.lit("images/train/"), name, F.lit(".jpg")).alias("image"), F.concat(F.lit("labels/train/"), name, F.lit(".txt")).alias("label")).distinct()
+
+
+@query("select sequence, frame_index, line_no, bbox_width * bbox_height as area, round(case when bbox_height > 0 then bbox_width / cast(bbox_height as double) else 0 end, 6) as aspect from ann")
+def B7_box_stats(spark, sf_dir):
+    aspect = F.when(F.col("bbox_height") > 0, F.col("bbox_width") / F.col("bbox_height").cast("double")).otherwise(0.0)
+    return view(spark, sf_dir, "ann").select(*KEY, "line_no", F.expr("bbox_width * bbox_height").alias("area"), F.round(aspect, 6).alias("aspect"))
+
+
+EDGE = """case when i // 8 in (0, 7) or i % 8 in (0, 7) then px[i + 1] else least(255.0::double, greatest(0.0::double,
+  9 * px[i + 1] - (px[i - 8] + px[i - 7] + px[i - 6] + px[i] + px[i + 1] + px[i + 2] + px[i + 8] + px[i + 9] + px[i + 10]))) end"""
+READ = f"select vec_id, label, avg(px[i + 1]) as brightness, stddev_pop(px[i + 1]) as contrast, var_pop({EDGE}) as blur from fr, generate_series(0, 63) g(i) group by vec_id, label"
+
+
+@query(f"select vec_id, label, round(brightness, 6) as brightness, round(contrast, 6) as contrast, cast(round(blur * 4096) as bigint) as blur_4096 from ({READ})")
+def B14_frame_readings(spark, sf_dir):
+    return R.readings(view(spark, sf_dir, "fr")).select("vec_id", "label", F.round("brightness", 6).alias("brightness"), F.round("contrast", 6).alias("contrast"), F.round(F.col("blur") * 4096).cast("long").alias("blur_4096"))
+
+
+@query(f"""select vec_id, flag from (select vec_id, unnest(list_filter([case when brightness < 20 then 'dark' end, case when brightness > 235 then 'bright' end, case when contrast < 10 then 'low_contrast' end, case when blur < 50 then 'blurry' end], lambda x: x is not null)) as flag from ({READ}))""")
+def B8_quality_flags(spark, sf_dir):
+    return R.quality_flags(R.readings(view(spark, sf_dir, "fr"))).select("vec_id", "flag")
+
+
+@query("select vec_id, string_agg(case when px[i + 2] > px[i + 1] then '1' else '0' end, '' order by i) as dhash from fr, generate_series(0, 63) g(i) where i % 8 < 7 group by vec_id")
+def B15_dhash(spark, sf_dir):
+    return R.dhash(view(spark, sf_dir, "fr")).select("vec_id", "dhash")
+
+
+@query("select vec_id, round(avg(least(255.0::double, p * 1.5::double)), 6) as brightness from (select vec_id, unnest(px) as p from fr) group by vec_id")
+def B16_brightness_shift(spark, sf_dir):
+    px = F.transform("px", lambda x: F.least(F.lit(255.0), x * 1.5))
+    return view(spark, sf_dir, "fr").select("vec_id", F.round(F.aggregate(px, F.lit(0.0), lambda s, x: s + x) / F.size("px"), 6).alias("brightness"))
+
+
+@query("select sequence, frame_index, line_no, round((bbox_left + bbox_width / 2.0::double) / 1000, 6) as xc, round((bbox_top + bbox_height / 2.0::double) / 600, 6) as yc, round(bbox_width / 1000.0::double, 6) as w, round(bbox_height / 600.0::double, 6) as h from ann")
+def B9_box_forms(spark, sf_dir):
+    e = {"xc": "(bbox_left + bbox_width / 2D) / 1000", "yc": "(bbox_top + bbox_height / 2D) / 600", "w": "bbox_width / 1000D", "h": "bbox_height / 600D"}
+    return view(spark, sf_dir, "ann").select(*KEY, "line_no", *[F.round(F.expr(x), 6).alias(c) for c, x in e.items()])
+
+
+@query("""select w, h, new_w, new_h, cast(round_even((640 - new_w) / 2.0::double - 0.1::double, 0) as bigint) as "left", cast(round_even((640 - new_h) / 2.0::double - 0.1::double, 0) as bigint) as top from (
+  select w, h, cast(round_even(w * gain, 0) as bigint) as new_w, cast(round_even(h * gain, 0) as bigint) as new_h from (select distinct 100 + bbox_left as w, 60 + bbox_top as h, least(640 / cast(60 + bbox_top as double), 640 / cast(100 + bbox_left as double)) as gain from ann))""")
+def B10_letterbox(spark, sf_dir):
+    sizes = view(spark, sf_dir, "ann").selectExpr("100 + bbox_left as w", "60 + bbox_top as h").distinct()
+    return B.letterbox(sizes, 640, 640).select("w", "h", "new_w", "new_h", "left", "top")
+
+
+@query("select sequence, frame_index, count(*) as n from det where conf >= 0.25::double group by all")
+def B11_confidence_floor(spark, sf_dir):
+    return view(spark, sf_dir, "det").where("conf >= 0.25D").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+
+
+INTER = "greatest(0, least(d.x2, g.x2) - greatest(d.x1, g.x1)) * greatest(0, least(d.y2, g.y2) - greatest(d.y1, g.y1))"
+AREAS = "(d.x2 - d.x1) * (d.y2 - d.y1) + (g.x2 - g.x1) * (g.y2 - g.y1)"
+PAIRS = f"select d.sequence, d.frame_index, d.cls, d.x1 as dx1, d.y1 as dy1, d.conf, g.x1 as gx1, g.y1 as gy1, {INTER} / cast({AREAS} - {INTER} as double) as iou, {INTER} / (cast(least((d.x2 - d.x1) * (d.y2 - d.y1), (g.x2 - g.x1) * (g.y2 - g.y1)) as double) + 1e-9::double) as ios from det d join gt g on d.sequence = g.sequence and d.frame_index = g.frame_index and d.cls = g.cls where {INTER} > 0"
+
+
+@query(f"select sequence, frame_index, cls, dx1, dy1, gx1, gy1, round(iou, 6) as iou from ({PAIRS})")
+def B12_iou_C4_candidates(spark, sf_dir):
+    out = B.candidates(view(spark, sf_dir, "det"), view(spark, sf_dir, "gt"), [*KEY, "cls"])
+    return out.selectExpr(*KEY, "cls", "d_x1 as dx1", "d_y1 as dy1", "g_x1 as gx1", "g_y1 as gy1", "round(iou, 6) as iou")
+
+
+@query(f"select sequence, frame_index, cls, dx1, dy1, gx1, gy1, round(ios, 6) as ios from ({PAIRS})")
+def B13_ios(spark, sf_dir):
+    out = B.candidates(view(spark, sf_dir, "det"), view(spark, sf_dir, "gt"), [*KEY, "cls"]).withColumn("ios", F.round(G.ios("d_", "g_"), 6))
+    return out.selectExpr(*KEY, "cls", "d_x1 as dx1", "d_y1 as dy1", "g_x1 as gx1", "g_y1 as gy1", "ios")
+
+
+TILES = """select w, h, x0, y0 from (select w, h, unnest(case when w <= 400 then [0] else list_distinct(list_concat(range(0, w - 399, 320), [w - 400])) end) as x0 from (select distinct 300 + bbox_left as w, 200 + bbox_top as h from ann)) a,
+  lateral (select unnest(case when h <= 400 then [0] else list_distinct(list_concat(range(0, h - 399, 320), [h - 400])) end) as y0) b"""
+
+
+@query(TILES)
+def B17_tile_grid(spark, sf_dir):
+    sizes = view(spark, sf_dir, "ann").selectExpr("300 + bbox_left as w", "200 + bbox_top as h").distinct()
+    return B.tiles(sizes, 400).select("w", "h", "x0", "y0")
+
+
+@query(f"select round(avg(n + 1), 6) as passes from (select w, h, count(*) as n from ({TILES}) group by w, h)")
+def D25_passes_per_frame(spark, sf_dir):
+    return B17_tile_grid(spark, sf_dir).groupBy("w", "h").agg((F.count(F.lit(1)) + 1).alias("n")).agg(F.round(F.avg("n"), 6).alias("passes"))
+
+
+@query("select sequence, frame_index, count(*) as n_boxes, count(*) filter (cls = 0) as n_person, count(*) filter (cls = 1) as n_vehicle, count(*) filter (cls = 2) as n_two_three_wheeler from (select *, case when category in (1, 2) then 0 when category in (4, 5, 6, 9) then 1 else 2 end as cls from ann where category between 1 and 10) group by all")
+def D7_class_counts(spark, sf_dir):
+    boxes = view(spark, sf_dir, "ann").withColumn("cls", G.merged_class(F.col("category"))).where("cls is not null")
+    names = ("n_person", "n_vehicle", "n_two_three_wheeler")
+    return boxes.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_boxes"), *[F.count_if(F.col("cls") == k).alias(n) for k, n in enumerate(names)])
+
+
+@query("select source, lang, sha256(text) as hash, count(*) as n from documents group by all")
+def B24_content_hash(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source", "lang", F.sha2("text", 256).alias("hash")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select sequence, frame_index, line_no, greatest(0, bbox_left - pad_x) as x1, greatest(0, bbox_top - pad_y) as y1, least(1000, bbox_left + bbox_width + pad_x) as x2, least(600, bbox_top + bbox_height + pad_y) as y2 from (select *, cast(floor(greatest(0.2::double * bbox_width, 16.0::double)) as bigint) as pad_x, cast(floor(greatest(0.2::double * bbox_height, 16.0::double)) as bigint) as pad_y from ann)")
+def B25_crop_window(spark, sf_dir):
+    ann = view(spark, sf_dir, "ann").withColumns({"pad_x": F.expr("floor(greatest(0.2D * bbox_width, 16D))"), "pad_y": F.expr("floor(greatest(0.2D * bbox_height, 16D))")})
+    return ann.selectExpr(*KEY, "line_no", "greatest(0, bbox_left - pad_x) as x1", "greatest(0, bbox_top - pad_y) as y1", "least(1000, bbox_left + bbox_width + pad_x) as x2", "least(600, bbox_top + bbox_height + pad_y) as y2")
+
+
+@query("select case when w >= 3840 then '3840px' when w >= 2688 then '2688px' else '1904px' end as resolution, count(*) as n from (select bbox_left * 4 as w from ann) group by 1")
+def B26_resolution_group(spark, sf_dir):
+    w = F.col("bbox_left") * 4
+    name = F.when(w >= 3840, "3840px").when(w >= 2688, "2688px").otherwise("1904px")
+    return view(spark, sf_dir, "ann").groupBy(name.alias("resolution")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select a.sequence, a.frame_index, a.line_no, a.target_id from ann a where exists (select 1 from ann f where f.sequence = a.sequence and f.frame_index = a.frame_index and f.category = 1)")
+def C1_existing_frames(spark, sf_dir):
+    ann = view(spark, sf_dir, "ann")
+    return ann.join(ann.where("category = 1").select(*KEY), KEY, "left_semi").select(*KEY, "line_no", "target_id")
+
+
+@query("select coalesce(a.sequence, b.sequence) as sequence, coalesce(a.frame_index, b.frame_index) as frame_index, case when a.sequence is null then 'no image' else 'no label' end as fault from (select distinct sequence, frame_index from ann where category = 2) a full join (select distinct sequence, frame_index from ann where category = 3) b on a.sequence = b.sequence and a.frame_index = b.frame_index where a.sequence is null or b.sequence is null")
+def C2_pairing(spark, sf_dir):
+    ann = view(spark, sf_dir, "ann")
+    a, b = (ann.where(f"category = {k}").select(*KEY).distinct().withColumn(n, F.lit(True)) for k, n in ((2, "image"), (3, "label")))
+    return a.join(b, KEY, "full").where("image is null or label is null").select(*KEY, F.when(F.col("image").isNull(), "no image").otherwise("no label").alias("fault"))
+
+
+@query("""with b as (select row_number() over () as id, sequence, frame_index, target_id, bbox_left, bbox_top, bbox_width, bbox_height, least(greatest(bbox_left, 1), 1000) as bx1, least(1000, greatest(bbox_left, 1) + greatest(bbox_width, 1)) as bx2, least(greatest(bbox_top, 1), 600) as by1, least(600, greatest(bbox_top, 1) + greatest(bbox_height, 1)) as by2 from ann where category between 1 and 10),
+r as (select sequence, frame_index, greatest(bbox_left, 1) - 1 as x1, least(1000, greatest(bbox_left, 1) + greatest(bbox_width, 1)) - 0 as x2, greatest(bbox_top, 1) - 1 as y1, least(600, greatest(bbox_top, 1) + greatest(bbox_height, 1)) as y2 from ann where category = 0),
+hit as (select id, greatest(x1, bx1) as a1, least(x2, bx2) as a2, greatest(y1, by1) as b1, least(y2, by2) as b2 from b join r using (sequence, frame_index)),
+cells as (select id, count(*) as covered from (select distinct id, x, y from (select *, unnest(range(b1, b2)) as y from (select *, unnest(range(a1, a2)) as x from hit where a2 > a1 and b2 > b1))) group by id)
+select sequence, frame_index, target_id, bbox_left, bbox_top, bbox_width, bbox_height, coalesce(covered, 0) as covered from b left join cells using (id) where coalesce(covered, 0) < 0.5 * greatest(bbox_width, 1) * greatest(bbox_height, 1)""")
+def C5_ignored_regions(spark, sf_dir):
+    ann = view(spark, sf_dir, "ann")
+    names = {"bbox_left": "x", "bbox_top": "y", "bbox_width": "w", "bbox_height": "h"}
+    boxes = ann.where("category between 1 and 10").withColumnsRenamed(names).select(*KEY, "target_id", *"xywh")
+    regions = ann.where("category = 0").withColumnsRenamed({k: "r" + v for k, v in names.items()})
+    out = B.not_ignored(boxes, regions, KEY, 1000, 600)
+    return out.withColumnsRenamed({v: k for k, v in names.items()}).select(*KEY, "target_id", *names, "covered")
+
+
+@query("select sequence, frame_index from (select distinct sequence, frame_index from gt) where (sequence, frame_index) not in (select (sequence, frame_index) from det)")
+def C6_completeness(spark, sf_dir):
+    return view(spark, sf_dir, "gt").select(*KEY).distinct().join(view(spark, sf_dir, "det").select(*KEY), KEY, "left_anti")
+
+
+@query("select l_orderkey, l_linenumber, count(*) as n from lineitem group by all having count(*) > 1")
+def C7_uniqueness(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+STATS_SQL = "count(*) as n, round(avg({c}), 6) as mean, round(stddev_pop({c}), 6) as std, min({c}) as low, max({c}) as high"
+
+
+def stats(c: str):
+    return [F.count(F.lit(1)).alias("n"), F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev_pop(c), 6).alias("std"), F.min(c).alias("low"), F.max(c).alias("high")]
+
+
+@query(f"select l_returnflag, {STATS_SQL.format(c='l_extendedprice')} from lineitem group by 1")
+def D1_statistics(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(*stats("l_extendedprice"))
+
+
+@query(f"select split, {STATS_SQL.format(c='b')} from (select case when vec_id % 5 < 3 then 'train' else 'live' end as split, round(brightness, 6) as b from ({READ})) group by 1")
+def D2_split_statistics(spark, sf_dir):
+    read = R.readings(view(spark, sf_dir, "fr")).select(F.when(F.col("vec_id") % 5 < 3, "train").otherwise("live").alias("split"), F.round("brightness", 6).alias("b"))
+    return read.groupBy("split").agg(*stats("b"))
+
+
+@query(f"select cls, {STATS_SQL.format(c='area')} from (select bbox_width * bbox_height as area, category % 3 as cls from ann where category between 1 and 10) group by 1")
+def D3_class_statistics(spark, sf_dir):
+    return view(spark, sf_dir, "ann").where("category between 1 and 10").selectExpr("bbox_width * bbox_height as area", "category % 3 as cls").groupBy("cls").agg(*stats("area"))
+
+
+SCENES = f"select label, count(*) as n_frames, avg(brightness) as brightness, avg(contrast) as contrast, avg(blur) as blur from ({READ}) where vec_id % 5 < 3 group by label"
+REF_SQL = f"""s as (select brightness, contrast, ln(greatest(blur, 1e-6)) as blur from ({SCENES})),
+c as (select avg(brightness) as cb, stddev_pop(brightness) as sb, avg(contrast) as cc, stddev_pop(contrast) as sc, avg(blur) as cl, stddev_pop(blur) as sl from s),
+ref as (select any_value(cb) as cb, any_value(sb) as sb, any_value(cc) as cc, any_value(sc) as sc, any_value(cl) as cl, any_value(sl) as sl, max(abs(brightness - cb) / sb) as tb, max(abs(contrast - cc) / sc) as tc, max(abs(blur - cl) / sl) as tl from s, c)"""
+WIN_SQL = f"""w as (select (k - 1) // 10 as window_id, avg(brightness) as brightness, avg(contrast) as contrast, avg(blur) as blur, count(*) as n_frames from (select *, row_number() over (order by vec_id) as k from ({READ}) where vec_id % 5 >= 3) group by 1 having count(*) = 10),
+v as (select window_id, abs(brightness - cb) / sb as score_brightness, abs(contrast - cc) / sc as score_contrast, abs(ln(greatest(blur, 1e-6)) - cl) / sl as score_blur, abs(brightness - cb) / sb > tb or abs(contrast - cc) / sc > tc or abs(ln(greatest(blur, 1e-6)) - cl) / sl > tl as drifted from w, ref)"""
+
+
+def _drift(spark, sf_dir):
+    read = R.readings(view(spark, sf_dir, "fr"))
+    ref = R.reference(R.baseline(read.where("vec_id % 5 < 3"), "label"))
+    means = R.window_means(R.count_windows(read.where("vec_id % 5 >= 3").select("vec_id", *R.STATS), ["vec_id"], 10))
+    return ref, R.verdicts(means, ref)
+
+
+@query(f"select label, n_frames, round(brightness, 6) as brightness, round(contrast, 6) as contrast, round(blur, 4) as blur from ({SCENES})")
+def D4_drift_baseline(spark, sf_dir):
+    out = R.baseline(R.readings(view(spark, sf_dir, "fr")).where("vec_id % 5 < 3"), "label")
+    return r6(out, "brightness", "contrast").withColumn("blur", F.round("blur", 4))
+
+
+@query(f"with {REF_SQL} select round(cb, 5) as centre_brightness, round(sb, 5) as spread_brightness, round(tb, 5) as threshold_brightness, round(cc, 5) as centre_contrast, round(sc, 5) as spread_contrast, round(tc, 5) as threshold_contrast, round(cl, 5) as centre_blur, round(sl, 5) as spread_blur, round(tl, 5) as threshold_blur from ref")
+def D12_drift_reference(spark, sf_dir):
+    ref, _ = _drift(spark, sf_dir)
+    return ref.withColumns({c: F.round(c, 5) for c in ref.columns})
+
+
+@query(f"with {REF_SQL}, {WIN_SQL} select window_id, round(score_brightness, 5) as score_brightness, round(score_contrast, 5) as score_contrast, round(score_blur, 5) as score_blur, drifted from v")
+def D13_drift_verdicts(spark, sf_dir):
+    _, judged = _drift(spark, sf_dir)
+    return judged.select("window_id", *[F.round(f"score_{c}", 5).alias(f"score_{c}") for c in R.STATS], "drifted")
+
+
+@query(f"with {REF_SQL}, {WIN_SQL} select window_id, round(score_brightness, 5) as score_brightness, round(score_contrast, 5) as score_contrast, round(score_blur, 5) as score_blur from (select *, row_number() over (partition by run order by window_id) as k from (select *, sum(case when drifted then 0 else 1 end) over (order by window_id) as run from v) where drifted) where k = 2")
+def E5_drift_episodes(spark, sf_dir):
+    _, judged = _drift(spark, sf_dir)
+    return R.episodes(judged).select("window_id", *[F.round(f"score_{c}", 5).alias(f"score_{c}") for c in R.STATS])
+
+
+@query("select (k // 5 - 1) // 100 as window_id, count(*) as n, min(event_id) as first_id, max(event_id) as last_id from (select event_id, row_number() over (order by event_id) as k from events) where k % 5 = 0 group by 1 having count(*) = 100")
+def E6_count_windows(spark, sf_dir):
+    out = R.count_windows(table(spark, sf_dir, "events").select("event_id"), ["event_id"], 100, 5)
+    return out.groupBy("window_id").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+
+
+@query("select window_id, pos, event_id from (select event_id, (k - 1) // 100 as window_id, (k - 1) % 100 as pos, count(*) over (partition by (k - 1) // 100) as n from (select event_id, row_number() over (order by event_id) as k from events)) where n = 100 and pos in (0, 50, 99)")
+def E7_evidence_picks(spark, sf_dir):
+    return R.count_windows(table(spark, sf_dir, "events").select("event_id"), ["event_id"], 100).where("pos in (0, 50, 99)").select("window_id", "pos", "event_id")
+
+
+@query("select doc_id, hash, n from (select doc_id, sha256(text) as hash, count(*) over (partition by sha256(text)) as n from documents) where n > 1")
+def D5_duplicate_clusters(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("hash"))
+    large = docs.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return docs.join(large, "hash").select("doc_id", "hash", "n")
+
+
+@query("select count(distinct sequence || frame_index) as frames, count(*) as boxes, count(distinct sequence) as sequences, count(*) filter (score = 0) as unscored from ann")
+def D6_totals(spark, sf_dir):
+    ann = view(spark, sf_dir, "ann")
+    frames = ann.groupBy(*KEY).agg(F.count(F.lit(1)).alias("b"), F.count_if(F.col("score") == 0).alias("u"))
+    return frames.agg(F.count(F.lit(1)).alias("frames"), F.sum("b").alias("boxes"), F.countDistinct("sequence").alias("sequences"), F.sum("u").alias("unscored"))
+
+
+@query("select rule, count(*) as n from (select unnest(list_filter([case when category not between 1 and 10 then 'class' end, case when bbox_height <= 0 then 'height' end, case when bbox_left + bbox_width > 1000 then 'x range' end, case when bbox_top + bbox_height > 600 then 'y range' end], lambda x: x is not null)) as rule from ann) group by 1")
+def D8_validation(spark, sf_dir):
+    rules = {"class": "category not between 1 and 10", "height": "bbox_height <= 0", "x range": "bbox_left + bbox_width > 1000", "y range": "bbox_top + bbox_height > 600"}
+    faults = F.array_compact(F.array(*[F.when(F.expr(e), n) for n, e in rules.items()]))
+    return view(spark, sf_dir, "ann").select(F.explode(faults).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select cls, count(*) as n_events, round(sum(n_person) / count(*), 6) as boxes_per_event, round(avg(conf), 6) as mean_conf, round(count(*) / cast((select count(*) from ev) as double), 6) as share from ev group by cls")
+def D10_prediction_health(spark, sf_dir):
+    by = view(spark, sf_dir, "ev").groupBy("cls").agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("n_person") / F.count(F.lit(1)), 6).alias("boxes_per_event"), F.round(F.avg("conf"), 6).alias("mean_conf"))
+    return by.withColumn("share", F.round(F.col("n_events") / F.sum("n_events").over(Window.partitionBy(F.lit(1))), 6))
+
+
+@query("select l_returnflag, round(quantile_cont(ms, 0.5), 6) as p50, round(quantile_cont(ms, 0.95), 6) as p95, round(quantile_cont(ms, 0.99), 6) as p99, round(avg(ms), 6) as mean, count(*) as n from (select l_returnflag, l_extendedprice / 1000 as ms from lineitem) group by 1")
+def D15_latency(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", (F.col("l_extendedprice") / 1000).alias("ms"))
+    return rows.groupBy("l_returnflag").agg(*[F.round(F.percentile("ms", q), 6).alias(n) for q, n in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))], F.round(F.avg("ms"), 6).alias("mean"), F.count(F.lit(1)).alias("n"))
+
+
+@query("select coalesce(a.cls, b.cls) as cls, round(coalesce(a.n, 0) / cast(b.n as double), 6) as ratio from (select cls, count(*) as n from det group by 1) a full join (select cls, count(*) as n from gt group by 1) b on a.cls = b.cls")
+def D17_label_ratio(spark, sf_dir):
+    a, b = (view(spark, sf_dir, v).groupBy("cls").agg(F.count(F.lit(1)).alias(v)) for v in ("det", "gt"))
+    return a.join(b, "cls", "full").select("cls", F.round(F.coalesce("det", F.lit(0)) / F.col("gt"), 6).alias("ratio"))
+
+
+@query("select count(*) filter (top <= 3) as within_cap, count(*) as frames, round(1 - sum(over_cap) / cast(sum(n) as double), 6) as recall_ceiling from (select sequence, frame_index, max(c) as top, sum(greatest(0, c - 3)) as over_cap, sum(c) as n from (select sequence, frame_index, category, count(*) as c from ann where category between 1 and 10 group by all) group by 1, 2)")
+def D18_cap_readings(spark, sf_dir):
+    cats = view(spark, sf_dir, "ann").where("category between 1 and 10").groupBy(*KEY, "category").agg(F.count(F.lit(1)).alias("c"))
+    frames = cats.groupBy(*KEY).agg(F.max("c").alias("top"), F.sum(F.greatest(F.lit(0), F.col("c") - 3)).alias("o"), F.sum("c").alias("n"))
+    return frames.agg(F.count_if(F.col("top") <= 3).alias("within_cap"), F.count(F.lit(1)).alias("frames"), F.round(1 - F.sum("o") / F.sum("n"), 6).alias("recall_ceiling"))
+
+
+@query("select round(avg(coalesce(n, 0)), 6) as per_image from (select distinct sequence, frame_index from ann) left join (select sequence, frame_index, count(*) as n from det group by all) using (sequence, frame_index)")
+def D19_boxes_per_image(spark, sf_dir):
+    n = view(spark, sf_dir, "det").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+    return view(spark, sf_dir, "ann").select(*KEY).distinct().join(n, KEY, "left").agg(F.round(F.avg(F.coalesce("n", F.lit(0))), 6).alias("per_image"))
+
+
+@query("select sequence, max(n) as peak from (select sequence, frame_index, count(distinct target_id) as n from ann group by 1, 2) group by 1")
+def D26_peak_tracks(spark, sf_dir):
+    return view(spark, sf_dir, "ann").groupBy(*KEY).agg(F.countDistinct("target_id").alias("n")).groupBy("sequence").agg(F.max("n").alias("peak"))
+
+
+@query("select sequence, target_id, line_no, bbox_left from (select *, row_number() over (partition by sequence, target_id order by frame_index desc, line_no desc, bbox_left desc, bbox_top desc, bbox_width desc, bbox_height desc, score desc, category desc) as k from ann) where k = 1")
+def E1_latest_per_key(spark, sf_dir):
+    order = [F.col(c).desc() for c in ("frame_index", "line_no", "bbox_left", "bbox_top", "bbox_width", "bbox_height", "score", "category")]
+    return O.top_k(view(spark, sf_dir, "ann"), ["sequence", "target_id"], order, 1).select("sequence", "target_id", "line_no", "bbox_left")
+
+
+@query("select sequence, arrival, max(ts_ms) over (partition by sequence order by arrival) as watermark from ev")
+def E2_watermark(spark, sf_dir):
+    w = Window.partitionBy("sequence").orderBy("arrival").rowsBetween(Window.unboundedPreceding, 0)
+    return view(spark, sf_dir, "ev").select("sequence", "arrival", F.max("ts_ms").over(w).alias("watermark"))
+
+
+@query("select arrival, round(avg(n_person) over w, 6) as mean, count(*) over w as n_frames from ev window w as (partition by sequence order by ts_ms range between 21600000 preceding and current row)")
+def E3_sliding_mean(spark, sf_dir):
+    return O.sliding_mean(view(spark, sf_dir, "ev"), "sequence", "ts_ms", "n_person", 21_600_000).select("arrival", F.round("mean", 6).alias("mean"), "n_frames")
+
+
+@query("select arrival, sequence from (select arrival, sequence, mean > 5 as crossed, coalesce(lag(mean > 5) over (partition by sequence order by arrival), false) as before from (select *, avg(n_person) over (partition by sequence order by ts_ms range between 21600000 preceding and current row) as mean from ev)) where crossed and not before")
+def E4_fire_once(spark, sf_dir):
+    read = O.sliding_mean(view(spark, sf_dir, "ev"), "sequence", "ts_ms", "n_person", 21_600_000)
+    return O.fire_once(read, "sequence", "arrival", 5).where("alert").select("arrival", "sequence")
+
+
+@query("select sequence, cast(sum(greatest(0, coalesce(gap, 0))) as bigint) as lost, count(*) as n from (select sequence, frame_index - lag(frame_index) over (partition by sequence order by arrival) - 1 as gap from ev) group by 1")
+def E8_index_gaps(spark, sf_dir):
+    return O.index_gaps(view(spark, sf_dir, "ev"), "sequence", "arrival", "frame_index").groupBy("sequence").agg(F.sum("gap").alias("lost"), F.count(F.lit(1)).alias("n"))
+
+
+@query("select sequence, frame_index, cls, x1, y1, conf from (select *, row_number() over (partition by sequence, frame_index order by conf desc, cls, x1, y1, x2, y2) as k from det) where k <= 3")
+def E9_top_k(spark, sf_dir):
+    return O.top_k(view(spark, sf_dir, "det"), KEY, [F.col("conf").desc(), "cls", "x1", "y1", "x2", "y2"], 3).select(*KEY, "cls", "x1", "y1", "conf")
+
+
+@query("select sequence, frame_index, cls, x1, y1, x2, y2, max(conf) as conf from det group by all")
+def E12_same_box(spark, sf_dir):
+    return view(spark, sf_dir, "det").groupBy(*KEY, "cls", "x1", "y1", "x2", "y2").agg(F.max("conf").alias("conf"))
+
+
+@query("select sequence, frame_index, cls, x1, y1, conf from det order by conf desc, sequence, frame_index, cls, x1, y1, x2, y2 limit 20")
+def E15_worst_cases(spark, sf_dir):
+    return view(spark, sf_dir, "det").orderBy(F.col("conf").desc(), *KEY, "cls", "x1", "y1", "x2", "y2").limit(20).select(*KEY, "cls", "x1", "y1", "conf")
+
+
+@query("select name, run_id, metric from (select *, row_number() over (partition by name order by start_time desc, run_id desc) as k from runs where status = 'FINISHED') where k = 1")
+def E17_latest_run(spark, sf_dir):
+    return O.top_k(view(spark, sf_dir, "runs").where("status = 'FINISHED'"), ["name"], [F.col("start_time").desc(), F.col("run_id").desc()], 1).select("name", "run_id", "metric")
+
+
+@query("select c_custkey, coalesce(max(step) + 1, 0) as next_step from customer left join (select o_custkey, row_number() over (partition by o_custkey order by o_orderkey) - 1 as step from orders) on c_custkey = o_custkey group by 1")
+def E18_next_step(spark, sf_dir):
+    steps = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("next_step"))
+    return table(spark, sf_dir, "customer").select("c_custkey").join(steps, "c_custkey", "left").na.fill(0)
+
+
+@query("select sequence, frame_index from ann where category = 1 union all select sequence, frame_index from ann where score = 0")
+def F1_union(spark, sf_dir):
+    ann = view(spark, sf_dir, "ann")
+    return ann.where("category = 1").select(*KEY).unionByName(ann.where("score = 0").select(*KEY))
+
+
+@query("select distinct sha256(text) as hash from documents")
+def F2_distinct(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("hash")).distinct()
+
+
+@query("select sequence, frame_index from ann where category = 1 except select sequence, frame_index from ann where score = 0")
+def F3_except(spark, sf_dir):
+    ann = view(spark, sf_dir, "ann")
+    return ann.where("category = 1").select(*KEY).subtract(ann.where("score = 0").select(*KEY))
+
+
+@query("select sequence, frame_index from ann where category = 1 intersect select sequence, frame_index from ann where score = 0")
+def F4_intersect(spark, sf_dir):
+    ann = view(spark, sf_dir, "ann")
+    return ann.where("category = 1").select(*KEY).intersect(ann.where("score = 0").select(*KEY))
+
+
+@query("select c.name, c.best as candidate, h.best as champion, c.best >= 0.5::double as floor_ok, h.best is null or c.best >= h.best + 0.01::double as challenger_ok from (select name, max(metric) as best from runs where status <> 'FINISHED' group by 1) c left join (select name, max(metric) as best from runs where status = 'FINISHED' group by 1) h using (name)")
+def I1_promotion_gate(spark, sf_dir):
+    runs = view(spark, sf_dir, "runs")
+    c = runs.where("status <> 'FINISHED'").groupBy("name").agg(F.max("metric").alias("candidate"))
+    h = runs.where("status = 'FINISHED'").groupBy("name").agg(F.max("metric").alias("champion"))
+    return c.join(h, "name", "left").select("name", "candidate", "champion", F.expr("candidate >= 0.5D").alias("floor_ok"), F.expr("champion is null or candidate >= champion + 0.01D").alias("challenger_ok"))
+
+
+@query("select name, round(max(metric) filter (priority = '1-URGENT'), 6) as urgent, round(max(metric) filter (priority = '2-HIGH'), 6) as high, round(max(metric) filter (priority = '3-MEDIUM'), 6) as medium from runs group by 1")
+def I3_metric_report(spark, sf_dir):
+    wide = view(spark, sf_dir, "runs").groupBy("name").pivot("priority", ["1-URGENT", "2-HIGH", "3-MEDIUM"]).agg(F.round(F.max("metric"), 6))
+    return wide.toDF("name", "urgent", "high", "medium")
+
+
+@query("select a.name, round(100 * (a.best - b.best), 6) as delta, abs(100 * (a.best - b.best)) <= 0.5::double as passed from (select name, max(metric) as best from runs where status = 'FINISHED' group by 1) a join (select name, max(metric) as best from runs where status <> 'FINISHED' group by 1) b using (name)")
+def I5_device_gate(spark, sf_dir):
+    a, b = (view(spark, sf_dir, "runs").where(f"status {op} 'FINISHED'").groupBy("name").agg(F.max("metric").alias(n)) for op, n in (("=", "device"), ("<>", "desktop")))
+    delta = 100 * (F.col("device") - F.col("desktop"))
+    return a.join(b, "name").select("name", F.round(delta, 6).alias("delta"), (F.abs(delta) <= 0.5).alias("passed"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["E5_drift_episodes"](spark, sf_dir)
+    """Readings to episodes, end to end."""
+    return E5_drift_episodes(spark, sf_dir)
