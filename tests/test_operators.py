@@ -21,7 +21,7 @@ def test_labels_round_trip(spark):
 
 def test_ignored_share_is_of_the_union(spark):
     boxes = spark.createDataFrame([("f", 10, 10, 10, 10)], "f string, x long, y long, w long, h long")
-    left = ("f", 11, 11, 4, 10)
+    left = ("f", 11, 11, 3, 10)
     one = spark.createDataFrame([left], "f string, rx long, ry long, rw long, rh long")
     twice = spark.createDataFrame([left, left], one.schema)
     both = spark.createDataFrame([left, ("f", 15, 11, 4, 10)], one.schema)
