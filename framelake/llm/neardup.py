@@ -9,7 +9,8 @@ Scale: equal shingle sets become one node before banding. A bucket is never expa
 pairs: its members first meet its centre, links found so far join nodes into components, and
 only nodes outside a bucket's largest component meet the rest of the bucket, until no bucket
 holds two components with an unverified pair between them. Everything between steps is written
-to the shared folder. Only counters come to the driver.
+to the shared folder. Only counters come to the driver. The nodes that stay outside meet the rest
+in blocks of bounded size, whose full sets are compared inside a task; only links come out.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from framelake.llm import _text as T
 from framelake.llm._spark import cut, fresh
 
 U64 = np.uint64
+TURNS = 2
+BLOCK = 1000  # sets of either side that meet in one task
 _SEEDS = T.mix(np.arange(1, 4097, dtype=U64) * U64(0x632BE59BD9B4E019))
 
 
@@ -111,6 +114,32 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), b.column("na"), b.column("nb"), pa.array(out, pa.int64())], ["a", "b", "na", "nb", "both"])
 
 
+def _block(percent: int):
+    """Links between the queries of a block and its other sets, one for each component met."""
+
+    def run(table: pa.Table) -> pa.Table:
+        query = np.array(table.column("query").to_pylist(), bool)
+        node, comp = (np.array(table.column(c).to_pylist(), np.int64) for c in ("node", "comp"))
+        full = [np.frombuffer(h, U64) for h in table.column("hashes").to_pylist()]
+        size = np.array([len(h) for h in full])
+        rest = np.flatnonzero(~query)
+        a, b = [], []
+        if len(rest):
+            every, owner = np.concatenate([full[i] for i in rest]), np.repeat(np.arange(len(rest)), size[rest])
+            order = np.argsort(every, kind="stable")
+            every, owner = every[order], owner[order]
+            for q in np.flatnonzero(query):
+                low, high = np.searchsorted(every, full[q], "left"), np.searchsorted(every, full[q], "right")
+                both = np.bincount(owner[T.ragged(low, high - low)], minlength=len(rest))
+                hit = np.flatnonzero((100 * both >= percent * (size[q] + size[rest] - both)) & (comp[rest] != comp[q]))
+                _, first = np.unique(comp[rest[hit]], return_index=True)
+                a += [int(node[q])] * len(first)
+                b += node[rest[hit[first]]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) with the least node reachable, for the nodes of ``links`` (a, b), by alternating large and small stars."""
     edges = cut(links.where("a <> b").selectExpr("greatest(a, b) as u", "least(a, b) as v").distinct(), "edges")
@@ -164,47 +193,60 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _links(rows_in: DataFrame, nodes: DataFrame, ngram: int, percent: int) -> DataFrame:
     """Verified links (a, b) that give the same components as all links would."""
     buckets = nodes.select("node", F.explode("keys").alias("key"))
-    full = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("centre")).where("m > 1").select("key", "centre")
+    full = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     met = cut(buckets.join(full, "key").join(nodes.select("node", "n"), "node"), "met")  # members of buckets of two or more
-    wanted = cut(met.select("node").distinct().join(nodes.select("node", "th"), "node"), "wanted")
-    found = rows_in.select("th", "text").join(wanted.hint("shuffle_hash"), "th").dropDuplicates(["node"]).select("node", "text")
+    central = met.groupBy("node").agg(F.sum("m").alias("degree"))  # the more a node meets, the nearer it is to a group's middle
+    wanted = cut(central.join(nodes.select("node", "th", "n"), "node"), "wanted")
+    found = rows_in.select("th", "text").join(wanted.select("th", "node").hint("shuffle_hash"), "th").dropDuplicates(["node"]).select("node", "text")
     hashes = cut(found.mapInArrow(_full(ngram), "node bigint, hashes binary"), "hashes").join(nodes.select("node", "n"), "node")
 
     def fits(x: str, y: str):
         return 100 * F.least(F.col(x), F.col(y)) >= percent * F.greatest(F.col(x), F.col(y))
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def measured(pairs: DataFrame) -> DataFrame:
         left = pairs.select("a", "b").join(hashes.selectExpr("node as a", "hashes as x", "n as na"), "a")
         both = left.join(hashes.selectExpr("node as b", "hashes as y", "n as nb"), "b").select("a", "b", "x", "y", "na", "nb")
-        got = both.mapInArrow(_shared, "a bigint, b bigint, na bigint, nb bigint, both bigint")
-        return got.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
-
-    # 1. every node meets the least of its buckets' centres
-    star = met.join(nodes.select(F.col("node").alias("centre"), F.col("n").alias("nc")), "centre").where("node <> centre").where(fits("n", "nc"))
-    star = cut(star.select("node", "centre").distinct(), "stars")
-    first = cut(star.groupBy("node").agg(F.min("centre").alias("centre")).selectExpr("centre as a", "node as b"), "pairs")
-    links = cut(verified(first), "links")
-    # 2. the other centres, where that left two components
-    comps = cut(components(links), "comps")
-
-    def labelled(df: DataFrame, node: str, name: str) -> DataFrame:
-        return df.join(comps.selectExpr(f"node as {node}", f"comp as {name}"), node, "left").withColumn(name, F.coalesce(F.col(name), F.col(node)))
-
-    pairs = labelled(labelled(star.selectExpr("centre as a", "node as b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-    second = cut(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
-    links = cut(links.union(verified(second)), "links")
-    # 3. what is outside a bucket's largest component meets the rest of the bucket
-    comps = cut(components(links), "comps")
-    inside = labelled(met.select("key", "node", "n"), "node", "comp")
-    sizes = inside.groupBy("key", "comp").count()
-    largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key", "top")
-    open_ = cut(inside.join(largest, "key"), "open")
-    small = open_.where("comp <> top").selectExpr("key", "node as a", "n as na", "comp as ca", "top")
-    rest = open_.selectExpr("key", "node as b", "n as nb", "comp as cb")
-    third = small.join(rest, "key").where("ca <> cb and (cb = top or a < b)").where(fits("na", "nb")).selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
-    tried = first.union(second).selectExpr("least(a, b) as a", "greatest(a, b) as b")
-    third = cut(third.join(tried, ["a", "b"], "left_anti"), "pairs")
-    return cut(links.union(verified(third)), "links")
+        return cut(both.mapInArrow(_shared, "a bigint, b bigint, na bigint, nb bigint, both bigint"), "measured")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return pairs.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+
+    # 1. every node meets the most central of its buckets' centres, its pivot
+    centre = met.join(wanted.select("node", "degree"), "node").groupBy("key").agg(F.max(F.struct("degree", "node", "n")).alias("c"))
+    star = met.join(centre, "key").where("node <> c.node").where(fits("n", "c.n"))
+    first = cut(star.groupBy("node").agg(F.max("c").alias("c")).selectExpr("c.node as a", "node as b"), "pairs")
+    got = measured(first)
+    links, tried = linked(got), first.selectExpr("least(a, b) as a", "greatest(a, b) as b")
+
+    def parted() -> DataFrame:
+        """Members of buckets that hold more than one component, with each bucket's largest."""
+        comps = components(links)
+        inside = met.select("key", "node", "n").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        inside = cut(inside, "inside")
+        largest = inside.groupBy("key", "comp").count().groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("top"), F.count(F.lit(1)).alias("parts"))
+        return cut(inside.join(largest.where("parts > 1").select("key", "top"), "key"), "parted")
+
+    # 2. nodes outside a bucket's largest component meet a few of its members, another one each time
+    for turn in range(TURNS):
+        open_ = parted()
+        if not open_.limit(1).count():
+            return links
+        some = open_.where("comp = top").groupBy("key").agg(F.max_by(F.struct("node", "n"), F.xxhash64("node", F.lit(turn))).alias("c"))
+        pairs = open_.where("comp <> top").join(some, "key").where(fits("n", "c.n")).selectExpr("least(node, c.node) as a", "greatest(node, c.node) as b").distinct()
+        pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.union(pairs)
+        links = links.union(linked(measured(pairs)))
+    # 3. what is left outside meets all that it shares such buckets with, block by block
+    fam = parted().selectExpr("top as fam", "node", "comp", "comp <> top as loose").distinct()
+    sizes = fam.groupBy("fam").agg(F.count(F.lit(1)).alias("m"), F.count_if("loose").alias("l"))
+    fam = fam.join(sizes, "fam").withColumn("at", F.xxhash64("node"))
+    blocks, chunks = F.ceil(F.col("m") / BLOCK), F.ceil(F.col("l") / BLOCK)
+    one = F.pmod(F.col("at"), blocks)
+    all_of = fam.select("fam", "node", "comp", F.lit(False).alias("query"), one.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"))
+    asked = fam.where("loose").select("fam", "node", "comp", F.lit(True).alias("query"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), F.pmod(F.col("at"), chunks).alias("chunk"))
+    cells = cut(all_of.union(asked), "cells").join(hashes, "node").select("fam", "block", "chunk", "node", "comp", "query", "hashes")
+    more = cells.groupBy("fam", "block", "chunk").applyInArrow(_block(percent), "a bigint, b bigint")
+    return links.union(cut(more, "links"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
