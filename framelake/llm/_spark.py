@@ -28,7 +28,13 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of texts. Arrow batches of 10,000 texts, Spark's default, take memory that two tasks a core group may not have."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

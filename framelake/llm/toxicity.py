@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from framelake.llm import _text as T
 
-SAMPLE = 20_000  # labelled rows that a model is fitted on, at most
+SAMPLE = 10_000  # labelled rows that a model is fitted on, at most
 BITS = 20
 FEATURES = 400
 PREFIX = 6  # bytes
@@ -73,7 +73,7 @@ def fit(docs: list[np.ndarray], toxic: np.ndarray, features: int = FEATURES, rid
             seen.add(least)
             keep.append(i)
     docs, toxic = [docs[i] for i in keep], toxic[keep].astype(bool)
-    with_, without = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    with_, without = np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32)
     for d, t in zip(docs, toxic, strict=True):
         (with_ if t else without)[d] += 1
     n1, n0 = toxic.sum(), (~toxic).sum()
@@ -132,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(packed, pa.binary())], ["id", "y", "x"])
 
     got = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, y int, x binary").orderBy(F.xxhash64("id"), "id", "x").limit(sample).collect()
-    return fit([np.frombuffer(r.x, np.int32).astype(np.int64) for r in got], np.array([r.y for r in got], bool), **how)
+    return fit([np.frombuffer(r.x, np.int32) for r in got], np.array([r.y for r in got], bool), **how)
 
 
 def grade(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
