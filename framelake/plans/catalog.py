@@ -9,27 +9,9 @@ from framelake.functions import geometry as G
 from framelake.operators import boxes as B
 from framelake.operators import frames as R
 from framelake.operators import order as O
-from framelake.sources.adapters import table, view, with_views
-
-QUERIES: dict = {}
-ORACLES: dict = {}
-KEY = ["sequence", "frame_index"]
-
-
-def query(oracle: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLES[f.__name__] = with_views(oracle)
-        return f
-
-    return put
-
-
-def r6(df: DataFrame, *columns: str) -> DataFrame:
-    """Doubles to six places after the last step."""
-    return df.withColumns({c: F.round(c, 6) for c in columns})
-
+from framelake.plans import detections, runs, streams  # noqa: F401  they register their queries
+from framelake.plans.registered import KEY, ORACLES, QUERIES, query, r6  # noqa: F401
+from framelake.sources.adapters import table, view
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotation rows as text, every 17th damaged."""
@@ -391,11 +373,6 @@ def E12_same_box(spark, sf_dir):
     return view(spark, sf_dir, "det").groupBy(*KEY, "cls", "x1", "y1", "x2", "y2").agg(F.max("conf").alias("conf"))
 
 
-@query("select sequence, frame_index, cls, x1, y1, conf from det order by conf desc, sequence, frame_index, cls, x1, y1, x2, y2 limit 20")
-def E15_worst_cases(spark, sf_dir):
-    return view(spark, sf_dir, "det").orderBy(F.col("conf").desc(), *KEY, "cls", "x1", "y1", "x2", "y2").limit(20).select(*KEY, "cls", "x1", "y1", "conf")
-
-
 @query("select name, run_id, metric from (select *, row_number() over (partition by name order by start_time desc, run_id desc) as k from runs where status = 'FINISHED') where k = 1")
 def E17_latest_run(spark, sf_dir):
     return O.top_k(view(spark, sf_dir, "runs").where("status = 'FINISHED'"), ["name"], [F.col("start_time").desc(), F.col("run_id").desc()], 1).select("name", "run_id", "metric")

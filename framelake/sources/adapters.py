@@ -48,6 +48,6 @@ def with_views(sql: str) -> str:
     head = ", ".join(f"{v} as ({DUCK[v]})" for v in named)
     if not head:
         return sql
+    if sql.lstrip().lower().startswith("with recursive "):
+        return f"with recursive {head}, {sql.lstrip()[15:]}"
     return f"with {head}, {sql.lstrip()[5:]}" if sql.lstrip().lower().startswith("with ") else f"with {head} {sql}"
-
-
