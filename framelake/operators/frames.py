@@ -10,8 +10,10 @@ FLAGS = (("dark", "brightness", "<", 20), ("bright", "brightness", ">", 235), ("
 
 
 def population_std(px: Column) -> Column:
-    mean = F.aggregate(px, F.lit(0.0), lambda s, x: s + x) / F.size(px)
-    return F.sqrt(F.aggregate(px, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean)) / F.size(px))
+    """One pass over sums and squares; exact for whole grey values."""
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
+    both = F.aggregate(px, zero, lambda a, x: F.struct((a["s"] + x).alias("s"), (a["q"] + x * x).alias("q")))
+    return F.transform(F.array(both), lambda a: F.sqrt(F.greatest(F.lit(0.0), a["q"] - a["s"] * a["s"] / F.size(px)) / F.size(px)))[0]
 
 
 def readings(frames: DataFrame, side: int = 8) -> DataFrame:

@@ -1,0 +1,78 @@
+"""Queries that read driver tables as streams and run them to the end."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from framelake.operators import frames as R
+from framelake.plans.registered import query
+from framelake.sources.adapters import SPARK, view
+from framelake.streaming import replay, stateful
+
+
+def stream_view(spark, sf_dir: str, name: str) -> DataFrame:
+    base, text = SPARK[name]
+    return spark.sql(text, t=replay.as_stream(spark, sf_dir, base))
+
+
+@query("select arrival, sequence from (select arrival, sequence, mean > 5 as crossed, coalesce(lag(mean > 5) over (partition by sequence order by arrival), false) as before from (select *, avg(n_person) over (partition by sequence order by ts_ms range between 21600000 preceding and current row) as mean from ev)) where crossed and not before")
+def G2_alert_stream(spark, sf_dir):
+    events = stream_view(spark, sf_dir, "ev").withColumnRenamed("n_person", "n")
+    out = replay.drain(stateful.alert_stream(events, "sequence", 21_600, 5), "alerts")
+    return out.select(F.col("frame_index").alias("arrival"), "sequence")
+
+
+@query("""with w as (select sequence, (k // 2 - 1) // 50 as window_id, n_person as n, conf, cls from (select *, row_number() over (partition by sequence order by arrival) as k from ev) where k % 2 = 0),
+f as (select sequence, window_id, count(*) as n_events, sum(n) / cast(count(*) as double) as boxes_per_event, coalesce(sum(conf * n) / nullif(sum(n), 0), 0) as mean_conf, sum(n) as boxes from w group by all having count(*) = 50),
+c as (select sequence, cls, min(window_id) as since from w group by all)
+select f.sequence, f.window_id, n_events, round(boxes_per_event, 6) as boxes_per_event, round(mean_conf, 6) as mean_conf, c.cls, round(coalesce((select sum(n) from w where w.sequence = f.sequence and w.window_id = f.window_id and w.cls = c.cls), 0) / cast(boxes as double), 6) as share
+from f join c on c.sequence = f.sequence and c.since <= f.window_id""")
+def G4_health_stream(spark, sf_dir):
+    events = stream_view(spark, sf_dir, "ev").selectExpr("sequence", "arrival", "n_person as n", "conf", "cls")
+    out = replay.drain(stateful.health_stream(events, "sequence", "arrival", 50, 2), "health")
+    shares = out.select("sequence", "window_id", "n_events", F.round("boxes_per_event", 6).alias("boxes_per_event"), F.round("mean_conf", 6).alias("mean_conf"), F.explode(F.from_json("shares", "map<string, double>")).alias("cls", "share"))
+    return shares.withColumn("share", F.round("share", 6))
+
+
+EDGE = """case when i // 8 in (0, 7) or i % 8 in (0, 7) then px[i + 1] else least(255.0::double, greatest(0.0::double,
+  9 * px[i + 1] - (px[i - 8] + px[i - 7] + px[i - 6] + px[i] + px[i + 1] + px[i + 2] + px[i + 8] + px[i + 9] + px[i + 10]))) end"""
+
+
+@query(f"""with r as (select vec_id, label, avg(px[i + 1]) as b, stddev_pop(px[i + 1]) as c, var_pop({EDGE}) as l from fr, generate_series(0, 63) g(i) group by vec_id, label),
+s as (select avg(b) as b, avg(c) as c, ln(greatest(avg(l), 1e-6)) as l from r where vec_id % 5 < 3 group by label),
+m as (select avg(b) as cb, stddev_pop(b) as sb, avg(c) as cc, stddev_pop(c) as sc, avg(l) as cl, stddev_pop(l) as sl from s),
+t as (select max(abs(b - cb) / sb) as tb, max(abs(c - cc) / sc) as tc, max(abs(l - cl) / sl) as tl from s, m),
+w as (select label, (k - 1) // 3 as window_id, avg(b) as b, avg(c) as c, ln(greatest(avg(l), 1e-6)) as l from (select *, row_number() over (partition by label order by vec_id) as k from r where vec_id % 5 >= 3) group by all having count(*) = 3),
+v as (select label, window_id, abs(b - cb) / sb as score_brightness, abs(c - cc) / sc as score_contrast, abs(l - cl) / sl as score_blur, abs(b - cb) / sb > tb or abs(c - cc) / sc > tc or abs(l - cl) / sl > tl as drifted from w, m, t)
+select label, window_id, round(score_brightness, 5) as score_brightness, round(score_contrast, 5) as score_contrast, round(score_blur, 5) as score_blur from
+  (select *, row_number() over (partition by label, run order by window_id) as k from (select *, sum(case when drifted then 0 else 1 end) over (partition by label order by window_id) as run from v) where drifted) where k = 2""")
+def G3_drift_stream(spark, sf_dir):
+    ref = R.reference(R.baseline(R.readings(view(spark, sf_dir, "fr")).where("vec_id % 5 < 3"), "label"))
+    live = R.readings(stream_view(spark, sf_dir, "fr")).where("vec_id % 5 >= 3").select("label", "vec_id", *R.STATS)
+    out = replay.drain(stateful.drift_stream(live, ref, "label", "vec_id", 3), "drift")
+    return out.select("label", "window_id", *[F.round(f"score_{c}", 5).alias(f"score_{c}") for c in R.STATS])
+
+
+@query("select vec_id, case when mean > 127 then 1 else 0 end as n_boxes, round(mean / 255, 6) as conf from (select vec_id, list_avg(px) as mean from fr where vec_id % 17 <> 0)")
+def G1_score_stream(spark, sf_dir):
+    """A user's function on the frames; null frames are skipped."""
+
+    def infer(batch):
+        mean = batch["image"].map(lambda px: float(sum(px)) / len(px))
+        return batch[["vec_id"]].assign(n_boxes=(mean > 127).astype("int64"), conf=mean / 255)
+
+    frames = stream_view(spark, sf_dir, "fr").select("vec_id", F.when(F.col("vec_id") % 17 != 0, F.col("px")).alias("image"))
+    out = replay.drain(replay.score_stream(frames, infer, "vec_id long, n_boxes long, conf double"), "scores")
+    return out.withColumn("conf", F.round("conf", 6))
+
+
+@query("select event_id as frame_index, event_type as cls, user_id from events where event_id % 3 <> 0")
+def C9_frame_event_pairs(spark, sf_dir):
+    """A frame and the detection event that comes at most ten minutes later, both as streams with watermarks."""
+    base = replay.as_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    frames = base.select(F.col("event_id").alias("frame_index"), "user_id", F.col("ts").alias("frame_ts")).withWatermark("frame_ts", "1 hour")
+    seen = replay.as_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    seen = seen.where("event_id % 3 <> 0").select(F.col("event_id").alias("e_index"), F.col("event_type").alias("cls"), F.expr("ts + interval 1 minute").alias("event_ts")).withWatermark("event_ts", "1 hour")
+    both = frames.join(seen, F.expr("frame_index = e_index and event_ts > frame_ts and event_ts <= frame_ts + interval 10 minutes"))
+    return replay.drain(both.select("frame_index", "cls", "user_id"), "pairs")
