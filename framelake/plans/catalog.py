@@ -181,11 +181,14 @@ def C2_pairing(spark, sf_dir):
     return a.join(b, KEY, "full").where("image is null or label is null").select(*KEY, F.when(F.col("image").isNull(), "no image").otherwise("no label").alias("fault"))
 
 
-@query("""with b as (select row_number() over () as id, sequence, frame_index, target_id, bbox_left, bbox_top, bbox_width, bbox_height, least(greatest(bbox_left, 1), 1000) as bx1, least(1000, greatest(bbox_left, 1) + greatest(bbox_width, 1)) as bx2, least(greatest(bbox_top, 1), 600) as by1, least(600, greatest(bbox_top, 1) + greatest(bbox_height, 1)) as by2 from ann where category between 1 and 10),
+C5_SQL = """with b as (select row_number() over () as id, sequence, frame_index, target_id, bbox_left, bbox_top, bbox_width, bbox_height, least(greatest(bbox_left, 1), 1000) as bx1, least(1000, greatest(bbox_left, 1) + greatest(bbox_width, 1)) as bx2, least(greatest(bbox_top, 1), 600) as by1, least(600, greatest(bbox_top, 1) + greatest(bbox_height, 1)) as by2 from ann where category between 1 and 10),
 r as (select sequence, frame_index, greatest(bbox_left, 1) - 1 as x1, least(1000, greatest(bbox_left, 1) + greatest(bbox_width, 1)) - 0 as x2, greatest(bbox_top, 1) - 1 as y1, least(600, greatest(bbox_top, 1) + greatest(bbox_height, 1)) as y2 from ann where category = 0),
 hit as (select id, greatest(x1, bx1) as a1, least(x2, bx2) as a2, greatest(y1, by1) as b1, least(y2, by2) as b2 from b join r using (sequence, frame_index)),
 cells as (select id, count(*) as covered from (select distinct id, x, y from (select *, unnest(range(b1, b2)) as y from (select *, unnest(range(a1, a2)) as x from hit where a2 > a1 and b2 > b1))) group by id)
-select sequence, frame_index, target_id, bbox_left, bbox_top, bbox_width, bbox_height, coalesce(covered, 0) as covered from b left join cells using (id) where coalesce(covered, 0) < 0.5 * greatest(bbox_width, 1) * greatest(bbox_height, 1)""")
+select sequence, frame_index, target_id, bbox_left, bbox_top, bbox_width, bbox_height, coalesce(covered, 0) as covered from b left join cells using (id) where coalesce(covered, 0) < 0.5 * greatest(bbox_width, 1) * greatest(bbox_height, 1)"""
+
+
+@query(C5_SQL)
 def C5_ignored_regions(spark, sf_dir):
     ann = view(spark, sf_dir, "ann")
     names = {"bbox_left": "x", "bbox_top": "y", "bbox_width": "w", "bbox_height": "h"}
@@ -195,6 +198,17 @@ def C5_ignored_regions(spark, sf_dir):
     return out.withColumnsRenamed({v: k for k, v in names.items()}).select(*KEY, "target_id", *names, "covered")
 
 
+SPLIT_SQL = "case when sequence < 'seq12' then 'train' when sequence <= 'seq15' then 'val' else 'test' end"
+
+
+@query(f"select split, n as kept, total - n as dropped from (select {SPLIT_SQL} as split, count(*) as n from (select * from c5) group by 1) join (select {SPLIT_SQL} as split, count(*) as total from ann where category between 1 and 10 group by 1) using (split)".replace("(select * from c5)", f"({C5_SQL})"))
+def D24_rule_effect(spark, sf_dir):
+    split = F.expr(SPLIT_SQL).alias("split")
+    total = view(spark, sf_dir, "ann").where("category between 1 and 10").groupBy(split).agg(F.count(F.lit(1)).alias("total"))
+    kept = C5_ignored_regions(spark, sf_dir).groupBy(split).agg(F.count(F.lit(1)).alias("kept"))
+    return kept.join(total, "split").select("split", "kept", F.expr("total - kept as dropped"))
+
+
 @query("select sequence, frame_index from (select distinct sequence, frame_index from gt) where (sequence, frame_index) not in (select (sequence, frame_index) from det)")
 def C6_completeness(spark, sf_dir):
     return view(spark, sf_dir, "gt").select(*KEY).distinct().join(view(spark, sf_dir, "det").select(*KEY), KEY, "left_anti")
