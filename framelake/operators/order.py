@@ -6,23 +6,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _ranges(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``_part``: the range of ``order[0]``, a number, that a row falls into; quantiles cut the ranges, as many as partitions, so a recomputed task cuts alike."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = sorted(set(rows.approxQuantile(order[0], [k / parts for k in range(1, parts)], 0.5 / parts)))
+    part = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(order[0]).cast("double"))) if bounds else F.lit(0)
+    return rows.withColumn("_part", part)
+
+
+def _before(f, value: str):
+    """Aggregate of the ranges before; a row for each range."""
+    return f(value).over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+
+
 def global_rank(rows: DataFrame, order: list[str]) -> DataFrame:
     """``rank`` 1, 2, .. over all rows by ``order``, whose first column is a number.
 
-    Quantiles of that column cut the rows into ranges; each is ranked by itself and shifted by the
-    counts before it, so no task sees all rows and a recomputed task cuts alike.
+    Each range is ranked by itself and shifted by the counts before it, so no task sees all rows.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted(set(rows.approxQuantile(order[0], [k / parts for k in range(1, parts)], 0.5 / parts)))
-    part = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(order[0]).cast("double"))) if bounds else F.lit(0)
-    cut = rows.withColumn("_part", part)
-    sizes = cut.groupBy("_part").count()
-    before = F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    shift = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))  # a row for each range, as many as partitions
+    cut = _ranges(rows, order)
+    shift = cut.groupBy("_part").count().select("_part", F.coalesce(_before(F.sum, "count"), F.lit(0)).alias("_before"))
     ranked = cut.withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(*order)).cast("long"))
     return ranked.join(F.broadcast(shift), "_part").withColumn("rank", F.col("_k") + F.col("_before")).drop("_part", "_k", "_before")
 
 
+def running_max(rows: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """``name``: highest ``value`` so far over all rows by ``order``, ranges first as in ``global_rank``; nulls are passed over."""
+    cut = _ranges(rows, order)
+    tops = cut.groupBy("_part").agg(F.max(value).alias("_top")).select("_part", _before(F.max, "_top").alias("_before"))
+    inside = F.max(value).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return cut.withColumn("_k", inside).join(F.broadcast(tops), "_part").withColumn(name, F.greatest("_k", "_before")).drop("_part", "_k", "_before")
+
+
 def latest(rows: DataFrame, keys: list[str], arrival: str) -> DataFrame:
     """The last arrival of each key."""
     return rows.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(arrival).desc()))).where("_k = 1").drop("_k")

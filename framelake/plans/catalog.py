@@ -355,10 +355,10 @@ def E1_latest_per_key(spark, sf_dir):
     return O.top_k(view(spark, sf_dir, "ann"), ["sequence", "target_id"], order, 1).select("sequence", "target_id", "line_no", "bbox_left")
 
 
-@query("select sequence, arrival, max(ts_ms) over (partition by sequence order by arrival) as watermark from ev")
+@query("select sequence, arrival, max(ts_ms) over (order by arrival) as watermark from ev")
 def E2_watermark(spark, sf_dir):
-    w = Window.partitionBy("sequence").orderBy("arrival").rowsBetween(Window.unboundedPreceding, 0)
-    return view(spark, sf_dir, "ev").select("sequence", "arrival", F.max("ts_ms").over(w).alias("watermark"))
+    """One clock for all sequences."""
+    return O.running_max(view(spark, sf_dir, "ev"), ["arrival"], "ts_ms", "watermark").select("sequence", "arrival", "watermark")
 
 
 @query("select arrival, round(avg(n_person) over w, 6) as mean, count(*) over w as n_frames from ev window w as (partition by sequence order by ts_ms range between 21600000 preceding and current row)")

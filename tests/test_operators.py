@@ -39,6 +39,16 @@ def test_global_rank_with_ties_and_empty(spark):
     assert O.global_rank(rows.where("a < 0"), ["a", "b"]).count() == 0
 
 
+def test_running_max_over_ranges(spark):
+    rows = [(i, (i * 37) % 101 if i % 7 else None) for i in range(200)]
+    out = O.running_max(spark.createDataFrame(rows, "a long, v long"), ["a"], "v", "top").orderBy("a").collect()
+    want, top = [], None
+    for _, v in rows:
+        top = v if top is None else top if v is None else max(top, v)
+        want.append(top)
+    assert [r.top for r in out] == want
+
+
 def test_damage_drop_until_next_key(spark):
     rows = [(0, 0, 1, True, False), (1, 1, 1, False, True), (2, 2, 1, False, False), (3, 3, 1, True, False), (4, 9, 1, False, False), (5, 10, 1, False, False), (6, 11, 1, True, False)]
     df = spark.createDataFrame([("s", *r) for r in rows], "k string, i int, pts int, duration int, is_key boolean, corrupt boolean")
