@@ -6,9 +6,10 @@ is added, and a document is emitted once for each whole number that its stretch
 crosses. The order goes by size class, so that what is taken is spread evenly over short and long
 documents and the words taken come near the target.
 
-Scale: the running sum is taken in two steps. Rows are ranked within (source, size class, hash
-chunk), chunks being made fine enough for a task each, and chunk counts are summed up per source
-over a table of chunks. No task sees a whole source, however large.
+Scale: the running sum is taken in levels. Rows are ranked within (source, size class, hash
+chunk), a chunk being a small part of a task's rows, and chunk counts are summed up within groups
+of chunks, group counts within size classes and those within sources. No task sees a whole source
+or all chunks of one, however large.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from framelake.llm._spark import cut, fresh
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = 7
-CHUNK_ROWS = 200_000
+CHUNK_ROWS = 20_000
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -62,6 +63,21 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     return rows.select("source", "source_size", target.alias("target"))
 
 
+def _before(chunks: DataFrame) -> DataFrame:
+    """``chunks`` (s, c, g, k, m) with the rows of their source in earlier size classes, groups and chunks."""
+
+    def running(rows: DataFrame, within: list[str], by: str, name: str) -> DataFrame:
+        order = Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn(name, F.sum("m").over(order) - F.col("m"))
+
+    groups = chunks.groupBy("s", "c", "g").agg(F.sum("m").alias("m"))
+    classes = groups.groupBy("s", "c").agg(F.sum("m").alias("m"))
+    out = running(chunks, ["s", "c", "g"], "k", "in_group")
+    out = out.join(running(groups, ["s", "c"], "g", "in_class").drop("m"), ["s", "c", "g"])
+    out = out.join(running(classes, ["s"], "c", "in_source").drop("m"), ["s", "c"])
+    return out.withColumn("before", F.expr("in_group + in_class + in_source")).drop("in_group", "in_class", "in_source")
+
+
 def mix(docs: DataFrame, size_col: str = "size", id_col: str = "doc_id", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED) -> DataFrame:
     """``docs`` with source_size, target and copies (0 to cap) of each row.
 
@@ -81,8 +97,8 @@ def mix(docs: DataFrame, size_col: str = "size", id_col: str = "doc_id", source_
     goal = cut(targets(found.select("source", "source_size"), weights, cap), "mix-targets").select(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("s"), "source_size", "target")
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("s"))), 1, 5), 16, 10).cast("double") / float(1 << 20)
     chunks = rows.groupBy(F.col(s).alias("s"), F.col(c).alias("c"), F.col(k).alias("k")).agg(F.count(F.lit(1)).alias("m"))
-    before = F.sum("m").over(Window.partitionBy("s").orderBy("c", "k").rowsBetween(Window.unboundedPreceding, 0)) - F.col("m")
-    chunks = chunks.withColumn("before", before).join(goal, "s").withColumn("offset", offset)
+    chunks = _before(cut(chunks.withColumn("g", F.substring("k", 1, digits // 2)), "mix-chunks"))
+    chunks = chunks.join(goal, "s").withColumn("offset", offset)
     size_name, target_name, copies = (fresh(docs, x) for x in ("source_size", "target", "copies"))
     b, o, r = (fresh(docs, x) for x in ("before", "offset", "rank"))
     chunks = chunks.select(F.col("s").alias(s), F.col("c").alias(c), F.col("k").alias(k), F.col("before").alias(b), F.col("source_size").alias(size_name), F.col("target").alias(target_name), F.col("offset").alias(o))

@@ -66,6 +66,12 @@ def test_mix_meets_targets(spark, odd):
     assert sorted(x["size"] for x in mixed.collect()) == sorted(len(words(t)) for _, t in ODD)
 
 
+@pytest.mark.parametrize("chunk_rows", [1, 10])
+def test_mix_in_many_chunks_equals_sql(spark, monkeypatch, chunk_rows):
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", chunk_rows)
+    same(entries.QUERIES["op2_mixing"](spark, SMALL), entries.ORACLES["op2_mixing"], SMALL)
+
+
 def groups(docs, n, percent):
     sets = []
     for _, t in docs:
