@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.operators import matching as M
+from framelake.operators import scores as S
 from framelake.plans.registered import KEY, query, r6
 from framelake.sources.adapters import view
 
@@ -183,3 +184,11 @@ def C15_two_rules(spark, sf_dir):
         ap = M.average_precision(M.match(det, true, [*KEY, "cls"]), true)
         each.append(r6(ap, "map50").select(F.lit(rule).alias("rule"), "cls", "n_gt", "map50"))
     return each[0].unionByName(each[1])
+
+
+@query()
+def D22_tracking_scores(spark, sf_dir):
+    """Target ids as tracks, an id once a frame; no SQL form, since frames are assigned one-to-one."""
+    ann = view(spark, sf_dir, "ann").where("category between 1 and 10 and bbox_height > 0").withColumn("cls", F.expr("category % 3"))
+    gt, tracks = (ann.where(w).groupBy(*KEY, "cls", F.col("target_id").alias("id")).agg(F.min(F.struct(*[F.expr(e).alias(c) for c, e in (("x1", f"bbox_left + {d}"), ("y1", "bbox_top"), ("x2", f"bbox_left + bbox_width + {d}"), ("y2", "bbox_top + bbox_height"))])).alias("b")).select(*KEY, "cls", "id", "b.*") for w, d in (("line_no <= 3", 0), ("line_no between 2 and 4", "target_id % 5")))
+    return r6(S.tracking_scores(gt, tracks), "hota", "det_a", "ass_a", "idf1")
