@@ -1,20 +1,22 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 Two strings of length m with at most k edits share at least m + 1 - q * (k + 1) q-grams, all
-within k + 1 neighbouring diagonals. Benchmark items are cut into overlapping probes; positions of
-a document whose q-gram occurs in some probe are counted per probe and diagonal band, bands of
-2k + 2 diagonals overlapping by half so that no stretch of k + 1 falls between two. Regions that
-reach the bound are verified by an alignment banded around theirs.
+within k + 1 neighbouring diagonals. Every stretch of ``PROBE`` bytes of an item counts, wherever it
+starts: positions of a document whose q-gram occurs in an item are put into diagonal bands of the
+item, bands of 2k + 2 diagonals overlapping by half so that no run of k + 1 falls between two, and a
+band's hits in the order of their place in the item show which stretches reach the bound. These are
+verified by bit-parallel alignment with the band's region.
 
 Texts are compared after lower-casing A-Z and turning runs of ASCII white space into one space.
 
 Scale: one pass over the documents without a shuffle. The benchmark is dealt into blocks of at most
-``BLOCK_BYTES``; each block's probes are sent to the executors and meet all documents.
+``BLOCK_BYTES``; each block's q-grams are sent to the executors and meet all documents.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +28,7 @@ from framelake.llm import _text as T
 U64 = np.uint64
 Q = 10
 PROBE = 120
-STRIDE = 60
-EDITS = 20  # one edit for so many characters of a probe
+EDITS = 20  # one edit for so many characters of a stretch
 LEAST = 32  # an item of fewer bytes must be found whole and unchanged; below Q bytes it tells nothing
 BLOCK_BYTES = 4 << 20
 TABLE_BITS = 22
@@ -56,35 +57,49 @@ def grams(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Probes:
-    """Probes of a block of items, and their q-grams sorted by hash."""
+    """A block of items and their q-grams sorted by hash.
 
-    text: list[bytes]
-    item: list
-    edits: np.ndarray
-    bound: np.ndarray
+    ``text``, ``item`` and ``edits`` spell out some of the stretches that count, one for every half
+    of ``PROBE`` and the last, for plain comparison; the search looks at all and doesn't make these.
+    """
+
+    body: list[bytes]
+    ids: list
+    length: np.ndarray  # of the item's stretches
+    most: np.ndarray  # edits in a stretch
+    bound: np.ndarray  # hits that a stretch needs
     key: np.ndarray
-    probe: np.ndarray
+    entry: np.ndarray  # index of the q-gram's item
     place: np.ndarray
     table: np.ndarray
-    passes: list[tuple[int, int]]  # (window, least hits) that a region needs, for groups of probe lengths
+    passes: list[tuple[int, int]]  # (window, least hits) that a region needs, for groups of stretch lengths
+
+    @cached_property
+    def _stretches(self) -> list[tuple[int, int]]:
+        return [(q, a) for q, t in enumerate(self.body) for last in [max(0, len(t) - PROBE)] for a in sorted({*range(0, last + 1, PROBE // 2), last})]
+
+    @cached_property
+    def text(self) -> list[bytes]:
+        return [self.body[q][a : a + PROBE] for q, a in self._stretches]
+
+    @cached_property
+    def item(self) -> list:
+        return [self.ids[q] for q, _ in self._stretches]
+
+    @cached_property
+    def edits(self) -> list[int]:
+        return [int(self.most[q]) for q, _ in self._stretches]
 
 
 def probes(items: list[tuple]) -> Probes:
-    text, item = [], []
-    for i, t in items:
-        t = _one(t or "")
-        if len(t) < Q:
-            continue
-        starts = range(0, max(1, len(t) - PROBE + 1), STRIDE)
-        for a in [*starts, *([len(t) - PROBE] if len(t) > PROBE and (len(t) - PROBE) % STRIDE else [])]:
-            text.append(t[a : a + PROBE])
-            item.append(i)
-    length = np.array([len(t) for t in text], np.int64)
-    edits = np.where(length < LEAST, 0, length // EDITS)
-    bound = np.maximum(1, length + 1 - Q * (edits + 1))
-    hashes = [grams(np.frombuffer(t, np.uint8)) for t in text]
+    both = [(i, t) for i, t in ((i, _one(t or "")) for i, t in items) if len(t) >= Q]
+    ids, body = [i for i, _ in both], [t for _, t in both]
+    length = np.minimum(np.array([len(t) for t in body], np.int64), PROBE)
+    most = np.where(length < LEAST, 0, length // EDITS)
+    bound = np.maximum(1, length + 1 - Q * (most + 1))
+    hashes = [grams(np.frombuffer(t, np.uint8)) for t in body]
     key = np.concatenate(hashes) if hashes else np.zeros(0, U64)
-    probe = np.repeat(np.arange(len(text)), [len(h) for h in hashes])
+    entry = np.repeat(np.arange(len(body)), [len(h) for h in hashes])
     place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.zeros(0, np.int64)
     order = np.argsort(key, kind="stable")
     table = np.zeros(1 << TABLE_BITS, bool)
@@ -93,34 +108,72 @@ def probes(items: list[tuple]) -> Probes:
     for low, high in ((Q, LEAST), (LEAST, 60), (60, 90), (90, PROBE), (PROBE, PROBE + 1)):
         inside = (length >= low) & (length < high)
         if inside.any():
-            passes.append((int((length + edits)[inside].max()) - Q + 1, int(bound[inside].min())))
-    return Probes(text, item, edits, bound, key[order], probe[order], place[order], table, passes)
-
-
-def distance(probe: bytes, region: bytes, most: int) -> int:
-    """Least edits between the probe and any stretch of the region, or more than ``most``."""
-    if probe in region:
-        return 0
-    if not most:
-        return 1
-    b = np.frombuffer(region, np.uint8)
-    steps = np.arange(len(b) + 1)
-    row = np.zeros(len(b) + 1, np.int64)  # a stretch may begin anywhere
-    for i, c in enumerate(probe, 1):
-        new = np.empty_like(row)
-        new[0] = i
-        new[1:] = np.minimum(row[:-1] + (b != c), row[1:] + 1)
-        row = np.minimum.accumulate(new - steps) + steps
-        if row.min() > most:
-            return most + 1
-    return int(row.min())
+            passes.append((int((length + most)[inside].max()) - Q + 1, int(bound[inside].min())))
+    return Probes(body, ids, length, most, bound, key[order], entry[order], place[order], table, passes)
+
+
+def distance(probe: bytes, region: bytes) -> int:
+    """Least edits between the probe and any stretch of the region, by columns of bits."""
+    equal: dict[int, int] = {}
+    for i, c in enumerate(probe):
+        equal[c] = equal.get(c, 0) | 1 << i
+    full, last = (1 << len(probe)) - 1, len(probe) - 1
+    up, down = full, 0  # where a column rises and falls
+    best = now = len(probe)
+    for c in region:
+        eq = equal.get(c, 0)
+        level = eq | down
+        same = (((eq & up) + up) ^ up) | eq
+        right, left = down | ~(same | up) & full, up & same
+        now += (right >> last & 1) - (left >> last & 1)
+        best = min(best, now)
+        right, left = right << 1 & full, left << 1 & full  # a stretch may begin anywhere
+        up, down = left | ~(level | right) & full, right & level
+    return best
+
+
+def _candidates(p: Probes, doc: np.ndarray, item: np.ndarray, diagonal: np.ndarray, place: np.ndarray):
+    """(document, item, first diagonal of a band, lowest and highest start) of the item's stretches that reach the bound in the band."""
+    band = diagonal // (p.most[item] + 1)
+    doc, item, band, place = np.tile(doc, 2), np.tile(item, 2), np.concatenate([band, band - 1]), np.tile(place, 2)
+    order = np.lexsort((place, band, item, doc))
+    doc, item, band, place = doc[order], item[order], band[order], place[order]
+    j = np.arange(len(doc))
+    z = j + p.bound[item] - 1  # the bound's last hit, when counted from j
+    j, z = j[z < len(doc)], z[z < len(doc)]
+    fits = (doc[j] == doc[z]) & (item[j] == item[z]) & (band[j] == band[z]) & (place[z] - place[j] <= p.length[item[j]] - Q)
+    j, z = j[fits], z[fits]
+    size = np.array([len(t) for t in p.body], np.int64)[item[j]]
+    low, high = np.maximum(0, place[z] + Q - p.length[item[j]]), np.minimum(place[j], size - p.length[item[j]])
+    if not len(j):
+        return
+    doc, item, band = doc[j], item[j], band[j]
+    new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(band) != 0) | (low[1:] > high[:-1] + 1)])
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:], [len(j)]]) - 1
+    yield from zip(doc[first].tolist(), item[first].tolist(), (band * (p.most[item] + 1))[first].tolist(), low[first].tolist(), high[last].tolist(), strict=True)
+
+
+def _regions(body: bytes, text: bytes, at: int, spans: list[tuple[int, int, int]], k: int) -> int:
+    """How many stretches of ``body``, each after the end of the one before, ``text`` holds; it starts at ``at`` of the spans' diagonals."""
+    n = free = 0
+    for a, begin in sorted({(a, begin) for begin, low, high in spans for a in range(low, high + 1)}):
+        if a < free:
+            continue
+        probe = body[a : a + PROBE]
+        begin += a - at
+        region = text[max(0, begin - k) : max(0, begin + 2 * (k + 1) + len(probe) + k)]
+        if probe in region or k and distance(probe, region) <= k:
+            n, free = n + 1, a + PROBE
+    return n
 
 
 def matches(array: pa.Array, p: Probes):
-    """For each text, the sorted items that it holds a region of, and how many probes were found."""
+    """For each text, the sorted items that it holds a region of, and how many stretches were found, those that overlap in an item counted once."""
     for first, last, data, offsets in T.chunks(array):
         data, offsets = normal(data, offsets)
-        found: list[dict] = [{} for _ in range(last - first)]
+        found: list[set] = [set() for _ in range(last - first)]
+        regions = [0] * (last - first)
         if len(p.key) and len(data) >= Q:
             key = grams(data)
             hit = p.table[(key >> U64(64 - TABLE_BITS)).astype(np.int64)]
@@ -135,37 +188,30 @@ def matches(array: pa.Array, p: Probes):
             low, high = np.searchsorted(p.key, key[at], "left"), np.searchsorted(p.key, key[at], "right")
             count = high - low
             where, entry = np.repeat(at, count), T.ragged(low, count)
-            probe = p.probe[entry]
             doc = np.searchsorted(offsets, where, "right") - 1
             whole = where + Q <= offsets[doc + 1]
-            where, entry, probe, doc = where[whole], entry[whole], probe[whole], doc[whole]
-            width = p.edits[probe] + 1
-            band = (where - p.place[entry] + 4 * PROBE) // width
-            cells = np.concatenate([np.stack([probe, band - k], 1) for k in (0, 1)])
-            owner = np.concatenate([doc, doc])
-            order = np.lexsort((cells[:, 1], cells[:, 0], owner))
-            cells, owner = cells[order], owner[order]
-            edge = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(cells, axis=0) != 0).any(1)])) if len(owner) else np.zeros(0, np.int64)
-            size = np.diff(np.concatenate([edge, [len(owner)]]))
-            for e in edge[size >= p.bound[cells[edge, 0]]].tolist():
-                i, (q, b) = int(owner[e]), cells[e].tolist()
-                if q in found[i]:
-                    continue
-                k = int(p.edits[q])
-                begin = b * (k + 1) - 4 * PROBE
-                a, z = max(int(offsets[i]), begin - k), min(int(offsets[i + 1]), begin + 2 * (k + 1) + len(p.text[q]) + k)
-                if a < z and distance(p.text[q], data[a:z].tobytes(), k) <= k:
-                    found[i][q] = True
-        for f in found:
-            yield sorted({p.item[q] for q in f}), len(f)
+            where, entry, doc = where[whole], entry[whole], doc[whole]
+            spans: dict[tuple[int, int], list] = {}
+            for i, q, *span in _candidates(p, doc, p.entry[entry], where - p.place[entry], p.place[entry]):
+                spans.setdefault((i, q), []).append(span)
+            for (i, q), held in spans.items():
+                a = int(offsets[i])
+                if got := _regions(p.body[q], data[a : int(offsets[i + 1])].tobytes(), a, held, int(p.most[q])):
+                    found[i].add(p.ids[q])
+                    regions[i] += got
+        for f, k in zip(found, regions, strict=True):
+            yield sorted(f), k
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
     """``columns`` (the id) of each row of ``docs`` with items (array of item ids), n_regions and contaminated.
 
-    A document is contaminated when it holds, with at most one edit in ``EDITS`` characters, a
+    A document is contaminated when it holds, with at most one edit in ``EDITS`` characters, any
     stretch of ``PROBE`` bytes of an item or the whole of a shorter one; items of fewer than
-    ``LEAST`` bytes must occur unchanged, and those of fewer than ``Q`` bytes are passed over.
+    ``LEAST`` bytes must occur unchanged, and those of fewer than ``Q`` bytes are passed over. What
+    is missing counts as edits too, so the shortest unchanged excerpt of a longer item that is
+    always caught has ``PROBE - PROBE // EDITS`` (114) bytes; shorter ones are not looked for.
+    n_regions counts the stretches found, without those that overlap one before in the same item.
     Null and empty texts hold nothing; null items are passed over; rows, repeated or with null
     ids, each get their result. Clashing column names take a leading underscore.
     """
@@ -178,7 +224,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     text_at = rows.columns.index(text_col)
     items, regions, flag = (fresh(docs, c) for c in ("items", "n_regions", "contaminated"))
     given = benchmark.where(F.col(item_text_col).isNotNull() & F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t"))
-    blocks = max(1, -(-int(given.agg(F.sum(F.octet_length("t"))).first()[0] or 0) * 2 // BLOCK_BYTES))
+    blocks = max(1, -(-int(given.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // BLOCK_BYTES))
     kinds = StructType([rows.schema[c] for c in columns] + [StructField(items, ArrayType(LongType())), StructField(regions, LongType()), StructField(flag, BooleanType())])
     out = rows
     for block in range(blocks):  # each row passes all blocks in one pass over the texts

@@ -261,6 +261,32 @@ def test_decontamination_equals_plain_search(spark, odd):
     assert decontam.contamination(odd.limit(0), bench).count() == 0
 
 
+def test_any_stretch_of_an_item_is_found():
+    r = random.Random(11)
+    text = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n)).replace("  ", " a").strip().ljust(n, "b")
+    item = text(233)
+    p = decontam.probes([(7, item), (8, text(400))])
+    for n in (114, 120, 140, 160, 179):  # wherever an excerpt starts
+        docs = [f"{text(50)}.{item[a:a + n]}.{text(50)}" for a in range(len(item) - n + 1)]
+        assert [f for f, _ in decontam.matches(pa.array(docs), p)] == [[7]] * len(docs), n
+    docs = []
+    for k in range(40):  # edits around the bound, of each kind
+        a = r.randrange(len(item) - 120)
+        core = list(item[a : a + 120 + r.choice([0, 0, 9, 30])])
+        for _ in range(r.randint(3, 8)):
+            at = r.randrange(len(core))
+            core[at : at + r.choice([0, 1, 1])] = r.choice(["z", "", "y"])
+        docs.append(f"{text(40)}.{''.join(core)}.{text(40)}")
+    seen = collections.Counter()
+    for t, (found, n) in zip(docs, decontam.matches(pa.array(docs), p), strict=True):
+        body, whole = decontam._one(t), decontam._one(item)
+        want = any(edit_distance(whole[a : a + 120], body) <= 6 for a in sorted(range(len(whole) - 119), key=lambda a: -sum(whole[a + k : a + k + 12] in body for k in range(109))))
+        assert found == [7] * want and (n == 1) == want, t
+        seen[want] += 1
+    assert min(seen[True], seen[False]) > 3
+    assert [n for _, n in decontam.matches(pa.array([p.body[1].decode(), p.body[1].decode()[:250]]), p)] == [3, 2]
+
+
 def test_sum_product_equals_enumeration():
     r = np.random.default_rng(0)
     parent = [-1, 0, 0, 1, 1, 2]
