@@ -96,3 +96,11 @@ def read_labels(lines: DataFrame) -> DataFrame:
     part = F.split(F.trim("line"), r"\s+")
     out = lines.where(F.size(part) == 5).withColumns({c: F.get(part, k).try_cast("int" if c == "cls" else "double") for k, c in enumerate(("cls", "xc", "yc", "w", "h"))})
     return out.na.drop(subset=["cls", "xc", "yc", "w", "h"])
+
+
+FAULTS = {"class": "category not between 1 and 10", "height": "bbox_height <= 0", "x range": "bbox_left + bbox_width > 1000", "y range": "bbox_top + bbox_height > 600"}
+
+
+def faults():
+    """Names of all validation rules that an annotation breaks."""
+    return F.array_compact(F.array(*[F.when(F.expr(e), n) for n, e in FAULTS.items()]))

@@ -308,9 +308,7 @@ def D6_totals(spark, sf_dir):
 
 @query("select rule, count(*) as n from (select unnest(list_filter([case when category not between 1 and 10 then 'class' end, case when bbox_height <= 0 then 'height' end, case when bbox_left + bbox_width > 1000 then 'x range' end, case when bbox_top + bbox_height > 600 then 'y range' end], lambda x: x is not null)) as rule from ann) group by 1")
 def D8_validation(spark, sf_dir):
-    rules = {"class": "category not between 1 and 10", "height": "bbox_height <= 0", "x range": "bbox_left + bbox_width > 1000", "y range": "bbox_top + bbox_height > 600"}
-    faults = F.array_compact(F.array(*[F.when(F.expr(e), n) for n, e in rules.items()]))
-    return view(spark, sf_dir, "ann").select(F.explode(faults).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    return view(spark, sf_dir, "ann").select(F.explode(B.faults()).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select cls, count(*) as n_events, round(sum(n_person) / count(*), 6) as boxes_per_event, round(avg(conf), 6) as mean_conf, round(count(*) / cast((select count(*) from ev) as double), 6) as share from ev group by cls")

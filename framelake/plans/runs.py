@@ -211,6 +211,17 @@ def I11_routing(spark, sf_dir):
     return by.select("sequence", F.when(F.col("bad") > 0, "rebuild").when(F.col("first") > 1, "profile").otherwise("validate").alias("route"))
 
 
+@query(f"""select sequence, n_faults, case when n_faults > 0 then 'rebuild' when coalesce(old = stamp, false) then 'validate' else 'profile' end as route
+  from (select sequence, count(*) filter (category not between 1 and 10 or bbox_height <= 0 or bbox_left + bbox_width > 1000 or bbox_top + bbox_height > 600) as n_faults from ann group by 1)
+  left join (select 'seq' || lpad(cast(c_custkey as varchar), 2, '0') as sequence, {STAMP_SQL} as stamp, case when c_custkey % 3 <> 0 then {STAMP_SQL} end as old from customer where c_custkey between 0 and 19) using (sequence)""")
+def I11_routing_all_rows(spark, sf_dir):
+    """Rebuild a sequence with a D8 fault in any row, profile one whose I6 stamp isn't current or is missing, validate the others; customer k stands for sequence k."""
+    by = view(spark, sf_dir, "ann").groupBy("sequence").agg(F.count_if(F.size(B.faults()) > 0).alias("n_faults"))
+    stamps = I6_skip_if_current(spark, sf_dir).where("c_custkey between 0 and 19").select(F.format_string("seq%02d", "c_custkey").alias("sequence"), "current")
+    route = F.when(F.col("n_faults") > 0, "rebuild").when(F.coalesce("current", F.lit(False)), "validate").otherwise("profile")
+    return by.join(stamps, "sequence", "left").select("sequence", "n_faults", route.alias("route"))
+
+
 @query("select ts_ms // 60000 as minute, sequence, round(max(conf / 0.8), 6) as worst, count(*) filter (conf > 0.8) as crossed, round(avg(case when n_person = 0 then 1.0 else 0.0 end), 6) as empty_share from ev group by 1, 2")
 def I12_dashboard(spark, sf_dir):
     ev = view(spark, sf_dir, "ev").withColumn("minute", F.expr("ts_ms div 60000"))
