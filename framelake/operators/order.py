@@ -30,11 +30,11 @@ def global_rank(rows: DataFrame, order: list[str]) -> DataFrame:
     return ranked.join(F.broadcast(shift), "_part").withColumn("rank", F.col("_k") + F.col("_before")).drop("_part", "_k", "_before")
 
 
-def running_max(rows: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
-    """``name``: highest ``value`` so far over all rows by ``order``, ranges first as in ``global_rank``; nulls are passed over."""
+def running_max(rows: DataFrame, order: list[str], value: str, name: str, last: int = 0) -> DataFrame:
+    """``name``: highest ``value`` so far over all rows by ``order``, ranges first as in ``global_rank``; nulls are passed over, and with ``last`` -1 so is the row itself."""
     cut = _ranges(rows, order)
     tops = cut.groupBy("_part").agg(F.max(value).alias("_top")).select("_part", _before(F.max, "_top").alias("_before"))
-    inside = F.max(value).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    inside = F.max(value).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, last))
     return cut.withColumn("_k", inside).join(F.broadcast(tops), "_part").withColumn(name, F.greatest("_k", "_before")).drop("_part", "_k", "_before")
 
 
@@ -53,10 +53,17 @@ def sliding_mean(events: DataFrame, key: str, ts: str, value: str, window_ms: in
     return events.withColumn("mean", F.avg(value).over(w)).withColumn("n_frames", F.count(value).over(w))
 
 
-def fire_once(read: DataFrame, key: str, arrival: str, threshold: float) -> DataFrame:
-    """alert where the mean crosses and the key's last reading didn't."""
+def fire_once(read: DataFrame, key: str, arrival: str, threshold: float, ts: str | None = None, clock: str | None = None, window_ms: int = 0) -> DataFrame:
+    """alert where the mean crosses and the key's last reading didn't.
+
+    With ``clock``, the highest ``ts`` of all keys before the row, a reading counts no more once all of its key's rows are older than ``window_ms``.
+    """
     crossed = F.col("mean") > threshold
-    before = F.lag(crossed, 1, False).over(Window.partitionBy(key).orderBy(arrival))
+    w = Window.partitionBy(key).orderBy(arrival)
+    before = F.lag(crossed, 1, False).over(w)
+    if clock:
+        newest = F.max(ts).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        before = before & F.coalesce(F.col(clock) - window_ms <= newest, F.lit(False))
     return read.withColumn("crossed", crossed).withColumn("alert", crossed & ~before)
 
 

@@ -10,7 +10,7 @@ from framelake.operators import boxes as B
 from framelake.operators import frames as R
 from framelake.operators import order as O
 from framelake.plans import detections, runs, streams  # noqa: F401  they register their queries
-from framelake.plans.registered import KEY, ORACLES, QUERIES, query, r6  # noqa: F401
+from framelake.plans.registered import KEY, ORACLES, QUERIES, SHARED_CLOCK_SQL, query, r6  # noqa: F401
 from framelake.sources.adapters import table, view
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,6 +370,14 @@ def E4_fire_once(spark, sf_dir):
     return O.fire_once(read, "sequence", "arrival", 5).where("alert").select("arrival", "sequence")
 
 
+@query(SHARED_CLOCK_SQL)
+def E4_fire_once_shared_clock(spark, sf_dir):
+    """One clock for all sequences: one that is silent for longer than the window, while others go on, may fire anew."""
+    clocked = O.running_max(view(spark, sf_dir, "ev"), ["arrival"], "ts_ms", "clock", -1)
+    read = O.sliding_mean(clocked, "sequence", "ts_ms", "n_person", 21_600_000)
+    return O.fire_once(read, "sequence", "arrival", 5, "ts_ms", "clock", 21_600_000).where("alert").select("arrival", "sequence")
+
+
 @query("select sequence, cast(sum(greatest(0, coalesce(gap, 0))) as bigint) as lost, count(*) as n from (select sequence, frame_index - lag(frame_index) over (partition by sequence order by arrival) - 1 as gap from ev) group by 1")
 def E8_index_gaps(spark, sf_dir):
     return O.index_gaps(view(spark, sf_dir, "ev"), "sequence", "arrival", "frame_index").groupBy("sequence").agg(F.sum("gap").alias("lost"), F.count(F.lit(1)).alias("n"))

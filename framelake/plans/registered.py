@@ -10,6 +10,9 @@ from framelake.sources.adapters import with_views
 QUERIES: dict = {}
 ORACLES: dict = {}
 KEY = ["sequence", "frame_index"]
+SHARED_CLOCK_SQL = """select arrival, sequence from (select arrival, sequence, mean > 5 as crossed, coalesce(lag(mean > 5) over (partition by sequence order by arrival), false)
+    and coalesce(clock - 21600000 <= max(ts_ms) over (partition by sequence order by arrival rows between unbounded preceding and 1 preceding), false) as before
+  from (select *, max(ts_ms) over (order by arrival rows between unbounded preceding and 1 preceding) as clock, avg(n_person) over (partition by sequence order by ts_ms range between 21600000 preceding and current row) as mean from ev)) where crossed and not before"""
 
 
 def query(oracle: str | None = None):

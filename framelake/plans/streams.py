@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framelake.operators import frames as R
-from framelake.plans.registered import query
+from framelake.operators import order as O
+from framelake.plans.registered import SHARED_CLOCK_SQL, query
 from framelake.sources.adapters import SPARK, view
 from framelake.streaming import replay, stateful
 
@@ -23,6 +24,15 @@ def G2_alert_stream(spark, sf_dir):
     return out.select(F.col("frame_index").alias("arrival"), "sequence")
 
 
+@query(SHARED_CLOCK_SQL)
+def G2_alert_stream_shared_clock(spark, sf_dir):
+    """Shards are sequences; the clock that all share comes as a column, made from the table."""
+    clock = O.running_max(view(spark, sf_dir, "ev"), ["arrival"], "ts_ms", "clock", -1).select("arrival", "clock")
+    events = stream_view(spark, sf_dir, "ev").withColumnRenamed("n_person", "n").join(clock, "arrival", "left")
+    out = replay.drain(stateful.alert_stream(events, "sequence", 21_600, 5, "clock"), "alerts")
+    return out.select(F.col("frame_index").alias("arrival"), "sequence")
+
+
 @query("""with w as (select sequence, (k // 2 - 1) // 50 as window_id, n_person as n, conf, cls from (select *, row_number() over (partition by sequence order by arrival) as k from ev) where k % 2 = 0),
 f as (select sequence, window_id, count(*) as n_events, sum(n) / cast(count(*) as double) as boxes_per_event, coalesce(sum(conf * n) / nullif(sum(n), 0), 0) as mean_conf, sum(n) as boxes from w group by all having count(*) = 50),
 c as (select sequence, cls, min(window_id) as since from w group by all)

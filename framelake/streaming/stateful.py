@@ -67,11 +67,8 @@ class AlertRule:
             self.totals[sequence][0] -= old[1]
             self.totals[sequence][1] -= 1
 
-    def observe(self, arrival: int, sequence: str, frame: int, ts: int, n: int):
-        """(sequence, frame, ts, mean, live frames) of an alert, else None. A repeated frame replaces itself; sequences without live frames lose their open flag."""
-        self.clock = max(self.clock, ts)
-        self._put(sequence, frame, ts, n)
-        touched = {sequence}
+    def _advance(self, ts: int, *touched: str) -> None:
+        self.clock, touched = max(self.clock, ts), set(touched)
         while self.due and self.due[0][0] < self.clock - self.window_ms:
             then, s, f = heapq.heappop(self.due)
             if self.live.get((s, f), (None,))[0] == then:
@@ -81,6 +78,15 @@ class AlertRule:
             if not self.totals[s][1]:
                 del self.totals[s]
                 self.open.discard(s)
+
+    def observe(self, arrival: int, sequence: str, frame: int, ts: int, n: int, clock: int = 0):
+        """(sequence, frame, ts, mean, live frames) of an alert, else None. A repeated frame replaces itself; sequences without live frames lose their open flag.
+
+        ``clock`` is the highest ts of earlier arrivals, for a rule that doesn't see them all.
+        """
+        self._advance(clock)
+        self._put(sequence, frame, ts, n)
+        self._advance(ts, sequence)
         if sequence not in self.totals:
             return None
         total, frames = self.totals[sequence]
@@ -89,11 +95,16 @@ class AlertRule:
         return (sequence, frame, ts, total / frames, frames) if crossed and not was else None
 
 
-def alert_stream(events: DataFrame, shard: str, window_s: float, threshold: float) -> DataFrame:
-    """Alerts of events arrival, sequence, frame_index, ts_ms, n; events with a null among these are skipped."""
+def alert_stream(events: DataFrame, shard: str, window_s: float, threshold: float, clock: str | None = None) -> DataFrame:
+    """Alerts of events arrival, sequence, frame_index, ts_ms, n; events with a null among these are skipped.
+
+    ``clock``: a column with the highest ts_ms of all earlier arrivals, where shards are to share one clock.
+    """
     columns = ["arrival", "sequence", "frame_index", "ts_ms", "n"]
     span = int(window_s * 1000)
-    keyed = events.na.drop(subset=columns).withColumnRenamed("sequence", "_s").selectExpr(f"{'_s' if shard == 'sequence' else shard} as shard", "arrival", "_s as sequence", "frame_index", "ts_ms", "n")
+    before = [f"coalesce({clock}, 0L) as clock"] if clock else []
+    keyed = events.na.drop(subset=columns).withColumnRenamed("sequence", "_s").selectExpr(f"{'_s' if shard == 'sequence' else shard} as shard", "arrival", "_s as sequence", "frame_index", "ts_ms", "n", *before)
+    columns += ["clock"] * len(before)
     return _stateful(keyed, "shard", columns, "sequence string, frame_index long, ts_ms long, observed double, n_frames long", lambda saved: AlertRule(span, threshold, saved))
 
 
