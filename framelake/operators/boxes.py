@@ -11,24 +11,48 @@ WIDTH, HEIGHT = 1000, 600
 
 
 def parse_annotations(lines: DataFrame, width: int = WIDTH, height: int = HEIGHT) -> DataFrame:
-    """Boxes of text lines ``line``: rows that don't parse, have score 0, no merged class or no area after clipping are dropped."""
-    part = F.split("line", ",")
+    """Boxes of text lines ``line``: rows that don't parse, have score 0, no merged class or no area after clipping are dropped.
+
+    A line is split once: the generators keep the optimizer from copying the split into each column and filter. A width or
+    height of the image of 0 or less drops all lines.
+    """
     kinds = [("frame_index", 0, "int"), ("bbox_left", 2, "double"), ("bbox_top", 3, "double"), ("bbox_width", 4, "double"), ("bbox_height", 5, "double"), ("score", 6, "double"), ("category", 7, "int")]
-    cast = lines.where(F.size(part) >= 8).select("*", *[F.get(part, k).try_cast(t).alias(c) for c, k, t in kinds]).na.drop(subset=[c for c, _, _ in kinds])
-    return normalise(cast.where("score <> 0"), width, height)
+    if width <= 0 or height <= 0:
+        lines, width, height = lines.where("false"), 1, 1
+    part = lines.select("*", F.explode(F.array(F.split("line", ","))).alias("_part")).where(F.size("_part") >= 8)
+    fields = F.struct(*[F.get("_part", k).try_cast(t).alias(c) for c, k, t in kinds])
+    cast = part.select(*lines.columns, F.explode(F.array(fields)).alias("_f")).select(*lines.columns, "_f.*")
+    return normalise(cast.na.drop(subset=[c for c, _, _ in kinds]).where("score <> 0"), width, height)
 
 
 def normalise(boxes: DataFrame, width: int = WIDTH, height: int = HEIGHT) -> DataFrame:
     """cls, xc, yc, w, h of pixel boxes: corners are clipped to the image, boxes without area or class go."""
     x1, x2 = (G.clip01(F.expr(e) / float(width)) for e in ("bbox_left", "bbox_left + bbox_width"))
     y1, y2 = (G.clip01(F.expr(e) / float(height)) for e in ("bbox_top", "bbox_top + bbox_height"))
-    out = boxes.withColumn("cls", G.merged_class(F.col("category"))).withColumns({"_x1": x1, "_x2": x2, "_y1": y1, "_y2": y2})
-    out = out.where("cls is not null and _x2 > _x1 and _y2 > _y1")
-    return out.withColumns({"xc": F.expr("(_x1 + _x2) / 2"), "yc": F.expr("(_y1 + _y2) / 2"), "w": F.expr("_x2 - _x1"), "h": F.expr("_y2 - _y1")}).drop("_x1", "_x2", "_y1", "_y2")
+    corners = F.struct(G.merged_class(F.col("category")).alias("cls"), x1.alias("x1"), x2.alias("x2"), y1.alias("y1"), y2.alias("y2"))
+    out = boxes.select("*", F.explode(F.array(corners)).alias("_c")).where("_c.cls is not null and _c.x2 > _c.x1 and _c.y2 > _c.y1")
+    norm = {"cls": "_c.cls", "xc": "(_c.x1 + _c.x2) / 2", "yc": "(_c.y1 + _c.y2) / 2", "w": "_c.x2 - _c.x1", "h": "_c.y2 - _c.y1"}
+    return out.withColumns({c: F.expr(e) for c, e in norm.items()}).drop("_c")
+
+
+def crop_window(boxes: DataFrame, width: int, height: int) -> DataFrame:
+    """cx1, cy1, cx2, cy2 around the box x1, y1, x2, y2: a fifth of the side or 16 px more on each side, corners truncated, inside the image and at least 1 px wide and high."""
+    pad = {a: f"greatest(0.2D * ({a}2 - {a}1), 16D)" for a in "xy"}
+    low = {a: f"greatest(0L, cast({a}1 - {pad[a]} as bigint))" for a in "xy"}
+    high = {a: f"least({n}L, cast({a}2 + {pad[a]} as bigint))" for a, n in (("x", width), ("y", height))}
+    return boxes.withColumns({**{f"c{a}1": F.expr(low[a]) for a in "xy"}, **{f"c{a}2": F.expr(f"greatest({low[a]} + 1, {high[a]})") for a in "xy"}})
+
+
+def unletterbox(boxes: DataFrame) -> DataFrame:
+    """x1, y1, x2, y2 of the letterbox back in the source: padding off, divided by gain, clipped; w, h, gain, left and top are those of ``letterbox``."""
+    back = lambda c, pad, size: F.expr(f"greatest(0D, least(cast({size} as double), ({c} - {pad}) / gain))")
+    return boxes.withColumns({"x1": back("x1", "left", "w"), "x2": back("x2", "left", "w"), "y1": back("y1", "top", "h"), "y2": back("y2", "top", "h")})
 
 
-def keep_stride(frames: DataFrame, stride: int) -> DataFrame:
-    return frames.where((F.col("frame_index") - 1) % stride == 0)
+def keep_stride(frames: DataFrame, stride: int, train_stride: int | None = None) -> DataFrame:
+    """Frames 1, 1 + stride, ..; rows whose ``split`` is train go by ``train_stride`` where that is given."""
+    step = F.lit(stride) if train_stride is None else F.when(F.col("split") == "train", train_stride).otherwise(stride)
+    return frames.where((F.col("frame_index") - 1) % step == 0)
 
 
 def clip_window(frames: DataFrame, start: int, length: int | None) -> DataFrame:

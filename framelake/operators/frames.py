@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framelake.operators.order import global_rank, percentiles
+
 STATS = ("brightness", "contrast", "blur")
 FLAGS = (("dark", "brightness", "<", 20), ("bright", "brightness", ">", 235), ("low_contrast", "contrast", "<", 10), ("blurry", "blur", "<", 50))
 
@@ -27,7 +29,7 @@ def readings(frames: DataFrame, side: int = 8) -> DataFrame:
 
 def quality_flags(read: DataFrame) -> DataFrame:
     """A row for each flag of a frame, with what it read."""
-    each = [F.when(F.expr(f"{c} {op} {v}"), F.struct(F.lit(n).alias("flag"), F.format_string(f"{c}=%.2f", F.col(c)).alias("detail"))) for n, c, op, v in FLAGS]
+    each = [F.when(F.expr(f"{c} {op} {v}"), F.struct(F.lit(n).alias("flag"), F.format_string(f"{c}=%.2f", F.bround(c, 2)).alias("detail"))) for n, c, op, v in FLAGS]
     return read.withColumn("f", F.explode(F.array_compact(F.array(*each)))).select("*", "f.flag", "f.detail").drop("f")
 
 
@@ -60,14 +62,14 @@ def reference(scenes: DataFrame, margin: float = 1.0) -> DataFrame:
 def count_windows(rows: DataFrame, order: list[str], size: int, every: int = 1) -> DataFrame:
     """window_id and pos of every ``every``-th row in order; windows that aren't full are dropped.
 
-    The order is global; ranks come from a range partitioning and a prefix over partition counts.
+    The order is global; ranks come from a range partitioning and a prefix over partition counts. Only the last
+    window can be short, so the number of ranks tells which it is.
     """
-    from framelake.operators.order import global_rank
-
-    kept = global_rank(rows, order).where(F.col("rank") % every == 0).withColumn("rank", (F.col("rank") / every).cast("long"))
-    out = kept.withColumn("window_id", F.floor((F.col("rank") - 1) / size)).withColumn("pos", (F.col("rank") - 1) % size).drop("rank")
-    full = out.groupBy("window_id").count().where(F.col("count") == size).select("window_id")
-    return out.join(full, "window_id")
+    ranked = global_rank(rows, order)
+    last = ranked.agg(F.expr(f"coalesce(max(rank), 0) div {every} div {size}").alias("_full"))  # one row
+    kept = ranked.where(F.col("rank") % every == 0).withColumn("_r", F.expr(f"rank div {every} - 1"))
+    out = kept.withColumns({"window_id": F.expr(f"_r div {size}"), "pos": F.expr(f"_r % {size}")})
+    return out.crossJoin(F.broadcast(last)).where("window_id < _full").drop("rank", "_r", "_full")
 
 
 def window_means(windows: DataFrame) -> DataFrame:
@@ -87,3 +89,14 @@ def episodes(judged: DataFrame, consecutive: int = 2) -> DataFrame:
     clean = F.sum(F.when(F.col("drifted"), 0).otherwise(1)).over(Window.orderBy("window_id"))
     place = F.row_number().over(Window.partitionBy("run").orderBy("window_id"))
     return judged.withColumn("run", clean).where("drifted").withColumn("k", place).where(F.col("k") == consecutive).drop("k", "run")
+
+
+def latency(timings: DataFrame, warm: int = 3) -> DataFrame:
+    """stage, n, mean, p50, p95, p99 of timings (frame, stage, ms), and of the sum of each frame's stages as ``total``.
+
+    The first ``warm`` frames are left out, all are kept where there are no more. An empty table gives no row.
+    """
+    first = timings.select("frame").distinct().orderBy("frame").limit(warm + 1).agg(F.when(F.count(F.lit(1)) > warm, F.max("frame")).alias("_least"))  # one row
+    kept = timings.crossJoin(F.broadcast(first)).where("_least is null or frame >= _least").select("frame", "stage", "ms")
+    total = kept.groupBy("frame").agg(F.sum("ms").alias("ms")).select(F.lit("total").alias("stage"), "ms")
+    return percentiles(kept.select("stage", "ms").unionByName(total), ["stage"], "ms", {"p50": 0.5, "p95": 0.95, "p99": 0.99})

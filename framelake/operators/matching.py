@@ -96,15 +96,18 @@ def match(det: DataFrame, gt: DataFrame, keys: Sequence[str], thresholds: Sequen
     flag = F.coalesce(F.col("ignored"), F.lit(False)) if "ignored" in gt.columns else F.lit(False)
     d = det.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct((-F.col("conf")).alias("_o"), *rest))).alias("_d"))
     g = gt.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("x1", "y1", "x2", "y2", flag.alias("ignored")))).alias("_g"))
-    both = d.join(g, list(keys), "left").withColumn("iou_min", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
+    both = d.join(g, list(keys), "left")
     both = both.withColumn("_g", F.coalesce("_g", F.expr("filter(array(named_struct('x1', _d[0].x1, 'y1', _d[0].y1, 'x2', _d[0].x2, 'y2', _d[0].y2, 'ignored', false)), x -> false)")))
-    best = f"""array_max(transform(_g, (g, i) -> transform(array(if(s.used[i], -1D, {iou_text('g', 'd')})), v ->
-      named_struct('wanted', v >= iou_min and not g.ignored, 'iou', v, 'place', -i, 'ignored', g.ignored))[0]))"""
+    # overlaps are computed once, below the generator of the thresholds; each threshold then walks the few that are above 0
+    near = f"""transform(_d, d -> filter(transform(_g, (g, i) -> named_struct('iou', {iou_text('g', 'd')}, 'place', -i, 'ignored', g.ignored)), c -> c.iou > 0))"""
+    both = both.withColumn("_c", F.expr(near)).drop("_g").withColumn("iou_min", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
+    best = """array_max(transform(filter(c, x -> not array_contains(s.used, x.place)), x ->
+      named_struct('wanted', x.iou >= iou_min and not x.ignored, 'iou', x.iou, 'place', x.place, 'ignored', x.ignored)))"""
     step = f"""transform(array({best}), m -> named_struct(
-      'used', if(m.iou >= iou_min, transform(s.used, (u, i) -> u or i = -m.place), s.used),
-      'out', array_append(s.out, named_struct('iou', greatest(coalesce(m.iou, 0D), 0D), 'hit', coalesce(m.iou >= iou_min, false), 'ignored', coalesce(m.iou >= iou_min and m.ignored, false)))))[0]"""
-    start = "named_struct('used', transform(_g, g -> false), 'out', filter(array(named_struct('iou', 0D, 'hit', false, 'ignored', false)), x -> false))"
-    out = F.expr(f"aggregate(_d, {start}, (s, d) -> {step}, s -> s.out)")
+      'used', if(m.iou >= iou_min, array_append(s.used, m.place), s.used),
+      'out', array_append(s.out, named_struct('iou', coalesce(m.iou, 0D), 'hit', coalesce(m.iou >= iou_min, false), 'ignored', coalesce(m.iou >= iou_min and m.ignored, false)))))[0]"""
+    start = "named_struct('used', filter(array(0), x -> false), 'out', filter(array(named_struct('iou', 0D, 'hit', false, 'ignored', false)), x -> false))"
+    out = F.expr(f"aggregate(_c, {start}, (s, c) -> {step}, s -> s.out)")
     rows = both.withColumn("_r", F.explode(F.arrays_zip(F.col("_d").alias("d"), out.alias("r"))))
     return rows.select(*keys, *[f"_r.d.{c}" for c in rest], "iou_min", "_r.r.iou", "_r.r.hit", "_r.r.ignored")
 
@@ -127,10 +130,11 @@ def _points(matched: DataFrame, n_gt: DataFrame, by: Sequence[str]) -> DataFrame
     return at.join(n_gt, list(by))
 
 
-def average_precision(matched: DataFrame, gt: DataFrame, by: Sequence[str] = ("cls",), floor: float = 0.25) -> DataFrame:
+def average_precision(matched: DataFrame, gt: DataFrame, by: Sequence[str] = ("cls",), floor: float = 0.25, n_thresholds: int | None = None) -> DataFrame:
     """map50, map75, map (over all thresholds matched), and at IoU 0.5 precision and recall at the highest F1 and at the conf ``floor``, for each group that has true boxes.
 
     AP is the mean over 101 recall points of the highest precision at that recall or above (the published COCO definition). Groups without detections get zeros.
+    ``matched`` is read three times: pass what ``cut`` wrote. ``n_thresholds`` is the number matched; it is counted where not given.
     """
     wanted = gt.where("not coalesce(ignored, false)") if "ignored" in gt.columns else gt
     n_gt = wanted.groupBy(*by).agg(F.count(F.lit(1)).alias("n_gt"))
@@ -139,9 +143,9 @@ def average_precision(matched: DataFrame, gt: DataFrame, by: Sequence[str] = ("c
     top = points.where("tp > 0").groupBy(*curve, F.expr("100 * tp div n_gt").alias("m")).agg(F.max(F.col("tp") / F.col("n")).alias("p"))
     down, up = Window.partitionBy(*curve).orderBy(F.col("m").desc()), Window.partitionBy(*curve).orderBy("m")
     ap = top.withColumn("p", F.max("p").over(down)).withColumn("w", F.col("m") - F.lag("m", 1, -1).over(up)).groupBy(*curve).agg((F.sum(F.col("p") * F.col("w")) / 101).alias("ap"))
-    n_t = matched.select("iou_min").distinct().agg(F.count(F.lit(1)).alias("n_t"))  # one row
+    n = n_thresholds or matched.select("iou_min").distinct().count() or 1
     at = lambda t: F.max(F.when(F.abs(F.col("iou_min") - t) < 1e-9, F.col("ap")))
-    maps = ap.groupBy(*by).agg(at(0.5).alias("map50"), at(0.75).alias("map75"), F.sum("ap").alias("s")).crossJoin(F.broadcast(n_t)).withColumn("map", F.col("s") / F.col("n_t")).drop("s", "n_t")
+    maps = ap.groupBy(*by).agg(at(0.5).alias("map50"), at(0.75).alias("map75"), (F.sum("ap") / n).alias("map"))
     half = points.where("abs(iou_min - 0.5D) < 1e-9D").withColumn("f1", F.expr("2 * tp / cast(n + n_gt as double)"))
     best = F.max(F.struct("f1", "conf", (F.col("tp") / F.col("n")).alias("p"), (F.col("tp") / F.col("n_gt")).alias("r")))
     over = F.col("conf") >= floor

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from framelake.sources.scratch import cut
+
+_PLACE = 33  # bits of a row's place in its partition, as monotonically_increasing_id has them
+
 
-def _ranges(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``_part``: the range of ``order[0]``, a number, that a row falls into; quantiles cut the ranges, as many as partitions, so a recomputed task cuts alike."""
+def _placed(rows: DataFrame, order: Sequence) -> DataFrame:
+    """``rows`` with ``_part`` and ``_k``: dealt by range over all of ``order``, sorted, and the place in the range.
+
+    Rows that agree in part of the order are parted by the rest of it. The table is written, since a range
+    partitioning that is computed anew may cut elsewhere.
+    """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted(set(rows.approxQuantile(order[0], [k / parts for k in range(1, parts)], 0.5 / parts)))
-    part = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(order[0]).cast("double"))) if bounds else F.lit(0)
-    return rows.withColumn("_part", part)
+    ids = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    placed = cut(ids, "placed")
+    return placed.withColumns({"_part": F.shiftright("_id", _PLACE), "_k": F.col("_id").bitwiseAND((1 << _PLACE) - 1)}).drop("_id")
 
 
 def _before(f, value: str):
@@ -19,23 +29,41 @@ def _before(f, value: str):
     return f(value).over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
 
 
-def global_rank(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rank`` 1, 2, .. over all rows by ``order``, whose first column is a number.
+def global_rank(rows: DataFrame, order: Sequence) -> DataFrame:
+    """``rank`` 1, 2, .. over all rows by ``order``.
 
     Each range is ranked by itself and shifted by the counts before it, so no task sees all rows.
     """
-    cut = _ranges(rows, order)
-    shift = cut.groupBy("_part").count().select("_part", F.coalesce(_before(F.sum, "count"), F.lit(0)).alias("_before"))
-    ranked = cut.withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(*order)).cast("long"))
-    return ranked.join(F.broadcast(shift), "_part").withColumn("rank", F.col("_k") + F.col("_before")).drop("_part", "_k", "_before")
+    placed = _placed(rows, order)
+    shift = placed.groupBy("_part").count().select("_part", F.coalesce(_before(F.sum, "count"), F.lit(0)).alias("_before"))
+    return placed.join(F.broadcast(shift), "_part").withColumn("rank", F.col("_k") + F.col("_before") + 1).drop("_part", "_k", "_before")
 
 
-def running_max(rows: DataFrame, order: list[str], value: str, name: str, last: int = 0) -> DataFrame:
+def running_max(rows: DataFrame, order: Sequence, value: str, name: str, last: int = 0) -> DataFrame:
     """``name``: highest ``value`` so far over all rows by ``order``, ranges first as in ``global_rank``; nulls are passed over, and with ``last`` -1 so is the row itself."""
-    cut = _ranges(rows, order)
-    tops = cut.groupBy("_part").agg(F.max(value).alias("_top")).select("_part", _before(F.max, "_top").alias("_before"))
-    inside = F.max(value).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, last))
-    return cut.withColumn("_k", inside).join(F.broadcast(tops), "_part").withColumn(name, F.greatest("_k", "_before")).drop("_part", "_k", "_before")
+    placed = _placed(rows, order)
+    tops = placed.groupBy("_part").agg(F.max(value).alias("_top")).select("_part", _before(F.max, "_top").alias("_before"))
+    inside = F.max(value).over(Window.partitionBy("_part").orderBy("_k").rowsBetween(Window.unboundedPreceding, last))
+    return placed.withColumn("_m", inside).join(F.broadcast(tops), "_part").withColumn(name, F.greatest("_m", "_before")).drop("_part", "_k", "_m", "_before")
+
+
+def percentiles(rows: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float]) -> DataFrame:
+    """``keys`` with n, mean and a column for each share in ``wanted``, linear between the two rows around it.
+
+    Nulls aren't counted. Rows are ranked over (keys, value) by range, so a key that holds most rows is split; of the ranked rows only
+    the two around each share are joined.
+    """
+    keys = list(keys)
+    ranked = global_rank(rows.where(F.col(value).isNotNull()).select(*keys, value), [*keys, value])
+    group = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.min("rank").alias("_first"))
+    at = group.select(*keys, "n", "_first", F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.lit(float(q)).alias("q")) for c, q in wanted.items()])).alias("_q"))
+    at = at.withColumn("_at", (F.col("n") - 1) * F.col("_q.q"))
+    ends = at.select(*keys, F.col("_q.c").alias("_c"), F.expr("_at - floor(_at)").alias("_share"), F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))).alias("_place"), "_first")
+    ends = ends.withColumn("rank", F.col("_first") + F.col("_place"))
+    near = ranked.select("rank", F.col(value).alias("_v")).join(ends, "rank")  # a rank is one row over all keys
+    flat = near.groupBy(*keys).pivot("_c", list(wanted)).agg(F.min_by("_v", "_place") + (F.max_by("_v", "_place") - F.min_by("_v", "_place")) * F.max("_share"))
+    left = group.drop("_first").alias("g")
+    return left.join(flat.alias("f"), [F.col(f"g.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]).select("g.*", *[f"f.{c}" for c in wanted])
 
 
 def latest(rows: DataFrame, keys: list[str], arrival: str) -> DataFrame:
@@ -47,6 +75,12 @@ def top_k(rows: DataFrame, keys: list[str], order: list, k: int) -> DataFrame:
     return rows.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_k") <= k).drop("_k")
 
 
+def next_step(records: DataFrame, history: DataFrame, key: str, step: str = "step") -> DataFrame:
+    """``key`` of each record with next_step: the highest step of its history and one, 0 where it has none."""
+    last = history.groupBy(key).agg(F.max(step).alias("_last"))
+    return records.select(key).join(last, key, "left").select(key, (F.coalesce("_last", F.lit(-1)) + 1).cast("long").alias("next_step"))
+
+
 def sliding_mean(events: DataFrame, key: str, ts: str, value: str, window_ms: int) -> DataFrame:
     """Mean of ``value`` over the key's rows of the last ``window_ms``, both ends in; rows are unique and in order."""
     w = Window.partitionBy(key).orderBy(ts).rangeBetween(-window_ms, 0)

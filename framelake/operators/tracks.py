@@ -17,9 +17,21 @@ def slice_labels(boxes: DataFrame, width: int, height: int, side: int, least: fl
     return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
+def six_digits(x: Column) -> Column:
+    """A number in six significant digits without trailing zeros, with an exponent of two digits below 1e-4 and from 1e6 on."""
+    parts = F.split(F.format_string("%.5e", x.cast("double")), "e")
+    power = parts[1].cast("int")
+    strip = lambda s: F.regexp_replace(s, r"\.?0+$", "")
+    plain = F.coalesce(*[F.when(power == k, F.format_string(f"%.{5 - k}f", x.cast("double"))) for k in range(-4, 6)])
+    plain = F.when(F.contains(plain, F.lit(".")), strip(plain)).otherwise(plain)
+    small = F.concat(strip(parts[0]), F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    return F.when(x == 0, "0").otherwise(F.coalesce(plain, small))
+
+
 def annotation_line(conf: Column, track: Column) -> Column:
-    """frame,track,x1,y1,w,h,conf,category,-1,-1 with two decimals for pixels; track -1 where there is none."""
-    return F.format_string("%d,%d,%.2f,%.2f,%.2f,%.2f,%s,%d,-1,-1", "frame_index", F.coalesce(track, F.lit(-1)), *[F.expr(f"cast({e} as double)") for e in ("x1", "y1", "x2 - x1", "y2 - y1")], conf.cast("string"), "category")
+    """frame,track,x1,y1,w,h,conf,category,-1,-1 with two decimals for pixels and six digits for the confidence; track -1 where there is none."""
+    px = [F.expr(f"bround(cast({e} as double), 2)") for e in ("x1", "y1", "x2 - x1", "y2 - y1")]  # halves to even, as the rule has it
+    return F.format_string("%d,%d,%.2f,%.2f,%.2f,%.2f,%s,%d,-1,-1", "frame_index", F.coalesce(track, F.lit(-1)), *px, six_digits(conf), "category")
 
 
 def variant_parts(slug: Column) -> list[Column]:
@@ -51,6 +63,23 @@ def stamp(source_hash: Column, **params: Column) -> Column:
     return F.sha2(F.concat(F.lit('{"params":{'), F.concat_ws(",", *parts), F.lit('},"source":"'), source_hash, F.lit('"}')), 256)
 
 
+def gate(candidates: DataFrame, champions: DataFrame, floors: dict[str, float], primary: str, margin: float) -> DataFrame:
+    """``candidates`` (name and a column for each metric) with <metric>_ok, champion, challenger_ok and passed.
+
+    A metric that is missing counts as 0. The challenger must reach the champion (name, champion) in ``primary`` by ``margin``; it
+    wins where there is none.
+    """
+    both = candidates.join(champions, "name", "left")
+    both = both.withColumns({f"{m}_ok": F.coalesce(F.col(m), F.lit(0.0)) >= v for m, v in floors.items()})
+    both = both.withColumn("challenger_ok", F.col("champion").isNull() | (F.coalesce(F.col(primary), F.lit(0.0)) >= F.col("champion") + margin))
+    return both.withColumn("passed", F.expr(" and ".join([*(f"{m}_ok" for m in floors), "challenger_ok"])))
+
+
+def is_current(made: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """``made`` (key, stamp) with ``current``: whether ``stored`` (key, stored) holds the same stamp; one that is missing or null doesn't."""
+    return made.join(stored, key, "left").withColumn("current", F.coalesce(F.col("stored") == F.col("stamp"), F.lit(False))).drop("stored")
+
+
 def footage_spans(rows: DataFrame, window: str) -> DataFrame:
     """first, last and n_frames of each sequence in a window, and the text seq/first-last."""
     out = rows.groupBy(window, "sequence").agg(F.min("frame_index").alias("first"), F.max("frame_index").alias("last"), F.count(F.lit(1)).alias("n_frames"), F.min("arrival").alias("since"))

@@ -9,6 +9,7 @@ from framelake.operators import matching as M
 from framelake.operators import scores as S
 from framelake.plans.registered import KEY, query, r6
 from framelake.sources.adapters import view
+from framelake.sources.scratch import cut
 
 FRAME = "sequence, frame_index"
 BOTH_SQL = "select sequence, frame_index, cls, x1, y1, x2, y2, conf from det union all select sequence, frame_index, cls, x1, y1, x2, y2, 0.5::double from gt"
@@ -136,13 +137,18 @@ def E10_greedy_matching(spark, sf_dir):
 union all select * from (select 'miss' as kind, {ROWS} from m where not hit order by conf desc, sequence, frame_index, cls, x1, y1 limit 20)""")
 def E15_worst_cases(spark, sf_dir):
     """A top-k report: least sure hits, most sure misses."""
-    m = M.match(view(spark, sf_dir, "det"), view(spark, sf_dir, "gt"), [*KEY, "cls"])
+    m = matched(view(spark, sf_dir, "det"), view(spark, sf_dir, "gt"), (0.5,))
     cols = ["sequence", "frame_index", "cls", "x1", "y1", "conf"]
     tie = [*KEY, "cls", "x1", "y1"]
     low = m.where("hit").select(F.lit("hit").alias("kind"), *cols).orderBy("conf", *tie).limit(20)
     return low.unionByName(m.where("not hit").select(F.lit("miss").alias("kind"), *cols).orderBy(F.col("conf").desc(), *tie).limit(20))
 
 
+def matched(det: DataFrame, gt: DataFrame, thresholds=M.COCO_THRESHOLDS) -> DataFrame:
+    """The matches, written once for all that is read off them."""
+    return cut(M.match(det, gt, [*KEY, "cls"], thresholds), "matched")
+
+
 MAPS = "round(coalesce(max(ap) filter (abs(t - 0.5) < 1e-9), 0), 6) as map50, round(coalesce(max(ap) filter (abs(t - 0.75) < 1e-9), 0), 6) as map75, round(coalesce(sum(ap), 0) / 10, 6) as map"
 
 
@@ -152,23 +158,23 @@ select *, round(b.conf, 6) as conf_f1, round(b.p, 6) as precision, round(b.r, 6)
 from (select cls, n_gt, {MAPS} from n left join ap using (cls) group by all) join b using (cls)""".replace("select *, round(b.conf", "select cls, n_gt, map50, map75, map, round(b.conf"))
 def D20_average_precision(spark, sf_dir):
     det, gt = view(spark, sf_dir, "det"), view(spark, sf_dir, "gt")
-    out = M.average_precision(M.match(det, gt, [*KEY, "cls"], M.COCO_THRESHOLDS), gt)
+    out = M.average_precision(matched(det, gt), gt, n_thresholds=len(M.COCO_THRESHOLDS))
     return r6(out, "map50", "map75", "map", "conf_f1", "precision", "recall", "floor_precision", "floor_recall")
 
 
 @query(f"with recursive {duck_ap(M.COCO_THRESHOLDS, small=True)} select cls, n_gt, {MAPS} from n left join ap using (cls) group by all")
 def D21_small_objects(spark, sf_dir):
     gt = M.small_ignored(view(spark, sf_dir, "gt"))
-    m = M.ignore_large_misses(M.match(view(spark, sf_dir, "det"), gt, [*KEY, "cls"], M.COCO_THRESHOLDS))
-    return r6(M.average_precision(m, gt).select("cls", "n_gt", "map50", "map75", "map"), "map50", "map75", "map")
+    m = M.ignore_large_misses(matched(view(spark, sf_dir, "det"), gt))
+    return r6(M.average_precision(m, gt, n_thresholds=len(M.COCO_THRESHOLDS)).select("cls", "n_gt", "map50", "map75", "map"), "map50", "map75", "map")
 
 
 @query(f"with recursive {duck_ap(M.COCO_THRESHOLDS, 'resolution, cls')} select resolution, cls, n_gt, {MAPS} from n left join ap using (resolution, cls) group by all")
 def D23_precision_by_group(spark, sf_dir):
     group = F.expr(GROUP_SQL)
     gt = view(spark, sf_dir, "gt").withColumn("resolution", group)
-    m = M.match(view(spark, sf_dir, "det"), gt, [*KEY, "cls"], M.COCO_THRESHOLDS).withColumn("resolution", group)
-    return r6(M.average_precision(m, gt, ["resolution", "cls"]).select("resolution", "cls", "n_gt", "map50", "map75", "map"), "map50", "map75", "map")
+    m = matched(view(spark, sf_dir, "det"), gt).withColumn("resolution", group)
+    return r6(M.average_precision(m, gt, ["resolution", "cls"], n_thresholds=len(M.COCO_THRESHOLDS)).select("resolution", "cls", "n_gt", "map50", "map75", "map"), "map50", "map75", "map")
 
 
 TALL = "(select * from gt where y2 - y1 >= 8)"
@@ -181,7 +187,7 @@ def C15_two_rules(spark, sf_dir):
     det, gt = view(spark, sf_dir, "det"), view(spark, sf_dir, "gt")
     each = []
     for rule, true in (("all", gt), ("tall", gt.where("y2 - y1 >= 8"))):
-        ap = M.average_precision(M.match(det, true, [*KEY, "cls"]), true)
+        ap = M.average_precision(matched(det, true, (0.5,)), true, n_thresholds=1)
         each.append(r6(ap, "map50").select(F.lit(rule).alias("rule"), "cls", "n_gt", "map50"))
     return each[0].unionByName(each[1])
 

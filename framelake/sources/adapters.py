@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPARK = {
-    "ann": ("lineitem", """select concat('seq', lpad(cast(l_suppkey % 20 as string), 2, '0')) as sequence, 1 + l_orderkey % 200 as frame_index, l_partkey % 50 as target_id,
+    "ann": ("lineitem", """select concat('seq', lpad(cast(l_suppkey % 20 as string), 2, '0')) as sequence, 1 + cast(floor(l_orderkey / 75) as bigint) as frame_index, l_partkey % 50 as target_id,
       l_partkey % 1300 as bbox_left, (l_orderkey * 7) % 740 as bbox_top, 1 + cast(l_quantity as bigint) as bbox_width, l_partkey % 40 as bbox_height,
       case when l_discount = 0 then 0 else 1 end as score, l_partkey % 12 as category, l_linenumber as line_no from {t}"""),
     "ev": ("events", """select concat('cam', cast(user_id % 4 as string)) as sequence, event_id as frame_index, event_id as arrival, unix_millis(cast(ts as timestamp)) as ts_ms,

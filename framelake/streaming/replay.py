@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if base is None:  # tests and local runs only
-        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoint"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from framelake.sources.scratch import new_path
 
 
 def as_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -28,8 +21,8 @@ def as_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: in
 def drain(stream: DataFrame, name: str) -> DataFrame:
     """All that ``stream`` gives for what its source holds now, written and read back."""
     spark = stream.sparkSession
-    path = scratch(spark, name)
-    job = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", scratch(spark, f"{name}-state")).trigger(availableNow=True).start(path)
+    path = new_path(spark, name)
+    job = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", new_path(spark, f"{name}-state")).trigger(availableNow=True).start(path)
     job.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 
