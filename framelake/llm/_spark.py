@@ -2,39 +2,23 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from framelake.sources.scratch import cleanup, cut, new_path, shared_dir  # noqa: F401  the operators take them from here
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; ``spark.checkpoint.dir`` where set, else one of our own (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "/tmp/checkpoints/framelake"
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends in files that survive lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
+def text_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1,000 rows where the session has Spark's default of 10,000, which texts of a whole table may not fit in memory with.
 
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    The registered queries call this at their start; who calls the operators sets the size in the session's builder.
+    """
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "1000")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of texts. Arrow batches of 10,000 texts, Spark's default, take memory that two tasks a core group may not have."""
-    if spark.conf.get(BATCH) == "10000":
-        spark.conf.set(BATCH, "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -80,20 +80,40 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse; tables for up to two chunks are kept, longer ones made for the call."""
     global _powers
-    if len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        out = []
-        for base in (_BASE, pow(_BASE, -1, 2**64)):
-            p = np.full(size, base, U64)
-            p[0] = 1
-            out.append(np.cumprod(p))
+    if len(_powers[0]) >= n:
+        return _powers
+    size = max(n, 2 * CHUNK_BYTES + 1)
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 2**64)):
+        p = np.full(size, base, U64)
+        p[0] = 1
+        out.append(np.cumprod(p))
+    if size == 2 * CHUNK_BYTES + 1:
         _powers = tuple(out)
-    return _powers
+    return tuple(out)
 
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span's bytes: a polynomial over a table of random values, read off running sums."""
+    """64-bit hash of each span's bytes: a polynomial over a table of random values, read off running sums.
+
+    ``starts`` ascend. Longer data goes by stretches of about a chunk, so tables and sums stay small next to a long text;
+    only a single span of more bytes needs tables of its length, which aren't kept.
+    """
+    n = len(data)
+    if n > 2 * CHUNK_BYTES and len(starts):
+        out, at = [], 0
+        while at < len(starts):
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + CHUNK_BYTES)))
+            low, high = int(starts[at]), int(ends[at:to].max())
+            out.append(_span_hash(data[low:high], starts[at:to] - low, ends[at:to] - low))
+            at = to
+        return np.concatenate(out)
+    return _span_hash(data, starts, ends)
+
+
+def _span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     n = len(data)
     power, inverse = _power(n + 1)
     total = np.zeros(n + 1, U64)

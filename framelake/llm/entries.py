@@ -7,11 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.llm import chat, decontam, html, mixing, neardup, quality, secrets, sharding, tokens, toxicity
-from framelake.llm._spark import cut, table
+from framelake.llm._spark import cut, new_path, text_batches
+from framelake.llm._spark import table as read
+
+SHARD_BYTES = 64 << 10  # so small that buckets split at every scale of the tables
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text_batches(spark)
+    return read(spark, sf_dir, name)
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "shard", "depth", "bytes")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs, SHARD_BYTES).select("doc_id", "shard", "depth", "bytes")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,4 +70,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_html_extraction, op4_toxicity, op5_token_ids, op6_chat_formatting, op7_quality_rules, op8_minhash, op9_secret_scans, op10_decontamination)}
 
-ORACLES = {"op1_sharding": sharding.oracle(), "op2_mixing": mixing.ORACLE}
+ORACLES = {"op1_sharding": sharding.oracle(SHARD_BYTES), "op2_mixing": mixing.ORACLE}

@@ -13,6 +13,7 @@ Scale: pages are parsed and judged one Arrow batch at a time, without a shuffle.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from dataclasses import dataclass, field
@@ -24,10 +25,13 @@ from pyspark.sql import functions as F
 
 SAMPLE = 200  # pages that a model is fitted on, at most
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>""", re.S)
+#: a tag without angle brackets in its attributes, so a try ends at the next bracket; others go through ``_Tags``
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+')*+)>""")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_QUOTE = re.compile(r"""["'>]""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|data-main|data-rest|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 #: fixed values: elements by their part in a page
-RAW = frozenset("script style xmp iframe noembed noframes noscript template svg math textarea title select datalist object canvas audio video".split())
+RAW = frozenset("script style template textarea title select datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption legend".split())
 REST_TAGS = frozenset("nav aside footer header form menu dialog search fieldset".split())
@@ -61,7 +65,7 @@ class Page:
     hints: list[tuple] = field(default_factory=list)  # (main word, rest word, hidden, data-main, data-rest)
     own: list[int] = field(default_factory=list)  # characters
     linked: list[int] = field(default_factory=list)
-    blocks: list[tuple[int, str]] = field(default_factory=list)
+    blocks: list[list[tuple[int, str]]] = field(default_factory=list)  # pieces of (node, text): an inline element may be a node of its own
 
 
 _hints: dict[str, tuple] = {}
@@ -88,115 +92,162 @@ def _hint(attributes: str) -> tuple:
     return got
 
 
+class _Tags:
+    """Where tags with brackets in quoted attributes end: the first > outside quotes, else the first > at all.
+
+    Read from the last quote or bracket to the first, once for a page, so that no text, however odd, is scanned again and again.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.at, self.end = text, None, None
+
+    def stop(self, start: int) -> int:
+        """The position of the > that ends the tag whose name ends at ``start``, -1 where none does."""
+        if self.at is None:
+            marks = [(m.start(), m[0]) for m in _QUOTE.finditer(self.text)]
+            end, again = [-1] * (len(marks) + 1), {'"': -1, "'": -1}
+            for j in range(len(marks) - 1, -1, -1):
+                where, what = marks[j]
+                if what == ">":
+                    end[j] = where
+                else:
+                    end[j] = end[again[what] + 1] if again[what] >= 0 else -1
+                    again[what] = j
+            self.at, self.end = [w for w, _ in marks], end
+        j = bisect.bisect_left(self.at, start)
+        return self.end[j] if self.end[j] >= 0 else self.text.find(">", start)
+
+
+def _tokens(text: str):
+    """(start, end, name, whether it ends an element, attributes) of each piece of markup; no name for comments and declarations."""
+    at, tags, closed = 0, _Tags(text), True
+    while (at := text.find("<", at)) >= 0:
+        if m := _TAG.match(text, at):
+            at = (yield at, m.end(), m[2].lower(), bool(m[1]), m[3]) or m.end()
+            continue
+        if text.startswith("<!--", at):
+            stop = text.find("-->", at + 4)
+            at = (yield at, len(text) if stop < 0 else stop + 3, "", False, "") or (len(text) if stop < 0 else stop + 3)
+            continue
+        m = _NAME.match(text, at)
+        if closed and (m or text[at + 1 : at + 2] in ("!", "?", "/")):
+            stop = tags.stop(m.end()) if m else text.find(">", at)
+            if stop >= 0:
+                at = (yield at, stop + 1, m[2].lower() if m else "", bool(m and m[1]), text[m.end() : stop] if m else "") or stop + 1
+                continue
+            closed = False  # no > from here on
+        at += 1
+
+
 def parse(text: str) -> Page:
-    """A forgiving reader: implied ends of p, li, dt, dd, tr and td; stray ends ignored; what is open at the end closes there."""
+    """A forgiving reader: implied ends of p, li, dt, dd, tr and td; stray ends ignored; what is open at the end closes there.
+
+    Its time grows with the text, whatever that is: elements by name are kept with their depth, and no end tag is looked for twice.
+    """
     page = Page([-1], ["html"], [(False,) * 5], [0], [0], [])
     stack: list[tuple[str, int]] = [("html", 0)]  # (tag, node that text goes to)
-    opened = {"html": 1}
-    run: list[str] = []
+    opened: dict[str, list[int]] = {"html": [0]}  # depths
+    run: list[tuple[int, str]] = []
     links = 0
+    endless: set[str] = set()
 
     def flush() -> None:
-        words = " ".join("".join(run).split())
+        pieces = [(node, piece) for node, piece in run if piece]
         run.clear()
-        if words:
-            page.blocks.append((stack[-1][1], words))
-            page.own[stack[-1][1]] += len(words)
-
-    def say(a: int, b: int) -> None:
-        if b > a:
-            piece = text[a:b]
-            if "&" in piece:
+        if any(not piece.isspace() for _, piece in pieces):
+            page.blocks.append(pieces)
+            for node, piece in pieces:
+                page.own[node] += len(" ".join(piece.split()))
+
+    def say(piece: str, literal: bool = False) -> None:
+        if piece:
+            if not literal and "&" in piece:
                 piece = html.unescape(piece)
-            run.append(piece)
+            run.append((stack[-1][1], piece))
             if links:
                 page.linked[stack[-1][1]] += len(piece)
 
     def close(depth: int) -> None:
         nonlocal links
         while len(stack) > depth:
-            name, node = stack[-1]
-            if name in BLOCK or (len(stack) > 1 and stack[-2][1] != node):
+            name, _ = stack[-1]
+            if name in BLOCK:
                 flush()
             stack.pop()
-            opened[name] -= 1
+            opened[name].pop()
             links -= name == "a"
 
-    def last(names: str | tuple, stop: tuple = ()) -> int:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                return i
-            if stack[i][0] in stop:
-                return 0
-        return 0
-
-    at, in_head, size = 0, False, len(text)
-    while at < size:
-        m = _TOKEN.search(text, at)
-        if not m:
-            break
+    def last(names: tuple, stop: tuple = ()) -> int:
+        """The depth of the innermost open element of ``names``, 0 where one of ``stop`` is further in."""
+        deep = max((opened[n][-1] for n in names if opened.get(n)), default=0)
+        return 0 if any(opened[n][-1] > deep for n in stop if opened.get(n)) else deep
+
+    at, in_head = 0, False
+    tokens = _tokens(text)
+    token = next(tokens, None)
+    while token:
+        start, end, name, ends, attributes = token
         if not in_head:
-            say(at, m.start())
-        at = m.end()
-        name = m[2] or m[5]
+            say(text[at:start])
+        at, skip = end, None
         if not name:
-            continue
-        name, ends, attributes = name.lower(), bool(m[1] or m[4]), (m[3] or m[6] or "")
-        if ends:
+            pass
+        elif ends:
             if name == "head":
                 in_head = False
             elif opened.get(name):
                 close(last((name,)) or len(stack))
-            continue
-        if name in RAW:  # up to its end tag nothing is markup, and none of it is main text
-            stop = re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I).search(text, at)
-            at = stop.end() if stop else (size if name in ("script", "style") else at)
-            if name not in ("title",) and not in_head:
-                run.append(" ")
-            continue
-        if name == "head":
+        elif name in RAW or name == "xmp":  # up to its end tag nothing is markup
+            stop = None if name in endless else re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I).search(text, at)
+            if stop:
+                at = skip = stop.end()
+                if name == "xmp" and not in_head:
+                    flush()
+                    say(text[end : stop.start()], True)
+                    flush()
+            else:
+                endless.add(name)
+                if name in ("script", "style"):
+                    at = skip = len(text)
+            if name != "title" and not in_head:
+                run.append((stack[-1][1], " "))
+        elif name == "head":
             in_head = True
-            continue
-        if name in ("html", "body"):
+        elif name in ("html", "body"):
             in_head = False
-            continue
-        if name in VOID:
-            if name in ("br", "hr", "wbr", "img", "input"):
-                if name == "hr":
-                    flush()
-                elif name != "wbr":
-                    run.append(" ")
-            continue
-        if in_head and name not in ("base",):
+        elif name in VOID:
+            if name == "hr":
+                flush()
+            elif name in ("br", "img", "input"):
+                run.append((stack[-1][1], " "))
+        else:
             in_head = False
-        if name in CLOSES_P and opened.get("p"):
-            i = last(("p",), ("table", "td", "th", "button"))
-            if i:
-                close(i)
-        if name in IMPLIED:
-            names, stop = IMPLIED[name]
-            i = last(tuple(names.split()), stop)
-            if i:
-                while (j := last(tuple(names.split()), stop)) and j < i:
-                    i = j
-                close(i)
-        hint = _hint(attributes) if attributes and not attributes.isspace() else (False,) * 5
-        node = stack[-1][1]
-        if name in BLOCK or hint[1] or hint[2]:
-            flush()
-            page.parent.append(node)
-            page.tag.append(name)
-            page.hints.append(hint)
-            page.own.append(0)
-            page.linked.append(0)
-            node = len(page.parent) - 1
-        if attributes.endswith("/") and name not in BLOCK:
-            continue
-        stack.append((name, node))
-        opened[name] = opened.get(name, 0) + 1
-        links += name == "a"
+            if name in CLOSES_P and opened.get("p"):
+                if i := last(("p",), ("table", "td", "th", "button")):
+                    close(i)
+            if name in IMPLIED:
+                names, stops = IMPLIED[name]
+                names = tuple(names.split())
+                while i := last(names, stops):  # of tr and td both may be open
+                    close(i)
+            hint = _hint(attributes) if attributes and not attributes.isspace() else (False,) * 5
+            node = stack[-1][1]
+            if name in BLOCK:
+                flush()
+            if name in BLOCK or hint[1] or hint[2]:
+                page.parent.append(node)
+                page.tag.append(name)
+                page.hints.append(hint)
+                page.own.append(0)
+                page.linked.append(0)
+                node = len(page.parent) - 1
+            if not attributes.endswith("/") or name in BLOCK:
+                opened.setdefault(name, []).append(len(stack))
+                stack.append((name, node))
+                links += name == "a"
+        token = tokens.send(skip) if skip else next(tokens, None)
     if not in_head:
-        say(at, size)
+        say(text[at:])
     close(1)
     flush()
     return page
@@ -210,8 +261,9 @@ def features(page: Page) -> np.ndarray:
         everything[page.parent[i]] += everything[i]
         all_linked[page.parent[i]] += all_linked[i]
     sentence = np.zeros(n)
-    for node, words in page.blocks:
-        sentence[node] = max(sentence[node], float(len(words) > 25 and any(c in words for c in ".!?;:。")))
+    for pieces in page.blocks:
+        for node, words in pieces:
+            sentence[node] = max(sentence[node], float(len(words) > 25 and any(c in words for c in ".!?;:。")))
     x = np.zeros((n, len(FEATURES)))
     x[:, 0] = 1
     for i, (tag, h) in enumerate(zip(page.tag, page.hints, strict=True)):
@@ -337,14 +389,18 @@ def train(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id", html_
 
 
 def main_text(page: Page, content: np.ndarray) -> str:
-    return "\n\n".join(words for node, words in page.blocks if content[node] >= 0.5)
+    """The blocks' pieces whose node is content, white space inside a block as one space, blocks joined by a blank line."""
+    blocks = (" ".join("".join(piece for node, piece in pieces if content[node] >= 0.5).split()) for pieces in page.blocks)
+    return "\n\n".join(b for b in blocks if b)
 
 
 def extract(pages: DataFrame, model: Model, columns: tuple[str, ...] = ("page_id", "url"), html_col: str = "html") -> DataFrame:
     """``columns`` of each row of ``pages`` with text (blocks of main text joined by a blank line, else empty) and n_chars.
 
     Null and empty pages have no text. Pages are read whole, however long; rows, repeated or with
-    null ids, each get their text. A new column whose name is among ``columns`` takes a leading
+    null ids, each get their text. Scripts, styles, templates, titles and form choices hold no text; that of formulas,
+    drawings, fallbacks (noscript, object, video ...) and xmp is judged as any other. An inline element that isn't main text
+    doesn't cut its block. A new column whose name is among ``columns`` takes a leading
     underscore; other columns of ``pages`` are ignored.
     """
     from pyspark.sql.types import LongType, StringType, StructField, StructType
