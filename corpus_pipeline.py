@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.llm import decontam, mixing, neardup, tokens, toxicity
-from framelake.llm._spark import fresh, new_path, table
+from framelake.llm._spark import fresh, new_path, table, text_batches
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,6 +48,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, over all of ``documents``."""
+    text_batches(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = new_path(spark, f"pipeline-{name}")
