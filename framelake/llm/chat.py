@@ -5,9 +5,10 @@ roles and texts get a backslash after their first character and a backslash is d
 control string is left whole and ``unescape`` gives back what was there.
 
 Each Arrow batch is assembled at once: segment lengths, their running sums and scatter indices in
-numpy, then one copy of all headers and contents into one buffer. Scale: rows are dealt out and
-sorted by conversation and turn; a conversation longer than a batch comes as several pieces in
-order, so memory holds a batch however long a conversation is.
+numpy, then one copy of all headers and contents into one buffer. Scale: rows are dealt out by range of
+conversation and turn and sorted; a conversation longer than a batch or than a range comes as several
+pieces with ascending numbers, so memory holds a batch however long a conversation is, and no conversation has to
+go through one task.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: fixed values: control strings of this template and of common others
 CONTROL = (TURN, TEXT, END, "<|im_start|>", "<|im_end|>", "<|endoftext|>", "<|startoftext|>", "<s>", "</s>", "<unk>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 _PARSE = re.compile(re.escape(TURN) + "(.*?)" + re.escape(TEXT) + "(.*?)" + re.escape(END), re.S)
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def escape(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +78,10 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
 
 
 def _pieces(batches):
-    last, piece = object(), 0
+    from pyspark import TaskContext
+
+    last, first = object(), TaskContext.get().partitionId() << 40  # pieces of later ranges have higher numbers
+    piece = first
     for b in batches:
         m = b.num_rows
         if not m:
@@ -90,7 +93,7 @@ def _pieces(batches):
         edge = [i for i in range(m) if i == 0 or ids[i] != ids[i - 1]] + [m]
         conv, number, turns, begin, end = [], [], [], [], []
         for i, j in zip(edge[:-1], edge[1:], strict=True):
-            piece = piece + 1 if ids[i] == last else 0
+            piece = piece + 1 if ids[i] == last else first
             last = ids[i]
             conv.append(ids[i])
             number.append(piece)
@@ -107,15 +110,17 @@ def _pieces(batches):
 def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, piece, n_turns, formatted, loss_starts, loss_ends): the turns of each conversation in order.
 
-    A conversation has one piece, or several that follow each other where it is longer than an
-    Arrow batch; a turn is never cut. loss_starts and loss_ends are code points of the piece and
+    A conversation has one piece, or several in ascending order of ``piece`` where it is longer than an
+    Arrow batch or lies on the edge of two ranges; a turn is never cut. loss_starts and loss_ends are code points of the piece and
     cover each assistant text as escaped. Null roles and texts count as empty; rows of a null
     conversation form one; turns that share a number go by role, then text, nulls first; repeated
     rows each count. Only roles spelled "assistant" are under the mask. Other columns are ignored.
     """
     rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     kind = rows.schema["conv"].dataType.simpleString()
-    rows = rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
+    parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["conv", "turn", "role", "text"]
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("conv", "role", "text")
     return rows.mapInArrow(_pieces, f"conv_id {kind}, piece bigint, n_turns bigint, formatted string, loss_starts array<bigint>, loss_ends array<bigint>")
 
 
@@ -125,8 +130,7 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 def _digests(batches):
-    state = None
-    kind = None
+    state = kind = None
 
     def row():
         conv, n, all_, chars, loss, size = state
@@ -135,8 +139,8 @@ def _digests(batches):
     for b in batches:
         kind = b.column("conv_id").type
         done = []
-        for conv, piece, formatted, starts, ends in zip(*(b.column(c).to_pylist() for c in ("conv_id", "piece", "formatted", "loss_starts", "loss_ends")), strict=True):
-            if piece == 0:
+        for conv, formatted, starts, ends in zip(*(b.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_starts", "loss_ends")), strict=True):
+            if state is None or conv != state[0]:
                 if state:
                     done.append(row())
                 state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
@@ -155,6 +159,27 @@ def _digests(batches):
 
 
 def digests(chats: DataFrame) -> DataFrame:
-    """What the formatted conversations hold, read back from them: one row each. ``chats`` comes straight from ``format_chats``."""
+    """What the formatted conversations hold, read back from them: one row each, whatever the order of ``chats``.
+
+    A digest covers a whole conversation, so its pieces go through one task in order; they are streamed, never gathered.
+    """
     kind = chats.schema["conv_id"].dataType.simpleString()
-    return chats.select("conv_id", "piece", "formatted", "loss_starts", "loss_ends").mapInArrow(_digests, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+    rows = chats.select("conv_id", "piece", "formatted", "loss_starts", "loss_ends").repartition("conv_id").sortWithinPartitions("conv_id", "piece")
+    return rows.mapInArrow(_digests, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+
+
+def oracle(hard: str) -> str:
+    """DuckDB SQL for the digests of ``conversations`` and of conversation -1, whose two turns say ``hard``."""
+
+    def size(c: str) -> str:  # each control string and each backslash adds one character
+        each = " + ".join(f"(length({c}) - length(replace({c}, '{x}', ''))) // {len(x)}" for x in CONTROL)
+        return f"length({c}) + length({c}) - length(replace({c}, chr(92), '')) + {each}"
+
+    return f"""
+    WITH t AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL VALUES (-1, 0, 'user', '{hard}'), (-1, 1, 'assistant', '{hard}')),
+    e AS (SELECT conv_id, turn, role AS o1, text AS o2, coalesce(role, '') AS role, coalesce(text, '') AS text FROM t)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, o1 NULLS FIRST, o2 NULLS FIRST)) AS turns_sha256,
+      CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, o1 NULLS FIRST, o2 NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      CAST(sum({len(TURN + TEXT + END)} + {size('role')} + {size('text')}) AS BIGINT) AS formatted_chars
+    FROM e GROUP BY conv_id"""

@@ -5,12 +5,14 @@ within k + 1 neighbouring diagonals. Every stretch of ``PROBE`` bytes of an item
 starts: positions of a document whose q-gram occurs in an item are put into diagonal bands of the
 item, bands of 2k + 2 diagonals overlapping by half so that no run of k + 1 falls between two, and a
 band's hits in the order of their place in the item show which stretches reach the bound. These are
-verified by bit-parallel alignment with the band's region.
+verified by alignment within the band: a row of it holds the band's diagonals and k more on either side. Items that
+allow no edit must stand between letters and digits of their own; those of fewer than ``Q`` bytes are looked for by name.
 
 Texts are compared after lower-casing A-Z and turning runs of ASCII white space into one space.
 
-Scale: one pass over the documents without a shuffle. The benchmark is dealt into blocks of at most
-``BLOCK_BYTES``; each block's q-grams are sent to the executors and meet all documents.
+Scale: one pass over the documents without a shuffle where the benchmark has up to ``PASS_BLOCKS`` blocks of
+``BLOCK_BYTES``, whose q-grams are sent to the executors. A larger one goes by groups of as many blocks, a job each that
+writes the hits only; they meet the documents by a hash of id and text.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ U64 = np.uint64
 Q = 10
 PROBE = 120
 EDITS = 20  # one edit for so many characters of a stretch
-LEAST = 32  # an item of fewer bytes must be found whole and unchanged; below Q bytes it tells nothing
 BLOCK_BYTES = 4 << 20
+PASS_BLOCKS = 4
 TABLE_BITS = 22
 
 
@@ -73,11 +75,24 @@ class Probes:
     place: np.ndarray
     table: np.ndarray
     passes: list[tuple[int, int]]  # (window, least hits) that a region needs, for groups of stretch lengths
+    short: list[tuple[bytes, object]]  # items of fewer than Q bytes and their ids
 
     @cached_property
     def _stretches(self) -> list[tuple[int, int]]:
         return [(q, a) for q, t in enumerate(self.body) for last in [max(0, len(t) - PROBE)] for a in sorted({*range(0, last + 1, PROBE // 2), last})]
 
+    @cached_property
+    def machine(self):
+        import ahocorasick
+
+        out, items = ahocorasick.Automaton(), {}
+        for t, i in self.short:
+            items.setdefault(t.decode("latin-1"), []).append(i)
+        for t, same in items.items():
+            out.add_word(t, (len(t), same))
+        out.make_automaton()
+        return out
+
     @cached_property
     def text(self) -> list[bytes]:
         return [self.body[q][a : a + PROBE] for q, a in self._stretches]
@@ -92,10 +107,11 @@ class Probes:
 
 
 def probes(items: list[tuple]) -> Probes:
-    both = [(i, t) for i, t in ((i, _one(t or "")) for i, t in items) if len(t) >= Q]
+    every = [(i, t) for i, t in ((i, _one(t or "")) for i, t in items) if t]
+    both, short = [x for x in every if len(x[1]) >= Q], [(t, i) for i, t in every if len(t) < Q]
     ids, body = [i for i, _ in both], [t for _, t in both]
     length = np.minimum(np.array([len(t) for t in body], np.int64), PROBE)
-    most = np.where(length < LEAST, 0, length // EDITS)
+    most = length // EDITS
     bound = np.maximum(1, length + 1 - Q * (most + 1))
     hashes = [grams(np.frombuffer(t, np.uint8)) for t in body]
     key = np.concatenate(hashes) if hashes else np.zeros(0, U64)
@@ -105,31 +121,40 @@ def probes(items: list[tuple]) -> Probes:
     table = np.zeros(1 << TABLE_BITS, bool)
     table[(key >> U64(64 - TABLE_BITS)).astype(np.int64)] = True
     passes = []
-    for low, high in ((Q, LEAST), (LEAST, 60), (60, 90), (90, PROBE), (PROBE, PROBE + 1)):
+    for low, high in ((Q, EDITS), (EDITS, 2 * EDITS), (2 * EDITS, 60), (60, 90), (90, PROBE), (PROBE, PROBE + 1)):
         inside = (length >= low) & (length < high)
         if inside.any():
             passes.append((int((length + most)[inside].max()) - Q + 1, int(bound[inside].min())))
-    return Probes(body, ids, length, most, bound, key[order], entry[order], place[order], table, passes)
+    return Probes(body, ids, length, most, bound, key[order], entry[order], place[order], table, passes, short)
 
 
-def distance(probe: bytes, region: bytes) -> int:
-    """Least edits between the probe and any stretch of the region, by columns of bits."""
-    equal: dict[int, int] = {}
+def distance(probe: bytes, region: bytes, low: int, high: int, k: int) -> int:
+    """Least edits between the probe and a stretch of the region that begins at ``low`` to ``high``; k + 1 where there are more than ``k``.
+
+    Banded: row i of the table holds the cells i + low - k to i + high + k of the region, and no others.
+    """
+    width = high - low + 2 * k + 1
+    cells = np.full(len(probe) + width, -1, np.int16)  # what is no byte of the region equals none of the probe
+    begin, stop = max(0, low - k), min(len(region), low - k + len(cells))
+    if stop > begin:
+        cells[begin - low + k : stop - low + k] = np.frombuffer(region, np.uint8)[begin:stop]
+    at = np.arange(width)
+    row = np.where((at >= k) & (at < width - k), 0, k + 1)  # what begins elsewhere belongs to another band
     for i, c in enumerate(probe):
-        equal[c] = equal.get(c, 0) | 1 << i
-    full, last = (1 << len(probe)) - 1, len(probe) - 1
-    up, down = full, 0  # where a column rises and falls
-    best = now = len(probe)
-    for c in region:
-        eq = equal.get(c, 0)
-        level = eq | down
-        same = (((eq & up) + up) ^ up) | eq
-        right, left = down | ~(same | up) & full, up & same
-        now += (right >> last & 1) - (left >> last & 1)
-        best = min(best, now)
-        right, left = right << 1 & full, left << 1 & full  # a stretch may begin anywhere
-        up, down = left | ~(level | right) & full, right & level
-    return best
+        new = row + (cells[i : i + width] != c)
+        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
+        row = np.minimum.accumulate(new - at) + at
+        if row.min() > k:
+            return k + 1
+    return int(row.min())
+
+
+_ALNUM = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
+
+
+def _apart(text: bytes, start: int, end: int) -> bool:
+    """Whether no letter or digit goes on over either end of the stretch."""
+    return not (start > 0 and _ALNUM[text[start - 1]] and _ALNUM[text[start]]) and not (end < len(text) and _ALNUM[text[end - 1]] and _ALNUM[text[end]])
 
 
 def _candidates(p: Probes, doc: np.ndarray, item: np.ndarray, diagonal: np.ndarray, place: np.ndarray):
@@ -162,12 +187,30 @@ def _regions(body: bytes, text: bytes, at: int, spans: list[tuple[int, int, int]
             continue
         probe = body[a : a + PROBE]
         begin += a - at
-        region = text[max(0, begin - k) : max(0, begin + 2 * (k + 1) + len(probe) + k)]
-        if probe in region or k and distance(probe, region) <= k:
+        if not k:
+            held = any(text[b : b + len(probe)] == probe and _apart(text, b, b + len(probe)) for b in (begin, begin + 1) if b >= 0)
+        else:
+            zero = max(0, begin - k)
+            region = text[zero : max(0, begin + 2 * (k + 1) + len(probe) + k)]
+            held = probe in region or distance(probe, region, begin - zero, begin - zero + 2 * k + 1, k) <= k
+        if held:
             n, free = n + 1, a + PROBE
     return n
 
 
+def _named(data: np.ndarray, offsets: np.ndarray, p: Probes):
+    """(text, item) of each place where a text holds a short item, those that overlap in an item counted once."""
+    raw, free = data.tobytes(), {}
+    hits = ((last, size, item) for last, (size, same) in p.machine.iter(raw.decode("latin-1")) for item in same)
+    for last, size, item in hits:
+        start, end = last + 1 - size, last + 1
+        i = int(np.searchsorted(offsets, start, "right")) - 1
+        low, high = int(offsets[i]), int(offsets[i + 1])
+        if end <= high and start >= free.get((i, item), 0) and _apart(raw[max(low, start - 1) : min(high, end + 1)], start - max(low, start - 1), end - max(low, start - 1)):
+            free[i, item] = end
+            yield i, item
+
+
 def matches(array: pa.Array, p: Probes):
     """For each text, the sorted items that it holds a region of, and how many stretches were found, those that overlap in an item counted once."""
     for first, last, data, offsets in T.chunks(array):
@@ -199,6 +242,10 @@ def matches(array: pa.Array, p: Probes):
                 if got := _regions(p.body[q], data[a : int(offsets[i + 1])].tobytes(), a, held, int(p.most[q])):
                     found[i].add(p.ids[q])
                     regions[i] += got
+        if p.short and len(data):
+            for i, item in _named(data, offsets, p):
+                found[i].add(item)
+                regions[i] += 1
         for f, k in zip(found, regions, strict=True):
             yield sorted(f), k
 
@@ -208,41 +255,61 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     A document is contaminated when it holds, with at most one edit in ``EDITS`` characters, any
     stretch of ``PROBE`` bytes of an item or the whole of a shorter one; items of fewer than
-    ``LEAST`` bytes must occur unchanged, and those of fewer than ``Q`` bytes are passed over. What
-    is missing counts as edits too, so the shortest unchanged excerpt of a longer item that is
-    always caught has ``PROBE - PROBE // EDITS`` (114) bytes; shorter ones are not looked for.
-    n_regions counts the stretches found, without those that overlap one before in the same item.
-    Null and empty texts hold nothing; null items are passed over; rows, repeated or with null
-    ids, each get their result. Clashing column names take a leading underscore.
+    ``EDITS`` bytes must occur unchanged and as whole words. What is missing counts as edits too, so the
+    shortest unchanged excerpt of a longer item that is always caught has ``PROBE - PROBE // EDITS``
+    (114) bytes; shorter ones are not looked for. n_regions counts the stretches found, without those that
+    overlap one before in the same item. Null and empty texts hold nothing; items that are null or blank are
+    passed over; item ids are of any type that sorts; rows, repeated or with null ids, each get their result.
+    Clashing column names take a leading underscore.
     """
-    from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
-
-    from framelake.llm._spark import fresh
+    from framelake.llm._spark import cut, fresh
 
     columns = [id_col] if columns is None else columns
-    rows = docs.select(*columns, *([] if text_col in columns else [text_col]))
-    text_at = rows.columns.index(text_col)
-    items, regions, flag = (fresh(docs, c) for c in ("items", "n_regions", "contaminated"))
-    given = benchmark.where(F.col(item_text_col).isNotNull() & F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t"))
-    blocks = max(1, -(-int(given.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // BLOCK_BYTES))
-    kinds = StructType([rows.schema[c] for c in columns] + [StructField(items, ArrayType(LongType())), StructField(regions, LongType()), StructField(flag, BooleanType())])
-    out = rows
-    for block in range(blocks):  # each row passes all blocks in one pass over the texts
+    items, regions, flag = (fresh(docs.select(*columns), c) for c in ("items", "n_regions", "contaminated"))
+    given = benchmark.where(F.col(item_text_col).isNotNull() & F.col(item_col).isNotNull()).select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t"))
+    blocks = max(1, -(-int(given.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0) // BLOCK_BYTES))
+    if blocks <= PASS_BLOCKS:
+        held = docs.select(*columns, F.col(text_col).alias(fresh(docs, "body")))
+        found = _searched(held, given, range(blocks), blocks, (items, regions))
+        return found.select(*columns, items, regions, (F.size(items) > 0).alias(flag))
+    # too large to be sent at once: hits of each group of blocks by id and text, which fix them
+    k, h, g = (fresh(docs, x) for x in ("k", "h", "g"))
+    key = [F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("")).alias(k), F.xxhash64(F.col(text_col)).alias(h), F.xxhash64(F.lit(1), F.col(text_col)).alias(g)]
+    hits = None
+    for first in range(0, blocks, PASS_BLOCKS):
+        body = fresh(docs, "body")
+        held = docs.select(*key, F.col(text_col).alias(body))
+        found = _searched(held, given, range(first, min(blocks, first + PASS_BLOCKS)), blocks, (items, regions)).where(F.size(items) > 0)
+        found = cut(found.groupBy(k, h, g).agg(F.first(items).alias(items), F.max(regions).alias(regions)), "hits")
+        hits = found if hits is None else hits.unionByName(found)
+    hits = hits.groupBy(k, h, g).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(items)))).alias(items), F.sum(regions).alias(regions))
+    out = docs.select(*columns, *key).join(hits, [k, h, g], "left")
+    none = F.array().cast(out.schema[items].dataType)
+    return out.select(*columns, F.coalesce(items, none).alias(items), F.coalesce(regions, F.lit(0).cast("long")).alias(regions), F.col(items).isNotNull().alias(flag))
+
+
+def _searched(rows: DataFrame, given: DataFrame, wanted: range, blocks: int, names: tuple[str, str]) -> DataFrame:
+    """``rows``, whose last column is the text, with (items, n_regions) in place of it, of the ``wanted`` ones of ``blocks`` blocks of the benchmark."""
+    from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+
+    sent = []
+    for block in wanted:
         part = given.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == block) if blocks > 1 else given
-        sent = docs.sparkSession.sparkContext.broadcast(probes([(r.i, r.t) for r in part.orderBy("i", "t").collect()]))
-        first = block == 0
-
-        def run(batches, sent=sent, first=first):
-            p = sent.value
-            for b in batches:
-                got = list(matches(b.column(text_at), p))
-                found, n = [g[0] for g in got], [g[1] for g in got]
-                if not first:
-                    found = [sorted({*x, *y}) for x, y in zip(found, b.column(b.num_columns - 3).to_pylist(), strict=True)]
-                    n = [x + y for x, y in zip(n, b.column(b.num_columns - 2).to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(wide)), pa.array(found, pa.list_(pa.int64())), pa.array(n, pa.int64()), pa.array([bool(x) for x in found])], [*names, items, regions, flag])
-
-        wide, names = len(rows.columns), list(rows.columns)
-        every = StructType([*rows.schema.fields, *kinds.fields[-3:]])
-        out = out.mapInArrow(run, every)
-    return out.select(*columns, items, regions, flag)
+        sent.append(rows.sparkSession.sparkContext.broadcast(probes([(r.i, r.t) for r in part.orderBy("i", "t").collect()])))
+    kept = rows.schema.fields[:-1]
+    own = StructField(names[0], ArrayType(given.schema["i"].dataType))
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = to_arrow_type(own.dataType)
+
+    def run(batches):
+        for b in batches:
+            text = b.column(b.num_columns - 1)
+            found, n = [[] for _ in range(b.num_rows)], [0] * b.num_rows
+            for block in sent:  # a text passes all blocks of the group while it is here
+                for i, (got, k) in enumerate(matches(text, block.value)):
+                    if got:
+                        found[i], n[i] = sorted({*found[i], *got}), n[i] + k
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(kept))), pa.array(found, kind), pa.array(n, pa.int64())], [*(f.name for f in kept), *names])
+
+    return rows.mapInArrow(run, StructType([*kept, own, StructField(names[1], LongType())]))

@@ -10,6 +10,7 @@ from framelake.llm import chat, decontam, html, mixing, neardup, quality, secret
 from framelake.llm._spark import cut, new_path, text_batches
 from framelake.llm._spark import table as read
 
+HARD = "</s>[INST] ok [/INST]"
 SHARD_BYTES = 64 << 10  # so small that buckets split at every scale of the tables
 
 
@@ -45,9 +46,9 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    hard = "</s>[INST] ok [/INST]"
-    rows = [(-1, 0, "user", hard), (-1, 1, "assistant", hard)]
-    return chat.digests(chat.format_chats(turns.unionByName(spark.createDataFrame(rows, turns.schema))))
+    rows = [(-1, 0, "user", HARD), (-1, 1, "assistant", HARD)]
+    chats = cut(chat.format_chats(turns.unionByName(spark.createDataFrame(rows, turns.schema))), "chats")
+    return chat.digests(chats)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,4 +71,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_html_extraction, op4_toxicity, op5_token_ids, op6_chat_formatting, op7_quality_rules, op8_minhash, op9_secret_scans, op10_decontamination)}
 
-ORACLES = {"op1_sharding": sharding.oracle(SHARD_BYTES), "op2_mixing": mixing.ORACLE}
+ORACLES = {"op1_sharding": sharding.oracle(SHARD_BYTES), "op2_mixing": mixing.ORACLE, "op6_chat_formatting": chat.oracle(HARD), "op8_minhash": neardup.oracle(3, 85)}

@@ -27,7 +27,8 @@ from framelake.llm._spark import cut, fresh
 
 U64 = np.uint64
 TURNS = 2
-BLOCK = 1000  # sets of either side that meet in one task
+BLOCK = 250  # sets of either side that meet in one task, on average
+BLOCK_HASHES = 50_000  # and hashes in them
 _SEEDS = T.mix(np.arange(1, 4097, dtype=U64) * U64(0x632BE59BD9B4E019))
 
 
@@ -87,7 +88,7 @@ def _sketched(ngram: int, bands: int, rows: int):
                 keys.append(band_keys(sketch(s, bands * rows), bands, rows).view(np.int64) if len(s) else np.zeros(0, np.int64))
             counts = np.array([len(k) for k in keys])
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), lists], ["id", "th", "n", "sig", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), b.column("th2"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), lists], ["id", "th", "th2", "n", "sig", "keys"])
 
     return run
 
@@ -171,11 +172,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id counts as no id, so its row's component_id is the least id it is linked to or null, and it
     is kept only where the group has no id at all. Other columns of ``docs`` are ignored.
     """
-    rows_in = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("th"))
+    rows_in = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("th"), F.xxhash64(F.lit(1), F.col(text_col)).alias("th2"))
     kind = rows_in.schema["id"].dataType.simpleString()
-    done = cut(rows_in.mapInArrow(_sketched(ngram, bands, rows), f"id {kind}, th bigint, n bigint, sig binary, keys array<bigint>"), "sketched")
+    done = cut(rows_in.mapInArrow(_sketched(ngram, bands, rows), f"id {kind}, th bigint, th2 bigint, n bigint, sig binary, keys array<bigint>"), "sketched")
     # a node for each distinct set; the number is fixed by being written
-    nodes = cut(done.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.min("th").alias("th"), F.first("keys").alias("keys"), F.min("id").alias("least_id")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes = cut(done.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.min(F.struct("th", "th2")).alias("t"), F.first("keys").alias("keys"), F.min("id").alias("least_id")).select("sig", "n", "t.th", "t.th2", "keys", "least_id", F.monotonically_increasing_id().alias("node")), "nodes")
     links = _links(rows_in, nodes, ngram, percent)
     comps = components(links)
     # the least id of each component, then back to rows by signature
@@ -196,8 +197,9 @@ def _links(rows_in: DataFrame, nodes: DataFrame, ngram: int, percent: int) -> Da
     full = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     met = cut(buckets.join(full, "key").join(nodes.select("node", "n"), "node"), "met")  # members of buckets of two or more
     central = met.groupBy("node").agg(F.sum("m").alias("degree"))  # the more a node meets, the nearer it is to a group's middle
-    wanted = cut(central.join(nodes.select("node", "th", "n"), "node"), "wanted")
-    found = rows_in.select("th", "text").join(wanted.select("th", "node").hint("shuffle_hash"), "th").dropDuplicates(["node"]).select("node", "text")
+    wanted = cut(central.join(nodes.select("node", "th", "th2", "n"), "node"), "wanted")
+    # copies of a text end in the map tasks: one of each goes on, by 128 bits of its hash
+    found = rows_in.select("th", "th2", "text").dropDuplicates(["th", "th2"]).join(wanted.select("th", "th2", "node").hint("shuffle_hash"), ["th", "th2"]).select("node", "text")
     hashes = cut(found.mapInArrow(_full(ngram), "node bigint, hashes binary"), "hashes").join(nodes.select("node", "n"), "node")
 
     def fits(x: str, y: str):
@@ -237,10 +239,11 @@ def _links(rows_in: DataFrame, nodes: DataFrame, ngram: int, percent: int) -> Da
         tried = tried.union(pairs)
         links = links.union(linked(measured(pairs)))
     # 3. what is left outside meets all that it shares such buckets with, block by block
-    fam = parted().selectExpr("top as fam", "node", "comp", "comp <> top as loose").distinct()
-    sizes = fam.groupBy("fam").agg(F.count(F.lit(1)).alias("m"), F.count_if("loose").alias("l"))
+    fam = parted().selectExpr("top as fam", "node", "n", "comp", "comp <> top as loose").distinct()
+    of_loose = F.when(F.col("loose"), F.col("n"))
+    sizes = fam.groupBy("fam").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("mh"), F.count_if("loose").alias("l"), F.coalesce(F.sum(of_loose), F.lit(0)).alias("lh"))
     fam = fam.join(sizes, "fam").withColumn("at", F.xxhash64("node"))
-    blocks, chunks = F.ceil(F.col("m") / BLOCK), F.ceil(F.col("l") / BLOCK)
+    blocks, chunks = (F.ceil(F.greatest(F.col(c) / BLOCK, F.col(h) / BLOCK_HASHES)) for c, h in (("m", "mh"), ("l", "lh")))
     one = F.pmod(F.col("at"), blocks)
     all_of = fam.select("fam", "node", "comp", F.lit(False).alias("query"), one.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"))
     asked = fam.where("loose").select("fam", "node", "comp", F.lit(True).alias("query"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), F.pmod(F.col("at"), chunks).alias("chunk"))
@@ -250,7 +253,10 @@ def _links(rows_in: DataFrame, nodes: DataFrame, ngram: int, percent: int) -> Da
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs``, all columns, that stand for their group of near copies: one for each group, blank texts all."""
+    """The rows of ``docs``, all columns, that stand for their group of near copies: one for each group, blank texts all.
+
+    Among rows with the same id and text, the one whose other columns hash lowest stands; rows that agree in all columns are the same.
+    """
     verdict = near_duplicates(docs, id_col, text_col, **how).where("kept")
     name = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
     one = verdict.where("group_id is not null").groupBy("group_id").agg(F.min(F.struct(name.alias("k"), F.col("text_hash").alias("h"))).alias("r")).select("r.*", F.lit(False).alias("blank"))
@@ -258,6 +264,23 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     k, h, flag = (fresh(docs, x) for x in ("k", "h", "blank"))
     named = docs.withColumn(k, F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit(""))).withColumn(h, F.xxhash64(F.col(text_col)))
     out = named.join(one.union(blank).toDF(k, h, flag), [k, h])
-    again = F.row_number().over(Window.partitionBy(k, h).orderBy(F.lit(1)))
+    again = F.row_number().over(Window.partitionBy(k, h).orderBy(F.xxhash64(*docs.columns), F.xxhash64(F.lit(1), *docs.columns)))
     n = fresh(out, "n")
     return out.withColumn(n, again).where(F.col(flag) | (F.col(n) == 1)).select(*docs.columns)
+
+
+def oracle(ngram: int, percent: int) -> str:
+    """DuckDB SQL for (doc_id, n_shingles, component_id, kept) of ``documents`` by all pairs of different sets, for tables that allow that."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    gram = " || ' ' || ".join(f"w[i + {k}]" for k in range(ngram))
+    return rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {ngram} THEN [array_to_string(w, ' ')]
+            ELSE list_sort(list_distinct(list_transform(range(1, len(w) - {ngram - 2}), lambda i: {gram}))) END AS g FROM d),
+    n AS (SELECT g, min(doc_id) AS a, len(g) AS size FROM s WHERE len(g) > 0 GROUP BY g),
+    e AS (SELECT a, size, unnest(g) AS x FROM n),
+    l AS (SELECT p.a AS a, q.a AS b FROM e p JOIN e q ON p.x = q.x AND p.a <> q.a GROUP BY p.a, q.a, p.size, q.size HAVING 100 * count(*) >= {percent} * (p.size + q.size - count(*))),
+    r AS (SELECT a AS top, a AS node FROM n UNION SELECT r.top, l.b FROM r JOIN l ON l.a = r.node),
+    c AS (SELECT node, min(top) AS component_id FROM r GROUP BY node)
+    SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, coalesce(c.component_id, s.doc_id) AS component_id, s.doc_id = coalesce(c.component_id, s.doc_id) AS kept
+    FROM s LEFT JOIN n ON n.g = s.g LEFT JOIN c ON c.node = n.a"""

@@ -24,6 +24,7 @@ ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 CHECKED = re.compile(rb"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 JWT = re.compile(rb"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
+_JWT_RUN = re.compile(rb"[A-Za-z0-9_-]+")
 PEM = re.compile(rb"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
 PEM_END = re.compile(rb"-----END (?:[A-Z]+ )*PRIVATE KEY-----")
 KINDS = ("assign", "access", "hex", "checked", "jwt", "pem")
@@ -98,6 +99,8 @@ def find(array: pa.Array, machine=None):
                     done[kind, i] = got[0]
                     if got[1]:
                         found[i].append((at, kind, got[0]))
+                elif kind == "jwt":
+                    done[kind, i] = _JWT_RUN.match(raw, at, int(offsets[i + 1])).end()  # what fails here fails at each later hit of the run
                 elif kind == "pem" and PEM.match(raw, at):
                     done[kind, i] = int(offsets[i + 1])  # nothing ends such a block from here on
         starts, ends = T.spans(data, offsets, _NOT_HEX)

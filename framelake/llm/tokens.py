@@ -12,6 +12,7 @@ pass. Only one number for each part is gathered to place the parts.
 
 from __future__ import annotations
 
+import bisect
 import json
 import zlib
 
@@ -25,6 +26,7 @@ from framelake.llm._spark import new_path
 
 U64 = np.uint64
 BLOCK_IDS = 1 << 16
+PART_BYTES = 64 << 20
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 BLOCK = "part int, block bigint, start bigint, n bigint, width int, doc_ids array<{kind}>, ends array<bigint>, packed binary"
@@ -247,11 +249,13 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
 
     Nulls count as empty texts: such a document is its end id. A null id sorts first; rows that
     repeat an id each have their place, by the hash of their text. An empty table writes an empty
-    folder. Other columns are ignored. ``end_id`` must fit the vocabulary.
+    folder. Other columns are ignored. ``end_id`` must fit the vocabulary. There are as many parts as the session has
+    shuffle partitions, or one for each ``PART_BYTES`` of text where that is more.
     """
     kind = docs.schema[id_col].dataType
     key = F.xxhash64(F.col(text_col))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("th"))
     rows = rows.repartitionByRange(parts, F.col("id").asc_nulls_first(), F.col("th")).sortWithinPartitions(F.col("id").asc_nulls_first(), "th").select("id", "text")
     from pyspark.sql.pandas.types import to_arrow_type
@@ -263,26 +267,55 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     """The blocks with ``start`` counted over all parts."""
     blocks = spark.read.parquet(path)
-    sizes = blocks.groupBy("part").agg(F.sum("n").alias("m"))  # a row for each part
+    sizes = blocks.groupBy("part").agg(F.sum("n").alias("m"))  # a row for each part, that is, for each task that wrote
     before = sizes.select("part", (F.sum("m").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("m")).alias("before"))
-    return blocks.join(before, "part").withColumn("start", F.col("start") + F.col("before")).drop("before")
+    return blocks.join(F.broadcast(before), "part").withColumn("start", F.col("start") + F.col("before")).drop("before")
+
+
+def _split(blocks, low: int | None = None, high: int | None = None):
+    """(id, start, ids) of the documents of an Arrow batch of blocks; with ``low`` and ``high`` of those that start from low to high - 1, unpacking no other."""
+    for packed, width, base, docs, ends in zip(*(blocks.column(c).to_pylist() for c in ("packed", "width", "start", "doc_ids", "ends")), strict=True):
+        begins = [0, *ends[:-1]]
+        first = 0 if low is None else bisect.bisect_left(begins, low - base)
+        last = len(ends) if high is None else bisect.bisect_left(begins, high - base)
+        if first >= last:
+            continue
+        zero = begins[first]
+        flat = unpack(packed, width, zero, ends[last - 1]).astype("<u4")
+        for k in range(first, last):
+            yield docs[k], base + begins[k], flat[begins[k] - zero : ends[k] - zero]
 
 
 def _documents(batches):
     for b in batches:
-        ids, start, n, crc = [], [], [], []
-        for packed, width, base, docs, ends in zip(*(b.column(c).to_pylist() for c in ("packed", "width", "start", "doc_ids", "ends")), strict=True):
-            flat = unpack(packed, width, 0, ends[-1]).astype("<u4")
-            before = 0
-            for i, end in zip(docs, ends, strict=True):
-                ids.append(i)
-                start.append(base + before)
-                n.append(end - before)
-                crc.append(zlib.crc32(flat[before:end].tobytes()))
-                before = end
+        rows = [(i, start, len(ids), zlib.crc32(ids.tobytes())) for i, start, ids in _split(b)]
+        ids, start, n, crc = zip(*rows, strict=True) if rows else ((), (), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(ids, b.column("doc_ids").type.value_type), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
+def read_ids(spark: SparkSession, path: str, low: int | None = None, high: int | None = None) -> DataFrame:
+    """(doc_id, start, ids) of every document in the files, or of those that start at ``low`` to ``high`` - 1.
+
+    With these, only blocks that overlap are read into tasks and only the bytes of the documents asked for are unpacked; ``low`` and
+    ``high`` = ``low`` + 1 give the one document at a known start.
+    """
+    blocks = read_blocks(spark, path)
+    kind = blocks.schema["doc_ids"].dataType.elementType
+    if low is not None:
+        blocks = blocks.where(F.col("start") + F.col("n") > low)
+    if high is not None:
+        blocks = blocks.where(F.col("start") < high)
+
+    def run(batches):
+        for b in batches:
+            rows = list(_split(b, low, high))
+            sizes = np.cumsum([0, *(len(x) for _, _, x in rows)])
+            flat = pa.array(np.concatenate([x for _, _, x in rows]).astype(np.int32) if rows else np.zeros(0, np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in rows], b.column("doc_ids").type.value_type), pa.array([s for _, s, _ in rows], pa.int64()), pa.ListArray.from_arrays(pa.array(sizes.astype(np.int32)), flat)], ["doc_id", "start", "ids"])
+
+    return blocks.select("packed", "width", "start", "doc_ids", "ends").mapInArrow(run, f"doc_id {kind.simpleString()}, start bigint, ids array<int>")
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files."""
     blocks = read_blocks(spark, path)

@@ -6,9 +6,12 @@ bytes of longer ones (presence), chosen by how far their odds differ between tox
 documents of the sample.
 
 Labels say toxic or not. Grades of toxic documents are cut by how many words they hold of those
-that the sample ties to toxic ones most surely: up to 2, up to 5, more.
+that the sample ties to toxic ones most surely: up to 2, up to 5, more. So the severity among toxic
+documents follows from words, not from anyone's judgement of how bad they are.
 
-Scale: one pass over the texts without a shuffle; the model has FEATURES weights.
+Scale: the sample's feature counts are summed up by Spark, and only the chosen features of each of its
+documents, a bit for each, come to the driver. Grading is one pass over the texts without a shuffle; the model
+has FEATURES weights.
 """
 
 from __future__ import annotations
@@ -17,12 +20,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelake.llm import _text as T
+from framelake.llm._spark import cut
 
-SAMPLE = 10_000  # labelled rows that a model is fitted on, at most
+SAMPLE = 20_000  # labelled rows that a model is fitted on, at most
 BITS = 20
 FEATURES = 400
 PREFIX = 6  # bytes
@@ -64,75 +68,94 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.theta[None, :] - latent[:, None], -60, 60)))
 
 
-def fit(docs: list[np.ndarray], toxic: np.ndarray, features: int = FEATURES, ridge: float = 1.0, steps: int = 500) -> Model:
-    """``docs``: distinct word indices of each document of the sample. Near copies (equal least words) count once."""
-    seen, keep = set(), []
-    for i, d in enumerate(docs):
-        least = (bytes(np.sort(T.mix(d.astype(np.uint64)))[:4]), bool(toxic[i])) if len(d) else None
-        if least not in seen:
-            seen.add(least)
-            keep.append(i)
-    docs, toxic = [docs[i] for i in keep], toxic[keep].astype(bool)
-    with_, without = np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32)
-    for d, t in zip(docs, toxic, strict=True):
-        (with_ if t else without)[d] += 1
-    n1, n0 = toxic.sum(), (~toxic).sum()
-    odds = np.log((with_ + 0.5) / (n1 - with_ + 0.5)) - np.log((without + 0.5) / (n0 - without + 0.5))
-    z = odds / np.sqrt(1 / (with_ + 0.5) + 1 / (without + 0.5))
-    z[with_ + without < 4] = 0
-    order = np.argsort(-z, kind="stable")
-    index = np.sort(np.concatenate([order[: features * 3 // 4], order[-(features // 4) :]]))  # most speak for toxic, the rest against
-    index = index[np.abs(z[index]) > 2.5]
-    x = np.zeros((len(docs), len(index)))
-    for i, d in enumerate(docs):
-        at = np.searchsorted(index, d)
-        at[at == len(index)] = 0
-        if len(index):
-            x[i, at[index[at] == d]] = 1
-    strong = (z[index] > 4.5) & (with_[index] > 9 * without[index])
-    count = x[:, strong].sum(1) if len(index) else np.zeros(len(docs))
+def loss(x: np.ndarray, grade: np.ndarray, w: np.ndarray, first: float, gaps: np.ndarray, ridge: float) -> tuple[float, np.ndarray]:
+    """The penalised negative log likelihood of grades, and its gradient by (w, first, gaps).
+
+    P(grade = g) = F(g - 1) - F(g) with F(k) = 1 / (1 + exp(theta_k - w.x)); thresholds start at ``first`` and go up by exp(gaps).
+    """
+    theta = np.concatenate([[first], first + np.cumsum(np.exp(gaps))])
+    levels, n, at_row = len(theta), len(x), np.arange(len(x))
+    f = 1 / (1 + np.exp(np.clip(theta[None, :] - (x @ w)[:, None], -60, 60)))
+    full = np.concatenate([np.ones((n, 1)), f, np.zeros((n, 1))], 1)
+    p = np.maximum(full[at_row, grade] - full[at_row, grade + 1], 1e-9)
+    slope = np.concatenate([np.zeros((n, 1)), f * (1 - f), np.zeros((n, 1))], 1)
+    up, down = slope[at_row, grade] / p, slope[at_row, grade + 1] / p
+    d_theta = np.zeros(levels)
+    np.add.at(d_theta, np.maximum(grade - 1, 0), np.where(grade > 0, up, 0))
+    np.add.at(d_theta, np.minimum(grade, levels - 1), np.where(grade < levels, -down, 0))
+    d_w = -(x.T @ (up - down)) + ridge * w
+    d_gaps = np.array([d_theta[k + 1 :].sum() for k in range(levels - 1)]) * np.exp(gaps)
+    return float(-np.log(p).sum() + ridge / 2 * w @ w), np.concatenate([d_w, [d_theta.sum()], d_gaps])
+
+
+def fit(x: np.ndarray, toxic: np.ndarray, index: np.ndarray, strong: np.ndarray, ridge: float = 1.0, steps: int = 500) -> Model:
+    """``x``: which of the features ``index`` each document of the sample holds; those that are ``strong`` cut the grades of toxic ones."""
+    x = x.astype(np.float64)
+    count = x[:, strong].sum(1)
     grade = np.where(toxic, 1 + sum((count > c).astype(int) for c in CUTS), 0)
-    levels = len(CUTS) + 1
-    # Adam on the likelihood of P(grade = g) = F(g - 1) - F(g), thresholds kept in order by positive gaps
-    w, first, gaps = np.zeros(len(index)), np.array([1.0]), np.zeros(levels - 1)
-    state = [np.zeros(len(index) + levels) for _ in range(2)]
-    at_row, n = np.arange(len(docs)), max(1, len(docs))
+    # Adam, thresholds kept in order by positive gaps
+    at, n = np.concatenate([np.zeros(len(index)), [1.0], np.zeros(len(CUTS))]), max(1, len(x))
+    speed, square = np.zeros(len(at)), np.zeros(len(at))
     for step in range(1, steps + 1):
-        theta = np.concatenate([first, first + np.cumsum(np.exp(gaps))])
-        f = 1 / (1 + np.exp(np.clip(theta[None, :] - (x @ w)[:, None], -60, 60)))
-        full = np.concatenate([np.ones((len(docs), 1)), f, np.zeros((len(docs), 1))], 1)
-        p = np.maximum(full[at_row, grade] - full[at_row, grade + 1], 1e-9)
-        slope = np.concatenate([np.zeros((len(docs), 1)), f * (1 - f), np.zeros((len(docs), 1))], 1)
-        up, down = slope[at_row, grade] / p, slope[at_row, grade + 1] / p
-        d_theta = np.zeros(levels)
-        np.add.at(d_theta, np.maximum(grade - 1, 0), np.where(grade > 0, up, 0))
-        np.add.at(d_theta, np.minimum(grade, levels - 1), np.where(grade < levels, -down, 0))
-        d_w = -(x.T @ (up - down)) + ridge * w
-        d_gaps = np.array([d_theta[k + 1 :].sum() for k in range(levels - 1)]) * np.exp(gaps)
-        g = np.concatenate([d_w, [d_theta.sum()], d_gaps]) / n
-        state[0] = 0.9 * state[0] + 0.1 * g
-        state[1] = 0.99 * state[1] + 0.01 * g * g
-        move = 0.1 * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-8)
-        w, first, gaps = w - move[: len(w)], first - move[len(w)], gaps - move[len(w) + 1 :]
+        g = loss(x, grade, at[: len(index)], at[len(index)], at[len(index) + 1 :], ridge)[1] / n
+        speed, square = 0.9 * speed + 0.1 * g, 0.99 * square + 0.01 * g * g
+        at = at - 0.1 * (speed / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+    w, first, gaps = at[: len(index)], at[len(index) : len(index) + 1], at[len(index) + 1 :]
     return Model(index, w, np.concatenate([first, first + np.cumsum(np.exp(gaps))]))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **how) -> Model:
-    """Fit on ``sample`` labelled documents at most, those whose ids hash lowest."""
+def _features(batches):
+    """id, y, the hash of the four least of its features, and all its features, of each document."""
+    for b in batches:
+        least, x = [], []
+        for n, index, text in words(b.column("text")):
+            pairs = np.unique(text << BITS | index)
+            at = np.searchsorted(pairs >> BITS, np.arange(n + 1))
+            for i in range(n):
+                one = (pairs[at[i] : at[i + 1]] & ((1 << BITS) - 1)).astype(np.int32)
+                x.append(one)
+                least.append(np.sort(T.mix(one.astype(np.uint64)))[:4].tobytes())
+        sizes = np.cumsum([0, *map(len, x)])
+        lists = pa.ListArray.from_arrays(pa.array(sizes.astype(np.int32)), pa.array(np.concatenate(x) if x else np.zeros(0, np.int32)))
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(least, pa.binary()), lists], ["id", "y", "least", "x"])
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", features: int = FEATURES, **how) -> Model:
+    """Fit on ``sample`` labelled documents at most, those whose ids hash lowest; near copies (equal least features) count once.
+
+    Three quarters of the features are those that speak for toxic most surely, the rest those against; each is in four documents or
+    more. Null labels, ids and texts without features are passed over; without a labelled row all grades are those of an empty text.
+    """
     picked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).orderBy(F.xxhash64("id"), "id", "y").limit(sample)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")  # sample rows at most
-
-    def run(batches):
+    place = [F.xxhash64("id"), F.col("id"), F.col("x")]
+    found = rows.mapInArrow(_features, f"id {rows.schema['id'].dataType.simpleString()}, y int, least binary, x array<int>").where(F.size("x") > 0)
+    again = F.row_number().over(Window.partitionBy("least", "y").orderBy(*place))
+    seen = cut(found.withColumn("again", again).where("again = 1").orderBy(*place).limit(sample).select("id", "y", "x"), "toxic-sample")
+    n1, n0 = (int(k or 0) for k in seen.agg(F.sum("y"), F.sum(1 - F.col("y"))).first())
+    counts = seen.select("y", F.explode("x").alias("f")).groupBy("f").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).where("a + b >= 4")
+    z = f"(ln((a + 0.5) / ({n1} - a + 0.5)) - ln((b + 0.5) / ({n0} - b + 0.5))) / sqrt(1 / (a + 0.5) + 1 / (b + 0.5))"
+    rated = cut(counts.selectExpr("f", "a", "b", f"{z} as z").where("abs(z) > 2.5"), "toxic-features")
+    chosen = rated.where("z > 0").orderBy(F.desc("z"), "f").limit(features * 3 // 4).collect() + rated.where("z < 0").orderBy("z", F.desc("f")).limit(features // 4).collect()
+    chosen.sort(key=lambda r: r.f)
+    index = np.array([r.f for r in chosen], np.int64)
+
+    def marked(batches):
         for b in batches:
-            packed = []
-            for n, index, text in words(b.column("text")):
-                pairs = np.unique(text << BITS | index)
-                at = np.searchsorted(pairs >> BITS, np.arange(n + 1))
-                packed += [(pairs[at[i] : at[i + 1]] & ((1 << BITS) - 1)).astype(np.int32).tobytes() for i in range(n)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(packed, pa.binary())], ["id", "y", "x"])
-
-    got = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, y int, x binary").orderBy(F.xxhash64("id"), "id", "x").limit(sample).collect()
-    return fit([np.frombuffer(r.x, np.int32) for r in got], np.array([r.y for r in got], bool), **how)
+            bits = []
+            for x in b.column("x").to_pylist():
+                row = np.zeros(len(index), bool)
+                at = np.searchsorted(index, x)
+                hit = at < len(index)
+                at, x = at[hit], np.array(x, np.int64)[hit]
+                row[at[index[at] == x]] = True
+                bits.append(np.packbits(row).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(bits, pa.binary())], ["id", "y", "bits"])
+
+    kind = seen.schema["id"].dataType.simpleString()
+    got = seen.mapInArrow(marked, f"id {kind}, y int, bits binary").orderBy(F.xxhash64("id"), "id", "bits").collect()  # sample rows of a bit for each feature
+    x = np.array([np.unpackbits(np.frombuffer(r.bits, np.uint8), count=len(index)) for r in got], np.uint8).reshape(len(got), len(index)).astype(bool)
+    return fit(x, np.array([r.y for r in got], bool), index, np.array([r.z > 4.5 and r.a > 9 * r.b for r in chosen], bool), **how)
 
 
 def grade(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
