@@ -25,8 +25,8 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
-    mixed = mixing.mix(cut(docs, "mix-sizes"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"), F.md5(F.coalesce("text", F.lit(""))).alias("th"))
+    mixed = mixing.mix(cut(docs, "mix-sizes"), spread_col="th")
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 

@@ -38,6 +38,10 @@ def _hash(c: Column) -> Column:
     return F.substring(F.md5(c), 1, 15)
 
 
+def row_key(id_: Column, size: Column, spread: Column) -> Column:
+    return F.concat(F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("")), F.lit("|"), size.cast("string"), F.lit("|"), F.coalesce(spread.cast("string"), F.lit("")))
+
+
 def size_class(size: Column) -> Column:
     """Quarter octaves of a size, as text that sorts like the size."""
     b = F.bin(size)
@@ -78,7 +82,7 @@ def _before(chunks: DataFrame) -> DataFrame:
     return out.withColumn("before", F.expr("in_group + in_class + in_source")).drop("in_group", "in_class", "in_source")
 
 
-def mix(docs: DataFrame, size_col: str = "size", id_col: str = "doc_id", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, size_col: str = "size", id_col: str = "doc_id", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED, spread_col: str | None = None) -> DataFrame:
     """``docs`` with source_size, target and copies (0 to cap) of each row.
 
     ``size_col`` holds whole numbers of 0 or more; null counts as 0, and such rows, like those of a
@@ -89,7 +93,7 @@ def mix(docs: DataFrame, size_col: str = "size", id_col: str = "doc_id", source_
     """
     s, c, h, k = (fresh(docs, x) for x in ("src", "cls", "hash", "chunk"))
     size = F.coalesce(F.col(size_col), F.lit(0)).cast("long")
-    rows = docs.withColumn(s, F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit(""))).withColumn(c, size_class(size)).withColumn(h, _hash(F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    rows = docs.withColumn(s, F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit(""))).withColumn(c, size_class(size)).withColumn(h, _hash(row_key(F.col(id_col), size, F.col(spread_col) if spread_col else F.lit(""))))
     found = cut(rows.groupBy(F.col(source_col).alias("source"), F.col(s).alias("s")).agg(F.sum(size).alias("source_size"), F.count(F.lit(1)).alias("n")), "mix-sources")
     total = found.agg(F.sum("n")).first()[0] or 0
     digits = max(0, math.ceil(math.log(max(1, total / CHUNK_ROWS), 16)))
@@ -112,11 +116,12 @@ def mix(docs: DataFrame, size_col: str = "size", id_col: str = "doc_id", source_
 
 def emit(mixed: DataFrame, columns: list[str], copies: str = "copies") -> DataFrame:
     """Each row as many times as its copies, with ``columns`` only."""
-    return mixed.where(F.col(copies) > 0).select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias("__copy")).select(*columns)
+    again = fresh(mixed, "copy")
+    return mixed.where(F.col(copies) > 0).select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(again)).select(*columns)
 
 
 ORACLE = rf"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, md5(coalesce(text, '')) AS th, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3] AS w, {CAP} * source_size AS c FROM s0),
 s2 AS (SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () - sum(w) OVER o + w AS w_left, sum(source_size) OVER () - sum(c) OVER o + c AS rest
@@ -127,7 +132,7 @@ t AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(c AS DOUBLE) ELSE
         CAST(CAST('0x' || substr(md5('{SEED}|' || coalesce('=' || source, '')), 1, 5) AS BIGINT) AS DOUBLE) / 1048576 AS u FROM s4),
 r AS (SELECT d.*, t.source_size, t.target, t.u, CASE WHEN t.source_size > 0 THEN least({CAP}.0, t.target / t.source_size) ELSE 0 END AS rate,
         row_number() OVER (PARTITION BY d.source ORDER BY lpad(CAST(length(bin(size)) AS VARCHAR), 2, '0') || rpad(substr(bin(size), 1, 3), 3, '0'),
-          substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15), doc_id, size) AS k
+          substr(md5(coalesce('=' || CAST(doc_id AS VARCHAR), '') || '|' || size || '|' || th), 1, 15), doc_id, size) AS k
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
   size * least({CAP}, CAST(floor(CAST(k AS DOUBLE) * rate + u) - floor(CAST(k - 1 AS DOUBLE) * rate + u) AS BIGINT)) AS taken FROM r
