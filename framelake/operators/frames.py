@@ -100,3 +100,51 @@ def latency(timings: DataFrame, warm: int = 3) -> DataFrame:
     kept = timings.crossJoin(F.broadcast(first)).where("_least is null or frame >= _least").select("frame", "stage", "ms")
     total = kept.groupBy("frame").agg(F.sum("ms").alias("ms")).select(F.lit("total").alias("stage"), "ms")
     return percentiles(kept.select("stage", "ms").unionByName(total), ["stage"], "ms", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+
+
+def monitor_readings(judged: DataFrame, opened: DataFrame) -> DataFrame:
+    """Metric rows (window_id, name, label, value): each window's scores beside their thresholds, and up to each window how many were ok, drifted and opened an episode.
+
+    Rows are windows, few next to frames.
+    """
+    both = judged.join(opened.select("window_id", F.lit(1).alias("_open")), "window_id", "left")
+    upto = Window.orderBy("window_id").rowsBetween(Window.unboundedPreceding, 0)
+    total = lambda c: F.sum(F.when(c, 1.0).otherwise(0.0)).over(upto)
+    counted = both.withColumns({"_ok": total(~F.col("drifted")), "_drifted": total(F.col("drifted")), "_opened": total(F.col("_open").isNotNull())})
+    row = lambda name, label, value: F.struct(F.lit(name).alias("name"), F.lit(label).alias("label"), F.col(value).cast("double").alias("value"))
+    each = [row(f"drift_{k}", c, f"{k}_{c}") for c in STATS for k in ("score", "threshold")]
+    each += [row("drift_windows", "ok", "_ok"), row("drift_windows", "drifted", "_drifted"), row("drift_episodes", "", "_opened")]
+    return counted.select("window_id", F.explode(F.array(*each)).alias("_m")).select("window_id", "_m.*")
+
+
+def episode_evidence(opened: DataFrame, windows: DataFrame, first_step: int = 0) -> DataFrame:
+    """A record of each episode: step, window_id, place (sequence/first-last, in order of appearance), crossed, scores, thresholds, n_frames and its evidence frames.
+
+    ``windows`` has window_id, pos, sequence and frame_index of each sample; evidence are the first, the middle and the last one.
+    """
+    size = F.count(F.lit(1)).over(Window.partitionBy("window_id"))
+    rows = windows.join(opened.select("window_id"), "window_id", "left_semi").withColumn("_n", size)
+    spans = rows.groupBy("window_id", "sequence").agg(F.min("pos").alias("_o"), F.min("frame_index").alias("_a"), F.max("frame_index").alias("_b"))
+    spans = spans.select("window_id", "_o", F.format_string("%s/%d-%d", "sequence", "_a", "_b").alias("_s"))
+    where = spans.groupBy("window_id").agg(F.array_sort(F.collect_list(F.struct("_o", "_s"))).alias("_w")).select("window_id", F.array_join("_w._s", ", ").alias("place"))
+    picked = rows.where("pos = 0 or pos = _n div 2 or pos = _n - 1").groupBy("window_id").agg(
+        F.max("_n").alias("n_frames"), F.array_sort(F.collect_list(F.struct("pos", "frame_index"))).alias("_e")).select("window_id", "n_frames", F.col("_e.frame_index").alias("evidence"))
+    step = (F.row_number().over(Window.orderBy("window_id")) - 1 + first_step).alias("step")  # episodes are few
+    crossed = F.array_compact(F.array(*[F.when(F.col(f"crossed_{c}"), c) for c in STATS])).alias("crossed")
+    told = [F.struct(*[F.col(f"{k}_{c}").alias(c) for c in STATS]).alias(f"{k}s") for k in ("score", "threshold")]
+    return opened.select("window_id", step, crossed, *told).join(where, "window_id").join(picked, "window_id")
+
+
+def profile_document(read: DataFrame, hashes: DataFrame, boxes: DataFrame, baseline_split: str) -> DataFrame:
+    """One row ``value``: the profile of readings (split, label and the statistics) as JSON of fixed sections.
+
+    ``hashes`` has the dhash of each frame, ``boxes`` one row n_boxes. Only sums meet in the last task.
+    """
+    by = read.groupBy("split").agg(F.count(F.lit(1)).alias("n_frames"), *[F.avg(c).alias(c) for c in STATS])
+    splits = by.agg(F.map_from_entries(F.collect_list(F.struct("split", F.struct("n_frames", *STATS)))).alias("splits"), F.sum("n_frames").alias("n_frames"))  # a row for each split
+    flagged = quality_flags(read).agg(F.count(F.lit(1)).alias("n_flagged"))
+    clusters = hashes.groupBy("dhash").count().where("count > 1").agg(F.count(F.lit(1)).alias("n_duplicate_clusters"))
+    scenes = read.where(F.col("split") == baseline_split).agg(F.countDistinct("label").alias("n_sequences"))
+    one = splits.crossJoin(flagged).crossJoin(clusters).crossJoin(scenes).crossJoin(boxes)  # one row each
+    dataset = F.struct("n_boxes", "n_duplicate_clusters", "n_flagged", "n_frames").alias("dataset")
+    return one.select(F.to_json(F.struct(F.struct("n_sequences", F.lit(baseline_split).alias("split")).alias("baseline"), dataset, F.lit(2).alias("schema_version"), "splits")).alias("value"))

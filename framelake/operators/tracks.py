@@ -24,7 +24,7 @@ def six_digits(x: Column) -> Column:
     strip = lambda s: F.regexp_replace(s, r"\.?0+$", "")
     plain = F.coalesce(*[F.when(power == k, F.format_string(f"%.{5 - k}f", x.cast("double"))) for k in range(-4, 6)])
     plain = F.when(F.contains(plain, F.lit(".")), strip(plain)).otherwise(plain)
-    small = F.concat(strip(parts[0]), F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    small = F.concat(strip(parts[0]), F.when(power < 0, "e-").otherwise("e+"), F.format_string("%02d", F.abs(power)))
     return F.when(x == 0, "0").otherwise(F.coalesce(plain, small))
 
 

@@ -86,3 +86,11 @@ def C9_frame_event_pairs(spark, sf_dir):
     seen = seen.where("event_id % 3 <> 0").select(F.col("event_id").alias("e_index"), F.col("event_type").alias("cls"), F.expr("ts + interval 1 minute").alias("event_ts")).withWatermark("event_ts", "1 hour")
     both = frames.join(seen, F.expr("frame_index = e_index and event_ts > frame_ts and event_ts <= frame_ts + interval 10 minutes"))
     return replay.drain(both.select("frame_index", "cls", "user_id"), "pairs")
+
+
+@query("select event_id, event_type, user_id from events")
+def G7_first_delivery(spark, sf_dir):
+    """Events that all come twice, the second time a minute later: one of each is passed on."""
+    base = replay.as_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    twice = base.withColumn("ts", F.explode(F.array(F.col("ts"), F.expr("ts + interval 1 minute"))))
+    return replay.drain(replay.first_delivery(twice, ["event_id"], "ts", "1 hour").select("event_id", "event_type", "user_id"), "deliveries")

@@ -30,3 +30,8 @@ def drain(stream: DataFrame, name: str) -> DataFrame:
 def score_stream(frames: DataFrame, infer: Callable, schema: str, payload: str = "image") -> DataFrame:
     """``infer(batch)`` over Arrow-backed batches of frames without a null ``payload``; batch or stream alike, in the order of each partition."""
     return frames.where(f"{payload} is not null").mapInPandas(lambda batches: (infer(b) for b in batches), schema)
+
+
+def first_delivery(events: DataFrame, keys: list[str], ts: str, lateness: str) -> DataFrame:
+    """Events once for each key: a repetition that comes within ``lateness`` of its first is dropped, and the state of older keys with it."""
+    return events.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(keys)

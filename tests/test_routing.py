@@ -16,5 +16,5 @@ def tables(spark, tmp_path):
 
 def test_route_looks_at_all_rows_faults_and_stamps(spark, tables):
     out = catalog.QUERIES["I11_routing_all_rows"](spark, tables)
-    want = {"seq00": "rebuild", "seq01": "rebuild", "seq02": "validate", "seq03": "profile", "seq04": "profile"}
+    want = {"seq00": "rebuild", "seq01": "rebuild", "seq02": "profile", "seq03": "validate", "seq04": "profile"}
     assert {r.sequence: r.route for r in out.collect()} == want
