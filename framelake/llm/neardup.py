@@ -27,8 +27,8 @@ from framelake.llm._spark import cut, fresh
 
 U64 = np.uint64
 TURNS = 2
-BLOCK = 250  # sets of either side that meet in one task, on average
-BLOCK_HASHES = 50_000  # and hashes in them
+BLOCK = 125  # sets of either side that meet in one task, on average
+BLOCK_HASHES = 25_000  # and hashes in them
 _SEEDS = T.mix(np.arange(1, 4097, dtype=U64) * U64(0x632BE59BD9B4E019))
 
 
