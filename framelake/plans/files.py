@@ -222,7 +222,7 @@ def A18_demo_clips(spark, sf_dir):
     return out.select(*KEY, F.coalesce(F.array_size("boxes"), F.lit(0)).cast("long").alias("n_boxes"))
 
 
-@query("""select run_id, status as state, round(metric, 6) as map5095, priority as gate, cast(custkey as varchar) as data from runs""")
+@query("""select run_id, status as state, round(metric, 9) as map5095, priority as gate, cast(custkey as varchar) as data from runs""")
 def A19_tracking_tables(spark, sf_dir):
     """Metrics, params and tags of runs as long tables, written, and read back as maps of each run."""
     runs = view(spark, sf_dir, "runs")
@@ -233,7 +233,7 @@ def A19_tracking_tables(spark, sf_dir):
     as_map = lambda t: spark.read.parquet(f"{path}/{t}").groupBy("run_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias(t))
     out = runs.select("run_id", F.col("status").alias("state")).join(as_map("metrics"), "run_id").join(as_map("tags"), "run_id")
     pick = lambda m, k: F.try_element_at(F.col(m), F.lit(k))
-    return out.select("run_id", "state", F.round(pick("metrics", "test/mAP50-95"), 6).alias("map5095"), pick("tags", "gate").alias("gate"), pick("tags", "data.version").alias("data"))
+    return out.select("run_id", "state", F.round(pick("metrics", "test/mAP50-95"), 9).alias("map5095"), pick("tags", "gate").alias("gate"), pick("tags", "data.version").alias("data"))
 
 
 VERDICT_SQL = f"""r as {READ_SQL},
