@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: fixed values: raw category to merged class (person, vehicle, two/three-wheeler); 0 and 11 have none
 MERGE = {1: 0, 2: 0, 4: 1, 5: 1, 6: 1, 9: 1, 3: 2, 7: 2, 8: 2, 10: 2}
+#: fixed values: class names of models with other class lists, by merged class
+NAMED = {"person": 0, "pedestrian": 0, "people": 0, "car": 1, "bus": 1, "truck": 1, "van": 1, "bicycle": 2, "motorcycle": 2, "tricycle": 2, "awning-tricycle": 2, "motor": 2}
 CORNERS = ("x1", "y1", "x2", "y2")
 
 
@@ -15,6 +17,25 @@ def merged_class(category: Column) -> Column:
     return F.create_map(*[F.lit(x) for kv in MERGE.items() for x in kv])[category.cast("int")]
 
 
+def named_class(name: Column) -> Column:
+    """The merged class of a class by its name; -1 where the name has none or is null."""
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in NAMED.items() for x in kv])[name], F.lit(-1))
+
+
+def raw_category(named: Column, cls: Column) -> Column:
+    """The category that a prompt names, where there is such a one, else the lowest of the merged class ``cls``."""
+    lowest = {c: min(k for k, v in MERGE.items() if v == c) for c in set(MERGE.values())}
+    return F.coalesce(F.when(named.between(0, 11), F.nullif(named, F.lit(0))), F.create_map(*[F.lit(x) for kv in lowest.items() for x in kv])[cls.cast("int")])
+
+
+def pixel_corners(width: int, height: int) -> dict[str, Column]:
+    """Corners in pixels of a normalised box xc, yc, w, h."""
+    return {
+        "x1": (F.col("xc") - F.col("w") / 2) * width, "y1": (F.col("yc") - F.col("h") / 2) * height,
+        "x2": (F.col("xc") + F.col("w") / 2) * width, "y2": (F.col("yc") + F.col("h") / 2) * height,
+    }
+
+
 def clip01(x: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +41,63 @@ def dhash(frames: DataFrame, side: int = 8) -> DataFrame:
     return frames.withColumn("dhash", F.expr(bits))
 
 
+def resized(frames: DataFrame, width: int, height: int, side: int = 8) -> DataFrame:
+    """``px`` of square grey frames on a grid of ``width`` x ``height``: each cell the mean of the area that it covers."""
+    span = lambda n, k: f"sequence({k} * {side} div {n}, (({k} + 1) * {side} - 1) div {n})"
+    part = lambda n, k, i: f"greatest(0, least(({i} + 1) * {n}, ({k} + 1) * {side}) - greatest({i} * {n}, {k} * {side}))"
+    row = f"aggregate({span(width, 'x')}, 0D, (t, c) -> t + {part(width, 'x', 'c')} * px[r * {side} + c])"
+    cell = f"aggregate({span(height, 'y')}, 0D, (s, r) -> s + {part(height, 'y', 'r')} * {row}) / {side * side}"
+    return frames.withColumn("px", F.expr(f"flatten(transform(sequence(0, {height - 1}), y -> transform(sequence(0, {width - 1}), x -> {cell})))"))
+
+
+def dhash_text(frames: DataFrame, size: int = 8, side: int = 8) -> DataFrame:
+    """``dhash``: right cell > left cell of the frame on ``size`` + 1 by ``size`` cells, row by row, as hexadecimal digits; solid frames are all zeros."""
+    small = resized(frames, size + 1, size, side)
+    bits = f"transform(filter(sequence(0, {size * (size + 1) - 1}), i -> i % {size + 1} < {size}), i -> if(px[i + 1] > px[i], '1', '0'))"
+    digits = f"transform(sequence(0, {size * size // 4 - 1}), k -> lower(conv(array_join(slice(bits, 4 * k + 1, 4), ''), 2, 16)))"
+    return small.withColumn("bits", F.expr(bits)).select("*", F.array_join(F.expr(digits), "").alias("dhash")).drop("bits", "px")
+
+
+def shifted(frames: DataFrame, mode: str, amount: float | None = None, side: int = 8) -> DataFrame:
+    """``px`` of square grey frames with a labelled fault: ``brightness`` times an amount (0.35), or a Gaussian blur of that radius, ``defocus`` (4).
+
+    Borders of the blur repeat the edge. An empty table gives none; an unknown mode and an amount that isn't positive raise.
+    """
+    amount = {"brightness": 0.35, "defocus": 4.0}[mode] if amount is None else amount
+    if amount <= 0:
+        raise ValueError("the amount must be positive")
+    if mode == "brightness":
+        return frames.withColumn("px", F.transform("px", lambda p: F.least(F.lit(255.0), p * amount)))
+    reach = math.ceil(3 * amount)
+    kernel = [math.exp(-d * d / (2 * amount * amount)) for d in range(-reach, reach + 1)]
+    taps = F.array(*[F.lit(k / sum(kernel)) for k in kernel])
+    inside = lambda k: f"least({side - 1}, greatest(0, {k} + d - {reach}))"
+    for at in (f"i div {side} * {side} + {inside(f'i % {side}')}", f"{inside(f'i div {side}')} * {side} + i % {side}"):
+        frames = frames.withColumn("_taps", taps)
+        blurred = f"transform(px, (v, i) -> aggregate(sequence(0, {2 * reach}), 0D, (s, d) -> s + _taps[d] * px[cast({at} as int)]))"
+        frames = frames.withColumn("px", F.expr(blurred)).drop("_taps")
+    return frames
+
+
+def window_health(events: DataFrame, boxes: DataFrame) -> DataFrame:
+    """window_id, cls, n_events, boxes_per_event, mean_conf and share of each window of ``events`` (window_id, event) with ``boxes`` (event, cls, conf).
+
+    mean_conf is 0 where a window has no box. A class has a row from the first window on that holds it, with share 0 where it is
+    absent; classes are few. Windows before any box have one row without a class.
+    """
+    both = events.select("window_id", "event").join(boxes.select("event", "cls", "conf"), "event", "left")
+    per = both.groupBy("window_id", "cls").agg(F.count("conf").alias("n"), F.sum("conf").alias("s"))
+    one = per.groupBy("window_id").agg(F.sum("n").alias("_n"), F.sum("s").alias("_s"))
+    one = one.join(events.groupBy("window_id").agg(F.count(F.lit(1)).alias("n_events")), "window_id")
+    seen = per.where("n > 0").groupBy("cls").agg(F.min("window_id").alias("_first")).withColumnRenamed("cls", "_cls")  # a row for each class
+    grid = one.join(F.broadcast(seen), F.col("_first") <= F.col("window_id"), "left").withColumnRenamed("_cls", "cls")
+    out = grid.join(per.where("n > 0").select("window_id", "cls", "n"), ["window_id", "cls"], "left")
+    mean = F.when(F.col("_n") > 0, F.col("_s") / F.col("_n")).otherwise(0.0)
+    share = F.when(F.col("cls").isNotNull(), F.coalesce("n", F.lit(0)) / F.col("_n"))
+    share = F.when(F.col("_n") > 0, share).otherwise(F.when(F.col("cls").isNotNull(), 0.0))
+    return out.select("window_id", "cls", "n_events", (F.col("_n") / F.col("n_events")).alias("boxes_per_event"), mean.alias("mean_conf"), share.alias("share"))
+
+
 def baseline(read: DataFrame, scene: str) -> DataFrame:
     return read.groupBy(scene).agg(F.count(F.lit(1)).alias("n_frames"), *[F.avg(c).alias(c) for c in STATS])
 

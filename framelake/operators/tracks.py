@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framelake.operators.matching import suppress
+from framelake.operators.order import global_rank, top_k
+
 
 def slice_labels(boxes: DataFrame, width: int, height: int, side: int, least: float = 0.1) -> DataFrame:
     """Boxes (cls, xc, yc, w, h of a frame) that lie in a tile x0, y0 of ``side`` by ``least`` of their area or more, clipped to it and normalised by it."""
@@ -40,6 +43,12 @@ def variant_parts(slug: Column) -> list[Column]:
     return [F.when(ok, F.regexp_extract(slug, r"^(.+)-([^-]+)-(\d+)$", k)).alias(n) for k, n in ((1, "runtime"), (2, "precision"), (3, "imgsz"))]
 
 
+def tag_slug(tag: Column) -> Column:
+    """The variant slug that a tag ``optimize.<slug with _>`` addresses, null for any other tag."""
+    slug = F.replace(F.substring(tag, 10, 1 << 20), F.lit("_"), F.lit("-"))
+    return F.when(F.startswith(tag, F.lit("optimize.")) & slug.rlike(r"^.+-[^-]+-\d+$"), slug)
+
+
 def uri_slug(text: Column) -> Column:
     return F.regexp_replace(text, r"[^A-Za-z0-9._-]+", "-")
 
@@ -57,6 +66,87 @@ def decode_scores(raw: DataFrame, least: float, cap: int, keys: list[str]) -> Da
     return out.withColumn("_k", place).where(F.col("_k") <= cap).drop("_k")
 
 
+def decode_best(raw: DataFrame, least: float, iou: float, keys: list[str], most: int = 30_000, top: int = 300) -> DataFrame:
+    """Anchors (anchor, xc, yc, w, h, scores) to corner boxes of the best class, the first of equal ones, whose score is above ``least``.
+
+    The ``most`` best of a frame go on, of which suppression keeps those of a class whose overlap with a better one is at most ``iou``; then the first ``top`` by score.
+    """
+    best = raw.withColumn("conf", F.array_max("scores")).where(F.col("conf") > least).withColumn("cls", F.array_position("scores", F.col("conf")) - 1)
+    boxes = best.select(*keys, "anchor", "cls", "conf", *[F.expr(f"{c} {op} {s} / 2").alias(n) for n, c, op, s in (("x1", "xc", "-", "w"), ("y1", "yc", "-", "h"), ("x2", "xc", "+", "w"), ("y2", "yc", "+", "h"))])
+    order = [F.col("conf").desc(), "anchor"]
+    kept = suppress(top_k(boxes, keys, order, most), [*keys, "cls"], iou)
+    return top_k(kept, keys, order, top)
+
+
+def label_faults(lines: DataFrame) -> DataFrame:
+    """Label ``lines`` (line) with ``cls`` and ``fault``; blank ones go.
+
+    Faults, the first that holds: not five fields, a field that is no number, a class outside 0 to 2, a coordinate outside 0 to 1, a size of 0.
+    A class outside its range may come with a fault of its coordinates; then both are named, as ``class, range``. No fault is null.
+    """
+    f = F.split(F.trim(F.regexp_replace("line", r"\s+", " ")), " ")
+    out = lines.where(F.trim(F.regexp_replace("line", r"\s+", " ")) != "").withColumn("_f", f)
+    out = out.withColumns({"cls": F.expr("try_cast(_f[0] as int)"), "_v": F.expr("transform(slice(_f, 2, 4), x -> try_cast(x as double))")})
+    numeric = F.expr("cls is not null and _f[0] rlike '^[+-]?[0-9]+$' and not exists(_v, x -> x is null)")
+    coords = F.when(F.expr("exists(_v, x -> not x between 0 and 1)"), "range").when(F.expr("_v[2] <= 0 or _v[3] <= 0"), "size")
+    both = F.nullif(F.concat_ws(", ", F.when(~F.col("cls").between(0, 2), "class"), coords), F.lit(""))
+    return out.withColumn("fault", F.when(F.size("_f") != 5, "fields").when(~numeric, "numeric").otherwise(both)).drop("_f", "_v")
+
+
+def pairing_report(images: DataFrame, labels: DataFrame) -> DataFrame:
+    """split, fault, n and the first three names of images without a label and of labels without an image; both have split and name."""
+    both = images.distinct().withColumn("_i", F.lit(True)).join(labels.distinct().withColumn("_l", F.lit(True)), ["split", "name"], "full")
+    lone = both.where("_i is null or _l is null").select("split", "name", F.when(F.col("_i").isNull(), "no image").otherwise("no label").alias("fault"))
+    first = top_k(lone, ["split", "fault"], ["name"], 3).groupBy("split", "fault").agg(F.array_join(F.array_sort(F.collect_list("name")), ", ").alias("examples"))
+    return lone.groupBy("split", "fault").agg(F.count(F.lit(1)).alias("n")).join(first, ["split", "fault"])
+
+
+def promotable(versions: DataFrame, tags: DataFrame, served: dict[str, str]) -> DataFrame:
+    """(target, version) of versions (version, imgsz) with tag ``gate.passed`` of value True and the served variant's tag, ``served`` of the target and the size, of any value."""
+    passed = tags.where("tag = 'gate.passed' and value = 'True'").select("version").distinct()
+    wanted = versions.select("version", "imgsz", F.explode(F.create_map(*[F.lit(x) for kv in served.items() for x in kv])).alias("target", "_p"))
+    wanted = wanted.withColumn("tag", F.concat("_p", F.col("imgsz").cast("string")))
+    return wanted.join(tags.select("version", "tag"), ["version", "tag"], "left_semi").join(passed, "version", "left_semi").select("target", "version")
+
+
+def find_or_create(stored: DataFrame, wanted: DataFrame, identity: str, order: str) -> DataFrame:
+    """``stored`` (identity, version) with what ``wanted`` lacks there added, and ``created``.
+
+    New versions go on after the highest stored one, by the least ``order`` of the identity. Rows of ``wanted`` that share an identity make
+    one version; a null identity makes none. Append the created rows to the stored table.
+    """
+    new = wanted.where(F.col(identity).isNotNull()).join(stored.select(identity), identity, "left_anti").groupBy(identity).agg(F.min(order).alias("_o"))
+    last = stored.agg(F.coalesce(F.max("version"), F.lit(0)).alias("_last"))  # one row
+    made = global_rank(new, ["_o", identity]).crossJoin(F.broadcast(last)).select(identity, (F.col("_last") + F.col("rank")).alias("version"), F.lit(True).alias("created"))
+    return stored.select(identity, F.col("version").cast("long").alias("version"), F.lit(False).alias("created")).unionByName(made)
+
+
+def append_children(parents: DataFrame, marked: DataFrame) -> DataFrame:
+    """``marked`` (parent, child) with a new child for each of ``parents`` (parent) that has none, and ``created``; a parent without a name gets none."""
+    lone = parents.where("parent is not null").distinct().join(marked, "parent", "left_anti")
+    made = lone.select("parent", F.concat(F.col("parent").cast("string"), F.lit("-record")).alias("child"), F.lit(True).alias("created"))
+    return marked.select("parent", F.col("child").cast("string").alias("child"), F.lit(False).alias("created")).unionByName(made)
+
+
+def report_rows(metrics: DataFrame, primary: str, roles: tuple[str, ...] = ("candidate", "champion")) -> DataFrame:
+    """role, metric, value and cls for each of ``roles`` and every metric of ``metrics`` (role, metric, value): null where a role lacks it; cls is what follows ``/primary/``."""
+    keys = metrics.select("metric").distinct().withColumn("role", F.explode(F.array(*map(F.lit, roles))))
+    out = keys.join(metrics, ["role", "metric"], "left")
+    cls = F.nullif(F.regexp_extract("metric", f"^.*/{primary}/(.*)$", 1), F.lit(""))
+    return out.select("role", "metric", F.round("value", 6).alias("value"), cls.alias("cls"))
+
+
+def metric_rows(rows: DataFrame, prefix: str, name: str, floor: float) -> DataFrame:
+    """(metric, value): the mean of ``rows`` (cls, group, value) as prefix/name, by class as prefix/name/cls, by group as prefix/group/name, and of values from ``floor`` on as prefix/name@floor.
+
+    One aggregate over small sums; an empty table gives no row, and so does a floor that nothing reaches.
+    """
+    key = f"{prefix}/{name}"
+    at = F.when(F.col("value") >= floor, F.lit(f"{key}@{floor}"))
+    keys = F.array_compact(F.array(F.lit(key), F.concat(F.lit(key + "/"), "cls"), F.concat(F.lit(prefix + "/"), "group", F.lit("/" + name)), at))
+    return rows.select("value", F.explode(keys).alias("metric")).groupBy("metric").agg(F.avg("value").alias("value"))
+
+
 def stamp(source_hash: Column, **params: Column) -> Column:
     """SHA-256 of the text {source hash, params} with sorted keys, as the identity of a computed table."""
     parts = [F.concat(F.lit(f'"{k}":'), v.cast("string")) for k, v in sorted(params.items())]
