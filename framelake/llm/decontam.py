@@ -4,7 +4,9 @@ Two strings of length m with at most k edits share at least m + 1 - q * (k + 1)
 within k + 1 neighbouring diagonals. Every stretch of ``PROBE`` bytes of an item counts, wherever it
 starts: positions of a document whose q-gram occurs in an item are put into diagonal bands of the
 item, bands of 2k + 2 diagonals overlapping by half so that no run of k + 1 falls between two, and a
-band's hits in the order of their place in the item show which stretches reach the bound. These are
+band's hits in the order of their place in the item show which stretches reach the bound. Of windows that repeat within
+a text only the first is looked at (they hold the same stretches), and hits are spelled out in slices of ``SLICE_HITS``
+that overlap by a stretch, so that neither a repetitive text nor a repetitive item fills the memory. Stretches that reach the bound are
 verified by alignment within the band: a row of it holds the band's diagonals and k more on either side. Items that
 allow no edit must stand between letters and digits of their own; those of fewer than ``Q`` bytes are looked for by name.
 
@@ -18,7 +20,7 @@ writes the hits only; they meet the documents by a hash of id and text.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ EDITS = 20  # one edit for so many characters of a stretch
 BLOCK_BYTES = 4 << 20
 PASS_BLOCKS = 4
 TABLE_BITS = 22
+SLICE_HITS = 1 << 19  # pairs of a text's and an item's q-gram that are spelled out at once
+SPAN = PROBE + PROBE // EDITS + 2  # bytes of a text that tell what is found in them: a stretch, its edits and one more on each side
 
 
 def normal(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,8 +75,8 @@ class Probes:
     most: np.ndarray  # edits in a stretch
     bound: np.ndarray  # hits that a stretch needs
     key: np.ndarray
-    entry: np.ndarray  # index of the q-gram's item
-    place: np.ndarray
+    place: np.ndarray  # of the q-gram in all items side by side, ascending within a key
+    base: np.ndarray  # where each item begins there
     table: np.ndarray
     passes: list[tuple[int, int]]  # (window, least hits) that a region needs, for groups of stretch lengths
     short: list[tuple[bytes, object]]  # items of fewer than Q bytes and their ids
@@ -115,8 +119,8 @@ def probes(items: list[tuple]) -> Probes:
     bound = np.maximum(1, length + 1 - Q * (most + 1))
     hashes = [grams(np.frombuffer(t, np.uint8)) for t in body]
     key = np.concatenate(hashes) if hashes else np.zeros(0, U64)
-    entry = np.repeat(np.arange(len(body)), [len(h) for h in hashes])
-    place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.zeros(0, np.int64)
+    base = np.cumsum([0, *(len(t) for t in body)])
+    place = np.concatenate([a + np.arange(len(h), dtype=np.int32) for a, h in zip(base[:-1].tolist(), hashes, strict=True)]) if hashes else np.zeros(0, np.int32)
     order = np.argsort(key, kind="stable")
     table = np.zeros(1 << TABLE_BITS, bool)
     table[(key >> U64(64 - TABLE_BITS)).astype(np.int64)] = True
@@ -125,9 +129,10 @@ def probes(items: list[tuple]) -> Probes:
         inside = (length >= low) & (length < high)
         if inside.any():
             passes.append((int((length + most)[inside].max()) - Q + 1, int(bound[inside].min())))
-    return Probes(body, ids, length, most, bound, key[order], entry[order], place[order], table, passes, short)
+    return Probes(body, ids, length, most, bound, key[order], place[order].astype(np.int32), base, table, passes, short)
 
 
+@lru_cache(1 << 14)
 def distance(probe: bytes, region: bytes, low: int, high: int, k: int) -> int:
     """Least edits between the probe and a stretch of the region that begins at ``low`` to ``high``; k + 1 where there are more than ``k``.
 
@@ -180,22 +185,86 @@ def _candidates(p: Probes, doc: np.ndarray, item: np.ndarray, diagonal: np.ndarr
 
 
 def _regions(body: bytes, text: bytes, at: int, spans: list[tuple[int, int, int]], k: int) -> int:
-    """How many stretches of ``body``, each after the end of the one before, ``text`` holds; it starts at ``at`` of the spans' diagonals."""
-    n = free = 0
-    for a, begin in sorted({(a, begin) for begin, low, high in spans for a in range(low, high + 1)}):
-        if a < free:
-            continue
-        probe = body[a : a + PROBE]
-        begin += a - at
-        if not k:
-            held = any(text[b : b + len(probe)] == probe and _apart(text, b, b + len(probe)) for b in (begin, begin + 1) if b >= 0)
-        else:
-            zero = max(0, begin - k)
-            region = text[zero : max(0, begin + 2 * (k + 1) + len(probe) + k)]
-            held = probe in region or distance(probe, region, begin - zero, begin - zero + 2 * k + 1, k) <= k
-        if held:
-            n, free = n + 1, a + PROBE
-    return n
+    """How many stretches of ``body``, each after the end of the one before, ``text`` holds; it starts at ``at`` of the spans' diagonals.
+
+    A span is (first diagonal of its band, lowest and highest start of a stretch); these are gone through by start.
+    """
+    spans = sorted(set(spans), key=lambda s: (s[1], s[0], s[2]))
+    n = a = nxt = 0
+    active: list[tuple[int, int, int]] = []
+    while True:
+        active = [s for s in active if s[2] >= a]
+        if not active:
+            if nxt == len(spans):
+                return n
+            a = max(a, spans[nxt][1])
+        while nxt < len(spans) and spans[nxt][1] <= a:
+            if spans[nxt][2] >= a:
+                active.append(spans[nxt])
+            nxt += 1
+        held = any(_held(body[a : a + PROBE], text, begin + a - at, k) for begin in sorted({s[0] for s in active}))
+        n, a = (n + 1, a + PROBE) if held else (n, a + 1)
+
+
+def _held(probe: bytes, text: bytes, begin: int, k: int) -> bool:
+    """Whether ``text`` holds the stretch in the band that begins at ``begin``."""
+    if not k:
+        return any(text[b : b + len(probe)] == probe and _apart(text, b, b + len(probe)) for b in (begin, begin + 1) if b >= 0)
+    zero = max(0, begin - k)
+    region = text[zero : max(0, begin + 2 * (k + 1) + len(probe) + k)]
+    return probe in region or distance(probe, region, begin - zero, begin - zero + 2 * k + 1, k) <= k
+
+
+def _once(covered: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """``covered`` without the bytes that lie only in windows of ``SPAN`` bytes that their text held before."""
+    n = len(covered)
+    total = np.concatenate([[0], np.cumsum(covered)])
+    at = np.arange(n)
+    starts = np.flatnonzero(total[np.minimum(at + SPAN, n)] > total[:-1])
+    doc = np.searchsorted(offsets, starts, "right") - 1
+    ends = np.minimum(starts + SPAN, offsets[doc + 1])
+    told = T.mix(T.span_hash(data, starts, ends) + doc.astype(U64) * U64(0x9E3779B97F4A7C15))
+    told[starts == offsets[doc]] ^= U64(0x5555555555555555)  # at the start of a text there is no byte before
+    _, first = np.unique(told, return_index=True)
+    edge = np.zeros(len(data) + 1, np.int32)
+    np.add.at(edge, starts[first], 1)
+    np.add.at(edge, ends[first], -1)
+    return covered & (np.cumsum(edge)[:n] > 0)
+
+
+def _lower_bound(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: int) -> np.ndarray:
+    """The first index in each range low .. high - 1 of ``values``, ascending in each, that isn't below ``wanted``; high where none is."""
+    low, high = low.copy(), high.copy()
+    while (open_ := np.flatnonzero(low < high)).size:
+        middle = (low[open_] + high[open_]) >> 1
+        below = values[middle] < wanted
+        low[open_[below]] = middle[below] + 1
+        high[open_[~below]] = middle[~below]
+    return low
+
+
+def _slices(p: Probes, at: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """(positions, their entries) of all hits, in slices of about ``SLICE_HITS`` that each overlap the next by a stretch, in the text or in the items."""
+    total = np.concatenate([[0], np.cumsum(high - low)])
+    first = 0
+    while first < len(at):
+        last = max(int(np.searchsorted(total, total[first] + SLICE_HITS, "right")) - 1, int(np.searchsorted(at, at[first] + 2 * SPAN)))
+        last = min(last, len(at))
+        yield from _places(p, at[first:last], low[first:last], high[first:last], 0, int(p.base[-1]))
+        if last == len(at):
+            return
+        first = int(np.searchsorted(at, at[last] - SPAN))
+
+
+def _places(p: Probes, at: np.ndarray, low: np.ndarray, high: np.ndarray, begin: int, end: int):
+    """As ``_slices`` for entries low .. high - 1, whose places are from ``begin`` to ``end``."""
+    count = high - low
+    if count.sum() <= SLICE_HITS or end - begin <= 4 * PROBE:
+        yield np.repeat(at, count), T.ragged(low, count)
+        return
+    middle = (begin + end) // 2
+    yield from _places(p, at, low, _lower_bound(p.place, low, high, middle), begin, middle)
+    yield from _places(p, at, _lower_bound(p.place, low, high, middle - PROBE), high, middle - PROBE, end)
 
 
 def _named(data: np.ndarray, offsets: np.ndarray, p: Probes):
@@ -227,19 +296,34 @@ def matches(array: pa.Array, p: Probes):
                 at = np.flatnonzero(total[np.minimum(np.arange(n) + window, n)] - total[:n] >= least)
                 np.add.at(near, at, 1)
                 np.add.at(near, np.minimum(at + window, n), -1)
-            at = np.flatnonzero(hit & (np.cumsum(near[:n]) > 0))
-            low, high = np.searchsorted(p.key, key[at], "left"), np.searchsorted(p.key, key[at], "right")
-            count = high - low
-            where, entry = np.repeat(at, count), T.ragged(low, count)
-            doc = np.searchsorted(offsets, where, "right") - 1
-            whole = where + Q <= offsets[doc + 1]
-            where, entry, doc = where[whole], entry[whole], doc[whole]
+            covered = np.cumsum(near[:n]) > 0
             spans: dict[tuple[int, int], list] = {}
-            for i, q, *span in _candidates(p, doc, p.entry[entry], where - p.place[entry], p.place[entry]):
-                spans.setdefault((i, q), []).append(span)
-            for (i, q), held in spans.items():
+
+            def stretches(i: int, q: int) -> int:
                 a = int(offsets[i])
-                if got := _regions(p.body[q], data[a : int(offsets[i + 1])].tobytes(), a, held, int(p.most[q])):
+                return _regions(p.body[q], data[a : int(offsets[i + 1])].tobytes(), a, spans[i, q], int(p.most[q]))
+
+            if covered.any():
+                at = np.flatnonzero(hit & _once(covered, data, offsets))
+                at = at[at + Q <= offsets[np.searchsorted(offsets, at, "right")]]
+                low, high = np.searchsorted(p.key, key[at], "left"), np.searchsorted(p.key, key[at], "right")
+                done: set[tuple[int, int]] = set()  # of whose item no more stretches could be found
+                for where, entry in _slices(p, at, low, high):
+                    place = p.place[entry].astype(np.int64)
+                    item, doc = np.searchsorted(p.base, place, "right") - 1, np.searchsorted(offsets, where, "right") - 1
+                    if done:
+                        code = len(p.body)
+                        left = ~np.isin(doc * code + item, [i * code + q for i, q in done])
+                        where, place, item, doc = where[left], place[left], item[left], doc[left]
+                    place -= p.base[item]
+                    fresh = set()
+                    for i, q, *span in _candidates(p, doc, item, where - place, place):
+                        spans.setdefault((i, q), []).append(tuple(span))
+                        fresh.add((i, q))
+                    if len(at) and where.size < (high - low).sum():  # more slices than this one
+                        done |= {x for x in fresh if stretches(*x) >= max(1, len(p.body[x[1]]) // PROBE)}
+            for i, q in spans:
+                if got := stretches(i, q):
                     found[i].add(p.ids[q])
                     regions[i] += got
         if p.short and len(data):

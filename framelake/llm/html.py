@@ -182,9 +182,17 @@ def parse(text: str) -> Page:
         deep = max((opened[n][-1] for n in names if opened.get(n)), default=0)
         return 0 if any(opened[n][-1] > deep for n in stop if opened.get(n)) else deep
 
-    at, in_head = 0, False
+    at, in_head, in_body = 0, False, False
     tokens = _tokens(text)
-    token = next(tokens, None)
+
+    def following(skip: int | None) -> tuple | None:
+        """The next piece of markup, that from ``skip`` on where it is given; None where there is none."""
+        try:
+            return tokens.send(skip)
+        except StopIteration:
+            return None
+
+    token = following(None)
     while token:
         start, end, name, ends, attributes = token
         if not in_head:
@@ -212,16 +220,16 @@ def parse(text: str) -> Page:
             if name != "title" and not in_head:
                 run.append((stack[-1][1], " "))
         elif name == "head":
-            in_head = True
+            in_head = not in_body  # once the body has begun, such a tag means nothing
         elif name in ("html", "body"):
-            in_head = False
+            in_head, in_body = False, in_body or name == "body"
         elif name in VOID:
             if name == "hr":
                 flush()
             elif name in ("br", "img", "input"):
                 run.append((stack[-1][1], " "))
         else:
-            in_head = False
+            in_head, in_body = False, True
             if name in CLOSES_P and opened.get("p"):
                 if i := last(("p",), ("table", "td", "th", "button")):
                     close(i)
@@ -245,7 +253,7 @@ def parse(text: str) -> Page:
                 opened.setdefault(name, []).append(len(stack))
                 stack.append((name, node))
                 links += name == "a"
-        token = tokens.send(skip) if skip else next(tokens, None)
+        token = following(skip)
     if not in_head:
         say(text[at:])
     close(1)

@@ -47,9 +47,10 @@ def crc_tail(body: bytes) -> str:
 
 
 def _json_part(part: bytes) -> bool:
+    """Whether the part is a JSON object; what is nested deeper than Python's parser goes is none."""
     try:
         return isinstance(json.loads(base64.urlsafe_b64decode(part + b"=" * (-len(part) % 4))), dict)
-    except ValueError:
+    except (ValueError, RecursionError):
         return False
 
 
@@ -134,8 +135,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     Spans are code points, end exclusive, by start and then in the order of KINDS; within a kind
     they are leftmost and don't overlap, and a match that fails its check is dropped but still
-    covers its stretch. Null and empty texts have none. Ids, null or repeated, pass through; other
-    columns are ignored.
+    covers its stretch. Null and empty texts have none, an empty table gives no row. Ids, null or repeated, pass through;
+    other columns, whatever they are called, are ignored. Long texts are read whole. A token part nested deeper than the
+    JSON parser goes fails its check.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
