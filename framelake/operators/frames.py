@@ -13,11 +13,12 @@ STATS = ("brightness", "contrast", "blur")
 FLAGS = (("dark", "brightness", "<", 20), ("bright", "brightness", ">", 235), ("low_contrast", "contrast", "<", 10), ("blurry", "blur", "<", 50))
 
 
-def population_std(px: Column) -> Column:
-    """One pass over sums and squares; exact for whole grey values."""
+def population_variance(px: Column) -> Column:
+    """One pass over sums and squares; exact for whole grey values, as n * sum of squares - square of the sum is."""
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
     both = F.aggregate(px, zero, lambda a, x: F.struct((a["s"] + x).alias("s"), (a["q"] + x * x).alias("q")))
-    return F.transform(F.array(both), lambda a: F.sqrt(F.greatest(F.lit(0.0), a["q"] - a["s"] * a["s"] / F.size(px)) / F.size(px)))[0]
+    n = F.size(px).cast("double")
+    return F.transform(F.array(both), lambda a: F.greatest(F.lit(0.0), n * a["q"] - a["s"] * a["s"]) / (n * n))[0]
 
 
 def readings(frames: DataFrame, side: int = 8) -> DataFrame:
@@ -25,8 +26,8 @@ def readings(frames: DataFrame, side: int = 8) -> DataFrame:
     edge = f"""transform(px, (v, i) -> if(i < {side} or i >= {side * (side - 1)} or i % {side} = 0 or i % {side} = {side - 1}, v,
       least(255D, greatest(0D, 9 * v - (px[i - {side + 1}] + px[i - {side}] + px[i - {side - 1}] + px[i - 1] + v + px[i + 1] + px[i + {side - 1}] + px[i + {side}] + px[i + {side + 1}])))))"""
     mean = F.aggregate("px", F.lit(0.0), lambda s, x: s + x) / F.size("px")
-    out = frames.withColumn("edges", F.expr(edge)).withColumn("brightness", mean).withColumn("contrast", population_std(F.col("px")))
-    return out.withColumn("blur", F.pow(population_std(F.col("edges")), 2.0)).drop("edges")
+    out = frames.withColumn("edges", F.expr(edge)).withColumn("brightness", mean).withColumn("contrast", F.sqrt(population_variance(F.col("px"))))
+    return out.withColumn("blur", population_variance(F.col("edges"))).drop("edges")
 
 
 def quality_flags(read: DataFrame) -> DataFrame:
