@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import chat, decontam, html, mixing, neardup, quality, secrets, sharding, tokens, toxicity
+from framelake.llm import align, bpe, chat, decontam, html, mixing, neardup, quality, secrets, sharding, tokens, toxicity, whitening
 from framelake.llm._spark import cut, new_path, text_batches
 from framelake.llm._spark import table as read
 
@@ -69,6 +69,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_mixing, op3_html_extraction, op4_toxicity, op5_token_ids, op6_chat_formatting, op7_quality_rules, op8_minhash, op9_secret_scans, op10_decontamination)}
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(align.VOCABULARY_A), public_tokenizers.path(align.VOCABULARY_B))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.VOCABULARY))
+
+
+OPERATORS = (
+    op1_sharding, op2_mixing, op3_html_extraction, op4_toxicity, op5_token_ids, op6_chat_formatting, op7_quality_rules, op8_minhash, op9_secret_scans, op10_decontamination,
+    op11_alignment, op12_whitening, op13_bpe,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
 
 ORACLES = {"op1_sharding": sharding.oracle(SHARD_BYTES), "op2_mixing": mixing.ORACLE, "op6_chat_formatting": chat.oracle(HARD), "op8_minhash": neardup.oracle(3, 85)}
