@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framelake.functions import geometry as G
+from framelake.sources.scratch import cut
 
 WIDTH, HEIGHT = 1000, 600
 
@@ -90,12 +91,11 @@ def not_ignored(boxes: DataFrame, regions: DataFrame, keys: list[str], width: in
 
     Sizes are raised to 1. A region covers rows y - 1 .. min(H, y + h) - 1, likewise columns; a
     box y .. min(H, y + h) - 1. The union is exact: the regions clipped to the box are cut along all their
-    edges and covered cells are summed.
+    edges and covered cells are summed. Boxes are numbered and written, since numbers given anew could fall to other boxes.
     """
-    cut = lambda c: f"greatest(cast({c} as bigint), 1)"
-    r = regions.select(*keys, *[F.expr(cut(f"r{c}")).alias(c) for c in "xywh"])
+    r = regions.select(*keys, *[F.expr(f"greatest(cast(r{c} as bigint), 1)").alias(c) for c in "xywh"])
     r = r.selectExpr(*keys, "x - 1 as rx1", f"least({width}, x + w) as rx2", "y - 1 as ry1", f"least({height}, y + h) as ry2")
-    b = boxes.withColumn("box_id", F.monotonically_increasing_id()).withColumns({f"_{c}": F.expr(f"greatest(cast(floor({c} + 0.5) as bigint), 1)") for c in "xywh"})
+    b = cut(boxes.withColumn("box_id", F.monotonically_increasing_id()), "boxes").withColumns({f"_{c}": F.expr(f"greatest(cast(floor({c} + 0.5) as bigint), 1)") for c in "xywh"})
     b = b.withColumns({"_bx1": F.expr(f"least(_x, {width})"), "_bx2": F.expr(f"least({width}, _x + _w)"), "_by1": F.expr(f"least(_y, {height})"), "_by2": F.expr(f"least({height}, _y + _h)")})
     hit = b.select(*keys, "box_id", "_bx1", "_bx2", "_by1", "_by2").join(r, keys)
     hit = hit.selectExpr("box_id", "greatest(rx1, _bx1) as a1", "least(rx2, _bx2) as a2", "greatest(ry1, _by1) as b1", "least(ry2, _by2) as b2").where("a2 > a1 and b2 > b1")

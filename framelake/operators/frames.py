@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framelake.operators.order import global_rank, percentiles
+from framelake.operators.order import global_rank, percentiles, segmented_scan
 
 STATS = ("brightness", "contrast", "blur")
 FLAGS = (("dark", "brightness", "<", 20), ("bright", "brightness", ">", 235), ("low_contrast", "contrast", "<", 10), ("blurry", "blur", "<", 50))
@@ -145,10 +145,8 @@ def verdicts(means: DataFrame, ref: DataFrame) -> DataFrame:
 
 
 def episodes(judged: DataFrame, consecutive: int = 2) -> DataFrame:
-    """Windows at which a run of drifted windows reaches ``consecutive``. Rows are windows, few next to frames."""
-    clean = F.sum(F.when(F.col("drifted"), 0).otherwise(1)).over(Window.orderBy("window_id"))
-    place = F.row_number().over(Window.partitionBy("run").orderBy("window_id"))
-    return judged.withColumn("run", clean).where("drifted").withColumn("k", place).where(F.col("k") == consecutive).drop("k", "run")
+    """Windows at which a run of drifted windows reaches ``consecutive``."""
+    return segmented_scan(judged, [], ["window_id"], _run=("run", "drifted")).where(F.col("_run") == consecutive).drop("_run")
 
 
 def latency(timings: DataFrame, warm: int = 3) -> DataFrame:
@@ -164,13 +162,10 @@ def latency(timings: DataFrame, warm: int = 3) -> DataFrame:
 
 def monitor_readings(judged: DataFrame, opened: DataFrame) -> DataFrame:
     """Metric rows (window_id, name, label, value): each window's scores beside their thresholds, and up to each window how many were ok, drifted and opened an episode.
-
-    Rows are windows, few next to frames.
     """
     both = judged.join(opened.select("window_id", F.lit(1).alias("_open")), "window_id", "left")
-    upto = Window.orderBy("window_id").rowsBetween(Window.unboundedPreceding, 0)
-    total = lambda c: F.sum(F.when(c, 1.0).otherwise(0.0)).over(upto)
-    counted = both.withColumns({"_ok": total(~F.col("drifted")), "_drifted": total(F.col("drifted")), "_opened": total(F.col("_open").isNotNull())})
+    one = lambda c: ("sum", F.when(c, 1.0).otherwise(0.0))
+    counted = segmented_scan(both, [], ["window_id"], _ok=one(~F.col("drifted")), _drifted=one(F.col("drifted")), _opened=one(F.col("_open").isNotNull()))
     row = lambda name, label, value: F.struct(F.lit(name).alias("name"), F.lit(label).alias("label"), F.col(value).cast("double").alias("value"))
     each = [row(f"drift_{k}", c, f"{k}_{c}") for c in STATS for k in ("score", "threshold")]
     each += [row("drift_windows", "ok", "_ok"), row("drift_windows", "drifted", "_drifted"), row("drift_episodes", "", "_opened")]
@@ -189,7 +184,8 @@ def episode_evidence(opened: DataFrame, windows: DataFrame, first_step: int = 0)
     where = spans.groupBy("window_id").agg(F.array_sort(F.collect_list(F.struct("_o", "_s"))).alias("_w")).select("window_id", F.array_join("_w._s", ", ").alias("place"))
     picked = rows.where("pos = 0 or pos = _n div 2 or pos = _n - 1").groupBy("window_id").agg(
         F.max("_n").alias("n_frames"), F.array_sort(F.collect_list(F.struct("pos", "frame_index"))).alias("_e")).select("window_id", "n_frames", F.col("_e.frame_index").alias("evidence"))
-    step = (F.row_number().over(Window.orderBy("window_id")) - 1 + first_step).alias("step")  # episodes are few
+    opened = global_rank(opened, ["window_id"])
+    step = (F.col("rank") - 1 + first_step).alias("step")
     crossed = F.array_compact(F.array(*[F.when(F.col(f"crossed_{c}"), c) for c in STATS])).alias("crossed")
     told = [F.struct(*[F.col(f"{k}_{c}").alias(c) for c in STATS]).alias(f"{k}s") for k in ("score", "threshold")]
     return opened.select("window_id", step, crossed, *told).join(where, "window_id").join(picked, "window_id")

@@ -2,7 +2,8 @@
 
 Boxes are gt and tracks with sequence, cls, frame_index, id and corners, an id once a frame. Pairs come from a join within
 a frame, counts from grouping; only one-to-one assignments run in Python, over arrays of one frame's pairs, or for IDF1
-of the pairs of ids that meet in one sequence.
+of the pairs of ids that meet in one sequence. These are assigned by connected groups of ids, so time and memory follow the pairs
+that really compete.
 """
 
 from __future__ import annotations
@@ -50,6 +51,42 @@ def assign(gain: np.ndarray) -> list[tuple[int, int]]:
     return [(int(holder[j]), int(j)) for j in np.flatnonzero(holder >= 0)]
 
 
+def sparse_pairs(rows: np.ndarray, columns: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """Which of the given (row, column) pairs a one-to-one assignment of the greatest total gain takes; gains are positive.
+
+    Pairs fall into connected groups of rows and columns, which are assigned each for itself, so the tables that are filled are
+    those of groups that really compete.
+    """
+    taken = np.zeros(len(rows), bool)
+    if not len(rows):
+        return taken
+    _, r = np.unique(rows, return_inverse=True)
+    _, c = np.unique(columns, return_inverse=True)
+    label = np.arange(len(rows))  # of each pair: the least pair that it hangs together with
+    while True:
+        low = label.copy()
+        for side in (r, c):
+            least = np.full(side.max() + 1, len(rows))
+            np.minimum.at(least, side, low)
+            low = least[side]
+        low = low[low]
+        if (low == label).all():
+            break
+        label = low
+    order = np.argsort(label, kind="stable")
+    for group in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
+        if len(group) == 1:
+            taken[group] = True
+            continue
+        _, i = np.unique(r[group], return_inverse=True)
+        _, j = np.unique(c[group], return_inverse=True)
+        table, at = np.zeros((i.max() + 1, j.max() + 1)), np.full((i.max() + 1, j.max() + 1), -1)
+        table[i, j], at[i, j] = gain[group], group
+        picked = [at[x, y] for x, y in assign(table)]
+        taken[[k for k in picked if k >= 0]] = True
+    return taken
+
+
 def overlaps(gt: DataFrame, tracks: DataFrame) -> DataFrame:
     """Pairs of boxes of one sequence, class and frame with a common area: gt_id, track_id, iou."""
     a, b = (G.prefixed(df.select(*FRAME, F.col("id").alias(name), *G.CORNERS), p) for df, name, p in ((gt, "gt_id", "g_"), (tracks, "track_id", "t_")))
@@ -68,13 +105,9 @@ def _assigned(pairs: DataFrame, keys: list[str], gain: str, value: str) -> DataF
         for b in batches:
             out = []
             for *key, met in b[[*keys, "pairs"]].itertuples(index=False, name=None):
-                left, right = ({i: k for k, i in enumerate(dict.fromkeys(p[c] for p in met))} for c in ("gt_id", "track_id"))
-                table = np.zeros((len(left), len(right)))
-                held = {}
-                for p in met:
-                    at = left[p["gt_id"]], right[p["track_id"]]
-                    table[at], held[at] = p["gain"], (p["gt_id"], p["track_id"], p["value"])
-                out += [(*key, *held[at]) for at in assign(table) if at in held]
+                left, right = (np.unique([p[c] for p in met], return_inverse=True)[1] for c in ("gt_id", "track_id"))
+                taken = sparse_pairs(left, right, np.array([p["gain"] for p in met]))
+                out += [(*key, met[k]["gt_id"], met[k]["track_id"], met[k]["value"]) for k in np.flatnonzero(taken).tolist()]
             yield pd.DataFrame(out, columns=[*keys, "gt_id", "track_id", value])
 
     return rows.mapInPandas(run, schema)

@@ -91,31 +91,6 @@ def test_messages_that_are_not_ok_stay(spark):
     assert [tuple(r)[2:] for r in M.parse_alerts(sent).collect()] == [tuple(r) for r in alert.collect()]
 
 
-def rows_of(*scores):
-    return [{"cls": 1, "conf": s} for s in scores]
-
-
-def test_pairs_are_one_to_one_and_of_the_greatest_total():
-    assert C.gated_pairs(np.array([[0.7, 0.0], [0.5, 0.1], [0.0, 0.35], [0.2, 0.1]]), 0.3) == {0: 0, 2: 1}
-    assert C.gated_pairs(np.array([[0.8, 0.75], [0.78, 0.0]]), 0.3) == {0: 1, 1: 0}
-    assert C.gated_pairs(np.zeros((3, 0)), 0.3) == {}
-
-
-def test_key_frames_start_match_and_end_tracks():
-    t = C.KeyTracks(unmatched_keys=2)
-    assert t.key_frame([], rows_of(0.8, 0.4), np.zeros((2, 0)), np.eye(0)) == (set(), {1: 0, 2: 1})
-    near = np.array([[0.7, 0.0]])
-    assert t.key_frame([1, 2], rows_of(0.55), near, np.eye(2)) == (set(), {1: 0}) and t.live[1]["conf"] == 0.55
-    assert t.key_frame([1, 2], rows_of(0.55), near, np.eye(2))[0] == {2} and list(t.live) == [1]
-    t = C.KeyTracks(max_objects=3)
-    t.key_frame([], rows_of(0.8, 0.7), np.zeros((2, 0)), np.eye(0))
-    ended, held = t.key_frame([1, 2], rows_of(0.8, 0.6, 0.5), np.array([[0.2, 0.85], [0, 0], [0, 0]]), np.array([[1, 0.9], [0.9, 1]]))
-    assert ended == {2} and held == {3: 0, 4: 1} and t.live[1]["missed"] == 1
-    t = C.KeyTracks(empty_frames=2)
-    t.key_frame([], rows_of(0.9), np.zeros((1, 0)), np.eye(0))
-    assert [t.observe({1: a}) for a in (0, 4, 0, 0)] == [set(), set(), set(), {1}] and not t.live
-
-
 def test_tracks_of_clips(spark):
     rows = [("a", f, 0, 0.9, 10.0 + f, 0.0, 30.0 + f, 20.0) for f in range(1, 8)] + [("a", f, 0, 0.5, 100.0, 0.0, 120.0, 20.0) for f in (3, 4)] + [("b", 5, 1, 0.4, 0.0, 0.0, 5.0, 5.0)]
     df = spark.createDataFrame(rows, "sequence string, frame_index long, cls int, conf double, x1 double, y1 double, x2 double, y2 double")
