@@ -11,7 +11,7 @@ from framelake.operators import frames as R
 from framelake.operators import order as O
 from framelake.operators import tracks as T
 from framelake.plans import detections, files, reports, runs, streams  # noqa: F401  they register their queries
-from framelake.plans.registered import KEY, ORACLES, QUERIES, SHARED_CLOCK_SQL, query, r6  # noqa: F401
+from framelake.plans.registered import ALERT_SQL, LATE_SQL, KEY, ORACLES, QUERIES, SHARED_CLOCK_SQL, late_events, query, r6  # noqa: F401
 from framelake.sources.adapters import table, view
 from framelake.sources.scratch import cut
 
@@ -425,28 +425,13 @@ def E4_fire_once_shared_clock(spark, sf_dir):
     return O.fire_once(read, "sequence", "arrival", 5, "ts_ms", "clock", 21_600_000).where("alert").select("arrival", "sequence")
 
 
-LATE = "select arrival, sequence, frame_index - arrival % 4 as frame_index, ts_ms - case when arrival % 31 = 0 then 108000000 when arrival % 7 = 0 then 18000000 else 0 end as ts_ms, n_person as n from ev"
-LATE_SQL = f"""with e as (select *, lead(arrival) over (partition by sequence, frame_index order by arrival) as again, max(ts_ms) over (order by arrival) as clock,
-    coalesce(max(ts_ms) over (order by arrival rows between unbounded preceding and 1 preceding), 0) as clock_before from ({LATE})),
-m as (select a.arrival, any_value(a.clock_before) as clock_before, a.sequence, count(*) filter (where b.ts_ms >= a.clock - 21600000) as n_frames, sum(b.n) filter (where b.ts_ms >= a.clock - 21600000) as total, max(b.ts_ms) as newest
-  from e a join e b on a.sequence = b.sequence and b.arrival <= a.arrival and (b.again is null or b.again > a.arrival) group by a.arrival, a.sequence)"""
-
-
-def late_events(spark, sf_dir):
-    """Events of which every fourth or so repeats a frame, and some come five or thirty hours late."""
-    ev = view(spark, sf_dir, "ev")
-    delay = F.when(F.col("arrival") % 31 == 0, 108_000_000).when(F.col("arrival") % 7 == 0, 18_000_000).otherwise(0)
-    return ev.select("arrival", "sequence", (F.col("frame_index") - F.col("arrival") % 4).alias("frame_index"), (F.col("ts_ms") - delay).alias("ts_ms"), F.col("n_person").alias("n"))
-
-
 @query(f"{LATE_SQL} select arrival, sequence, n_frames, round(total / n_frames, 6) as mean from m where n_frames > 0")
 def E3_live_means(spark, sf_dir):
     """Means over live frames where frames come late, out of order and again."""
     return O.live_readings(late_events(spark, sf_dir), 21_600_000).select("arrival", "sequence", "n_frames", F.round("mean", 6).alias("mean"))
 
 
-@query(f"""{LATE_SQL}, p as (select *, lag(n_frames > 0 and total > 5 * n_frames) over w as was, lag(newest) over w as newest_before from m window w as (partition by sequence order by arrival))
-select arrival, sequence, n_frames, round(total / n_frames, 6) as mean from p where n_frames > 0 and total > 5 * n_frames and not coalesce(was and clock_before - 21600000 <= newest_before, false)""")
+@query(ALERT_SQL)
 def E4_alerts_all_arrivals(spark, sf_dir):
     """The alert rule in full: one clock, late and repeated frames, sequences that fall silent."""
     return O.alerts(late_events(spark, sf_dir), 21_600_000, 5).select("arrival", "sequence", "n_frames", F.round("mean", 6).alias("mean"))

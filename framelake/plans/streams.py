@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from framelake.operators import frames as R
 from framelake.operators import order as O
-from framelake.plans.registered import SHARED_CLOCK_SQL, query
+from framelake.plans.registered import ALERT_SQL, SHARED_CLOCK_SQL, late_events, query
 from framelake.sources.adapters import SPARK, view
 from framelake.streaming import replay, stateful
 
@@ -33,6 +33,14 @@ def G2_alert_stream_shared_clock(spark, sf_dir):
     return out.select(F.col("frame_index").alias("arrival"), "sequence")
 
 
+@query(f"{ALERT_SQL.replace(', round(total / n_frames, 6) as mean', '')}")
+def G2_alert_stream_late_frames(spark, sf_dir):
+    """The alert rule in full as a stream of four micro-batches in order of arrival, in one shard: late and repeated frames, silent sequences."""
+    events = late_events(spark, sf_dir).withColumn("shard", F.lit("all"))
+    out = replay.drain(stateful.alert_stream(replay.in_order(events, "arrival", 4, "late-events"), "shard", 21_600, 5), "alerts")
+    return out.select("arrival", "sequence", "n_frames")
+
+
 @query("""with w as (select sequence, (k // 2 - 1) // 50 as window_id, n_person as n, conf, cls from (select *, row_number() over (partition by sequence order by arrival) as k from ev) where k % 2 = 0),
 f as (select sequence, window_id, count(*) as n_events, sum(n) / cast(count(*) as double) as boxes_per_event, coalesce(sum(conf * n) / nullif(sum(n), 0), 0) as mean_conf, sum(n) as boxes from w group by all having count(*) = 50),
 c as (select sequence, cls, min(window_id) as since from w group by all)

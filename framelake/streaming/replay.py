@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from framelake.sources.scratch import new_path
+from framelake.sources.scratch import cut, new_path
 
 
 def as_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -18,6 +19,16 @@ def as_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: in
     return reader.parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
 
 
+def in_order(rows: DataFrame, order: str, batches: int, name: str) -> DataFrame:
+    """``rows`` as a stream of about ``batches`` micro-batches in ``order``: ranges of it, each written as one file after the other and read one at a time."""
+    spark = rows.sparkSession
+    path = new_path(spark, name)
+    ranged = cut(rows.repartitionByRange(batches, order).withColumn("_batch", F.spark_partition_id()), f"{name}-ranges")
+    for k in range(batches):  # files come by their time of writing
+        ranged.where(F.col("_batch") == k).drop("_batch").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def drain(stream: DataFrame, name: str) -> DataFrame:
     """All that ``stream`` gives for what its source holds now, written and read back."""
     spark = stream.sparkSession

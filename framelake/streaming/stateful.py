@@ -3,7 +3,7 @@
 Rows belong to shards, as the partitions of a topic belong to consumers: rows of one shard share a clock and its counted
 windows, shards are independent and run in parallel. Within a micro-batch a shard's rows are put in order of
 arrival; the source's rate limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds them. State is what the rule
-still needs: live frames, or the sums of the open window.
+still needs: live frames, each an entry of its own, or the sums of the open window.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 STATS = ("brightness", "contrast", "blur")
 
@@ -37,75 +38,158 @@ def _stateful(rows: DataFrame, shard: str, columns: list[str], schema: str, rule
     return rows.select(shard, *columns).groupBy(shard).applyInPandasWithState(step, f"{shard} {kind}, {schema}", "saved string", "append", GroupStateTimeout.NoTimeout)
 
 
-class AlertRule:
-    """Mean of n over a sequence's live frames; fires once when it crosses and again only after it came down."""
+class Kept:
+    """A map state of which a batch reads and writes only what it touches: each key is read once, and written or removed at the end."""
 
-    def __init__(self, window_ms: int, threshold: float, saved: dict | None = None):
-        self.window_ms, self.threshold, self.clock = window_ms, threshold, 0
-        self.live: dict[tuple, tuple[int, int]] = {}
-        self.totals: dict[str, list[int]] = {}
-        self.due: list[tuple] = []
-        self.open: set[str] = set()
-        if saved:
-            self.clock, self.open = saved["clock"], set(saved["open"])
-            for row in saved["live"]:
-                self._put(*row)
+    def __init__(self, state):
+        self.state, self.held, self.changed = state, {}, set()
 
-    def saved(self) -> dict:
-        return {"clock": self.clock, "open": sorted(self.open), "live": [[s, f, ts, n] for (s, f), (ts, n) in self.live.items()]}
+    def get(self, key: tuple) -> tuple | None:
+        if key not in self.held:
+            self.held[key] = tuple(self.state.getValue(key)) if self.state.containsKey(key) else None
+        return self.held[key]
+
+    def put(self, key: tuple, value: tuple | None) -> None:
+        self.get(key)
+        self.held[key] = value
+        self.changed.add(key)
+
+    def write(self) -> None:
+        for key in self.changed:
+            if self.held[key] is not None:
+                self.state.updateValue(key, self.held[key])
+            elif self.state.containsKey(key):
+                self.state.removeKey(key)
 
-    def _put(self, sequence: str, frame: int, ts: int, n: int) -> None:
-        self._drop(sequence, frame)
-        self.live[sequence, frame] = ts, n
-        total = self.totals.setdefault(sequence, [0, 0])
-        total[0] += n
-        total[1] += 1
-        heapq.heappush(self.due, (ts, sequence, frame))
+
+class AlertProcessor(StatefulProcessor):
+    """Mean of n over a sequence's live frames; fires once when it crosses and again only after it came down or the sequence fell silent.
+
+    State of a shard: each live frame, each live sequence (sum, frames, whether an episode is open), the frames by slice of
+    time in which they fall due, and the clock. A batch touches the frames and sequences that its rows name and the slices that the
+    clock passes. A repeated frame replaces itself; what the clock leaves behind by more than the window goes, and with the
+    last frame of a sequence its open episode. With ``timers`` the same happens to a shard that gets no rows, when the stream's watermark
+    has passed its frames.
+    """
+
+    SLICES = 32  # of a window
+
+    def __init__(self, window_ms: int, threshold: float, names: list[str], timers: bool = False):
+        self.window_ms, self.threshold, self.names, self.timers = window_ms, threshold, names, timers
+        self.slice_ms = max(1, window_ms // self.SLICES)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.frames = handle.getMapState("frames", "sequence string, frame bigint", "ts bigint, n bigint")
+        self.sequences = handle.getMapState("sequences", "sequence string", "total bigint, frames bigint, open boolean")
+        self.slices = handle.getMapState("slices", "slice bigint", "entries string")
+        self.clock_state = handle.getValueState("clock", "clock bigint, slices string")
+
+    def _begin(self) -> None:
+        saved = self.clock_state.get() if self.clock_state.exists() else None
+        self.clock, self.waiting = (saved[0], json.loads(saved[1])) if saved else (0, [])  # slices that hold frames, a window's worth
+        self.live, self.totals, self.due = Kept(self.frames), Kept(self.sequences), []
+        heapq.heapify(self.waiting)
+
+    def _end(self) -> None:
+        again: dict[int, list] = {}
+        for ts, sequence, frame in self.due:
+            if (row := self.live.get((sequence, frame))) and row[0] == ts:
+                again.setdefault(ts // self.slice_ms, []).append([ts, sequence, frame])
+        held = set(self.waiting)
+        for k, entries in again.items():
+            before = json.loads(self.slices.getValue((k,))[0]) if k in held else []
+            self.slices.updateValue((k,), (json.dumps(before + entries),))
+        waiting = sorted(held | set(again))
+        self.live.write()
+        self.totals.write()
+        self.clock_state.update((self.clock, json.dumps(waiting)))
+        if self.timers:
+            for t in self.handle.listTimers():
+                self.handle.deleteTimer(t[0] if isinstance(t, tuple) else t)
+            if waiting:
+                self.handle.registerTimer((waiting[0] + 1) * self.slice_ms + self.window_ms)
 
     def _drop(self, sequence: str, frame: int) -> None:
-        if (old := self.live.pop((sequence, frame), None)) is not None:
-            self.totals[sequence][0] -= old[1]
-            self.totals[sequence][1] -= 1
+        if (old := self.live.get((sequence, frame))) is not None:
+            total, frames, open_ = self.totals.get((sequence,))
+            self.totals.put((sequence,), (total - old[1], frames - 1, open_))
+            self.live.put((sequence, frame), None)
 
     def _advance(self, ts: int, *touched: str) -> None:
         self.clock, touched = max(self.clock, ts), set(touched)
-        while self.due and self.due[0][0] < self.clock - self.window_ms:
+        horizon = self.clock - self.window_ms
+        while self.waiting and self.waiting[0] * self.slice_ms < horizon:
+            k = heapq.heappop(self.waiting)
+            for entry in json.loads(self.slices.getValue((k,))[0]):
+                heapq.heappush(self.due, tuple(entry))
+            self.slices.removeKey((k,))
+        while self.due and self.due[0][0] < horizon:
             then, s, f = heapq.heappop(self.due)
-            if self.live.get((s, f), (None,))[0] == then:
+            if (row := self.live.get((s, f))) and row[0] == then:
                 self._drop(s, f)
                 touched.add(s)
         for s in touched:
-            if not self.totals[s][1]:
-                del self.totals[s]
-                self.open.discard(s)
+            if (at := self.totals.get((s,))) and not at[1]:
+                self.totals.put((s,), None)
 
     def observe(self, arrival: int, sequence: str, frame: int, ts: int, n: int, clock: int = 0):
-        """(sequence, frame, ts, mean, live frames) of an alert, else None. A repeated frame replaces itself; sequences without live frames lose their open flag.
-
-        ``clock`` is the highest ts of earlier arrivals, for a rule that doesn't see them all.
-        """
+        """(arrival, sequence, frame, ts, mean, live frames) of an alert, else None; ``clock`` is the highest ts of earlier arrivals, for a shard that doesn't see them all."""
         self._advance(clock)
-        self._put(sequence, frame, ts, n)
+        self._drop(sequence, frame)
+        total, frames, open_ = self.totals.get((sequence,)) or (0, 0, False)
+        self.totals.put((sequence,), (total + n, frames + 1, open_))
+        self.live.put((sequence, frame), (ts, n))
+        heapq.heappush(self.due, (ts, sequence, frame))
         self._advance(ts, sequence)
-        if sequence not in self.totals:
+        if (at := self.totals.get((sequence,))) is None:
             return None
-        total, frames = self.totals[sequence]
-        crossed, was = total / frames > self.threshold, sequence in self.open
-        (self.open.add if crossed else self.open.discard)(sequence)
-        return (sequence, frame, ts, total / frames, frames) if crossed and not was else None
+        total, frames, open_ = at
+        crossed = total / frames > self.threshold
+        self.totals.put((sequence,), (total, frames, crossed))
+        return (arrival, sequence, frame, ts, total / frames, frames) if crossed and not open_ else None
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803  names of the interface
+        import pandas as pd
+
+        self._begin()
+        batch = pd.concat(list(rows)).sort_values("arrival", kind="stable")
+        wanted = ["arrival", "sequence", "frame_index", "ts_ms", "n", *(["clock"] if "clock" in batch.columns else [])]
+        out = [hit for row in zip(*(batch[c].tolist() for c in wanted), strict=True) if (hit := self.observe(*row)) is not None]
+        self._end()
+        if out:
+            yield pd.DataFrame([(key[0], *r) for r in out], columns=self.names)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        self._begin()
+        self._advance(timerValues.getCurrentWatermarkInMs())
+        self._end()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def use_rocksdb(spark) -> None:
+    """Map states need this store of state; streams that are started from here on have it."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def alert_stream(events: DataFrame, shard: str, window_s: float, threshold: float, clock: str | None = None) -> DataFrame:
+def alert_stream(events: DataFrame, shard: str, window_s: float, threshold: float, clock: str | None = None, event_time: str | None = None) -> DataFrame:
     """Alerts of events arrival, sequence, frame_index, ts_ms, n; events with a null among these are skipped.
 
-    ``clock``: a column with the highest ts_ms of all earlier arrivals, where shards are to share one clock.
+    ``clock``: a column with the highest ts_ms of all earlier arrivals, where shards are to share one clock. ``event_time``: a
+    timestamp column with a watermark; when that has passed the last frame of a silent shard by the window, its state is dropped.
     """
     columns = ["arrival", "sequence", "frame_index", "ts_ms", "n"]
-    span = int(window_s * 1000)
     before = [f"coalesce({clock}, 0L) as clock"] if clock else []
+    before += [event_time] if event_time else []
     keyed = events.na.drop(subset=columns).withColumnRenamed("sequence", "_s").selectExpr(f"{'_s' if shard == 'sequence' else shard} as shard", "arrival", "_s as sequence", "frame_index", "ts_ms", "n", *before)
-    columns += ["clock"] * len(before)
-    return _stateful(keyed, "shard", columns, "sequence string, frame_index long, ts_ms long, observed double, n_frames long", lambda saved: AlertRule(span, threshold, saved))
+    schema = f"shard {keyed.schema['shard'].dataType.simpleString()}, arrival bigint, sequence string, frame_index bigint, ts_ms bigint, observed double, n_frames bigint"
+    names = [c.split(" ")[0] for c in schema.split(", ")]
+    use_rocksdb(events.sparkSession)
+    processor = AlertProcessor(int(window_s * 1000), threshold, names, bool(event_time))
+    return keyed.groupBy("shard").transformWithStateInPandas(processor, schema, "Append", "EventTime" if event_time else "None")
 
 
 class CountWindow:

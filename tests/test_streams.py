@@ -1,7 +1,7 @@
 import random
 
 from framelake.streaming import replay
-from framelake.streaming.stateful import AlertRule, CountWindow, alert_stream
+from framelake.streaming.stateful import AlertProcessor, CountWindow, alert_stream
 
 ROWS = "arrival long, shard string, sequence string, frame_index long, ts_ms long, n long"
 
@@ -28,25 +28,122 @@ def events(seed, n):
     return [(i, "one", f"s{rng.randrange(3)}", rng.randrange(n // 2), 1000 + 10 * i - rng.choice([0, 0, 0, 90, 300]), rng.randrange(10)) for i in range(n)]
 
 
-def test_alert_rule_with_late_and_repeated_frames_and_saved_state():
+class Store:
+    """Map and value states in memory; counts what is touched."""
+
+    def __init__(self):
+        self.maps, self.touched = {}, 0
+
+    def getMapState(self, name, *_):  # noqa: N802
+        return View(self, self.maps.setdefault(name, {}))
+
+    def getValueState(self, name, *_):  # noqa: N802
+        held = self.maps.setdefault(name, {})
+
+        class Value:
+            def exists(self):
+                return bool(held)
+
+            def get(self):
+                return held[0]
+
+            def update(self, value):
+                held[0] = value
+
+        return Value()
+
+
+class View:
+    def __init__(self, store, held):
+        self.store, self.held = store, held
+
+    def containsKey(self, key):  # noqa: N802
+        self.store.touched += 1
+        return key in self.held
+
+    def getValue(self, key):  # noqa: N802
+        return self.held[key]
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.store.touched += 1
+        self.held[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        del self.held[key]
+
+
+def batches_through(rows, size, store=None, window=100):
+    import pandas as pd
+
+    store, out = store or Store(), []
+    for k in range(0, len(rows), size):
+        processor = AlertProcessor(window, 4.5, ["shard", "arrival", "sequence", "frame_index", "ts_ms", "observed", "n_frames"])
+        processor.init(store)
+        part = pd.DataFrame(rows[k : k + size], columns=["arrival", "shard", "sequence", "frame_index", "ts_ms", "n"])
+        for frame in processor.handleInputRows(("one",), iter([part.sample(frac=1, random_state=k)]), None):
+            out += [tuple(r) for r in frame.itertuples(index=False)]
+    return out, store
+
+
+def test_alerts_with_late_and_repeated_frames_over_batches():
     for seed in range(30):
         rows = events(seed, 120)
-        rule, got = AlertRule(100, 4.5), []
-        for k, row in enumerate(rows):
-            if k % 17 == 0:
-                rule = AlertRule(100, 4.5, rule.saved())
-            if (hit := rule.observe(row[0], *row[2:])) is not None:
-                got.append(hit)
-        assert got == plain_alerts(rows, 100, 4.5)
+        for size in (1, 17, 120):
+            got, store = batches_through(rows, size)
+            assert [r[2:] for r in got] == plain_alerts(rows, 100, 4.5)
+            clock = max(r[4] for r in rows)
+            latest = {(r[2], r[3]): r[4] for r in rows}
+            assert set(store.maps["frames"]) == {k for k, ts in latest.items() if ts >= clock - 100}  # nothing behind the horizon stays
+            assert set(store.maps["sequences"]) == {(s,) for s, _ in store.maps["frames"]}
+
+
+def test_a_batch_touches_only_what_it_names():
+    rows = [(i, "one", f"s{i % 7}", i, 1000 + i, 3) for i in range(5000)]
+    _, store = batches_through(rows, 5000, window=100_000)
+    assert len(store.maps["frames"]) == 5000
+    store.touched = 0
+    batches_through([(5000, "one", "s1", 5000, 6000, 3)], 1, store, window=100_000)
+    assert store.touched < 12
+
+
+def test_a_silent_shard_is_dropped_when_its_time_comes():
+    class Timers:
+        def getCurrentWatermarkInMs(self):  # noqa: N802
+            return 2000
 
+    _, store = batches_through([(i, "one", "s", i, 1000 + i, 9) for i in range(50)], 50)
+    processor = AlertProcessor(100, 4.5, [])
+    processor.init(store)
+    list(processor.handleExpiredTimer(("one",), Timers(), None))
+    assert not store.maps["frames"] and not store.maps["sequences"] and not store.maps["slices"]
 
-def test_stream_in_batches_equals_the_loop(spark, tmp_path):
+
+def kept(rows):
+    return sorted((r.sequence, r.frame_index, r.ts_ms, r.observed, r.n_frames) for r in rows)
+
+
+def test_stream_in_batches_and_after_a_restart_equals_the_loop(spark, tmp_path):
     rows = events(99, 90)
-    for k in range(3):
+
+    def run(k):
         spark.createDataFrame(rows[30 * k : 30 * k + 30], ROWS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in.parquet")
+        stream = spark.readStream.schema(ROWS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in.parquet")
+        job = alert_stream(stream, "shard", 0.1, 4.5).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start(f"{tmp_path}/out")
+        job.awaitTermination()
+
+    for k in range(3):  # each time another query goes on from the checkpoint
+        run(k)
+    assert kept(spark.read.parquet(f"{tmp_path}/out").collect()) == sorted(plain_alerts(rows, 100, 4.5))
+
+
+def test_stream_with_timers_drops_silent_shards_and_keeps_the_rest(spark, tmp_path):
+    rows = [(i, "a", "s", i, 1_000 + i, 9) for i in range(5)] + [(10 + i, "b", "t", i, 100_000 + 1000 * i, 9) for i in range(5)]
+    for k in range(2):
+        spark.createDataFrame(rows[5 * k : 5 * k + 5], ROWS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in.parquet")
     stream = spark.readStream.schema(ROWS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in.parquet")
-    out = replay.drain(alert_stream(stream, "shard", 0.1, 4.5), "alerts")
-    assert sorted((r.sequence, r.frame_index, r.ts_ms, r.observed, r.n_frames) for r in out.collect()) == sorted(plain_alerts(rows, 100, 4.5))
+    timed = stream.selectExpr("*", "timestamp_millis(ts_ms) as at").withWatermark("at", "1 second")
+    out = replay.drain(alert_stream(timed, "shard", 0.1, 4.5, event_time="at"), "timed")
+    assert kept(out.collect()) == [("s", 0, 1_000, 9.0, 1), ("t", 0, 100_000, 9.0, 1)]
 
 
 def test_count_windows_leave_out_what_is_not_full():
