@@ -153,10 +153,10 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "u").where("v <> m").selectExpr("v as u", "m as v").union(least.selectExpr("u", "m as v")).distinct()
         after = cut(small, "edges")
         # done when each node hangs on one other and that one hangs on nothing
-        tops = after.groupBy("u").count().where("count > 1").limit(1).count()
-        inner = after.join(after.selectExpr("v as u").distinct(), "u", "left_semi").limit(1).count()
+        hangs = after.selectExpr("u as node", "1 as up", "0 as down").union(after.selectExpr("v as node", "0 as up", "1 as down"))
+        open_ = hangs.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)")
         edges = after
-        if not tops and not inner:
+        if not open_.limit(1).count():
             break
     return edges.selectExpr("u as node", "v as comp").union(edges.selectExpr("v as node", "v as comp").distinct())
 
