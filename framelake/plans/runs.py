@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from framelake.operators import aggregate as A
 from framelake.operators import boxes as B
 from framelake.operators import order as O
 from framelake.operators import tracks as T
@@ -262,3 +263,21 @@ def I11_routing_all_rows(spark, sf_dir):
 def I12_dashboard(spark, sf_dir):
     ev = view(spark, sf_dir, "ev").withColumn("minute", F.expr("ts_ms div 60000"))
     return ev.groupBy("minute", "sequence").agg(F.round(F.max(F.col("conf") / 0.8), 6).alias("worst"), F.count_if(F.col("conf") > 0.8).alias("crossed"), F.round(F.avg(F.when(F.col("n_person") == 0, 1.0).otherwise(0.0)), 6).alias("empty_share"))
+
+
+@query("""with b as (select category, cast(ceil(ln(bbox_width * bbox_height) / ln(1.01 / 0.99)) as bigint) as i, count(*) as k from ann where bbox_width * bbox_height > 0 group by all),
+c as (select category, i, k, sum(k) over w as upto, sum(k) over (partition by category) as n from b window w as (partition by category order by i))
+select category, cast(any_value(n) as bigint) as n, round(2 * pow(1.01 / 0.99, min(case when upto > floor(0.5 * (n - 1)) then i end)) / (1.01 / 0.99 + 1), 4) as p50,
+  round(2 * pow(1.01 / 0.99, min(case when upto > floor(0.99 * (n - 1)) then i end)) / (1.01 / 0.99 + 1), 4) as p99 from c group by category""")
+def H2_quantile_sketch(spark, sf_dir):
+    """An aggregate of a user's own: areas within 1 % by a mergeable sketch."""
+    areas = view(spark, sf_dir, "ann").select("category", (F.col("bbox_width") * F.col("bbox_height")).cast("double").alias("area"))
+    out = A.user_aggregate(areas.where("area > 0"), ["category"], A.Quantiles("area", [0.5, 0.99]), "n bigint, p50 double, p99 double")
+    return out.select("category", "n", F.round("p50", 4).alias("p50"), F.round("p99", 4).alias("p99"))
+
+
+@query("""select sequence, count(*) as n_rows, cast(sum(cast(('0x' || substr(h, 1, 15)) as bigint)) as varchar) || '-' || cast(sum(cast(('0x' || substr(h, 16, 15)) as bigint)) as varchar) as table_hash
+from (select sequence, sha256(concat_ws(',', length(category::varchar) || ':' || category, length(frame_index::varchar) || ':' || frame_index, length(line_no::varchar) || ':' || line_no)) as h from ann) group by sequence""")
+def B24_table_hash(spark, sf_dir):
+    """The hash of each sequence's annotations, whatever their order."""
+    return A.table_hash(view(spark, sf_dir, "ann").select("sequence", "frame_index", "line_no", "category"), ["sequence"])
