@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pytest
 
 from framelake.llm import chat, decontam, entries, html, mixing, neardup, quality, secrets, sharding, tokens, toxicity
+from framelake.llm._spark import cut
 from tests.helpers import SMALL, same
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -321,17 +323,55 @@ def test_html_extraction(spark):
     assert html.extract(pages.limit(0), model).count() == 0
 
 
+def plain_one_of_each(rows, n=5, percent=80):
+    """Ids that stay when of texts linked by shared word shingles, directly or not, the least id stays; by all pairs."""
+    table = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+    sets = {}
+    for i, text in rows:
+        w = re.findall(rb"[^\x20\x09-\x0d]+", (text or "").encode().translate(table))
+        sets[i] = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
+    top = {i: i for i in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if 100 * min(len(sets[a]), len(sets[b])) < percent * max(len(sets[a]), len(sets[b])):
+            continue
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both) and top[a] != top[b]:
+            low, high = sorted((top[a], top[b]))
+            top = {k: low if t == high else t for k, t in top.items()}
+    return {i for i, t in top.items() if i == t}
+
+
 def test_pipeline_stages_take_effect(spark):
     import corpus_pipeline
 
     sf_dir = SMALL
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    columns, before = docs.columns, docs.count()
+    columns, model = docs.columns, None
+    items = [decontam._one(r.text or "") for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    stretches = {t[a : a + decontam.PROBE] for t in items if len(t) >= decontam.EDITS for a in range(0, max(1, len(t) - decontam.PROBE + 1), 31)}
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before = [(r.doc_id, r.text) for r in docs.collect()]
+        after = cut(stage(spark, docs, sf_dir), name)
         if k < len(corpus_pipeline.STAGES) - 1:
-            assert docs.columns == columns, name
-        if k < 3:
-            assert docs.count() < before or name == "toxicity"
-            before = docs.count()
+            assert after.columns == columns, name
+            kept = [(r.doc_id, r.text) for r in after.collect()]
+            assert set(kept) <= set(before)
+            gone = {i for i, _ in before} - {i for i, _ in kept}
+        if name == "toxicity":
+            model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+            assert gone == {r.doc_id for r in toxicity.grade(docs, model).where("toxic").collect()}
+        elif name == "minhash_near_dedup":
+            assert {i for i, _ in kept} == plain_one_of_each(before) and gone
+        elif name == "benchmark_decontamination":
+            held = {i for i, t in before if any(x in decontam._one(t or "") for x in stretches)}
+            assert held <= gone and gone
+        elif name == "mixing_sources":
+            assert max(collections.Counter(i for i, _ in kept).values()) <= 3
+        docs = after
     assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    enc = tokens.encoder(public_tokenizers.path(tokens.VOCABULARY))
+    want, start = [], 0
+    for i, ids in sorted((i, enc.texts([t or ""])[0].tolist() + [tokens.END]) for i, t in kept):
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in docs.collect()) == sorted(want)
