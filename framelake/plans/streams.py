@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from framelake.operators import frames as R
 from framelake.operators import order as O
 from framelake.plans.registered import ALERT_SQL, SHARED_CLOCK_SQL, late_events, query
-from framelake.sources.adapters import SPARK, view
-from framelake.streaming import replay, stateful
+from framelake.sources.adapters import SPARK, table, view
+from framelake.streaming import pairing, replay, stateful
 
 
 def stream_view(spark, sf_dir: str, name: str) -> DataFrame:
@@ -102,3 +102,23 @@ def G7_first_delivery(spark, sf_dir):
     base = replay.as_stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     twice = base.withColumn("ts", F.explode(F.array(F.col("ts"), F.expr("ts + interval 1 minute"))))
     return replay.drain(replay.first_delivery(twice, ["event_id"], "ts", "1 hour").select("event_id", "event_type", "user_id"), "deliveries")
+
+
+#: events come 20 ids before to 279 after their frame; every fifth comes twice
+PENDING = "select *, 2 * event_id as shown, 2 * (event_id + event_id * 37 % 300 - 20) + 1 as told from {t}"
+PENDING_SQL = f"""with base as (select concat('cam', cast(user_id % 4 as varchar)) as sequence, * from ({PENDING.format(t='events')})),
+told as (select sequence, event_id as frame_index, told as arrival, event_type as cls from base union all select sequence, event_id, told + 80, event_type from base where event_id % 5 = 0),
+shown as (select *, row_number() over (partition by sequence order by shown) as place from base)
+select e.sequence, e.frame_index, e.arrival, f.shown as frame_arrival, f.user_id, e.cls from told e join shown f on f.sequence = e.sequence and f.event_id = e.frame_index
+  asof join shown n on n.sequence = e.sequence and n.shown <= e.arrival where f.shown <= e.arrival and n.place - f.place < 64"""
+
+
+@query(PENDING_SQL)
+def C9_pending_pairs(spark, sf_dir):
+    """Events with their frames as two streams in step: of a sequence 64 frames are pending, events come before, after and too late for theirs, and again."""
+    base = spark.sql(f"select concat('cam', cast(user_id % 4 as string)) as sequence, * from ({PENDING})", t=table(spark, sf_dir, "events"))
+    shown = base.selectExpr("sequence", "event_id as frame_index", "shown as arrival", "false as is_event", "user_id", "cast(null as string) as cls")
+    told = base.selectExpr("sequence", "event_id", "explode(if(event_id % 5 = 0, array(told, told + 80), array(told))) as arrival", "true", "cast(null as bigint)", "event_type")
+    both = replay.in_order(shown.union(told), "arrival", 4, "frames-and-events")
+    out = replay.drain(pairing.pairs(both.where("not is_event"), both.where("is_event"), "user_id", "cls"), "pairs")
+    return out.withColumnsRenamed({"payload": "user_id", "detail": "cls"})
