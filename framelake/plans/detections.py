@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framelake.operators import grid as X
 from framelake.operators import matching as M
 from framelake.operators import scores as S
 from framelake.plans.registered import KEY, query, r6
@@ -52,12 +53,18 @@ def duck_greedy(name: str, source: str, order: str, drop: str) -> str:
 BOX = "sequence, frame_index, cls, x1, y1, x2, y2, conf"
 
 
-@query(f"with recursive {duck_greedy('kept', BOTH_SQL, '-conf', duck_iou('q', 'b') + ' > 0.5')} select {BOX} from kept")
+SUPPRESS_SQL = f"with recursive {duck_greedy('kept', BOTH_SQL, '-conf', duck_iou('q', 'b') + ' > 0.5')} select {BOX} from kept"
+
+
+@query(SUPPRESS_SQL)
 def E11_suppression(spark, sf_dir):
     return M.suppress(both(spark, sf_dir), KEY, 0.5)
 
 
-@query(f"with recursive {duck_greedy('kept', BOTH_SQL, '-' + duck_area('b').replace('b.', ''), duck_ios('q', 'b') + ' >= 0.8')} select {BOX} from kept")
+NESTED_SQL = f"with recursive {duck_greedy('kept', BOTH_SQL, '-' + duck_area('b').replace('b.', ''), duck_ios('q', 'b') + ' >= 0.8')} select {BOX} from kept"
+
+
+@query(NESTED_SQL)
 def C8_nested_boxes(spark, sf_dir):
     return M.drop_nested(both(spark, sf_dir), KEY, 0.8)
 
@@ -127,7 +134,10 @@ GROUP_SQL = "case when sequence < 'seq07' then '3840px' when sequence < 'seq14'
 ROWS = "sequence, frame_index, cls, x1, y1, conf"
 
 
-@query(f"with recursive {duck_match((0.5,))} select {ROWS}, round(iou, 6) as iou, hit from m")
+MATCH_SQL = f"with recursive {duck_match((0.5,))} select {ROWS}, round(iou, 6) as iou, hit from m"
+
+
+@query(MATCH_SQL)
 def E10_greedy_matching(spark, sf_dir):
     out = M.match(view(spark, sf_dir, "det"), view(spark, sf_dir, "gt"), [*KEY, "cls"])
     return r6(out.select(*KEY, "cls", "x1", "y1", "conf", "iou", "hit"), "iou")
@@ -198,3 +208,30 @@ def D22_tracking_scores(spark, sf_dir):
     ann = view(spark, sf_dir, "ann").where("category between 1 and 10 and bbox_height > 0").withColumn("cls", F.expr("category % 3"))
     gt, tracks = (ann.where(w).groupBy(*KEY, "cls", F.col("target_id").alias("id")).agg(F.min(F.struct(*[F.expr(e).alias(c) for c, e in (("x1", f"bbox_left + {d}"), ("y1", "bbox_top"), ("x2", f"bbox_left + bbox_width + {d}"), ("y2", "bbox_top + bbox_height"))])).alias("b")).select(*KEY, "cls", "id", "b.*") for w, d in (("line_no <= 3", 0), ("line_no between 2 and 4", "target_id % 5")))
     return r6(S.tracking_scores(gt, tracks), "hota", "det_a", "ass_a", "idf1")
+
+
+@query(f"""with p as (select d.sequence, d.cls, d.frame_index, d.x1, d.y1, d.x2, d.y2, d.conf, {duck_iou('d', 'g')} as iou from det d join gt g on d.sequence = g.sequence and d.cls = g.cls
+  and d.x1 < g.x2 and g.x1 < d.x2 and d.y1 < g.y2 and g.y1 < d.y2)
+select {BOX}, count(*) as n, round(max(iou), 6) as best from p where iou > 0 group by all""")
+def C4_crowded_candidates(spark, sf_dir):
+    """All boxes of a sequence laid over each other as one crowded image, met by grid cells: how many true boxes each detection overlaps, and its best."""
+    true = view(spark, sf_dir, "gt").select("sequence", "cls", "x1", "y1", "x2", "y2")
+    met = X.candidates(view(spark, sf_dir, "det"), true, ["sequence", "cls"])
+    by = met.withColumnsRenamed({f"d_{c}": c for c in ("frame_index", "x1", "y1", "x2", "y2", "conf")}).groupBy(*BOX.split(", "))
+    return r6(by.agg(F.count(F.lit(1)).alias("n"), F.max("iou").alias("best")), "best")
+
+
+@query(SUPPRESS_SQL)
+def E11_suppression_by_grid(spark, sf_dir):
+    return X.suppress(both(spark, sf_dir), KEY, 0.5)
+
+
+@query(NESTED_SQL)
+def C8_nested_boxes_by_grid(spark, sf_dir):
+    return X.drop_nested(both(spark, sf_dir), KEY, 0.8)
+
+
+@query(MATCH_SQL)
+def E10_matching_by_grid(spark, sf_dir):
+    out = X.match(view(spark, sf_dir, "det"), view(spark, sf_dir, "gt"), [*KEY, "cls"])
+    return r6(out.select(*KEY, "cls", "x1", "y1", "conf", "iou", "hit"), "iou")
