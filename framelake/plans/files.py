@@ -30,13 +30,13 @@ def stem():
     return F.format_string("%s_%07d", "sequence", "frame_index")
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Annotation lines of each sequence, some damaged."""
+def lines(spark: SparkSession, sf_dir: str, more: list[str] | None = None) -> DataFrame:
+    """Annotation lines of each sequence, some damaged, with the columns ``more``."""
     ann = view(spark, sf_dir, "ann")
     rest = [F.col(c).cast("string") for c in FIELDS]
     whole = F.concat_ws(",", F.col("frame_index").cast("string"), *rest, F.lit("0"), F.lit("0"))
     line = F.when(F.col("target_id") == 17, F.concat_ws(",", F.lit("x"), *rest)).when(F.col("target_id") == 34, "1,2,3").otherwise(whole)
-    return ann.select("sequence", "line_no", line.alias("line"))
+    return ann.select("sequence", *(more or ["line_no"]), line.alias("line"))
 
 
 def written_lines(spark: SparkSession, sf_dir: str) -> str:

@@ -10,10 +10,11 @@ import hashlib
 import json
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framelake.operators.order import global_rank
+from framelake.sources.scratch import cut
 
 #: fixed values: the fields of a manifest, in order
 MANIFEST = ["split", "sequence", "frame_index", "image_relpath", "label_relpath", "width", "height", "n_boxes", "n_person", "n_vehicle", "n_two_three_wheeler"]
@@ -22,17 +23,44 @@ BASELINE = ["sequence", "n_frames", "brightness", "contrast", "blur"]
 RAW = "frame int, target_id bigint, bbox_left bigint, bbox_top bigint, bbox_width bigint, bbox_height bigint, score int, category int, truncation int, occlusion int"
 
 
+def _decoded(name):
+    """Text whose %XX are decoded; a plus sign stays one."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def _stem():
-    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.[^./]*$", 1)
+    return _decoded(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.[^./]*$", 1))
+
+
+def _folder(key: str):
+    """The value of the folder ``key=<value>`` that a file is in, '' if there is none: escaped once as a folder's name, once more as a path."""
+    return _decoded(_decoded(F.regexp_extract(F.col("_metadata.file_path"), f"/{key}=([^/]*)/", 1)))
 
 
 def annotation_lines(spark: SparkSession, folder: str) -> DataFrame:
     """(sequence, line) of the text files under ``folder``: a file ``<sequence>.txt``, or a folder ``sequence=<sequence>`` of files, for each sequence. Blank lines are passed over."""
     rows = spark.read.schema("value string").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").text(folder)
-    own = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), r"/sequence=([^/]*)/", 1))
+    own = _folder("sequence")
     return rows.select(F.when(own != "", own).otherwise(_stem()).alias("sequence"), F.col("value").alias("line")).where("trim(line) <> ''")
 
 
+def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(sequence, line_no, line) of the files that ``annotation_lines`` reads; line_no counts a sequence's lines from 1.
+
+    Blank lines are passed over but counted. Large files are read in blocks by many tasks: lines are numbered within their block as they are read, and
+    go on from the lines of the blocks before, which are counted. Several files of one sequence follow each other by name.
+    """
+    rows = spark.read.schema("value string").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").text(folder)
+    own = _folder("sequence")
+    where = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")]
+    read = rows.select(F.when(own != "", own).otherwise(_stem()).alias("sequence"), *where, F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    read = cut(read, "lines")  # places are fixed by being written
+    blocks = read.groupBy("sequence", "path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("sequence").orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each block
+    blocks = blocks.select("path", "block", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) + 1 - F.col("first")).alias("shift"))
+    return read.join(blocks, ["path", "block"]).where("trim(line) <> ''").select("sequence", (F.col("at") + F.col("shift")).alias("line_no"), "line")
+
+
 def strict_annotations(spark: SparkSession, folder: str) -> DataFrame:
     """(sequence, the ten fields as whole numbers); a line that doesn't parse fails the job."""
     rows = spark.read.schema(RAW).option("mode", "FAILFAST").csv(f"{folder}/*.txt")
@@ -63,6 +91,18 @@ def images(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return rows.where("height >= 0").select(path, "height", "width", F.col("nChannels").alias("channels"), "data"), rows.where("height < 0").select(path)
 
 
+def pictures(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, height, width, channels, data) of all images under ``folder``; one that can't be decoded is a row with null data. Files without a byte are no rows of any source of Spark."""
+    rows = spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(folder).select("image.*")
+    fine = F.col("height") >= 0
+    return rows.select(F.col("origin").alias("path"), *[F.when(fine, F.col(c)).alias(n) for c, n in (("height", "height"), ("width", "width"), ("nChannels", "channels"), ("data", "data"))])
+
+
+def write_blobs(rows: DataFrame, keys: Sequence[str], content: str, path: str) -> None:
+    """A folder ``<key>=<value>/..`` for each row that holds one file, the bytes of ``content`` and a line feed after them, which image decoders pass over."""
+    rows.select(*keys, F.col(content).cast("string").alias("value")).write.partitionBy(*keys).text(path)
+
+
 def write_csv(rows: DataFrame, fields: Sequence[str], path: str) -> None:
     """One headed CSV file with ``fields`` in order. For reports; tables stay Parquet."""
     rows.select(*fields).coalesce(1).write.option("header", "true").option("escape", '"').csv(path)
@@ -108,8 +148,7 @@ def write_lines(lines: DataFrame, key: str, order: Sequence[str], path: str, eve
 def read_lines(spark: SparkSession, path: str, key: str) -> DataFrame:
     """(key, line) of what ``write_lines`` wrote, empty lines too; keys stay text."""
     rows = spark.read.schema("value string").option("recursiveFileLookup", "true").text(path)
-    found = F.regexp_extract(F.col("_metadata.file_path"), f"/{key}=([^/]*)/", 1)
-    return rows.select(F.url_decode(found).alias(key), F.col("value").alias("line"))
+    return rows.select(_folder(key).alias(key), F.col("value").alias("line"))
 
 
 def write_labels(boxes: DataFrame, every: DataFrame, path: str, key: str = "stem", order: str = "line_no") -> None:
