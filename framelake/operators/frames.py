@@ -204,3 +204,27 @@ def profile_document(read: DataFrame, hashes: DataFrame, boxes: DataFrame, basel
     one = splits.crossJoin(flagged).crossJoin(clusters).crossJoin(scenes).crossJoin(boxes)  # one row each
     dataset = F.struct("n_boxes", "n_duplicate_clusters", "n_flagged", "n_frames").alias("dataset")
     return one.select(F.to_json(F.struct(F.struct("n_sequences", F.lit(baseline_split).alias("split")).alias("baseline"), dataset, F.lit(2).alias("schema_version"), "splits")).alias("value"))
+
+
+FRAME_COUNTS = "sequence string, n_frames bigint, n_skipped bigint, last_ms bigint"
+
+
+def frame_counts(frames: DataFrame, reading: str, ts_ms: str) -> DataFrame:
+    """Of each sequence: frames, those skipped because they have no ``reading``, and the time of the last one that has. Counts of parts add up by ``monitor_ages``."""
+    fine = F.col(reading).isNotNull()
+    return frames.groupBy("sequence").agg(F.count(F.lit(1)).alias("n_frames"), F.count_if(~fine).alias("n_skipped"), F.max(F.when(fine, F.col(ts_ms))).alias("last_ms"))
+
+
+def monitor_ages(counts: DataFrame, now_ms: DataFrame) -> DataFrame:
+    """(sequence, n_frames, n_skipped, skip_rate, age_s) over all parts of ``frame_counts``; ``now_ms`` is a row with the clock.
+
+    age_s is the time since the last frame with a reading, null where there was none.
+    """
+    by = counts.groupBy("sequence").agg(F.sum("n_frames").alias("n_frames"), F.sum("n_skipped").alias("n_skipped"), F.max("last_ms").alias("last_ms"))
+    with_clock = by.crossJoin(F.broadcast(now_ms.agg(F.max(now_ms.columns[0]).alias("_now"))))  # one row
+    return with_clock.selectExpr("sequence", "n_frames", "n_skipped", "n_skipped / n_frames as skip_rate", "(_now - last_ms) / 1000 as age_s")
+
+
+def unrecorded(opened: DataFrame, records: DataFrame, key: str = "window_id") -> DataFrame:
+    """Episodes that opened but of which no record was kept."""
+    return opened.join(records.select(key).distinct(), key, "left_anti")

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from framelake.operators import frames as R
 from framelake.operators import order as O
-from framelake.plans.registered import ALERT_SQL, SHARED_CLOCK_SQL, late_events, query
+from framelake.plans.registered import ALERT_SQL, SHARED_CLOCK_SQL, late_events, query, r6
 from framelake.sources.adapters import SPARK, table, view
-from framelake.streaming import pairing, replay, stateful
+from framelake.streaming import pairing, replay, sink, stateful
 
 
 def stream_view(spark, sf_dir: str, name: str) -> DataFrame:
@@ -122,3 +122,13 @@ def C9_pending_pairs(spark, sf_dir):
     both = replay.in_order(shown.union(told), "arrival", 4, "frames-and-events")
     out = replay.drain(pairing.pairs(both.where("not is_event"), both.where("is_event"), "user_id", "cls"), "pairs")
     return out.withColumnsRenamed({"payload": "user_id", "detail": "cls"})
+
+
+@query("""select sequence, count(*) as n_frames, count(*) filter (arrival % 17 = 0) as n_skipped, round(count(*) filter (arrival % 17 = 0) / count(*), 6) as skip_rate,
+  round(((select max(ts_ms) from ev) - max(ts_ms) filter (arrival % 17 <> 0)) / 1000, 6) as age_s from ev group by sequence""")
+def G10_skips_and_ages(spark, sf_dir):
+    """Counts of each micro-batch, written once by its number; frames without a reading are skipped, ages are taken at the table's last time."""
+    events = view(spark, sf_dir, "ev").withColumn("reading", F.when(F.col("arrival") % 17 != 0, F.col("n_person")))
+    stream = replay.in_order(events, "arrival", 4, "monitored-frames")
+    counts = sink.drain_batches(stream, lambda batch: R.frame_counts(batch, "reading", "ts_ms"), R.FRAME_COUNTS, "frame-counts")
+    return r6(R.monitor_ages(counts, events.select("ts_ms")), "skip_rate", "age_s")
