@@ -36,6 +36,12 @@ def pixel_corners(width: int, height: int) -> dict[str, Column]:
     }
 
 
+def wire_form(box: Column, width: Column, height: Column) -> Column:
+    """Centre and size, as shares of the frame, of a struct of pixel corners: [x, y, w, h] of a detection event's box."""
+    x1, y1, x2, y2 = (box[c] for c in CORNERS)
+    return F.array((x1 + x2) / 2 / width, (y1 + y2) / 2 / height, (x2 - x1) / width, (y2 - y1) / height)
+
+
 def clip01(x: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
 

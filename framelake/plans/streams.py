@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from framelake.operators import frames as R
 from framelake.operators import order as O
-from framelake.plans.registered import ALERT_SQL, SHARED_CLOCK_SQL, late_events, query, r6
+from framelake.plans.registered import ALERT_SQL, KEY, SHARED_CLOCK_SQL, late_events, query, r6
+from framelake.sources import messages as M
 from framelake.sources.adapters import SPARK, table, view
-from framelake.streaming import pairing, replay, sink, stateful
+from framelake.streaming import counters, pairing, replay, serving, sink, stateful
 
 
 def stream_view(spark, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +86,56 @@ def G1_score_stream(spark, sf_dir):
     return out.withColumn("conf", F.round("conf", 6))
 
 
+def bright_box(payload: bytes):
+    """A detector for frames of 8 x 8 grey bytes: the box around what is brighter than 200; other sizes can't be decoded."""
+    import numpy as np
+
+    if len(payload) != 64:
+        raise ValueError(f"{len(payload)} bytes are no frame")
+    grey = np.frombuffer(payload, np.uint8).reshape(8, 8)
+    y, x = np.nonzero(grey > 200)
+    return 8, 8, [(x.min(), y.min(), x.max() + 1, y.max() + 1, grey.max() / 255, y.min() % 4)] if len(x) else []
+
+
+def frame_messages(frames: DataFrame) -> DataFrame:
+    """Messages of small frames as a topic has them: of every 17th the value is missing, of every 19th the index is no number, of every 23rd the bytes are cut off."""
+    index = F.when(F.col("vec_id") % 19 == 0, "x1").otherwise(F.col("vec_id").cast("string"))
+    key, headers = M.pack_frame(F.concat(F.lit("scene "), F.col("label").cast("string")), index, F.col("vec_id") * 40)
+    grey = F.unhex(F.array_join(F.transform("px", lambda x: F.lpad(F.hex(x.cast("bigint")), 2, "0")), ""))
+    value = F.when(F.col("vec_id") % 17 != 0, F.when(F.col("vec_id") % 23 == 0, F.substring(grey, 1, 40)).otherwise(grey))
+    return frames.select(key, headers, value.alias("value"))
+
+
+def scored_frames(spark, sf_dir: str):
+    """Scored messages of the frames as a stream, written, and the counters of its batches."""
+    stream = serving.score(frame_messages(stream_view(spark, sf_dir, "fr")), bright_box, ("bright", "3"), {0: "person", 1: "vehicle", 2: "two_three_wheeler"})
+    return counters.drain_counted(stream, "scored-frames", serving.COUNTERS)
+
+
+SCORED_SQL = """select 'scene ' || cast(any_value(label) as varchar) as sequence, vec_id as frame_index, vec_id * 40 as ts_frame_ms, max(px[i + 1]) as top,
+  min(i % 8) filter (px[i + 1] > 200) as x1, min(i // 8) filter (px[i + 1] > 200) as y1, max(i % 8) filter (px[i + 1] > 200) + 1 as x2, max(i // 8) filter (px[i + 1] > 200) + 1 as y2
+  from fr, generate_series(0, 63) g(i) where vec_id % 17 <> 0 and vec_id % 19 <> 0 and vec_id % 23 <> 0 group by vec_id"""
+
+
+@query(f"""select sequence, frame_index, ts_frame_ms, 'bright 3' as model, true as timed, case when x1 is null then 0 else 1 end as n_boxes, case y1 % 4 when 0 then 'person' when 1 then 'vehicle' when 2 then 'two_three_wheeler' when 3 then '3' end as cls,
+  case when x1 is not null then round(top / 255, 6) end as conf, (x1 + x2) / 16.0::double as xc, (y1 + y2) / 16.0::double as yc, (x2 - x1) / 8.0::double as w, (y2 - y1) / 8.0::double as h from ({SCORED_SQL})""")
+def G1_B9_scored_events(spark, sf_dir):
+    """Frame messages to detection events on the wire and back, with the model that scored them, the time it took and boxes in the wire's form; poison frames are skipped."""
+    scored, _ = scored_frames(spark, sf_dir)
+    got = M.parse_events(serving.events(scored)).where("ok")
+    box = F.get("boxes", F.lit(0))
+    timed = F.expr("latency_ms >= 0 and ts_infer_ms > 1600000000000")
+    sides = [F.get(box["xywhn"], F.lit(k)).alias(n) for k, n in enumerate(("xc", "yc", "w", "h"))]
+    return got.select(*KEY, "ts_frame_ms", F.concat_ws(" ", "model.name", "model.version").alias("model"), timed.alias("timed"), F.size("boxes").alias("n_boxes"), box["cls"].alias("cls"), F.round(box["conf"], 6).alias("conf"), *sides)
+
+
+@query("select count(*) as consumed, count(*) filter (not poison) as events, count(*) filter (poison) as skipped from (select vec_id % 17 = 0 or vec_id % 19 = 0 or vec_id % 23 = 0 as poison from fr)")
+def G1_D9_stream_counters(spark, sf_dir):
+    """How many messages a scoring stream consumed, scored and skipped, counted in its own pass over them."""
+    _, totals = scored_frames(spark, sf_dir)
+    return spark.createDataFrame([tuple(totals[n] for n in ("consumed", "events", "skipped"))], "consumed long, events long, skipped long")
+
+
 @query("select event_id as frame_index, event_type as cls, user_id from events where event_id % 3 <> 0")
 def C9_frame_event_pairs(spark, sf_dir):
     """A frame and the detection event that comes at most ten minutes later, both as streams with watermarks."""
