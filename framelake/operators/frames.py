@@ -206,6 +206,20 @@ def profile_document(read: DataFrame, hashes: DataFrame, boxes: DataFrame, basel
     return one.select(F.to_json(F.struct(F.struct("n_sequences", F.lit(baseline_split).alias("split")).alias("baseline"), dataset, F.lit(2).alias("schema_version"), "splits")).alias("value"))
 
 
+def dataset_totals(read: DataFrame, hashes: DataFrame, boxes: DataFrame, baseline_split: str) -> DataFrame:
+    """One row n_frames, n_boxes, n_flagged, n_clusters, n_baseline_sequences of readings (split, label and the statistics).
+
+    ``hashes`` has the dhash of each frame, ``boxes`` a row for each box. n_flagged counts flags, of which a frame may have several; a
+    cluster is a hash of two frames or more. Sums alone are shuffled, and hashes with their counts. Empty tables give zeros.
+    """
+    n = F.count(F.lit(1))
+    frames = read.agg(n.alias("n_frames"), F.countDistinct(F.when(F.col("split") == baseline_split, F.col("label"))).alias("n_baseline_sequences"))
+    rest = [boxes.agg(n.alias("n_boxes")), quality_flags(read).agg(n.alias("n_flagged")), hashes.groupBy("dhash").count().where("count > 1").agg(n.alias("n_clusters"))]
+    for one in rest:
+        frames = frames.crossJoin(one)  # one row each
+    return frames.select("n_frames", "n_boxes", "n_flagged", "n_clusters", "n_baseline_sequences")
+
+
 FRAME_COUNTS = "sequence string, n_frames bigint, n_skipped bigint, last_ms bigint"
 
 

@@ -127,9 +127,14 @@ def percentiles(rows: DataFrame, keys: Sequence[str], value: str, wanted: dict[s
     return left.join(flat.alias("f"), [F.col(f"g.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]).select("g.*", *[f"f.{c}" for c in wanted])
 
 
-def latest(rows: DataFrame, keys: list[str], arrival: str) -> DataFrame:
-    """The last arrival of each key."""
-    return rows.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(arrival).desc()))).where("_k = 1").drop("_k")
+def latest(rows: DataFrame, keys: list[str], *arrival: str) -> DataFrame:
+    """The last row of each key by ``arrival``, nulls before all else; which of several last ones isn't defined.
+
+    One row of a key leaves each task, so a key that comes again and again isn't gathered. An empty table gives none.
+    """
+    rest = [c for c in rows.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*arrival)).alias("_last"))
+    return last.select(*keys, "_last.*").select(*rows.columns)
 
 
 def top_k(rows: DataFrame, keys: list[str], order: list, k: int) -> DataFrame:

@@ -109,6 +109,34 @@ def promotable(versions: DataFrame, tags: DataFrame, served: dict[str, str]) ->
     return wanted.join(tags.select("version", "tag"), ["version", "tag"], "left_semi").join(passed, "version", "left_semi").select("target", "version")
 
 
+def dataset_faults(images: DataFrame, labels: DataFrame, lines: DataFrame, splits=("train", "val", "test"), classes=(0, 1, 2)) -> DataFrame:
+    """(split, fault, n): all that is wrong with a dataset; no row means that it is fit for use.
+
+    ``images`` and ``labels`` have split and name, ``lines`` split and line. Faults are those of ``label_faults`` by line, images
+    without a label and labels without an image, a split of ``splits`` that has no image, and, of no split, a class of ``classes`` that no readable
+    line names. Empty tables have all splits empty and all classes absent.
+    """
+    spark = lines.sparkSession
+    judged = label_faults(lines)
+    by = judged.groupBy("split", "fault", F.when(F.expr("fault is null or fault not in ('fields', 'numeric')"), F.col("cls")).alias("cls")).agg(F.count(F.lit(1)).alias("n"))
+    of_lines = by.where("fault is not null").groupBy("split", "fault").agg(F.sum("n").alias("n"))
+    pairs = pairing_report(images, labels).select("split", "fault", "n")
+    wanted = spark.createDataFrame([(s,) for s in splits], "split string").join(images.select("split").distinct(), "split", "left_anti")
+    named = spark.createDataFrame([(c,) for c in classes], "cls int").join(by.select("cls").distinct(), "cls", "left_anti")
+    empty = wanted.select("split", F.lit("no images").alias("fault"), F.lit(1).cast("long").alias("n"))
+    absent = named.select(F.lit(None).cast("string").alias("split"), F.format_string("class %d has no box", "cls").alias("fault"), F.lit(1).cast("long").alias("n"))
+    return of_lines.unionByName(pairs).unionByName(empty).unionByName(absent)
+
+
+def routes(faults: DataFrame, stamps: DataFrame, key: str) -> DataFrame:
+    """(key, n_faults, route) of each source of ``faults`` (key, n_faults): rebuild one that has faults, profile one whose stamp isn't current or is missing, validate the others.
+
+    ``stamps`` has key and current, once for each source.
+    """
+    route = F.when(F.col("n_faults") > 0, "rebuild").when(F.coalesce("current", F.lit(False)), "validate").otherwise("profile")
+    return faults.select(key, "n_faults").join(stamps.select(key, "current"), key, "left").select(key, "n_faults", route.alias("route"))
+
+
 def find_or_create(stored: DataFrame, wanted: DataFrame, identity: str, order: str) -> DataFrame:
     """``stored`` (identity, version) with what ``wanted`` lacks there added, and ``created``.
 

@@ -10,7 +10,7 @@ from framelake.operators import boxes as B
 from framelake.operators import frames as R
 from framelake.operators import order as O
 from framelake.operators import tracks as T
-from framelake.plans import detections, files, inputs, reports, runs, streams  # noqa: F401  they register their queries
+from framelake.plans import detections, files, inputs, reports, runs, stores, streams  # noqa: F401  they register their queries
 from framelake.plans.registered import ALERT_SQL, LATE_SQL, KEY, ORACLES, QUERIES, SHARED_CLOCK_SQL, late_events, query, r6  # noqa: F401
 from framelake.sources.adapters import table, view
 from framelake.sources.scratch import cut

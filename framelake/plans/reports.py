@@ -164,11 +164,12 @@ def D3_class_shapes(spark, sf_dir):
 LINE_SQL = """case target_id % 23 when 3 then '  ' when 5 then {print}('%d %.6f', category % 3, xc) when 7 then {print}('%d %.6f x %.6f %.6f', category % 3, xc, w, h)
   when 9 then {print}('%d.0 %.6f %.6f %.6f %.6f', category % 3, xc, yc, w, h) else {print}('%d  %.6f %.6f %.6f %.6f', case when category = 0 then 3 else category % 3 end, xc, yc, w, h) end"""
 LINES_SQL = f"select {SPLIT} as split, {LINE_SQL.format(print='printf')} as line from (select category, target_id, {CENTRES.format(d='::double')} from ann)"
-D8_SQL = f"""with f as (select split, string_split_regex(trim(regexp_replace(line, '\\s+', ' ', 'g')), ' ') as f from ({LINES_SQL}) where trim(line) <> ''),
+D8_CTE = f"""f as (select split, string_split_regex(trim(regexp_replace(line, '\\s+', ' ', 'g')), ' ') as f from ({LINES_SQL}) where trim(line) <> ''),
   v as (select *, len(f) = 5 as five, try_cast(f[1] as int) as cls, list_transform(f[2:5], lambda x: try_cast(x as double)) as v from f),
   n as (select *, five and cls is not null and regexp_matches(f[1], '^[+-]?[0-9]+$') and len(list_filter(v, lambda x: x is null)) = 0 as numeric from v),
   j as (select split, cls, case when not five then 'fields' when not numeric then 'numeric' else nullif(concat_ws(', ', case when cls not between 0 and 2 then 'class' end,
-    case when len(list_filter(v, lambda x: not x between 0 and 1)) > 0 then 'range' when v[3] <= 0 or v[4] <= 0 then 'size' end), '') end as fault, numeric from n)
+    case when len(list_filter(v, lambda x: not x between 0 and 1)) > 0 then 'range' when v[3] <= 0 or v[4] <= 0 then 'size' end), '') end as fault, numeric from n)"""
+D8_SQL = f"""with {D8_CTE}
 select split, coalesce(fault, 'none') as fault, count(*) as n, count(distinct cls) filter (numeric and cls between 0 and 2) as n_classes from j group by 1, 2"""
 
 

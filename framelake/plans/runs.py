@@ -255,8 +255,7 @@ def I11_routing_all_rows(spark, sf_dir):
     """Rebuild a sequence with a D8 fault in any row, profile one whose I6 stamp isn't current or is missing, validate the others; customer k stands for sequence k."""
     by = view(spark, sf_dir, "ann").groupBy("sequence").agg(F.count_if(F.size(B.faults()) > 0).alias("n_faults"))
     stamps = I6_skip_if_current(spark, sf_dir).where("c_custkey between 0 and 19").select(F.format_string("seq%02d", "c_custkey").alias("sequence"), "current")
-    route = F.when(F.col("n_faults") > 0, "rebuild").when(F.coalesce("current", F.lit(False)), "validate").otherwise("profile")
-    return by.join(stamps, "sequence", "left").select("sequence", "n_faults", route.alias("route"))
+    return T.routes(by, stamps, "sequence")
 
 
 @query("select ts_ms // 60000 as minute, sequence, round(max(conf / 0.8), 6) as worst, count(*) filter (conf > 0.8) as crossed, round(avg(case when n_person = 0 then 1.0 else 0.0 end), 6) as empty_share from ev group by 1, 2")

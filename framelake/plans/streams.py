@@ -87,13 +87,13 @@ def G1_score_stream(spark, sf_dir):
 
 
 def bright_box(payload: bytes):
-    """A detector for frames of 8 x 8 grey bytes: the box around what is brighter than 200; other sizes can't be decoded."""
+    """A detector for frames of 8 x 8 grey bytes: the box around what is brighter than 160; other sizes can't be decoded."""
     import numpy as np
 
     if len(payload) != 64:
         raise ValueError(f"{len(payload)} bytes are no frame")
     grey = np.frombuffer(payload, np.uint8).reshape(8, 8)
-    y, x = np.nonzero(grey > 200)
+    y, x = np.nonzero(grey > 160)
     return 8, 8, [(x.min(), y.min(), x.max() + 1, y.max() + 1, grey.max() / 255, y.min() % 4)] if len(x) else []
 
 
@@ -113,7 +113,7 @@ def scored_frames(spark, sf_dir: str):
 
 
 SCORED_SQL = """select 'scene ' || cast(any_value(label) as varchar) as sequence, vec_id as frame_index, vec_id * 40 as ts_frame_ms, max(px[i + 1]) as top,
-  min(i % 8) filter (px[i + 1] > 200) as x1, min(i // 8) filter (px[i + 1] > 200) as y1, max(i % 8) filter (px[i + 1] > 200) + 1 as x2, max(i // 8) filter (px[i + 1] > 200) + 1 as y2
+  min(i % 8) filter (px[i + 1] > 160) as x1, min(i // 8) filter (px[i + 1] > 160) as y1, max(i % 8) filter (px[i + 1] > 160) + 1 as x2, max(i // 8) filter (px[i + 1] > 160) + 1 as y2
   from fr, generate_series(0, 63) g(i) where vec_id % 17 <> 0 and vec_id % 19 <> 0 and vec_id % 23 <> 0 group by vec_id"""
 
 

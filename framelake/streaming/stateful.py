@@ -13,6 +13,7 @@ import json
 import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -21,14 +22,14 @@ STATS = ("brightness", "contrast", "blur")
 
 
 def _stateful(rows: DataFrame, shard: str, columns: list[str], schema: str, rule: Callable) -> DataFrame:
-    """``rule(saved)`` makes a machine of a shard; its ``observe(*columns)`` gives an output row or None. The first column is the order of arrival."""
+    """``rule(saved)`` makes a machine of a shard; its ``observe_batch(columns)`` gives output rows. The first column is the order of arrival."""
 
     def step(key, batches, state):
         import pandas as pd
 
         machine = rule(json.loads(state.get[0]) if state.exists else None)
         batch = pd.concat(list(batches)).dropna(subset=columns).sort_values(columns[0], kind="stable")
-        out = [r for row in batch[columns].itertuples(index=False, name=None) if (r := machine.observe(*row)) is not None]
+        out = list(machine.observe_batch([batch[c].to_numpy() for c in columns[1:]]))
         state.update((json.dumps(machine.saved()),))
         if out:
             yield pd.DataFrame([(key[0], *r) for r in out], columns=names)
@@ -192,8 +193,16 @@ def alert_stream(events: DataFrame, shard: str, window_s: float, threshold: floa
     return keyed.groupBy("shard").transformWithStateInPandas(processor, schema, "Append", "EventTime" if event_time else "None")
 
 
+def _onto(total: float, values) -> float:
+    """``total`` and ``values`` added one after the other, so that a sum doesn't depend on where a batch ends."""
+    return float(np.cumsum(np.concatenate([[total], values]))[-1])
+
+
 class CountWindow:
-    """Every ``every``-th row goes into windows of ``size`` rows; ``close`` makes the output of a full one."""
+    """Every ``every``-th row goes into windows of ``size`` rows; ``close`` makes the output of a full one.
+
+    Rows come as columns and are taken a window's stretch at a time, so Python steps once for each window, not for each row.
+    """
 
     def __init__(self, size: int, every: int, saved: dict | None):
         self.size, self.every = size, every
@@ -207,18 +216,31 @@ class CountWindow:
     def saved(self) -> dict:
         return self.state
 
-    def observe(self, arrival, *values):
+    def add_many(self, columns: list) -> None:
+        """A stretch of rows into the open window."""
+        for row in zip(*columns, strict=True):
+            self.add(*row)
+
+    def observe_batch(self, columns: list):
+        """The outputs of the windows that these rows fill."""
         st = self.state
-        st["seen"] += 1
-        if st["seen"] % self.every:
-            return None
-        self.add(*values)
-        st["rows"] += 1
-        if st["rows"] < self.size:
-            return None
-        out = self.close()
-        st.update(window_id=st["window_id"] + 1, rows=0, sums=[0.0] * self.width)
-        return out
+        first = self.every - 1 - st["seen"] % self.every  # place of the first row that counts
+        st["seen"] += len(columns[0])
+        taken = [c[first :: self.every] for c in columns]
+        at, n = 0, len(taken[0])
+        while at < n:
+            upto = min(n, at + self.size - st["rows"])
+            self.add_many([c[at:upto] for c in taken])
+            st["rows"] += upto - at
+            at = upto
+            if st["rows"] == self.size:
+                out = self.close()
+                st.update(window_id=st["window_id"] + 1, rows=0, sums=[0.0] * self.width)
+                if out is not None:
+                    yield out
+
+    def observe(self, arrival, *values):
+        return next(iter(list(self.observe_batch([[v] for v in values]))), None)
 
 
 class DriftWindow(CountWindow):
@@ -233,8 +255,8 @@ class DriftWindow(CountWindow):
     def extra(self):
         return {"run": 0}
 
-    def add(self, *values):
-        self.state["sums"] = [s + v for s, v in zip(self.state["sums"], values)]
+    def add_many(self, columns):
+        self.state["sums"] = [_onto(s, c) for s, c in zip(self.state["sums"], columns, strict=True)]
 
     def close(self):
         means = [s / self.size for s in self.state["sums"]]
@@ -262,10 +284,13 @@ class HealthWindow(CountWindow):
     def extra(self):
         return {"classes": {}}
 
-    def add(self, n, conf, cls):
+    def add_many(self, columns):
+        n, conf, cls = columns
         sums, classes = self.state["sums"], self.state["classes"]
-        classes[cls] = classes.get(cls, 0) + n
-        self.state["sums"] = [sums[0] + 1, sums[1] + n, sums[2] + conf * n]
+        kinds, at = np.unique(cls.astype(str), return_inverse=True)
+        for c, k in zip(kinds.tolist(), np.bincount(at, n).tolist(), strict=True):
+            classes[c] = classes.get(c, 0) + int(k)
+        self.state["sums"] = [sums[0] + len(n), sums[1] + int(n.sum()), _onto(sums[2], conf * n)]
 
     def close(self):
         events, boxes, conf = self.state["sums"]

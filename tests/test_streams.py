@@ -1,7 +1,10 @@
+import json
 import random
 
+import numpy as np
+
 from framelake.streaming import replay
-from framelake.streaming.stateful import AlertProcessor, CountWindow, alert_stream
+from framelake.streaming.stateful import AlertProcessor, CountWindow, HealthWindow, alert_stream
 
 ROWS = "arrival long, shard string, sequence string, frame_index long, ts_ms long, n long"
 
@@ -158,3 +161,24 @@ def test_count_windows_leave_out_what_is_not_full():
 
     w = Sum(2, 2, None)
     assert [w.observe(i, i) for i in range(1, 10)] == [None, None, None, (0, 6.0), None, None, None, (1, 14.0), None]
+
+
+def test_windows_are_the_same_however_rows_are_dealt_to_batches():
+    rng = np.random.default_rng(3)
+    n, conf, cls = rng.integers(0, 9, 500), rng.random(500), rng.choice(["a", "b", "c"], 500)
+
+    def run(cuts):
+        saved, out = None, []
+        for a, b in zip([0, *cuts], [*cuts, 500]):
+            w = HealthWindow(30, 3, saved)
+            out += list(w.observe_batch([n[a:b], conf[a:b], cls[a:b]]))
+            saved = json.loads(json.dumps(w.saved()))
+        return out
+
+    whole = run([])
+    taken = slice(2, None, 3)
+    first = n[taken][:30]
+    assert len(whole) == 5 and whole[0][:3] == (0, 30, first.sum() / 30)
+    assert json.loads(whole[0][4])["a"] == first[cls[taken][:30] == "a"].sum() / first.sum()
+    for cuts in ([1], [89, 90, 91], [90, 180], sorted(rng.integers(0, 500, 40).tolist())):
+        assert run(cuts) == whole
