@@ -2,8 +2,8 @@
 
 Boxes are gt and tracks with sequence, cls, frame_index, id and corners, an id once a frame. Pairs come from a join within
 a frame, counts from grouping; only one-to-one assignments run in Python, over arrays of one frame's pairs, or for IDF1
-of the pairs of ids that meet in one sequence. These are assigned by connected groups of ids, so time and memory follow the pairs
-that really compete.
+of the pairs of one connected group of ids, found by joins over all pairs of ids. So time and memory of a task follow the
+pairs that really compete, not the ids of a sequence. Switches follow a sequence's frames in order, a batch of rows at a time.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelake.functions import geometry as G
+from framelake.operators.aggregate import counted
+from framelake.sources.scratch import cut, new_path
 
 ALPHAS = tuple(k / 20 for k in range(1, 20))
 TRACK = ["sequence", "cls"]
@@ -113,13 +115,80 @@ def _assigned(pairs: DataFrame, keys: list[str], gain: str, value: str) -> DataF
     return rows.mapInPandas(run, schema)
 
 
+def id_groups(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs (sequence, cls, gt_id, track_id, ..) with ``group``: the least gt_id that a pair hangs together with, over ids it shares with others.
+
+    Each round an id takes the least label that it meets over a common track, hands that on to the id whose label it had, and then takes its new label's
+    own; labels are written, with a count of those that changed. Rounds grow with the logarithm of a group's length. An empty table has no groups.
+    """
+    spark = pairs.sparkSession
+    edges = pairs.select(*PAIR)
+    labels = edges.select(*TRACK, "gt_id").distinct().withColumn("label", F.col("gt_id"))
+    changed = 1
+    while changed:
+        near = edges.join(labels, [*TRACK, "gt_id"])
+        by_track = near.groupBy(*TRACK, "track_id").agg(F.min("label").alias("_m"))
+        met = near.join(by_track, [*TRACK, "track_id"]).groupBy(*TRACK, "gt_id", "label").agg(F.min("_m").alias("_m"))
+        hooked = met.groupBy(*TRACK, F.col("label").alias("gt_id")).agg(F.min("_m").alias("_h"))
+        next_ = met.join(hooked, [*TRACK, "gt_id"], "left").select(*TRACK, "gt_id", "label", F.least("_m", F.coalesce("_h", "_m")).alias("_n"))
+        up = next_.select(*TRACK, F.col("gt_id").alias("_n"), F.col("_n").alias("_up"))
+        rows, seen = counted(next_.join(up, [*TRACK, "_n"]).select(*TRACK, "gt_id", "label", "_up"), changed=F.col("_up") != F.col("label"))
+        path = new_path(spark, "id-groups")
+        rows.select(*TRACK, "gt_id", F.col("_up").alias("label")).write.parquet(path)
+        changed, labels = seen.get["changed"], spark.read.schema(labels.schema).parquet(path)
+    return pairs.join(labels.withColumnRenamed("label", "group"), [*TRACK, "gt_id"])
+
+
+def kept_pairs(gt: DataFrame, tracks: DataFrame, pairs: DataFrame) -> DataFrame:
+    """sequence, cls, frame_index, gt_id, track_id of the ``pairs`` that each frame's assignment takes, where a pair that the frame before took goes before all others.
+
+    The frame before is the last one that has true boxes and tracks of the class; where those don't meet, nothing is preferred in the next.
+    Frames of a sequence and class pass through one task in order, in batches; it holds one frame's pairs and those taken in the frame before.
+    """
+    least = lambda rows, name: rows.where("id is not null").groupBy(*FRAME).agg(F.min("id").alias(name))
+    shown = least(gt, "_g").join(least(tracks, "_t"), FRAME)  # frames without a pair stay, with some ids in place of it
+    rows = shown.join(pairs.where("gt_id is not null and track_id is not null"), FRAME, "left")
+    rows = rows.select(*FRAME, F.coalesce("gt_id", "_g").alias("gt_id"), F.coalesce("track_id", "_t").alias("track_id"), F.coalesce("iou", F.lit(0.0)).alias("iou"))
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in (*FRAME, "gt_id", "track_id"))
+
+    def run(batches):
+        import pandas as pd
+
+        at, before, held = None, {}, None
+
+        def frame(part):
+            nonlocal at, before
+            key = tuple(part[TRACK].iloc[0])
+            if key != at:
+                at, before = key, {}
+            left, right, iou = part["gt_id"].to_numpy(), part["track_id"].to_numpy(), part["iou"].to_numpy()
+            stays = np.array([before.get(g, None) == t for g, t in zip(left.tolist(), right.tolist(), strict=True)])
+            taken = sparse_pairs(left, right, iou + 1000 * stays) if (iou > 0).all() else np.zeros(len(part), bool)
+            before = dict(zip(left[taken].tolist(), right[taken].tolist(), strict=True))
+            return part.loc[taken, [*FRAME, "gt_id", "track_id"]]
+
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if rows.empty:
+                continue
+            first = np.flatnonzero((rows[FRAME] != rows[FRAME].shift()).any(axis=1).to_numpy())
+            held = rows.iloc[first[-1] :].reset_index(drop=True)  # the last frame may go on in the next batch
+            done = [frame(rows.iloc[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+            if done:
+                yield pd.concat(done)
+        if held is not None:
+            yield frame(held)
+
+    parts = int(gt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *TRACK).sortWithinPartitions(*FRAME, "gt_id", "track_id").mapInPandas(run, schema)
+
+
 def tracking_scores(gt: DataFrame, tracks: DataFrame, by: Sequence[str] = ("cls",)) -> DataFrame:
     """hota, det_a, ass_a (means over the 19 thresholds), idf1 and switches for each group ``by`` (of sequence and cls) with true boxes.
 
     Frames are assigned once, by IoU times how well the two ids agree over their sequence, and a pair counts at each
     threshold that its IoU reaches; counts are summed over sequences before ratios are taken. A switch is a true id whose
-    track at IoU 0.5 differs from that of its last matched frame; frames are assigned each for itself here, without the
-    preference for earlier pairs. Groups without tracks score 0; null ids and keys meet nothing.
+    track at IoU 0.5 differs from that of its last matched frame, by the assignment of ``kept_pairs``. Groups without tracks score 0; null ids and keys meet nothing.
     """
     by = list(by)
     pairs = overlaps(gt, tracks)
@@ -141,8 +210,8 @@ def tracking_scores(gt: DataFrame, tracks: DataFrame, by: Sequence[str] = ("cls"
     n = len(ALPHAS)
     main = each.groupBy(*by).agg(*[(F.sum(e) / n).alias(c) for c, e in (("hota", F.sqrt(F.col("d") * F.col("s"))), ("det_a", F.col("d")), ("ass_a", F.col("s")))])
     met = pairs.where("iou >= 0.5D").groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"))
-    ids = _assigned(met, TRACK, "n", "n").groupBy(*by).agg(F.sum("n").alias("id_tp"))
+    ids = _assigned(id_groups(cut(met, "met-ids")), [*TRACK, "group"], "n", "n").groupBy(*by).agg(F.sum("n").alias("id_tp"))
     last = F.lag("track_id").over(Window.partitionBy(*TRACK, "gt_id").orderBy("frame_index"))
-    switches = _assigned(pairs.where("iou >= 0.5D"), FRAME, "iou", "iou").withColumn("last", last).groupBy(*by).agg(F.count_if(F.col("last") != F.col("track_id")).alias("switches"))
+    switches = kept_pairs(gt, tracks, pairs.where("iou >= 0.5D")).withColumn("last", last).groupBy(*by).agg(F.count_if(F.col("last") != F.col("track_id")).alias("switches"))
     out = total.join(main, by, "left").join(ids, by, "left").join(switches, by, "left").na.fill(0, subset=["hota", "det_a", "ass_a", "id_tp", "switches"])
     return out.select(*by, "hota", "det_a", "ass_a", F.expr("2 * id_tp / (g + t)").alias("idf1"), "switches")

@@ -7,6 +7,7 @@ import numpy as np
 
 from framelake.operators import scores as S
 from framelake.plans import catalog
+from framelake.sources.adapters import view
 from tests.helpers import SMALL
 
 SCHEMA = "sequence string, cls int, frame_index long, id long, x1 double, y1 double, x2 double, y2 double"
@@ -35,17 +36,19 @@ def plain(gt, tracks):
                 if g[:3] == t[:3] and g[0] == seq and (v := iou(g[4:], t[4:])) > 0:
                     frames[g[2]][g[3], t[3]] = v
         n_g, n_t = (Counter(r[3] for r in rows if r[0] == seq) for rows in (gt, tracks))
-        m, near, last, held = Counter(), Counter(), {}, defaultdict(Counter)
+        m, near, last, held, before = Counter(), Counter(), {}, defaultdict(Counter), {}
         for pairs in frames.values():
             for (g, t), v in pairs.items():
                 m[g, t] += v / (sum(x for k, x in pairs.items() if k[0] == g) + sum(x for k, x in pairs.items() if k[1] == t) - v)
                 near[g, t] += v >= 0.5
-        for f in sorted(frames):
+        for f in sorted({r[2] for r in gt if r[0] == seq} & {r[2] for r in tracks if r[0] == seq}):
             pairs = frames[f]
             for g, t in best({(g, t): v * m[g, t] / (n_g[g] + n_t[t] - m[g, t]) for (g, t), v in pairs.items()}):
                 for a in S.ALPHAS:
                     held[a][g, t] += pairs[g, t] >= a
-            for g, t in best({k: v for k, v in pairs.items() if v >= 0.5}):
+            taken = best({k: v + 1000 * (before.get(k[0]) == k[1]) for k, v in pairs.items() if v >= 0.5})
+            before = dict(taken)
+            for g, t in taken:
                 switches += last.get(g, t) != t
                 last[g] = t
         for a, c in held.items():
@@ -99,3 +102,66 @@ def test_truth_fed_back_scores_one_and_no_track_scores_zero(spark):
 def test_query_over_the_tables(spark):
     rows = catalog.QUERIES["D22_tracking_scores"](spark, SMALL).collect()
     assert len(rows) == 3 and all(0 < r.hota < 1 for r in rows)
+
+
+def test_a_pair_of_the_frame_before_is_kept(spark):
+    """Two tracks over one true box: the one that held it stays, though the other is nearer, until a frame in which nothing meets."""
+    box = lambda f, i, x: ("a", 0, f, i, x, 0.0, x + 10, 10.0)
+    gt = [box(f, 1, 0.0) for f in range(6)]
+    tracks = [box(0, 7, 2.0), box(1, 7, 2.0), box(1, 8, 1.0), box(2, 7, 2.0), box(2, 8, 0.0), box(4, 9, 90.0), box(5, 7, 2.0), box(5, 8, 0.0)]
+    a, b = spark.createDataFrame(gt, SCHEMA), spark.createDataFrame(tracks, SCHEMA)
+    kept = S.kept_pairs(a, b, S.overlaps(a, b).where("iou >= 0.5")).collect()
+    assert sorted((r.frame_index, r.gt_id, r.track_id) for r in kept) == [(0, 1, 7), (1, 1, 7), (2, 1, 7), (5, 1, 8)]
+    assert S.tracking_scores(a, b).first().switches == 1 and plain(gt, tracks)[4] == 1
+    later = b.where("frame_index <> 4")  # a frame without a track doesn't end the preference
+    assert {r.track_id for r in S.kept_pairs(a, later, S.overlaps(a, later).where("iou >= 0.5")).collect()} == {7}
+
+
+def test_frames_that_batches_cut(spark):
+    rng = random.Random(8)
+    box = lambda f, i: ("a", 0, f, i, 6.0 * (i % 40) + rng.random() * 5, 0.0, 6.0 * (i % 40) + 12, 10.0)
+    gt, tracks = [box(f, i) for f in range(8) for i in range(40)], [box(f, 100 + (i + f) % 40) for f in range(8) for i in range(40)]
+    a, b = spark.createDataFrame(gt, SCHEMA), spark.createDataFrame(tracks, SCHEMA)
+    near = S.overlaps(a, b).where("iou >= 0.5")
+    whole = sorted(map(tuple, S.kept_pairs(a, b, near).collect()))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert sorted(map(tuple, S.kept_pairs(a, b, near).collect())) == whole and len(whole) > 100
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_groups_of_a_hundred_thousand_ids_in_one_sequence(spark):
+    n = 100_000
+    # pairs of ids far apart, and one chain of 3,000 in which ids follow no order
+    rows = spark.range(n).selectExpr("'s' as sequence", "0 as cls", "id * 7919 % 100003 as gt_id", "case when id < 3000 then id else 1000000 + id end as track_id", "1L + id % 5 as n")
+    chain = spark.range(2999).selectExpr("'s' as sequence", "0 as cls", "(id + 1) * 7919 % 100003 as gt_id", "id as track_id", "9L as n")
+    groups = S.id_groups(rows.union(chain)).groupBy("group").count()
+    sizes = sorted(r["count"] for r in groups.collect())
+    assert sizes == [1] * (n - 3000) + [5999]
+    met = rows.union(chain).where("gt_id % 3 <> 0 or track_id >= 3000")
+    ours = S._assigned(S.id_groups(met), [*S.TRACK, "group"], "n", "n").agg({"n": "sum"}).first()[0]
+    pairs = met.toPandas()
+    taken = S.sparse_pairs(pairs["gt_id"].to_numpy(), pairs["track_id"].to_numpy(), pairs["n"].to_numpy(float))
+    assert ours == pairs["n"].to_numpy()[taken].sum()
+    assert S.id_groups(met.where("false")).count() == 0
+
+
+def test_id_groups_over_the_tables(spark):
+    """Groups of the ids that meet in the tables, against joining them one pair after the other."""
+    gt, det = (view(spark, SMALL, n).selectExpr("sequence", "cls", "frame_index", f"{ident} as id", "x1", "y1", "x2", "y2") for n, ident in (("gt", "x1 % 40"), ("det", "x1 % 50")))
+    met = S.overlaps(gt, det).where("iou >= 0.3").groupBy(*S.PAIR).count()
+    rows = S.id_groups(met).collect()
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for r in rows:
+        g, t = find((r.sequence, r.cls, 0, r.gt_id)), find((r.sequence, r.cls, 1, r.track_id))
+        root[max(g, t)] = min(g, t)
+    assert len(rows) == met.count() > 100
+    assert all(find((r.sequence, r.cls, 0, r.gt_id)) == (r.sequence, r.cls, 0, r.group) for r in rows)
