@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framelake.sources.scratch import cut
 
@@ -148,9 +149,22 @@ def next_step(records: DataFrame, history: DataFrame, key: str, step: str = "ste
 
 
 def sliding_mean(events: DataFrame, key: str, ts: str, value: str, window_ms: int) -> DataFrame:
-    """Mean of ``value`` over the key's rows of the last ``window_ms``, both ends in; rows are unique and in order."""
-    w = Window.partitionBy(key).orderBy(ts).rangeBetween(-window_ms, 0)
-    return events.withColumn("mean", F.avg(value).over(w)).withColumn("n_frames", F.count(value).over(w))
+    """``events`` with mean and n_frames of ``value`` over the key's rows of the last ``window_ms``, both ends in; ``ts`` and ``value`` are whole numbers.
+
+    Each time's sum comes in at the time and goes out when the window has passed it, and a scan adds them up: the work doesn't grow with
+    the rows of a window, and no task holds a key. ``events`` is read twice.
+    """
+    kind = events.schema[value].dataType
+    if not isinstance(kind, T.IntegralType | T.DecimalType):
+        raise ValueError(f"{value} must be whole numbers or decimals, whose sums are exact, not {kind.simpleString()}")
+    at = events.groupBy(F.col(key).alias("_key"), F.col(ts).alias("_at")).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+    out = F.coalesce(F.col("_at") + window_ms + 1, F.lit(-(1 << 63)))  # rows without a time are each other's window, before all others
+    ends = F.array(F.struct(F.col("_at").cast("bigint").alias("_at"), "_s", "_n", F.lit(True).alias("_own")), F.struct(out.alias("_at"), (-F.col("_s")).alias("_s"), (-F.col("_n")).alias("_n"), F.lit(False).alias("_own")))
+    net = at.select("_key", F.explode(ends).alias("_e")).select("_key", "_e.*").groupBy("_key", "_at").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.bool_or("_own").alias("_own"))
+    summed = segmented_scan(net, ["_key"], ["_at"], _total=("sum", "_s"), n_frames=("sum", "_n")).where("_own")
+    summed = summed.select("_key", "_at", F.when(F.col("n_frames") > 0, F.col("_total").cast("double") / F.col("n_frames")).alias("mean"), "n_frames")
+    meets = F.col(key).eqNullSafe(F.col("_key")) & F.col(ts).eqNullSafe(F.col("_at"))
+    return events.join(summed, meets).select(*events.columns, "mean", "n_frames")
 
 
 def fire_once(read: DataFrame, key: str, arrival: str, threshold: float, ts: str | None = None, clock: str | None = None, window_ms: int = 0) -> DataFrame:
