@@ -53,7 +53,7 @@ def segmented_scan(rows: DataFrame, keys: Sequence[str], order: Sequence[str], *
 
     Operations take the rows of the key up to and with this one: ``sum``, ``max`` and ``last`` (the last value that isn't null; null
     where there is none), ``run`` (how many rows in a row, ending here, the condition holds). ``lag`` is the value of the
-    row before, ``before`` the last value that isn't null of all rows before. Rows that agree in key and order are in any order.
+    row before, ``before`` the last value that isn't null of all rows before, ``max_before`` the highest of these. Rows that agree in key and order are in any order.
 
     Rows are dealt by range over key and order, so a key that holds most rows is split. Each range is scanned by itself; of each
     key in it one row of partial results goes on, and what a key brings from the ranges before is an associative combination of
@@ -68,9 +68,9 @@ def segmented_scan(rows: DataFrame, keys: Sequence[str], order: Sequence[str], *
     here, partial, carried, joined = {"_n": F.row_number().over(inside)}, [F.count(F.lit(1)).alias("_rows")], {}, {}
     for i, (name, (op, _)) in enumerate(columns.items()):
         v, p, c = F.col(f"_v{i}"), f"_p{i}", f"_c{i}"
-        if op in ("sum", "max"):
-            f = getattr(F, op)
-            here[f"_h{i}"] = f(v).over(upto)
+        if op in ("sum", "max", "max_before"):
+            f = F.sum if op == "sum" else F.max
+            here[f"_h{i}"] = f(v).over(all_before if op == "max_before" else upto)
             partial.append(f(v).alias(p))
             carried[c] = f(p).over(parts)
             joined[name] = F.coalesce(F.col(f"_h{i}") + F.col(c), f"_h{i}", c) if op == "sum" else F.greatest(f"_h{i}", c)
@@ -172,13 +172,13 @@ def fire_once(read: DataFrame, key: str, arrival: str, threshold: float, ts: str
 
     With ``clock``, the highest ``ts`` of all keys before the row, a reading counts no more once all of its key's rows are older than ``window_ms``.
     """
-    crossed = F.col("mean") > threshold
-    w = Window.partitionBy(key).orderBy(arrival)
-    before = F.lag(crossed, 1, False).over(w)
+    marked = read.withColumn("crossed", F.col("mean") > threshold)
+    more = {"_newest": ("max_before", ts)} if clock else {}
+    seen = segmented_scan(marked, [key], [arrival], _before=("lag", "crossed"), **more)
+    before = F.coalesce("_before", F.lit(False))
     if clock:
-        newest = F.max(ts).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        before = before & F.coalesce(F.col(clock) - window_ms <= newest, F.lit(False))
-    return read.withColumn("crossed", crossed).withColumn("alert", crossed & ~before)
+        before = before & F.coalesce(F.col(clock) - window_ms <= F.col("_newest"), F.lit(False))
+    return seen.withColumn("alert", F.col("crossed") & ~before).drop("_before", "_newest")
 
 
 def index_gaps(rows: DataFrame, key: str, arrival: str, index: str) -> DataFrame:

@@ -32,12 +32,27 @@ def test_means_of_ties_nulls_and_both_ends_equal_a_loop(spark):
         assert {r.arrival: (r.mean, r.n_frames) for r in out} == plain_means(rows, 5)
 
 
+def test_alerts_of_one_key_equal_a_loop(spark):
+    r = random.Random(5)
+    rows = [(k, "a", 10 * k + r.randrange(30), r.choice([0, 4, 9])) for k in range(200)]
+    means = plain_means(rows, 60)
+    want, before, newest, clock = [], False, None, None
+    for arrival, _, ts, _ in rows:
+        crossed = means[arrival][0] > 4
+        if crossed and not (before and newest is not None and ts - 20 <= newest):  # here the row's own time is the clock
+            want.append(arrival)
+        before, newest = crossed, ts if newest is None else max(newest, ts)
+    read = O.sliding_mean(spark.createDataFrame(rows, SCHEMA), "key", "ts", "n", 60).withColumnRenamed("ts", "ts_ms").selectExpr("*", "ts_ms as clock")
+    got = O.fire_once(read, "key", "arrival", 4, "ts_ms", "clock", 20).where("alert").collect()
+    assert 5 < len(want) < 150 and sorted(r.arrival for r in got) == want
+
+
 def test_fractions_are_refused(spark):
     with pytest.raises(ValueError):
         O.sliding_mean(spark.createDataFrame([("a", 1, 0.5)], "key string, ts long, n double"), "key", "ts", "n", 5)
 
 
-@pytest.mark.parametrize("name", ["E3_sliding_mean"])
+@pytest.mark.parametrize("name", ["E3_sliding_mean", "E4_fire_once"])
 def test_no_window_slides_over_the_rows_of_a_sequence(spark, name):
     plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "RangeFrame" not in plan and not re.search(r"windowspecdefinition\(sequence#\d+, (ts_ms|arrival)", plan)
