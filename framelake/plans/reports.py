@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from framelake.functions import geometry as G
@@ -326,7 +325,7 @@ select ts_ms // 3600000 as hour, count(*) filter (over_bar) as drifted, count(*)
 def I12_verdict_rates(spark, sf_dir):
     """Frames by verdict in each hour, episodes that began and the share of frames without a person."""
     read = O.sliding_mean(view(spark, sf_dir, "ev"), "sequence", "ts_ms", "n_person", 21_600_000).withColumn("over_bar", F.col("mean") > 5)
-    fired = F.lag("over_bar").over(Window.partitionBy("sequence").orderBy("ts_ms", "arrival"))
-    rows = read.withColumn("began", F.col("over_bar") & ~F.coalesce(fired, F.lit(False))).withColumn("hour", F.expr("ts_ms div 3600000"))
+    read = O.segmented_scan(read.select("sequence", "arrival", "ts_ms", "n_person", "over_bar"), ["sequence"], ["ts_ms", "arrival"], fired=("lag", "over_bar"))
+    rows = read.withColumn("began", F.col("over_bar") & ~F.coalesce("fired", F.lit(False))).withColumn("hour", F.expr("ts_ms div 3600000"))
     return rows.groupBy("hour").agg(F.count_if("over_bar").alias("drifted"), F.count_if(~F.col("over_bar")).alias("ok"), F.count_if("began").alias("episodes"),
                                     F.round(F.count_if(F.col("n_person") == 0) / F.count(F.lit(1)), 6).alias("skip_rate"))

@@ -52,7 +52,7 @@ def test_fractions_are_refused(spark):
         O.sliding_mean(spark.createDataFrame([("a", 1, 0.5)], "key string, ts long, n double"), "key", "ts", "n", 5)
 
 
-@pytest.mark.parametrize("name", ["E3_sliding_mean", "E4_fire_once", "E4_fire_once_shared_clock"])
+@pytest.mark.parametrize("name", ["E3_sliding_mean", "E4_fire_once", "E4_fire_once_shared_clock", "I12_verdict_rates"])
 def test_no_window_slides_over_the_rows_of_a_sequence(spark, name):
     plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "RangeFrame" not in plan and not re.search(r"windowspecdefinition\(sequence#\d+, (ts_ms|arrival)", plan)
