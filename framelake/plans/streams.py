@@ -170,7 +170,8 @@ def C9_pending_pairs(spark, sf_dir):
     base = spark.sql(f"select concat('cam', cast(user_id % 4 as string)) as sequence, * from ({PENDING})", t=table(spark, sf_dir, "events"))
     shown = base.selectExpr("sequence", "event_id as frame_index", "shown as arrival", "false as is_event", "user_id", "cast(null as string) as cls")
     told = base.selectExpr("sequence", "event_id", "explode(if(event_id % 5 = 0, array(told, told + 80), array(told))) as arrival", "true", "cast(null as bigint)", "event_type")
-    both = replay.in_order(shown.union(told), "arrival", 4, "frames-and-events")
+    rows = shown.union(told)
+    both = replay.in_order(rows, "arrival", replay.batches_of(rows), "frames-and-events")
     out = replay.drain(pairing.pairs(both.where("not is_event"), both.where("is_event"), "user_id", "cls"), "pairs")
     return out.withColumnsRenamed({"payload": "user_id", "detail": "cls"})
 

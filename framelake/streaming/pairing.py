@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from framelake.streaming.stateful import Kept, use_rocksdb
+from framelake.streaming.stateful import STRETCH, use_rocksdb
 
 
 def _boxed(column: str):
@@ -24,8 +24,8 @@ def _unboxed(value):
 class PairProcessor(StatefulProcessor):
     """A sequence's pending frames, the latest ``cap`` of them by first arrival, and the events that find theirs among them.
 
-    State: each pending frame with its place in the queue, the frame at each place, and both ends of the queue. A batch reads and
-    writes the frames that its rows name and those that it pushes out. Places are used once, so the queue has no gaps.
+    State: each pending frame with its place in the queue, and both ends of the queue. A batch reads the ``cap`` frames once, walks its rows over
+    them in memory and writes those that changed. Places are used once, so the queue has no gaps.
     """
 
     def __init__(self, cap: int, payload: str, names: list[str]):
@@ -33,39 +33,43 @@ class PairProcessor(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.pending = handle.getMapState("pending", "frame bigint", f"place bigint, arrival bigint, payload {self.payload}")
-        self.queue = handle.getMapState("queue", "place bigint", "frame bigint")
         self.ends = handle.getValueState("ends", "oldest bigint, free bigint")
 
     def frame(self, index: int, arrival: int, payload) -> None:
         """A frame that is pending already takes the new payload and stays where it is; else it is the newest, and the oldest may go."""
-        if (held := self.frames.get((index,))) is not None:
-            self.frames.put((index,), (held[0], arrival, payload))
+        if (held := self.frames.get(index)) is not None:
+            self.frames[index] = (held[0], arrival, payload)
             return
-        self.frames.put((index,), (self.free, arrival, payload))
-        self.places.put((self.free,), (index,))
+        self.frames[index] = (self.free, arrival, payload)
+        self.places[self.free] = index
         self.free += 1
         if self.free - self.oldest > self.cap:
-            self.frames.put(self.places.get((self.oldest,)), None)
-            self.places.put((self.oldest,), None)
+            del self.frames[self.places.pop(self.oldest)]
             self.oldest += 1
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803  names of the interface
         import pandas as pd
 
-        self.frames, self.places = Kept(self.pending), Kept(self.queue)
         self.oldest, self.free = self.ends.get() if self.ends.exists() else (0, 0)
+        before = {k[0]: tuple(v) for k, v in self.pending.iterator()} if self.free else {}
+        self.frames = dict(before)
+        self.places = {held[0]: index for index, held in before.items()}
         batch = pd.concat(list(rows)).sort_values(["arrival", "is_event"], kind="stable")
-        out = []
-        for index, arrival, event, payload, detail in zip(*(batch[c].tolist() for c in ("frame_index", "arrival", "is_event", "payload", "detail")), strict=True):
-            if not event:
-                self.frame(index, arrival, _unboxed(payload))
-            elif (held := self.frames.get((index,))) is not None:  # it stays pending: an event that comes again pairs again
-                out.append((key[0], index, arrival, held[1], held[2], _unboxed(detail)))
-        self.frames.write()
-        self.places.write()
+        for k in range(0, len(batch), STRETCH):
+            part, out = batch.iloc[k : k + STRETCH], []
+            for index, arrival, event, payload, detail in zip(*(part[c].tolist() for c in ("frame_index", "arrival", "is_event", "payload", "detail")), strict=True):
+                if not event:
+                    self.frame(index, arrival, _unboxed(payload))
+                elif (held := self.frames.get(index)) is not None:  # it stays pending: an event that comes again pairs again
+                    out.append((key[0], index, arrival, held[1], held[2], _unboxed(detail)))
+            if out:
+                yield pd.DataFrame(out, columns=self.names, dtype=object)
+        for index, held in self.frames.items():
+            if before.get(index) != held:
+                self.pending.updateValue((index,), held)
+        for index in before.keys() - self.frames.keys():
+            self.pending.removeKey((index,))
         self.ends.update((self.oldest, self.free))
-        if out:
-            yield pd.DataFrame(out, columns=self.names, dtype=object)
 
     def close(self) -> None:
         pass

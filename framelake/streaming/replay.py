@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.sources.scratch import cut, new_path
+from framelake.sources.scratch import new_path
 
 
 def as_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -19,11 +19,18 @@ def as_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: in
     return reader.parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
 
 
+def batches_of(rows: DataFrame, size: int = 1_000_000, least: int = 4) -> int:
+    """How many micro-batches of about ``size`` rows ``rows`` make, so that what a task holds doesn't grow with the table."""
+    return max(least, -(-rows.count() // size))
+
+
 def in_order(rows: DataFrame, order: str, batches: int, name: str) -> DataFrame:
     """``rows`` as a stream of about ``batches`` micro-batches in ``order``: ranges of it, each written as one file after the other and read one at a time."""
     spark = rows.sparkSession
-    path = new_path(spark, name)
-    ranged = cut(rows.repartitionByRange(batches, order).withColumn("_batch", F.spark_partition_id()), f"{name}-ranges")
+    path, ranges = new_path(spark, name), new_path(spark, f"{name}-ranges")
+    dealt = rows.repartitionByRange(batches, order).withColumn("_batch", F.spark_partition_id())
+    dealt.write.partitionBy("_batch").parquet(ranges)
+    ranged = spark.read.schema(dealt.schema).parquet(ranges)  # a folder for each range, so each is read once
     for k in range(batches):  # files come by their time of writing
         ranged.where(F.col("_batch") == k).drop("_batch").coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)

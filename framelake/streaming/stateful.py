@@ -19,6 +19,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 STATS = ("brightness", "contrast", "blur")
+STRETCH = 50_000  # rows of a micro-batch that are Python objects at a time
 
 
 def _stateful(rows: DataFrame, shard: str, columns: list[str], schema: str, rule: Callable) -> DataFrame:
@@ -155,8 +156,10 @@ class AlertProcessor(StatefulProcessor):
 
         self._begin()
         batch = pd.concat(list(rows)).sort_values("arrival", kind="stable")
-        wanted = ["arrival", "sequence", "frame_index", "ts_ms", "n", *(["clock"] if "clock" in batch.columns else [])]
-        out = [hit for row in zip(*(batch[c].tolist() for c in wanted), strict=True) if (hit := self.observe(*row)) is not None]
+        wanted, out = ["arrival", "sequence", "frame_index", "ts_ms", "n", *(["clock"] if "clock" in batch.columns else [])], []
+        for k in range(0, len(batch), STRETCH):
+            part = batch.iloc[k : k + STRETCH]
+            out += [hit for row in zip(*(part[c].tolist() for c in wanted), strict=True) if (hit := self.observe(*row)) is not None]
         self._end()
         if out:
             yield pd.DataFrame([(key[0], *r) for r in out], columns=self.names)
@@ -171,16 +174,112 @@ class AlertProcessor(StatefulProcessor):
         pass
 
 
+class WindowAlertProcessor(AlertProcessor):
+    """The rule of ``AlertProcessor`` for micro-batches that hold about as many rows as the window, or more.
+
+    State of a shard: its live frames, packed by slice of time into one entry each, and the clock with the sequences whose episode is open. A
+    batch reads the whole window once, walks its rows over it in memory and writes the slices that changed, where an entry for
+    each frame would cost several calls of the store for each row.
+    """
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.slices = handle.getMapState("slices", "slice bigint", "entries string")
+        self.clock_state = handle.getValueState("clock", "clock bigint, kept string")
+
+    def _begin(self) -> None:
+        saved = self.clock_state.get() if self.clock_state.exists() else None
+        self.clock, kept = (saved[0], json.loads(saved[1])) if saved else (0, {"slices": [], "open": []})
+        self.texts = {k: self.slices.getValue((k,))[0] for k in kept["slices"]}
+        self.live, self.totals, self.by_slice, self.due = {}, {}, {}, []
+        for k, text in self.texts.items():
+            entries = json.loads(text)
+            self.by_slice[k] = [(ts, s, f) for ts, s, f, _ in entries]
+            for ts, s, f, n in entries:
+                self.live[s, f] = (ts, n)
+                at = self.totals.setdefault(s, [0, 0, False])
+                at[0] += n
+                at[1] += 1
+        for s in kept["open"]:
+            self.totals[s][2] = True
+        self.waiting = sorted(self.by_slice)
+
+    def _end(self) -> None:
+        slices: dict[int, list] = {}
+        for (s, f), (ts, n) in self.live.items():
+            slices.setdefault(ts // self.slice_ms, []).append((ts, s, f, n))
+        for k, entries in slices.items():
+            text = json.dumps(entries)
+            if self.texts.get(k) != text:
+                self.slices.updateValue((k,), (text,))
+        for k in self.texts.keys() - slices.keys():
+            self.slices.removeKey((k,))
+        self.clock_state.update((self.clock, json.dumps({"slices": sorted(slices), "open": [s for s, at in self.totals.items() if at[2]]})))
+        if self.timers:
+            for t in self.handle.listTimers():
+                self.handle.deleteTimer(t[0] if isinstance(t, tuple) else t)
+            if slices:
+                self.handle.registerTimer((min(slices) + 1) * self.slice_ms + self.window_ms)
+
+    def _advance(self, ts: int) -> None:
+        if ts <= self.clock:
+            return
+        self.clock = ts
+        horizon = ts - self.window_ms
+        while self.waiting and self.waiting[0] * self.slice_ms < horizon:
+            for entry in self.by_slice.pop(heapq.heappop(self.waiting)):
+                heapq.heappush(self.due, entry)
+        while self.due and self.due[0][0] < horizon:
+            then, s, f = heapq.heappop(self.due)
+            if (row := self.live.get((s, f))) and row[0] == then:
+                del self.live[s, f]
+                at = self.totals[s]
+                at[0] -= row[1]
+                at[1] -= 1
+                if not at[1]:
+                    del self.totals[s]
+
+    def _wait(self, ts: int, sequence: str, frame: int) -> None:
+        k = ts // self.slice_ms
+        if (entries := self.by_slice.get(k)) is not None:
+            entries.append((ts, sequence, frame))
+        elif k * self.slice_ms < self.clock - self.window_ms:  # the slice in which the horizon lies
+            heapq.heappush(self.due, (ts, sequence, frame))
+        else:
+            self.by_slice[k] = [(ts, sequence, frame)]
+            heapq.heappush(self.waiting, k)
+
+    def observe(self, arrival: int, sequence: str, frame: int, ts: int, n: int, clock: int = 0):
+        self._advance(clock)
+        at = self.totals.setdefault(sequence, [0, 0, False])
+        if (old := self.live.pop((sequence, frame), None)) is not None:
+            at[0] -= old[1]
+            at[1] -= 1
+        if ts >= self.clock - self.window_ms:
+            at[0] += n
+            at[1] += 1
+            self.live[sequence, frame] = (ts, n)
+            self._wait(ts, sequence, frame)
+            self._advance(ts)
+        elif not at[1]:  # it came too late, and nothing else is live
+            del self.totals[sequence]
+            return None
+        crossed, was = at[0] / at[1] > self.threshold, at[2]
+        at[2] = crossed
+        return (arrival, sequence, frame, ts, at[0] / at[1], at[1]) if crossed and not was else None
+
+
 def use_rocksdb(spark) -> None:
     """Map states need this store of state; streams that are started from here on have it."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def alert_stream(events: DataFrame, shard: str, window_s: float, threshold: float, clock: str | None = None, event_time: str | None = None) -> DataFrame:
+def alert_stream(events: DataFrame, shard: str, window_s: float, threshold: float, clock: str | None = None, event_time: str | None = None, packed: bool = False) -> DataFrame:
     """Alerts of events arrival, sequence, frame_index, ts_ms, n; events with a null among these are skipped.
 
     ``clock``: a column with the highest ts_ms of all earlier arrivals, where shards are to share one clock. ``event_time``: a
-    timestamp column with a watermark; when that has passed the last frame of a silent shard by the window, its state is dropped.
+    timestamp column with a watermark; when that has passed the last frame of a silent shard by the window, its state is dropped. ``packed``: state by slices of the window, for large
+    micro-batches, as a replay has them; else an entry for each frame, for small ones.
     """
     columns = ["arrival", "sequence", "frame_index", "ts_ms", "n"]
     before = [f"coalesce({clock}, 0L) as clock"] if clock else []
@@ -189,7 +288,7 @@ def alert_stream(events: DataFrame, shard: str, window_s: float, threshold: floa
     schema = f"shard {keyed.schema['shard'].dataType.simpleString()}, arrival bigint, sequence string, frame_index bigint, ts_ms bigint, observed double, n_frames bigint"
     names = [c.split(" ")[0] for c in schema.split(", ")]
     use_rocksdb(events.sparkSession)
-    processor = AlertProcessor(int(window_s * 1000), threshold, names, bool(event_time))
+    processor = (WindowAlertProcessor if packed else AlertProcessor)(int(window_s * 1000), threshold, names, bool(event_time))
     return keyed.groupBy("shard").transformWithStateInPandas(processor, schema, "Append", "EventTime" if event_time else "None")
 
 
