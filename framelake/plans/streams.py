@@ -18,6 +18,14 @@ def stream_view(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, t=replay.as_stream(spark, sf_dir, base))
 
 
+def alerts_in_order(events: DataFrame, shard: str, clock: str | None = None) -> DataFrame:
+    """Alerts of a table's events as a stream in order of arrival, four micro-batches or more of about a million rows."""
+    columns = list(dict.fromkeys([shard, "arrival", "sequence", "frame_index", "ts_ms", "n", *([clock] if clock else [])]))
+    rows = events.select(*columns)
+    stream = replay.in_order(rows, "arrival", replay.batches_of(rows), "events-in-order")
+    return replay.drain(stateful.alert_stream(stream, shard, 21_600, 5, clock, packed=True), "alerts")
+
+
 @query("select arrival, sequence from (select arrival, sequence, mean > 5 as crossed, coalesce(lag(mean > 5) over (partition by sequence order by arrival), false) as before from (select *, avg(n_person) over (partition by sequence order by ts_ms range between 21600000 preceding and current row) as mean from ev)) where crossed and not before")
 def G2_alert_stream(spark, sf_dir):
     events = stream_view(spark, sf_dir, "ev").withColumnRenamed("n_person", "n")
@@ -36,9 +44,9 @@ def G2_alert_stream_shared_clock(spark, sf_dir):
 
 @query(f"{ALERT_SQL.replace(', round(total / n_frames, 6) as mean', '')}")
 def G2_alert_stream_late_frames(spark, sf_dir):
-    """The alert rule in full as a stream of four micro-batches in order of arrival, in one shard: late and repeated frames, silent sequences."""
+    """The alert rule in full as a stream of micro-batches in order of arrival, in one shard: late and repeated frames, silent sequences."""
     events = late_events(spark, sf_dir).withColumn("shard", F.lit("all"))
-    out = replay.drain(stateful.alert_stream(replay.in_order(events, "arrival", 4, "late-events"), "shard", 21_600, 5), "alerts")
+    out = alerts_in_order(events, "shard")
     return out.select("arrival", "sequence", "n_frames")
 
 
