@@ -35,9 +35,8 @@ def G2_alert_stream(spark, sf_dir):
 @query(SHARED_CLOCK_SQL)
 def G2_alert_stream_shared_clock(spark, sf_dir):
     """Shards are sequences; the clock that all share comes as a column, made from the table."""
-    clock = O.running_max(view(spark, sf_dir, "ev"), ["arrival"], "ts_ms", "clock", -1).select("arrival", "clock")
-    events = stream_view(spark, sf_dir, "ev").withColumnRenamed("n_person", "n").join(clock, "arrival", "left")
-    out = replay.drain(stateful.alert_stream(events, "sequence", 21_600, 5, "clock"), "alerts")
+    clocked = O.running_max(view(spark, sf_dir, "ev"), ["arrival"], "ts_ms", "clock", -1)
+    out = alerts_in_order(clocked.withColumnRenamed("n_person", "n"), "sequence", "clock")
     return out.select(F.col("frame_index").alias("arrival"), "sequence")
 
 

@@ -97,7 +97,7 @@ def test_pairs_of_a_batch_read_the_pending_frames_once():
     assert pending.calls == 24 and set(pending) == {(k,) for k in range(n // 2 - 8, n // 2)}
 
 
-@pytest.mark.parametrize("name", ["G2_alert_stream", "G2_alert_stream_late_frames", "C9_pending_pairs"])
+@pytest.mark.parametrize("name", ["G2_alert_stream", "G2_alert_stream_shared_clock", "G2_alert_stream_late_frames", "C9_pending_pairs"])
 def test_queries_give_their_sql_in_more_batches(spark, name, monkeypatch):
     monkeypatch.setattr(replay, "batches_of", lambda rows, *_: 6)
     same(catalog.QUERIES[name](spark, SMALL), catalog.ORACLES[name], SMALL)
