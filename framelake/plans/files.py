@@ -92,8 +92,9 @@ def A7_label_read_A8_label_write(spark, sf_dir):
     every = ann.select(stem().alias("stem")).distinct()
     path = new_path(spark, "labels")
     S.write_labels(boxes, every, path)
-    read = S.read_lines(spark, path, "stem")
-    return read.select("stem").distinct().join(B.read_labels(read).drop("line"), "stem", "left")
+    read = S.label_texts(spark, path)
+    rows = read.select("stem", F.explode(F.split("text", "\n")).alias("line"))
+    return read.select("stem").join(B.read_labels(rows).drop("line"), "stem", "left")
 
 
 EDGE = """case when i // 8 in (0, 7) or i % 8 in (0, 7) then px[i + 1] else least(255.0::double, greatest(0.0::double,
