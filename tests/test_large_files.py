@@ -6,6 +6,7 @@ from glob import glob
 import pytest
 
 from framelake.plans import catalog
+from framelake.plans import files as queries
 from framelake.sources import files as S
 from tests.helpers import SMALL, same
 
@@ -22,6 +23,14 @@ def test_labels_of_many_frames_are_few_files(spark, tmp_path):
     assert len(glob(f"{path}/**", recursive=True)) < 20
 
 
+def test_manifest_is_not_one_file_of_one_task(spark, monkeypatch):
+    seen = []
+    real = S.write_csv
+    monkeypatch.setattr(S, "write_csv", lambda rows, fields, path, **more: (seen.append(path), real(rows.repartition(4), fields, path, **more)))
+    same(queries.A5_manifest_A6_csv(spark, SMALL), catalog.ORACLES["A5_manifest_A6_csv"], SMALL)
+    assert len(glob(f"{seen[0].removeprefix('file:')}/*.csv")) == 4
+
+
 @pytest.mark.parametrize("name", ["A7_label_read_A8_label_write"])
 def test_queries_of_files_give_their_sql(spark, name):
     same(catalog.QUERIES[name](spark, SMALL), catalog.ORACLES[name], SMALL)
