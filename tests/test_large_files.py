@@ -40,6 +40,6 @@ def test_manifest_is_not_one_file_of_one_task(spark, monkeypatch):
     assert len(glob(f"{seen[0].removeprefix('file:')}/*.csv")) == 4
 
 
-@pytest.mark.parametrize("name", ["A7_label_read_A8_label_write", "A1_numbered_lines", "A1_annotation_scan", "A11_annotation_export"])
+@pytest.mark.parametrize("name", ["A7_label_read_A8_label_write", "A1_numbered_lines", "A1_labels_in_file_order", "A1_annotation_scan", "A11_annotation_export"])
 def test_queries_of_files_give_their_sql(spark, name):
     same(catalog.QUERIES[name](spark, SMALL), catalog.ORACLES[name], SMALL)
