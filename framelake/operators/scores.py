@@ -95,6 +95,11 @@ def overlaps(gt: DataFrame, tracks: DataFrame) -> DataFrame:
     return a.join(b, FRAME).withColumn("iou", G.iou("g_", "t_")).where("iou > 0").select(*FRAME, "gt_id", "track_id", "iou")
 
 
+def _apart(rows: list, columns: list) -> bool:
+    """Whether no two pairs share a row or a column, so that an assignment takes all of them."""
+    return len(set(rows)) == len(rows) == len(set(columns))
+
+
 def _assigned(pairs: DataFrame, keys: list[str], gain: str, value: str) -> DataFrame:
     """keys, gt_id, track_id and ``value`` of the pairs that an assignment within ``keys`` by ``gain`` takes."""
     rows = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("gt_id", "track_id", F.col(gain).cast("double").alias("gain"), F.col(value).cast("double").alias("value")))).alias("pairs"))
@@ -107,6 +112,9 @@ def _assigned(pairs: DataFrame, keys: list[str], gain: str, value: str) -> DataF
         for b in batches:
             out = []
             for *key, met in b[[*keys, "pairs"]].itertuples(index=False, name=None):
+                if _apart([p["gt_id"] for p in met], [p["track_id"] for p in met]):
+                    out += [(*key, p["gt_id"], p["track_id"], p["value"]) for p in met]
+                    continue
                 left, right = (np.unique([p[c] for p in met], return_inverse=True)[1] for c in ("gt_id", "track_id"))
                 taken = sparse_pairs(left, right, np.array([p["gain"] for p in met]))
                 out += [(*key, met[k]["gt_id"], met[k]["track_id"], met[k]["value"]) for k in np.flatnonzero(taken).tolist()]
@@ -156,28 +164,37 @@ def kept_pairs(gt: DataFrame, tracks: DataFrame, pairs: DataFrame) -> DataFrame:
 
         at, before, held = None, {}, None
 
-        def frame(part):
+        def frame(key, left, right, iou):
+            """Places of the pairs that one frame takes."""
             nonlocal at, before
-            key = tuple(part[TRACK].iloc[0])
             if key != at:
                 at, before = key, {}
-            left, right, iou = part["gt_id"].to_numpy(), part["track_id"].to_numpy(), part["iou"].to_numpy()
-            stays = np.array([before.get(g, None) == t for g, t in zip(left.tolist(), right.tolist(), strict=True)])
-            taken = sparse_pairs(left, right, iou + 1000 * stays) if (iou > 0).all() else np.zeros(len(part), bool)
-            before = dict(zip(left[taken].tolist(), right[taken].tolist(), strict=True))
-            return part.loc[taken, [*FRAME, "gt_id", "track_id"]]
+            if min(iou) <= 0:
+                taken = []
+            elif _apart(left, right):
+                taken = range(len(left))
+            else:
+                stays = np.array([before.get(g, None) == t for g, t in zip(left, right, strict=True)])
+                taken = np.flatnonzero(sparse_pairs(np.array(left), np.array(right), np.array(iou) + 1000 * stays)).tolist()
+            before = {left[k]: right[k] for k in taken}
+            return taken
+
+        def frames(rows, ends):
+            """The rows that the frames between ``ends`` take; frames cost a step over plain lists each."""
+            keys = list(zip(*(rows[c].tolist() for c in TRACK), strict=True))
+            left, right, iou = (rows[c].tolist() for c in ("gt_id", "track_id", "iou"))
+            picked = [a + k for a, b in zip(ends[:-1], ends[1:], strict=True) for k in frame(keys[a], left[a:b], right[a:b], iou[a:b])]
+            return rows.iloc[picked][[*FRAME, "gt_id", "track_id"]]
 
         for batch in batches:
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
             if rows.empty:
                 continue
-            first = np.flatnonzero((rows[FRAME] != rows[FRAME].shift()).any(axis=1).to_numpy())
+            first = np.flatnonzero((rows[FRAME] != rows[FRAME].shift()).any(axis=1).to_numpy()).tolist()
             held = rows.iloc[first[-1] :].reset_index(drop=True)  # the last frame may go on in the next batch
-            done = [frame(rows.iloc[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
-            if done:
-                yield pd.concat(done)
+            yield frames(rows, first)
         if held is not None:
-            yield frame(held)
+            yield frames(held, [0, len(held)])
 
     parts = int(gt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(parts, *TRACK).sortWithinPartitions(*FRAME, "gt_id", "track_id").mapInPandas(run, schema)
