@@ -19,15 +19,24 @@ from framelake.sources.scratch import cut
 SIDE, LEVELS = 16, 9  # cells of 16 to 4,096; larger boxes lie in several cells of the coarsest grid
 
 
-def _cells(boxes: DataFrame, p: str, own: bool, coarser: bool) -> DataFrame:
-    """A row for each cell (_level, _cx, _cy) of a box in its own grid, in the coarser ones, or in both; boxes without area are in none."""
+def _leveled(boxes: DataFrame, p: str) -> DataFrame:
+    """The boxes with an area, and ``_own``, the level of their grid."""
     longer = f"greatest({p}x2 - {p}x1, {p}y2 - {p}y1)"
     level = f"cast(least({LEVELS - 1}, greatest(0, ceil(log2({longer} / {SIDE}D)))) as int)"
     # infinite and undefined corners overlap nothing that has an area
     solid = f"{p}x2 > {p}x1 and {p}y2 > {p}y1 and abs({p}x1) < 1e15 and abs({p}x2) < 1e15 and abs({p}y1) < 1e15 and abs({p}y2) < 1e15"
-    levels = f"{level} as _level" if own and not coarser else f"explode(sequence({level}, {LEVELS - 1})) as _level"
-    rows = boxes.where(solid).selectExpr("*", f"{level} as _own", levels)
-    rows = rows if own else rows.where("_level > _own")
+    return boxes.where(solid).selectExpr("*", f"{level} as _own")
+
+
+def _levels(boxes: DataFrame) -> list[int]:
+    """The levels of the grids that these boxes belong to."""
+    return sorted(r[0] for r in boxes.select("_own").distinct().collect())  # nine at most
+
+
+def _cells(boxes: DataFrame, p: str, own: bool, coarser: bool, held: Sequence[int] = ()) -> DataFrame:
+    """A row for each cell (_level, _cx, _cy) of a box in its own grid, in those of the coarser ones that are ``held`` by the other side, or in both."""
+    looked = f"filter(array({', '.join(map(str, held))}), v -> v {'>=' if own else '>'} _own)" if held else "cast(array() as array<int>)"
+    rows = boxes.selectExpr("*", "_own as _level" if own and not coarser else f"explode({looked}) as _level")
     span = lambda a: f"explode(sequence(cast(floor({p}{a}1 / ({SIDE} << _level)) as bigint), cast(floor({p}{a}2 / ({SIDE} << _level)) as bigint)))"
     return rows.selectExpr("*", f"{span('x')} as _cx").selectExpr("*", f"{span('y')} as _cy").drop("_own")
 
@@ -38,11 +47,13 @@ def overlapping(left: DataFrame, right: DataFrame, keys: Sequence[str], a: str =
     Columns but the keys are prefixed by ``a`` and ``b``. Boxes with a null, undefined or infinite corner or without area are in no pair,
     rows with a null key neither; rows that repeat give a pair each.
     """
-    one, two = (G.prefixed(d, p, [c for c in d.columns if c not in keys]) for d, p in ((left, a), (right, b)))
+    one, two = (_leveled(G.prefixed(d, p, [c for c in d.columns if c not in keys]), p) for d, p in ((left, a), (right, b)))
+    mine = _levels(one)
+    held = mine if left is right else _levels(two)
     on = [*keys, "_level", "_cx", "_cy"]
     # the finer box looks in the grid of the coarser one; boxes of one grid meet in the first of the two joins
-    both = _cells(one, a, True, True).join(_cells(two, b, True, False), on)
-    both = both.unionByName(_cells(one, a, True, False).join(_cells(two, b, False, True), on))
+    both = _cells(one, a, True, True, held).join(_cells(two, b, True, False), on)
+    both = both.unionByName(_cells(one, a, True, False).join(_cells(two, b, False, True, mine), on))
     begins = [f"floor(greatest({a}{c}1, {b}{c}1) / ({SIDE} << _level)) = _c{c}" for c in "xy"]
     meets = [f"greatest({a}{c}1, {b}{c}1) < least({a}{c}2, {b}{c}2)" for c in "xy"]
     return both.where(" and ".join(begins + meets)).drop("_level", "_cx", "_cy")
@@ -53,6 +64,16 @@ def candidates(det: DataFrame, gt: DataFrame, keys: Sequence[str]) -> DataFrame:
     return overlapping(det, gt, keys, "d_", "g_").withColumn("iou", G.iou("d_", "g_")).where("iou > 0")
 
 
+def _in_order(rows: DataFrame, keys: Sequence[str], order: str, number: str) -> DataFrame:
+    """``rows`` with ``number``, which grows within the keys by ``order`` and then all remaining columns; written, so that numbers are fixed.
+
+    A number takes the place of all columns of the order in what joins and rounds move.
+    """
+    by = [*keys, F.expr(order), *[c for c in rows.columns if c not in keys]]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn(number, F.monotonically_increasing_id()), "crowd")
+
+
 def _survivors(rows: DataFrame, keys: Sequence[str], order: str, beats: str) -> DataFrame:
     """What a walk in ascending ``order`` keeps, when a box b falls to an earlier kept k that beats it.
 
@@ -60,13 +81,11 @@ def _survivors(rows: DataFrame, keys: Sequence[str], order: str, beats: str) ->
     until nothing is undecided: the same boxes as the walk's. Rounds are as many as the longest chain of boxes that decide
     each other one after the other; most boxes are decided in the first few.
     """
-    rest = [c for c in rows.columns if c not in keys]
-    numbered = cut(rows.withColumn("_id", F.monotonically_increasing_id()), "crowd")  # numbers are fixed by being written
-    place = F.struct(F.expr(order).alias("_o"), *rest, "_id").alias("place")
-    crowd = numbered.select(*keys, *G.CORNERS, place)  # nothing else goes through the join
-    met = overlapping(crowd, crowd, keys, "k_", "b_").where("k_place < b_place")
-    met = met.select("k_place", "b_place", *[F.struct(*[F.col(f"{p}_{c}").alias(c) for c in G.CORNERS]).alias(p) for p in "kb"])
-    open_ = cut(met.where(beats).selectExpr("k_place._id as k", "b_place._id as b"), "beaten")
+    numbered = _in_order(rows, keys, order, "_id")
+    crowd = numbered.select(*keys, *G.CORNERS, "_id")  # nothing else goes through the join
+    met = overlapping(crowd, crowd, keys, "k_", "b_").where("k__id < b__id")
+    met = met.select("k__id", "b__id", *[F.struct(*[F.col(f"{p}_{c}").alias(c) for c in G.CORNERS]).alias(p) for p in "kb"])
+    open_ = cut(met.where(beats).selectExpr("k__id as k", "b__id as b"), "beaten")
     gone = None
     while open_.limit(1).count():
         stays = open_.select("k").distinct().join(open_.selectExpr("b as k").distinct(), "k", "left_anti")
