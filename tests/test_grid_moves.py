@@ -31,3 +31,10 @@ def test_numbers_follow_the_order_within_a_frame(spark):
     rows = grid._in_order(spark.createDataFrame(crowd(500, 5, 3, 300.0)), ["frame"], "-conf", "n").orderBy("frame", "n").collect()
     by = [(r.frame, -r.conf, r.cls, r.x1, r.y1, r.x2, r.y2) for r in rows]
     assert by == sorted(by) and len({r.n for r in rows}) == len(rows)
+
+
+def test_nested_boxes_move_numbers_too(spark, monkeypatch):
+    seen, real = [], grid.overlapping
+    monkeypatch.setattr(grid, "overlapping", lambda left, right, *more: (seen.append(set(left.columns)), real(left, right, *more))[1])
+    grid.drop_nested(spark.createDataFrame(crowd(100, 6, 1, 200.0)), ["frame"], 0.8).collect()
+    assert seen == [{"frame", "_id", "x1", "y1", "x2", "y2"}]
