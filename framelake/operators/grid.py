@@ -116,13 +116,11 @@ def match(det: DataFrame, gt: DataFrame, keys: Sequence[str], threshold: float =
     takes it; taken boxes leave all pairs, and the next round begins. What then hits nothing reports its best box that is free when
     its turn comes, that is one that no earlier detection took.
     """
-    rest = [c for c in det.columns if c not in keys]
-    d = cut(det.withColumn("_d", F.monotonically_increasing_id()), "crowd")
-    g = cut(gt.select(*keys, *G.CORNERS).withColumn("_g", F.monotonically_increasing_id()), "crowd")
-    turn = F.struct((-F.col("conf")).alias("_o"), *rest, "_d").alias("turn")
-    near = candidates(d.select(*keys, *G.CORNERS, turn), g, keys)
+    d = _in_order(det, keys, "-conf", "turn")
+    g = _in_order(gt.select(*keys, *G.CORNERS), keys, "x1", "_g")
+    near = candidates(d.select(*keys, *G.CORNERS, "turn"), g, keys)
     # of boxes with equal IoU the first, in the order of corners
-    first = F.struct((-F.col("iou")).alias("_o"), *[F.col(f"g_{c}").alias(c) for c in G.CORNERS], F.col("g__g").alias("_g")).alias("choice")
+    first = F.struct((-F.col("iou")).alias("_o"), F.col("g__g").alias("_g")).alias("choice")
     pairs = cut(near.select(F.col("d_turn").alias("turn"), first), "pairs")
     open_, took = pairs.where(F.expr(f"-choice._o >= {threshold}")), None
     while True:
@@ -139,7 +137,7 @@ def match(det: DataFrame, gt: DataFrame, keys: Sequence[str], threshold: float =
         took = now
     taken = took.selectExpr("choice._g as _t", "turn as at")
     missed = pairs.join(took.select("turn"), "turn", "left_anti").join(taken, F.expr("choice._g = _t and at < turn"), "left_anti")
-    result = took.selectExpr("turn._d as _d", "-choice._o as iou", "true as hit")
-    result = result.union(missed.groupBy(F.col("turn._d").alias("_d")).agg((-F.min("choice")["_o"]).alias("iou")).select("_d", "iou", F.lit(False)))
-    out = d.join(result, "_d", "left").select(*det.columns, F.coalesce("iou", F.lit(0.0)).alias("iou"), F.coalesce("hit", F.lit(False)).alias("hit"))
+    result = took.selectExpr("turn", "-choice._o as iou", "true as hit")
+    result = result.union(missed.groupBy("turn").agg((-F.min("choice")["_o"]).alias("iou")).select("turn", "iou", F.lit(False)))
+    out = d.join(result, "turn", "left").select(*det.columns, F.coalesce("iou", F.lit(0.0)).alias("iou"), F.coalesce("hit", F.lit(False)).alias("hit"))
     return out

@@ -23,8 +23,9 @@ def test_joins_move_numbers_instead_of_all_columns(spark, monkeypatch):
     monkeypatch.setattr(grid, "overlapping", spied)
     rows = spark.createDataFrame(crowd(200, 4, 2, 200.0))
     grid.suppress(rows, ["frame"], 0.5).collect()
+    grid.match(rows, rows.drop("conf"), ["frame", "cls"]).collect()
     corners = {"x1", "y1", "x2", "y2"}
-    assert seen == [{"frame", "_id"} | corners] * 2
+    assert seen == [{"frame", "_id"} | corners] * 2 + [{"frame", "cls", "turn"} | corners, {"frame", "cls", "_g"} | corners]
 
 
 def test_numbers_follow_the_order_within_a_frame(spark):
