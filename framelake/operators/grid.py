@@ -9,20 +9,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framelake.functions import geometry as G
+from framelake.operators import overlaps
 from framelake.operators.matching import ios_text, iou_text
 from framelake.sources.scratch import cut
 
 SIDE, LEVELS = 16, 9  # cells of 16 to 4,096; larger boxes lie in several cells of the coarsest grid
+TILE, TILE_LEVELS = 256, 5  # cells whose boxes are counted together
+MOST = 250_000  # boxes of a side that are counted together
 
 
-def _leveled(boxes: DataFrame, p: str) -> DataFrame:
+def _leveled(boxes: DataFrame, p: str, side: int = SIDE, levels: int = LEVELS) -> DataFrame:
     """The boxes with an area, and ``_own``, the level of their grid."""
     longer = f"greatest({p}x2 - {p}x1, {p}y2 - {p}y1)"
-    level = f"cast(least({LEVELS - 1}, greatest(0, ceil(log2({longer} / {SIDE}D)))) as int)"
+    level = f"cast(least({levels - 1}, greatest(0, ceil(log2({longer} / {side}D)))) as int)"
     # infinite and undefined corners overlap nothing that has an area
     solid = f"{p}x2 > {p}x1 and {p}y2 > {p}y1 and abs({p}x1) < 1e15 and abs({p}x2) < 1e15 and abs({p}y1) < 1e15 and abs({p}y2) < 1e15"
     return boxes.where(solid).selectExpr("*", f"{level} as _own")
@@ -33,11 +39,11 @@ def _levels(boxes: DataFrame) -> list[int]:
     return sorted(r[0] for r in boxes.select("_own").distinct().collect())  # nine at most
 
 
-def _cells(boxes: DataFrame, p: str, own: bool, coarser: bool, held: Sequence[int] = ()) -> DataFrame:
+def _cells(boxes: DataFrame, p: str, own: bool, coarser: bool, held: Sequence[int] = (), side: int = SIDE) -> DataFrame:
     """A row for each cell (_level, _cx, _cy) of a box in its own grid, in those of the coarser ones that are ``held`` by the other side, or in both."""
     looked = f"filter(array({', '.join(map(str, held))}), v -> v {'>=' if own else '>'} _own)" if held else "cast(array() as array<int>)"
     rows = boxes.selectExpr("*", "_own as _level" if own and not coarser else f"explode({looked}) as _level")
-    span = lambda a: f"explode(sequence(cast(floor({p}{a}1 / ({SIDE} << _level)) as bigint), cast(floor({p}{a}2 / ({SIDE} << _level)) as bigint)))"
+    span = lambda a: f"explode(sequence(cast(floor({p}{a}1 / ({side} << _level)) as bigint), cast(floor({p}{a}2 / ({side} << _level)) as bigint)))"
     return rows.selectExpr("*", f"{span('x')} as _cx").selectExpr("*", f"{span('y')} as _cy").drop("_own")
 
 
@@ -64,6 +70,47 @@ def candidates(det: DataFrame, gt: DataFrame, keys: Sequence[str]) -> DataFrame:
     return overlapping(det, gt, keys, "d_", "g_").withColumn("iou", G.iou("d_", "g_")).where("iou > 0")
 
 
+def overlap_counts(det: DataFrame, gt: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Detections that share area with true boxes of their ``keys``: ``n``, how many, and ``best``, the highest IoU; rows that repeat are one, their n together.
+
+    Pairs would grow with the square of a crowded frame, so boxes of a cell of large tiles are counted together (``operators.overlaps``). A cell
+    that holds more than ``MOST`` boxes of a side is dealt out, each part of one side meeting each of the other.
+    """
+    keys, solid = list(keys), " and ".join(f"{k} is not null" for k in keys)
+    apart = lambda rows, columns: cut(_leveled(rows.where(solid).groupBy(*columns).agg(F.count(F.lit(1)).alias("_w")), "", TILE, TILE_LEVELS), "apart")
+    one, two = apart(det, det.columns), apart(gt, [*keys, *G.CORNERS])
+    mine, held = _levels(one), _levels(two)
+    # as in ``overlapping``: first the own and coarser grids of the detections, then the coarser ones of the true boxes
+    d, g = _cells(one, "", True, True, held, TILE).withColumn("_turn", F.lit(0)), _cells(two, "", True, False, (), TILE).withColumn("_turn", F.lit(0))
+    if mine and held and min(held) < max(mine):
+        d = d.unionByName(_cells(one, "", True, False, (), TILE).withColumn("_turn", F.lit(1)))
+        g = g.unionByName(_cells(two, "", False, True, mine, TILE).withColumn("_turn", F.lit(1)))
+    cell = [*keys, "_turn", "_level", "_cx", "_cy"]
+    many = lambda rows, name: rows.groupBy(*cell).count().where(F.col("count") > MOST).select(*cell, F.ceil(F.col("count") / MOST).alias(name))
+    large = F.broadcast(many(d, "_nd").join(many(g, "_ng"), cell, "full"))  # a row for each MOST boxes at most
+    parts = int(det.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        named = rows.join(large, cell, "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("_nd", "_ng")})
+        named = named.withColumn(f"_p{own}", F.pmod(F.xxhash64(*[c for c in rows.columns if c not in cell]), f"_n{own}"))
+        named = named.withColumn(f"_p{other}", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"_n{other}") - 1))).drop("_nd", "_ng")
+        return named.repartition(parts, *cell, "_pd", "_pg")
+
+    columns = det.columns
+    schema = T.StructType([*[det.schema[c] for c in columns], T.StructField("n", T.LongType()), T.StructField("best", T.DoubleType())])
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        corners = [np.stack([t.column(c).to_numpy().astype(np.float64) for c in G.CORNERS]) for t in (left, right)]
+        level, cx, cy = (left.column(c)[0].as_py() if len(left) else 0 for c in ("_level", "_cx", "_cy"))
+        n, best = overlaps.in_tile(*corners, right.column("_w").to_numpy(), cx * (TILE << level), cy * (TILE << level))
+        out = left.select(columns).append_column("n", pa.array(n * left.column("_w").to_numpy())).append_column("best", pa.array(best))
+        return out.filter(pa.array((n > 0) | (best > 0)))
+
+    by = [*cell, "_pd", "_pg"]
+    met = dealt(d, "d", "g").groupBy(*by).cogroup(dealt(g, "g", "d").groupBy(*by)).applyInArrow(count, schema)
+    return met.groupBy(*columns).agg(F.sum("n").alias("n"), F.max("best").alias("best"))
+
+
 def _in_order(rows: DataFrame, keys: Sequence[str], order: str, number: str) -> DataFrame:
     """``rows`` with ``number``, which grows within the keys by ``order`` and then all remaining columns; written, so that numbers are fixed.
 

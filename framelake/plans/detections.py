@@ -214,11 +214,10 @@ def D22_tracking_scores(spark, sf_dir):
   and d.x1 < g.x2 and g.x1 < d.x2 and d.y1 < g.y2 and g.y1 < d.y2)
 select {BOX}, count(*) as n, round(max(iou), 6) as best from p where iou > 0 group by all""")
 def C4_crowded_candidates(spark, sf_dir):
-    """All boxes of a sequence laid over each other as one crowded image, met by grid cells: how many true boxes each detection overlaps, and its best."""
+    """All boxes of a sequence laid over each other as one crowded image, met by tiles: how many true boxes each detection overlaps, and its best."""
     true = view(spark, sf_dir, "gt").select("sequence", "cls", "x1", "y1", "x2", "y2")
-    met = X.candidates(view(spark, sf_dir, "det"), true, ["sequence", "cls"])
-    by = met.withColumnsRenamed({f"d_{c}": c for c in ("frame_index", "x1", "y1", "x2", "y2", "conf")}).groupBy(*BOX.split(", "))
-    return r6(by.agg(F.count(F.lit(1)).alias("n"), F.max("iou").alias("best")), "best")
+    out = X.overlap_counts(view(spark, sf_dir, "det"), true, ["sequence", "cls"])
+    return r6(out.select(*BOX.split(", "), "n", "best"), "best")
 
 
 @query(SUPPRESS_SQL)
