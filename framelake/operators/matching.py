@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 COCO_THRESHOLDS = tuple(k / 100 for k in range(50, 100, 5))
 BUCKETS = 1024
@@ -35,6 +36,16 @@ def ios_text(a: str, b: str) -> str:
     return f"{_inter(a, b)} / (least({_area(a)}, {_area(b)}) + 1e-9D)"
 
 
+def _apart(a: str, b: str) -> str:
+    """Whether one box ends where the other begins or before: four comparisons that spare most pairs the arithmetic."""
+    return f"({a}.x2 <= {b}.x1 or {b}.x2 <= {a}.x1 or {a}.y2 <= {b}.y1 or {b}.y2 <= {a}.y1)"
+
+
+def _whole(rows: DataFrame) -> bool:
+    """Whether corners are whole numbers, so that none is undefined."""
+    return all(isinstance(rows.schema[c].dataType, T.IntegralType) for c in ("x1", "y1", "x2", "y2"))
+
+
 def _fold(rows: DataFrame, keys: Sequence[str], order: str, step: str) -> DataFrame:
     """Rows that a fold in ascending ``order`` keeps; ``step`` gives the next ``kept`` from ``kept`` and box ``b``."""
     rest = [c for c in rows.columns if c not in keys]
@@ -45,13 +56,19 @@ def _fold(rows: DataFrame, keys: Sequence[str], order: str, step: str) -> DataFr
 
 def suppress(rows: DataFrame, keys: Sequence[str], threshold: float, score: str = "conf") -> DataFrame:
     """Non-maximum suppression by descending score: a box goes when its IoU with a kept one is above ``threshold``. Put the class into ``keys`` to keep classes apart."""
-    return _fold(rows, keys, f"-{score}", f"if(exists(kept, k -> {iou_text('k', 'b')} > {threshold}), kept, array_append(kept, b))")
+    test = f"{iou_text('k', 'b')} > {threshold}"
+    if threshold >= 0:  # boxes apart have an IoU of 0, those with an undefined corner too
+        test = f"if({_apart('k', 'b')}, false, {test})"
+    return _fold(rows, keys, f"-{score}", f"if(exists(kept, k -> {test}), kept, array_append(kept, b))")
 
 
 def drop_nested(rows: DataFrame, keys: Sequence[str], threshold: float, keep_outer: bool = True) -> DataFrame:
     """By area, largest first (smallest first to keep the inner): a box goes when its IoS with a kept one reaches ``threshold``."""
     area = "(x2 - x1) * (y2 - y1)"
-    return _fold(rows, keys, f"-({area})" if keep_outer else area, f"if(exists(kept, k -> {ios_text('k', 'b')} >= {threshold}), kept, array_append(kept, b))")
+    test = f"{ios_text('k', 'b')} >= {threshold}"
+    if threshold > 0 and _whole(rows):
+        test = f"if({_apart('k', 'b')}, false, {test})"
+    return _fold(rows, keys, f"-({area})" if keep_outer else area, f"if(exists(kept, k -> {test}), kept, array_append(kept, b))")
 
 
 def merge_contained(rows: DataFrame, keys: Sequence[str], threshold: float = 0.85) -> DataFrame:
