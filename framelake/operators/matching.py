@@ -116,7 +116,8 @@ def match(det: DataFrame, gt: DataFrame, keys: Sequence[str], thresholds: Sequen
     both = d.join(g, list(keys), "left")
     both = both.withColumn("_g", F.coalesce("_g", F.expr("filter(array(named_struct('x1', _d[0].x1, 'y1', _d[0].y1, 'x2', _d[0].x2, 'y2', _d[0].y2, 'ignored', false)), x -> false)")))
     # overlaps are computed once, below the generator of the thresholds; each threshold then walks the few that are above 0
-    near = f"""transform(_d, d -> filter(transform(_g, (g, i) -> named_struct('iou', {iou_text('g', 'd')}, 'place', -i, 'ignored', g.ignored)), c -> c.iou > 0))"""
+    met = f"transform(filter(transform(_g, (g, i) -> named_struct('g', g, 'i', i)), c -> not coalesce({_apart('c.g', 'd')}, true)), c -> named_struct('iou', {iou_text('c.g', 'd')}, 'place', -c.i, 'ignored', c.g.ignored))"
+    near = f"transform(_d, d -> filter({met}, c -> c.iou > 0))"
     both = both.withColumn("_c", F.expr(near)).drop("_g").withColumn("iou_min", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
     best = """array_max(transform(filter(c, x -> not array_contains(s.used, x.place)), x ->
       named_struct('wanted', x.iou >= iou_min and not x.ignored, 'iou', x.iou, 'place', x.place, 'ignored', x.ignored)))"""

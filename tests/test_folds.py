@@ -15,3 +15,9 @@ def two_far_boxes(spark):
 @pytest.mark.parametrize("fold", [lambda r: M.suppress(r, ["f"], 0.5), lambda r: M.drop_nested(r, ["f"], 0.8)])
 def test_suppression_and_nesting_spare_boxes_apart(spark, fold):
     assert fold(two_far_boxes(spark)).count() == 3
+
+
+def test_matching_spares_boxes_apart(spark):
+    rows = two_far_boxes(spark).drop("cut")
+    true = rows.select("f", "cls", "x1", "y1", "x2", "y2")
+    assert [r.iou for r in M.match(rows.where(f"x1 = {FAR}"), true.where(f"x1 <> {FAR}"), ["f", "cls"]).collect()] == [0.0]
