@@ -75,7 +75,11 @@ def merge_contained(rows: DataFrame, keys: Sequence[str], threshold: float = 0.8
     """By area, largest first: a box with ``cut`` that lies in a kept one of its class joins the first such; that one takes the higher ``conf``."""
     rest = [c for c in rows.columns if c not in keys]
     raised = ", ".join(f"'{c}', " + ("greatest(k.conf, b.conf)" if c == "conf" else f"k.{c}") for c in ["_o", *rest])
-    home = f"array_position(transform(kept, k -> {ios_text('k', 'b')} >= {threshold} and k.cls = b.cls), true)"
+    inside = f"{ios_text('k', 'b')} >= {threshold}"
+    if threshold > 0 and _whole(rows):
+        inside = f"if({_apart('k', 'b')}, false, {inside})"
+    # of most boxes nothing is asked: only cut ones look for a home
+    home = f"if(b.cut, array_position(transform(kept, k -> k.cls = b.cls and {inside}), true), 0L)"
     step = f"transform(array({home}), p -> if(b.cut and p > 0, transform(kept, (k, i) -> if(i = p - 1, named_struct({raised}), k)), array_append(kept, b)))[0]"
     return _fold(rows, keys, "-((x2 - x1) * (y2 - y1))", step)
 

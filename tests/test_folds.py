@@ -17,6 +17,13 @@ def test_suppression_and_nesting_spare_boxes_apart(spark, fold):
     assert fold(two_far_boxes(spark)).count() == 3
 
 
+def test_merging_spares_boxes_apart_and_boxes_not_cut(spark):
+    assert M.merge_contained(two_far_boxes(spark), ["f"]).count() == 3
+    same = [(0, 1, 0, 0, 5, 5, 0.5, False), (0, 1, 0, 0, 5, 5, 0.7, False), (0, 1, 0, 0, 4, 5, 0.9, True), (0, 2, 0, 0, 4, 5, 0.9, True)]
+    got = M.merge_contained(spark.createDataFrame(same, NEAR), ["f"]).select("cls", "x2", "conf").collect()
+    assert sorted(map(tuple, got)) == [(1, 5, 0.7), (1, 5, 0.9), (2, 4, 0.9)]
+
+
 def test_matching_spares_boxes_apart(spark):
     rows = two_far_boxes(spark).drop("cut")
     true = rows.select("f", "cls", "x1", "y1", "x2", "y2")
