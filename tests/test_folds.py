@@ -3,6 +3,8 @@
 import pytest
 
 from framelake.operators import matching as M
+from framelake.plans import catalog
+from tests.helpers import SMALL
 
 FAR = 9 * 10**18  # distances between such boxes don't fit a whole number
 NEAR = "f int, cls int, x1 long, y1 long, x2 long, y2 long, conf double, cut boolean"
@@ -28,3 +30,8 @@ def test_matching_spares_boxes_apart(spark):
     rows = two_far_boxes(spark).drop("cut")
     true = rows.select("f", "cls", "x1", "y1", "x2", "y2")
     assert [r.iou for r in M.match(rows.where(f"x1 = {FAR}"), true.where(f"x1 <> {FAR}"), ["f", "cls"]).collect()] == [0.0]
+
+
+def test_decoded_boxes_take_the_same_step(spark):
+    plan = catalog.QUERIES["B28_decode_best"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "x2 <= " in plan
