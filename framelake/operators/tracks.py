@@ -22,13 +22,16 @@ def slice_labels(boxes: DataFrame, width: int, height: int, side: int, least: fl
 
 def six_digits(x: Column) -> Column:
     """A number in six significant digits without trailing zeros, with an exponent of two digits below 1e-4 and from 1e6 on."""
-    parts = F.split(F.format_string("%.5e", x.cast("double")), "e")
-    power = parts[1].cast("int")
     strip = lambda s: F.regexp_replace(s, r"\.?0+$", "")
-    plain = F.coalesce(*[F.when(power == k, F.format_string(f"%.{5 - k}f", x.cast("double"))) for k in range(-4, 6)])
-    plain = F.when(F.contains(plain, F.lit(".")), strip(plain)).otherwise(plain)
-    small = F.concat(strip(parts[0]), F.when(power < 0, "e-").otherwise("e+"), F.format_string("%02d", F.abs(power)))
-    return F.when(x == 0, "0").otherwise(F.coalesce(plain, small))
+
+    def written(parts: Column) -> Column:
+        power = parts[1].cast("int")
+        plain = F.coalesce(*[F.when(power == k, F.format_string(f"%.{5 - k}f", x.cast("double"))) for k in range(-4, 6)])
+        small = F.concat(strip(parts[0]), F.when(power < 0, "e-").otherwise("e+"), F.format_string("%02d", F.abs(power)))
+        return F.coalesce(F.regexp_replace(plain, r"\.0+$|(?<=\.[0-9]{0,9})0+$", ""), small)  # zeros behind a point
+
+    # inside a lambda the parts are formatted once, not in each branch
+    return F.when(x == 0, "0").otherwise(F.transform(F.array(F.split(F.format_string("%.5e", x.cast("double")), "e")), written)[0])
 
 
 def annotation_line(conf: Column, track: Column) -> Column:
