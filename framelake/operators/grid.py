@@ -23,6 +23,7 @@ from framelake.sources.scratch import cut
 SIDE, LEVELS = 16, 9  # cells of 16 to 4,096; larger boxes lie in several cells of the coarsest grid
 TILE, TILE_LEVELS = 256, 5  # cells whose boxes are counted together
 MOST = 250_000  # boxes of a side that are counted together
+FEW = 200  # boxes of a side that meet without a grid
 
 
 def _leveled(boxes: DataFrame, p: str, side: int = SIDE, levels: int = LEVELS) -> DataFrame:
@@ -47,13 +48,26 @@ def _cells(boxes: DataFrame, p: str, own: bool, coarser: bool, held: Sequence[in
     return rows.selectExpr("*", f"{span('x')} as _cx").selectExpr("*", f"{span('y')} as _cy").drop("_own")
 
 
+def _crowded(sides: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """The keys that hold more than ``FEW`` boxes of a side, a row each; written."""
+    many = [d.groupBy(*keys).count().where(F.col("count") > FEW).select(*keys) for d in sides]
+    return cut(many[0] if len(many) == 1 else many[0].union(many[1]).distinct(), "crowded")
+
+
 def overlapping(left: DataFrame, right: DataFrame, keys: Sequence[str], a: str = "a_", b: str = "b_") -> DataFrame:
     """Pairs of a row of ``left`` and one of ``right``, equal in ``keys``, whose boxes share area; each pair once.
 
     Columns but the keys are prefixed by ``a`` and ``b``. Boxes with a null, undefined or infinite corner or without area are in no pair,
-    rows with a null key neither; rows that repeat give a pair each.
+    rows with a null key neither; rows that repeat give a pair each. Keys with few boxes need no grid: there each box is moved once, not once for each cell.
     """
+    keys = list(keys)
     one, two = (_leveled(G.prefixed(d, p, [c for c in d.columns if c not in keys]), p) for d, p in ((left, a), (right, b)))
+    crowded = _crowded([left] if left is right else [left, right], keys)
+    meets = [f"greatest({a}{c}1, {b}{c}1) < least({a}{c}2, {b}{c}2)" for c in "xy"]
+    if not crowded.limit(1).count():
+        return one.drop("_own").join(two.drop("_own"), keys).where(" and ".join(meets))
+    few = [d.join(crowded, keys, "left_anti").drop("_own") for d in (one, two)]
+    one, two = (d.join(crowded, keys, "left_semi") for d in (one, two))
     mine = _levels(one)
     held = mine if left is right else _levels(two)
     on = [*keys, "_level", "_cx", "_cy"]
@@ -61,8 +75,8 @@ def overlapping(left: DataFrame, right: DataFrame, keys: Sequence[str], a: str =
     both = _cells(one, a, True, True, held).join(_cells(two, b, True, False), on)
     both = both.unionByName(_cells(one, a, True, False).join(_cells(two, b, False, True, mine), on))
     begins = [f"floor(greatest({a}{c}1, {b}{c}1) / ({SIDE} << _level)) = _c{c}" for c in "xy"]
-    meets = [f"greatest({a}{c}1, {b}{c}1) < least({a}{c}2, {b}{c}2)" for c in "xy"]
-    return both.where(" and ".join(begins + meets)).drop("_level", "_cx", "_cy")
+    both = both.where(" and ".join(begins)).drop("_level", "_cx", "_cy")
+    return few[0].join(few[1], keys).unionByName(both).where(" and ".join(meets))
 
 
 def candidates(det: DataFrame, gt: DataFrame, keys: Sequence[str]) -> DataFrame:
