@@ -54,12 +54,31 @@ def _fold(rows: DataFrame, keys: Sequence[str], order: str, step: str) -> DataFr
     return boxes.select(*keys, F.explode(kept).alias("_b")).select(*keys, *[f"_b.{c}" for c in rest])
 
 
-def suppress(rows: DataFrame, keys: Sequence[str], threshold: float, score: str = "conf") -> DataFrame:
-    """Non-maximum suppression by descending score: a box goes when its IoU with a kept one is above ``threshold``. Put the class into ``keys`` to keep classes apart."""
+def _unless_beaten(threshold: float) -> str:
+    """The step of suppression."""
     test = f"{iou_text('k', 'b')} > {threshold}"
     if threshold >= 0:  # boxes apart have an IoU of 0, those with an undefined corner too
         test = f"if({_apart('k', 'b')}, false, {test})"
-    return _fold(rows, keys, f"-{score}", f"if(exists(kept, k -> {test}), kept, array_append(kept, b))")
+    return f"if(exists(kept, k -> {test}), kept, array_append(kept, b))"
+
+
+def suppress(rows: DataFrame, keys: Sequence[str], threshold: float, score: str = "conf") -> DataFrame:
+    """Non-maximum suppression by descending score: a box goes when its IoU with a kept one is above ``threshold``. Put the class into ``keys`` to keep classes apart."""
+    return _fold(rows, keys, f"-{score}", _unless_beaten(threshold))
+
+
+def suppress_classes(rows: DataFrame, keys: Sequence[str], threshold: float, top: int) -> DataFrame:
+    """``suppress`` within each class ``cls``, then the first ``top`` of a frame by descending conf, then ``anchor``.
+
+    All of it is done on the frame's one array: rows are gathered once, not sorted anew for the classes and for the first ones.
+    """
+    rest = [c for c in rows.columns if c not in keys]
+    boxes = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.expr("-conf").alias("_o"), *rest))).alias("_boxes"))
+    of_class = f"aggregate(filter(_boxes, b -> b.cls = c), filter(_boxes, b -> false), (kept, b) -> {_unless_beaten(threshold)})"
+    kept = boxes.withColumn("_kept", F.expr(f"flatten(transform(array_distinct(_boxes.cls), c -> {of_class}))")).drop("_boxes")
+    before = "case when l.conf > r.conf then -1 when l.conf < r.conf then 1 when l.anchor < r.anchor then -1 when l.anchor > r.anchor then 1 else 0 end"
+    first = F.expr(f"if(size(_kept) > {top}, slice(array_sort(_kept, (l, r) -> {before}), 1, {top}), _kept)")
+    return kept.select(*keys, F.explode(first).alias("_b")).select(*keys, *[f"_b.{c}" for c in rest])
 
 
 def drop_nested(rows: DataFrame, keys: Sequence[str], threshold: float, keep_outer: bool = True) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framelake.operators.matching import suppress
+from framelake.operators.matching import suppress_classes
 from framelake.operators.order import global_rank, top_k
 
 
@@ -77,8 +77,7 @@ def decode_best(raw: DataFrame, least: float, iou: float, keys: list[str], most:
     best = raw.withColumn("conf", F.array_max("scores")).where(F.col("conf") > least).withColumn("cls", F.array_position("scores", F.col("conf")) - 1)
     boxes = best.select(*keys, "anchor", "cls", "conf", *[F.expr(f"{c} {op} {s} / 2").alias(n) for n, c, op, s in (("x1", "xc", "-", "w"), ("y1", "yc", "-", "h"), ("x2", "xc", "+", "w"), ("y2", "yc", "+", "h"))])
     order = [F.col("conf").desc(), "anchor"]
-    kept = suppress(top_k(boxes, keys, order, most), [*keys, "cls"], iou)
-    return top_k(kept, keys, order, top)
+    return suppress_classes(top_k(boxes, keys, order, most), keys, iou, top)
 
 
 def label_faults(lines: DataFrame) -> DataFrame:
