@@ -23,7 +23,7 @@ def alerts_in_order(events: DataFrame, shard: str, clock: str | None = None) ->
     columns = list(dict.fromkeys([shard, "arrival", "sequence", "frame_index", "ts_ms", "n", *([clock] if clock else [])]))
     rows = events.select(*columns)
     stream = replay.in_order(rows, "arrival", replay.batches_of(rows), "events-in-order")
-    return replay.drain(stateful.alert_stream(stream, shard, 21_600, 5, clock, packed=True), "alerts")
+    return replay.drain(stateful.alert_stream(stream, shard, 21_600, 5, clock, packed=True), "alerts", replay.at_once(events.sparkSession))
 
 
 @query("select arrival, sequence from (select arrival, sequence, mean > 5 as crossed, coalesce(lag(mean > 5) over (partition by sequence order by arrival), false) as before from (select *, avg(n_person) over (partition by sequence order by ts_ms range between 21600000 preceding and current row) as mean from ev)) where crossed and not before")
@@ -178,7 +178,7 @@ def C9_pending_pairs(spark, sf_dir):
     told = base.selectExpr("sequence", "event_id", "explode(if(event_id % 5 = 0, array(told, told + 80), array(told))) as arrival", "true", "cast(null as bigint)", "event_type")
     rows = shown.union(told)
     both = replay.in_order(rows, "arrival", replay.batches_of(rows), "frames-and-events")
-    out = replay.drain(pairing.pairs(both.where("not is_event"), both.where("is_event"), "user_id", "cls"), "pairs")
+    out = replay.drain(pairing.pairs(both.where("not is_event"), both.where("is_event"), "user_id", "cls", packed=True), "pairs", replay.at_once(spark))
     return out.withColumnsRenamed({"payload": "user_id", "detail": "cls"})
 
 
